@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 SPACE = r"[\x20\x09-\x0D]+"
 
 
-def with_sketch(df: DataFrame, text: str, name: str, width: int = 5, scale: int = 8) -> DataFrame:
+def with_sketch(df: DataFrame, text: str, name: str, width: int = 5, scale: int = 4) -> DataFrame:
     """`df` with a sketch of the column `text`: every distinct shingle hash in the lowest 1/scale of the hash space, sorted.
 
     A shingle is a run of `width` words; a text with fewer words is one shingle, one without words has none.
@@ -22,7 +22,7 @@ def with_sketch(df: DataFrame, text: str, name: str, width: int = 5, scale: int
     return out.withColumn(name, F.when((F.size("_low") > 0) | (F.size("_hashes") == 0), F.col("_low")).otherwise(F.array(F.array_min("_hashes")))).drop("_words", "_hashes", "_low")
 
 
-def merge(a: Column, b: Column, scale: int = 8) -> Column:
+def merge(a: Column, b: Column, scale: int = 4) -> Column:
     """The sketch of two texts' shingles together: what is low in either, or else the smaller of the two stand-ins."""
     both = F.array_sort(F.array_union(a, b))
     low = F.filter(both, lambda h: h < F.lit(-(1 << 63) + (1 << 64) // scale))
@@ -82,7 +82,7 @@ def with_next(docs: DataFrame, key: str, values: list[str], parts: int) -> DataF
     return out.where("_sentinel = 0").drop("_slot", "_sentinel")
 
 
-def fingerprint_documents(docs: DataFrame, width: int = 5, scale: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fingerprint_documents(docs: DataFrame, width: int = 5, scale: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, contained_in_next.
 
     The edited text has its last floor(n_chars / 2) code points replaced by the first as many (or all) of the

@@ -94,26 +94,29 @@ class BlockMaxIndex:
 class ToxicityModel:
     """What a task needs to score a text: vocabulary, index, calibration and the keys of the examples."""
 
-    def __init__(self, terms: list[str], rows: list[dict[int, int]], labels: list[int], keys: list, df: np.ndarray, n_docs: int, k: int = 15):
+    def __init__(self, terms: list[str], rows: list[dict[int, int]], labels: list[int], keys: list, df: np.ndarray, n_docs: int, weights: tuple[float, float] = (1.0, 1.0), k: int = 15):
         self.lookup = {t: i for i, t in enumerate(terms)}
         self.terms, self.k, self.keys = terms, k, keys
         y = np.asarray(labels, float)
+        self.weights = np.array(weights)  # of an example of either class: how many labelled rows it stands for
+        rate = self.weights[y.astype(int)]
         idf = np.log((n_docs + 1) / (df + 1)) + 1
-        self.prior = (y.sum() + 1) / (len(y) + 2)
+        self.prior = ((rate * y).sum() + 1) / (rate.sum() + 2)
         empty = np.array([not r for r in rows], bool)
-        self.silent = (y[empty].sum() + 1) / (empty.sum() + 2)  # texts without any known term
+        self.silent = ((rate * y)[empty].sum() + self.prior) / (rate[empty].sum() + 1)  # texts without any known term
         keep = np.flatnonzero(~empty)
         self.index = BlockMaxIndex([rows[e] for e in keep], y[keep], idf)
         self.keep = keep
         self.a, self.b = 1.0, 0.0
         if len(keep) > k:  # calibration on votes that leave the example itself out
             votes = np.array([self.vote(*self.index.search(rows[e], k, skip=i)) for i, e in enumerate(keep)])
-            self.a, self.b = platt(logit(votes), y[keep])
+            self.a, self.b = platt(logit(votes), y[keep], rate[keep])
 
     def vote(self, cosine: np.ndarray, place: np.ndarray) -> float:
-        """Votes weighted by the reciprocal distance, and one vote for the prior."""
-        w = 1 / (1.02 - np.minimum(cosine, 1))
-        return float((self.prior + (w * self.index.labels[place]).sum()) / (1 + w.sum()))
+        """Votes weighted by the reciprocal square of the distance, and one vote for the prior."""
+        label = self.index.labels[place]
+        w = self.weights[label.astype(int)] / (1.05 - np.minimum(cosine, 1)) ** 2
+        return float((self.prior + (w * label).sum()) / (1 + w.sum()))
 
     def score(self, text: str, cache: dict) -> tuple[float, list[tuple]]:
         counts = count_terms(text, self.lookup.get, cache)
@@ -129,17 +132,26 @@ def logit(p: np.ndarray) -> np.ndarray:
     return np.log(p / (1 - p))
 
 
-def platt(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope (0.1 at least) and intercept of a ridge logistic fit, by Newton's method."""
-    a, b = 1.0, 0.0
-    for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(a * x + b, -30, 30)))
-        g = np.array([((p - y) * x).sum() + 0.1 * (a - 1), (p - y).sum() + 0.1 * b])
-        w = p * (1 - p)
-        h = np.array([[(w * x * x).sum() + 0.1, (w * x).sum()], [(w * x).sum(), w.sum() + 0.1]])
-        step = np.linalg.solve(h, g)
-        a, b = float(np.clip(a - step[0], 0.1, 5)), float(np.clip(b - step[1], -10, 10))
-    return a, b
+def platt(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+    """Slope (0.1 at least) and intercept of a weighted logistic fit with a ridge around (1, 0), by damped Newton steps."""
+
+    def loss(t: np.ndarray) -> float:
+        z = t[0] * x + t[1]
+        return float((weight * (np.logaddexp(0, z) - y * z)).sum() + 0.5 * ((t[0] - 1) ** 2 + t[1] ** 2))
+
+    t = np.array([1.0, 0.0])
+    for _ in range(50):
+        q = 1 / (1 + np.exp(-np.clip(t[0] * x + t[1], -30, 30)))
+        g = np.array([(weight * (q - y) * x).sum() + t[0] - 1, (weight * (q - y)).sum() + t[1]])
+        w = weight * q * (1 - q)
+        step = np.linalg.solve(np.array([[(w * x * x).sum() + 1, (w * x).sum()], [(w * x).sum(), w.sum() + 1]]), g)
+        size = 1.0
+        while loss(t - size * step) > loss(t) and size > 1e-6:
+            size /= 2
+        t = t - size * step
+        if np.abs(size * step).max() < 1e-9:
+            break
+    return max(float(t[0]), 0.1), float(t[1])
 
 
 def select_terms(sample: DataFrame, n_terms: int, least_g2: float) -> list[str]:
@@ -177,7 +189,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "toxicity")
-    sample = scratch.write(labelled_sample(docs, labels, label, per_class), "sample")
+    sample = scratch.write(labelled_sample(docs, labels, label, per_class).dropDuplicates(["text", "y"]), "sample")
+    train = labels.where(~held_out(F.col("doc_id"))).groupBy(F.col(label).cast("int").alias("y")).agg(F.count("*").alias("n")).where("y in (0, 1)")
+    stands = {r["y"]: r["n"] for r in train.collect()}
     terms = select_terms(sample, n_terms, least_g2)
     lookup = {t: i for i, t in enumerate(terms)}
 
@@ -199,8 +213,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
     rows = sample.mapInPandas(vectors, f"doc_id {kind}, y int, t array<int>, n array<int>").orderBy("doc_id").collect()
     counts = {r["t"]: r["n"] for r in docs.select("text").mapInPandas(frequency, "t int, n long").groupBy("t").agg(F.sum("n").alias("n")).collect()}
     scratch.drop("sample")
+    have = Counter(r["y"] for r in rows)
+    weights = tuple(max(1.0, stands.get(y, 0) / max(have[y], 1)) for y in (0, 1))
     df = np.array([counts.get(i, 0) for i in range(len(terms))], float)
-    return ToxicityModel(terms, [dict(zip(r["t"], r["n"])) for r in rows], [r["y"] for r in rows], [r["doc_id"] for r in rows], df, int(counts.get(-1, 0)), k)
+    return ToxicityModel(terms, [dict(zip(r["t"], r["n"])) for r in rows], [r["y"] for r in rows], [r["doc_id"] for r in rows], df, int(counts.get(-1, 0)), weights, k)
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = 0.7) -> DataFrame:
