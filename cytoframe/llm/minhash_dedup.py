@@ -173,7 +173,7 @@ def confirm_tiles(percent: int) -> Callable:
 
 
 def near_duplicates(
-    docs: DataFrame, width: int = 5, percent: int = 80, trees: int = 10, leaf: int = 128, depth: int = 6, tile: int = 256,
+    docs: DataFrame, width: int = 5, percent: int = 80, trees: int = 10, leaf: int = 512, depth: int = 4, tile: int = 256,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """(id, n_shingles, component_id, kept) of every row: the component of documents linked at percent / 100 or more.
