@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SPACE = r"[\x20\x09-\x0D]+"
@@ -52,9 +54,10 @@ def _slices(ids: DataFrame, n: int) -> list:
     return sorted(set(got or []))
 
 
-def with_next(docs: DataFrame, key: str, values: list[str], parts: int) -> DataFrame:
-    """`docs` with next_<value> for each value: that of the row after it by descending key (ties by the values);
-    for the last row that of the first.
+def with_next(docs: DataFrame, key: str, values: list[str], parts: int, ties: list[str], derive: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """`docs` with next_<value> for each value: that of the row after it by descending key (equal keys by `ties`);
+    for the last row that of the first. `derive` adds columns to the rows and to the few sentinels alike, after
+    these were picked.
 
     A window over the whole table would be one task. Keys are cut at sampled quantiles into `parts` slices;
     each slice is a window of its own, and gets as sentinel a copy of the first row of the slice that follows,
@@ -77,8 +80,8 @@ def with_next(docs: DataFrame, key: str, values: list[str], parts: int) -> DataF
     heads = rows.join(F.broadcast(tops), rows[key].eqNullSafe(tops["top"]) & (rows["_slot"] == tops["of"])).select(
         *[rows[c] for c in docs.columns], F.col("to").alias("_slot"), F.lit(1).alias("_sentinel")
     )
-    w = Window.partitionBy("_slot").orderBy("_sentinel", F.desc_nulls_last(key), *values)
-    out = rows.unionByName(heads).select("*", *[F.lead(v).over(w).alias(f"next_{v}") for v in values])
+    w = Window.partitionBy("_slot").orderBy("_sentinel", F.desc_nulls_last(key), *ties)
+    out = derive(rows.unionByName(heads)).select("*", *[F.lead(v).over(w).alias(f"next_{v}") for v in values])
     return out.where("_sentinel = 0").drop("_slot", "_sentinel")
 
 
@@ -93,8 +96,8 @@ def fingerprint_documents(docs: DataFrame, width: int = 5, scale: int = 4, id_co
     spark = docs.sparkSession
     parts = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    base = with_sketch(base, "text", "sketch", width, scale)
-    d = with_next(base, "id", ["text", "sketch"], min(parts, 4096)).withColumn("n_chars", F.length("text").cast("long"))
+    d = with_next(base, "id", ["text", "sketch"], min(parts, 4096), ["text"], lambda rows: with_sketch(rows, "text", "sketch", width, scale))
+    d = d.withColumn("n_chars", F.length("text").cast("long"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     d = d.withColumn("edited", F.concat(F.substr("text", F.lit(1), F.col("n_chars").cast("int") - half), F.substr("next_text", F.lit(1), half)))
     d = d.select("id", "n_chars", "sketch", "next_sketch", "edited", F.sha2("edited", 256).alias("edited_sha256"))
