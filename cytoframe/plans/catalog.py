@@ -1,4 +1,578 @@
-"""Registered queries and their SQL."""
+"""The registered queries over the reshaped driver tables, each with its SQL."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from ..functions import names
+from ..operators import fastq, methylation as me, motif, reads, sites, variants
+from .views import cte, frame
+
+CELLS = tuple(f"cell{i}" for i in range(20))
+SAMPLES = ", ".join(f"('{c}')" for c in CELLS)
+SHEET = (("s1", "ACGT"), ("s2", "GGAT"), ("s3", "TTTT"), ("s4", "CAGT"), ("s5", "ATCG"))
+MIN_COVERAGE = 5000
 
 QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None, name: str | None = None):
+    def add(f):
+        QUERIES[name or f.__name__] = f
+        if sql:
+            ORACLE_SQL[name or f.__name__] = sql
+        return f
+
+    return add
+
+
+def samples(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(c,) for c in CELLS], "sample string")
+
+
+LAST = "s AS (SELECT chrom, pos, arg_max(mc, rec_no) AS mc, arg_max(cov, rec_no) AS cov FROM allc GROUP BY chrom, pos)"
+
+
+@query(f"{cte('allc')} SELECT CAST(sum(cov) AS BIGINT) AS total_cov, count(*) AS total_count, CAST(sum(mc) AS BIGINT) AS total_methylated FROM allc")
+def allc_totals(spark, sf):
+    return me.totals(frame(spark, sf, "allc"))
+
+
+@query(f"{cte('allc')}, {LAST} SELECT chrom, pos, mc, cov FROM s")
+def allc_dedupe_last(spark, sf):
+    return me.last_call(frame(spark, sf, "allc"))
+
+
+def _region_sql(low: str, head: str) -> str:
+    return f"""{cte('allc', 'regions')}, {LAST}, h AS (SELECT r.rid, sum(s.cov) AS c, sum(s.mc) AS m, count(s.pos) AS n FROM regions r JOIN s ON s.chrom = r.chrom AND s.pos >= {low} AND s.pos <= r.end_pos GROUP BY r.rid)
+SELECT {head}, r.chrom, r.start_pos AS start, r.end_pos AS "end", CAST(coalesce(c, 0) AS BIGINT) AS total_coverage, CAST(coalesce(m, 0) AS BIGINT) AS total_methylated,
+ CAST(m AS DOUBLE) / nullif(CAST(c AS DOUBLE), 0) * 100 AS methylation_percentage, CAST(coalesce(n, 0) AS BIGINT) AS sites_with_data FROM regions r LEFT JOIN h USING (rid)"""
+
+
+def _named(df: DataFrame, *first: Column | str) -> DataFrame:
+    return df.select(*first, "chrom", F.col("start_pos").alias("start"), F.col("end_pos").alias("end"), "total_coverage", "total_methylated", "methylation_percentage", "sites_with_data")
+
+
+@query(_region_sql("r.start_pos", "r.rid, r.end_pos - r.start_pos + 1 AS region_length"))
+def region_methylation_closed(spark, sf):
+    out = me.region_methylation(frame(spark, sf, "allc"), frame(spark, sf, "regions"), "closed")
+    return _named(out, "rid", (F.col("end_pos") - F.col("start_pos") + 1).alias("region_length"))
+
+
+_RID = "concat_ws('_', r.chrom, CAST(r.start_pos AS VARCHAR), CAST(r.end_pos AS VARCHAR)) AS region_id"
+
+
+def _region_id() -> Column:
+    return F.concat_ws("_", "chrom", F.col("start_pos").cast("string"), F.col("end_pos").cast("string")).alias("region_id")
+
+
+@query(_region_sql("r.start_pos + 1", _RID))
+def region_methylation_bed0(spark, sf):
+    return _named(me.region_methylation(frame(spark, sf, "allc"), frame(spark, sf, "regions"), "zero_based_half_open"), _region_id())
+
+
+@query(_region_sql("r.start_pos", _RID))
+def region_methylation_bed1(spark, sf):
+    return _named(me.region_methylation(frame(spark, sf, "allc"), frame(spark, sf, "regions"), "closed"), _region_id())
+
+
+def _cell_regions(spark, sf) -> DataFrame:
+    """Sums of every region row in every cell, with the region's strand side and bin."""
+    r = frame(spark, sf, "regions").withColumn("strand_side", F.when(F.col("strand") == "+", "top").otherwise("bottom"))
+    r = r.select("rid", "chrom", "start_pos", "end_pos", "strand_side", "bin")
+    spine = r.withColumn("sample", F.explode(F.array(*map(F.lit, CELLS))))
+    return me.region_sums(me.last_call(frame(spark, sf, "allc"), "sample"), r, "closed", keys=("sample",), spine=spine)
+
+
+_CELL = f"""s AS (SELECT sample, chrom, pos, arg_max(mc, rec_no) AS mc, arg_max(cov, rec_no) AS cov FROM allc GROUP BY sample, chrom, pos),
+h AS (SELECT s.sample, r.rid, sum(s.cov) AS c, sum(s.mc) AS m, count(*) AS n FROM regions r JOIN s ON s.chrom = r.chrom AND s.pos >= r.start_pos AND s.pos <= r.end_pos GROUP BY ALL),
+names(sample) AS (VALUES {SAMPLES}),
+cr AS (SELECT k.sample, r.rid, CASE WHEN r.strand = '+' THEN 'top' ELSE 'bottom' END AS strand_side, r.chrom, r.start_pos, r.end_pos, r.bin, r.gene_name,
+ CAST(coalesce(c, 0) AS BIGINT) AS total_coverage, CAST(coalesce(m, 0) AS BIGINT) AS total_methylated, CAST(coalesce(n, 0) AS BIGINT) AS sites_with_data
+ FROM regions r CROSS JOIN names k LEFT JOIN h ON h.rid = r.rid AND h.sample = k.sample)"""
+
+
+@query(f"{cte('allc', 'regions')}, {_CELL} SELECT sample, strand_side, concat(chrom, ':', CAST(start_pos AS VARCHAR), '-', CAST(end_pos AS VARCHAR)) AS region_id, bin, total_coverage, total_methylated, sites_with_data FROM cr")
+def binned_region_by_strand(spark, sf):
+    region_id = F.concat("chrom", F.lit(":"), F.col("start_pos").cast("string"), F.lit("-"), F.col("end_pos").cast("string"))
+    return _cell_regions(spark, sf).select("sample", "strand_side", region_id.alias("region_id"), "bin", "total_coverage", "total_methylated", "sites_with_data")
+
+
+FIRST, LAST_OFFSET = -1000, 1000
+
+
+def _tss_sql(source: str, keys: str = "", key_rows: str = "") -> str:
+    k = f"{keys}, " if keys else ""
+    on = f"USING ({k}o)"
+    return f"""{cte('allc', 'regions')}, {LAST}, t AS (SELECT *, CASE WHEN strand = '+' THEN 'top' ELSE 'bottom' END AS strand_side FROM regions),
+h AS (SELECT {k}x.pos - t.start_pos AS o, sum(x.cov) AS c, sum(x.mc) AS m, count(*) AS n FROM t JOIN {source} x ON x.chrom = t.chrom AND x.pos >= t.start_pos + {FIRST} AND x.pos <= t.start_pos + {LAST_OFFSET} GROUP BY ALL),
+spine AS (SELECT {k}CAST(unnest(range({FIRST}, {LAST_OFFSET} + 1)) AS BIGINT) AS o {key_rows})
+SELECT {k}o AS position_relative_to_tss, CAST(coalesce(c, 0) AS BIGINT) AS total_coverage, CAST(coalesce(m, 0) AS BIGINT) AS total_methylated,
+ CAST(m AS DOUBLE) / nullif(CAST(c AS DOUBLE), 0) * 100 AS methylation_percentage, coalesce(n, 0) AS sites_with_data FROM spine LEFT JOIN h {on}"""
+
+
+@query(_tss_sql("s"))
+def tss_profile_last(spark, sf):
+    return me.anchor_profile(frame(spark, sf, "allc"), frame(spark, sf, "regions"), FIRST, LAST_OFFSET, "last")
+
+
+@query(_tss_sql("allc"))
+def tss_profile_all(spark, sf):
+    return me.anchor_profile(frame(spark, sf, "allc"), frame(spark, sf, "regions"), FIRST, LAST_OFFSET, "all")
+
+
+@query(_tss_sql("allc", "strand_side", "FROM (VALUES ('top'), ('bottom')) v(strand_side)"))
+def tss_profile_by_strand(spark, sf):
+    tss = frame(spark, sf, "regions").withColumn("strand_side", F.when(F.col("strand") == "+", "top").otherwise("bottom"))
+    sides = spark.createDataFrame([("top",), ("bottom",)], "strand_side string")
+    return me.anchor_profile(frame(spark, sf, "allc"), tss, FIRST, LAST_OFFSET, "all", ("strand_side",), sides)
+
+
+_OVERALL = f"""{cte('allc', 'regions')}, names(sample) AS (VALUES {SAMPLES}),
+h AS (SELECT a.sample, sum(a.mc) AS m, sum(a.cov) AS c, count(*) AS n FROM allc a JOIN regions r ON a.chrom = r.chrom AND a.pos >= r.start_pos + 1 AND a.pos <= r.end_pos WHERE a.cov > 0 GROUP BY a.sample),
+o AS (SELECT sample, CAST(coalesce(m, 0) AS BIGINT) AS total_mc, CAST(coalesce(c, 0) AS BIGINT) AS total_cov, CAST(m AS DOUBLE) / nullif(CAST(c AS DOUBLE), 0) AS methylation_fraction, coalesce(n, 0) AS sites_with_data FROM names LEFT JOIN h USING (sample))"""
+
+
+@query(f"{_OVERALL} SELECT * FROM o")
+def overall_methylation(spark, sf):
+    return me.overall(frame(spark, sf, "allc"), frame(spark, sf, "regions"), samples(spark))
+
+
+@query(f"{_OVERALL} SELECT count(*) FILTER (WHERE sites_with_data > 0) AS files, CAST(sum(total_mc) AS BIGINT) AS total_mc, CAST(sum(total_cov) AS BIGINT) AS total_cov, CAST(sum(total_mc) AS DOUBLE) / nullif(CAST(sum(total_cov) AS DOUBLE), 0) AS fraction FROM o")
+def overall_methylation_total(spark, sf):
+    o = overall_methylation(spark, sf).agg(F.count_if(F.col("sites_with_data") > 0).alias("files"), F.sum("total_mc").alias("total_mc"), F.sum("total_cov").alias("total_cov"))
+    return o.withColumn("fraction", F.try_divide("total_mc", "total_cov"))
+
+
+_MERGED = """hit AS (SELECT a.chrom, coalesce(x.start_pos, y.start_pos) AS p, a.mc, a.cov FROM allc a LEFT JOIN cpg_bed x ON x.chrom = a.chrom AND x.start_pos = a.pos LEFT JOIN cpg_bed y ON y.chrom = a.chrom AND y.start_pos + 1 = a.pos),
+merged AS (SELECT chrom, p - 1 AS start, p + 1 AS "end", CAST(sum(mc) AS BIGINT) AS mc, CAST(sum(cov) AS BIGINT) AS cov FROM hit WHERE p IS NOT NULL GROUP BY chrom, p)"""
+
+
+@query(f"{cte('allc', 'cpg_bed')}, {_MERGED} SELECT * FROM merged")
+def cpg_merge(spark, sf):
+    return me.merge_cpgs(frame(spark, sf, "allc"), frame(spark, sf, "cpg_bed"))
+
+
+@query(f"""{cte('allc')} SELECT chrom, pos - 1 AS start, pos AS "end", strand, concat(context, '_', CAST(mc AS VARCHAR), '_', CAST(cov AS VARCHAR)) AS name FROM allc""")
+def allc_to_bed(spark, sf):
+    return sites.to_bed(frame(spark, sf, "allc"))
+
+
+def _unpack_sql(test: str) -> str:
+    return f"""{cte('packed')}, p AS (SELECT *, string_split(name, '_') AS q FROM packed) SELECT chrom, start_pos + 1 AS pos, strand, q[1] AS context, CAST(q[2] AS BIGINT) AS mc, CAST(q[3] AS BIGINT) AS cov, 1 AS flag FROM p WHERE len(q) {test}"""
+
+
+@query(_unpack_sql(">= 3"))
+def bed_to_allc_lenient(spark, sf):
+    return sites.from_bed(frame(spark, sf, "packed"), strict=False)
+
+
+@query(_unpack_sql("= 3"))
+def bed_to_allc_strict(spark, sf):
+    return sites.from_bed(frame(spark, sf, "packed"), strict=True)
+
+
+@query(f"{cte('beta')} SELECT chrom, end_pos - 1 AS pos, '+' AS strand, 'CG' AS context, mc, cov, 1 AS flag FROM beta WHERE mc IS NOT NULL")
+def beta_to_allc(spark, sf):
+    return sites.from_beta(frame(spark, sf, "beta"))
+
+
+@query(f"""{cte('allc', 'cpg_bed')}, k AS (SELECT * FROM allc a WHERE EXISTS (SELECT 1 FROM cpg_bed c WHERE c.chrom = a.chrom AND a.pos - 1 < c.end_pos AND a.pos > c.start_pos)),
+n AS (SELECT *, count(*) OVER (PARTITION BY chrom, pos) AS n FROM k) SELECT chrom, pos, strand, context, mc, cov, flag FROM n WHERE n = 1""")
+def overlap_semi_filter(spark, sf):
+    return sites.sites_in_cpgs(frame(spark, sf, "allc"), frame(spark, sf, "cpg_bed")).select("chrom", "pos", "strand", "context", "mc", "cov", "flag")
+
+
+_BED5 = """b AS (SELECT chrom, start + 1 AS start, "end" + 1 AS "end", mc, cov FROM merged UNION ALL SELECT chrom, start, "end", mc, cov FROM merged), d AS (SELECT * FROM cpg_bed UNION ALL SELECT * FROM cpg_bed WHERE start_pos % 2 = 0)"""
+
+
+def _bed5(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Merged CpGs in both coordinate systems (half of them are no CpG of the list), and the list with repeats."""
+    m, c = cpg_merge(spark, sf), frame(spark, sf, "cpg_bed")
+    shifted = m.select("chrom", (F.col("start") + 1).alias("start"), (F.col("end") + 1).alias("end"), "mc", "cov")
+    return shifted.unionByName(m), c.unionByName(c.where("start_pos % 2 = 0"))
+
+
+@query(f"""{cte('allc', 'cpg_bed')}, {_MERGED}, {_BED5} SELECT * FROM b WHERE EXISTS (SELECT 1 FROM d WHERE d.chrom = b.chrom AND d.start_pos = b.start AND d.end_pos = b."end")""")
+def exact_semi_filter(spark, sf):
+    return sites.exact_semi(*_bed5(spark, sf))
+
+
+@query(f"""{cte('allc', 'cpg_bed')}, {_MERGED}, {_BED5} SELECT b.* FROM b JOIN d ON d.chrom = b.chrom AND d.start_pos = b.start AND d.end_pos = b."end" """)
+def exact_inner_filter(spark, sf):
+    return sites.exact_inner(*_bed5(spark, sf))
+
+
+@query(f"""{cte('allc', 'cpg_bed')}, {_MERGED}, {_BED5}, r AS (SELECT chrom, start, "end", CASE WHEN mc % 5 = 0 THEN NULL ELSE mc END AS mc, cov FROM b), k AS (SELECT * FROM r WHERE mc IS NOT NULL),
+n AS (SELECT (SELECT count(*) FROM r) AS input, (SELECT count(*) FROM k) AS before, (SELECT count(*) FROM k JOIN d ON d.chrom = k.chrom AND d.start_pos = k.start AND d.end_pos = k."end") AS after)
+SELECT input, input - before AS nan_removed, before, after, before - after AS filtered_out, CAST(after AS DOUBLE) / before * 100 AS retention_pct FROM n""")
+def filter_metrics(spark, sf):
+    rows, listed = _bed5(spark, sf)
+    return sites.filter_metrics(rows.withColumn("mc", F.when(F.col("mc") % 5 != 0, F.col("mc"))), listed)
+
+
+@query(f"{cte('allc', 'cells')} SELECT grp, chrom, pos, strand, context, CAST(sum(mc) AS BIGINT) AS mc, CAST(sum(cov) AS BIGINT) AS cov FROM allc JOIN cells ON barcode = sample GROUP BY ALL")
+def merge_allc_by_group(spark, sf):
+    return me.merge_by_group(frame(spark, sf, "allc"), frame(spark, sf, "cells"))
+
+
+@query(f"""{cte('allc')} SELECT chrom, (pos - 1) // 100 * 100 AS bin_start, CAST(sum(mc) AS BIGINT) AS mc, CAST(sum(cov) AS BIGINT) AS cov, CAST(sum(mc) AS DOUBLE) / nullif(CAST(sum(cov) AS DOUBLE), 0) AS fraction
+FROM allc WHERE regexp_full_match(context, '[ACGTN]CG[ACGTN]') GROUP BY chrom, bin_start""")
+def bin100_methylation(spark, sf):
+    return me.binned(frame(spark, sf, "allc"))
+
+
+def _cells(spark, sf, keys: tuple[str, ...] = ()) -> DataFrame:
+    seg = F.element_at(F.array(F.lit("up"), F.lit("body"), F.lit("down")), (F.col("rid") % 3 + 1).cast("int"))
+    rows = _cell_regions(spark, sf)
+    r = frame(spark, sf, "regions").withColumn("strand_side", F.when(F.col("strand") == "+", "top").otherwise("bottom"))
+    if keys:
+        rows, r = rows.withColumn("segment", seg), r.withColumn("segment", seg)
+    expressed = transcription_unpivot(spark, sf)
+    return me.cell_bins(rows, r, expressed, keys)
+
+
+_BINS = f"""{cte('allc', 'regions', 'cells', 'transcription')}, {_CELL},
+rows AS (SELECT *, ['up', 'body', 'down'][rid % 3 + 1] AS segment FROM cr),
+genes AS (SELECT *, CASE WHEN strand = '+' THEN 'top' ELSE 'bottom' END AS strand_side, ['up', 'body', 'down'][rid % 3 + 1] AS segment FROM regions)"""
+
+
+def _bins(keys: str) -> str:
+    k = "".join(f"r.{x}, " for x in keys.split())
+    on = "".join(f" AND g.{x} = r.{x}" for x in keys.split())
+    # the join multiplies result rows by gene rows; both sides are counted first to keep it small
+    return f"""{_BINS}, r AS (SELECT sample, strand_side, {keys + ',' if keys else ''} bin, sum(total_coverage) AS c, sum(total_methylated) AS m FROM rows GROUP BY ALL),
+g AS (SELECT t.barcode, strand_side, {keys + ',' if keys else ''} bin, count(*) AS g FROM genes JOIN transcription t ON t.gene_name = genes.gene_name AND t.status = 'transcribed' GROUP BY ALL),
+cb AS (SELECT r.sample, {k} r.bin, CAST(sum(r.c * g.g) AS BIGINT) AS total_coverage, CAST(sum(r.m * g.g) AS BIGINT) AS total_methylated FROM r JOIN g ON g.barcode = r.sample AND g.strand_side = r.strand_side AND g.bin = r.bin{on} GROUP BY ALL)"""
+
+
+def _profile(keys: str, group: str, source: str) -> str:
+    k = f"{keys}, " if keys else ""
+    return f"""p AS (SELECT {group} AS "group", {k}bin, CAST(sum(total_coverage) AS BIGINT) AS total_coverage, CAST(sum(total_methylated) AS BIGINT) AS total_methylated,
+ CASE WHEN sum(total_coverage) >= {MIN_COVERAGE} THEN CAST(sum(total_methylated) AS DOUBLE) / nullif(CAST(sum(total_coverage) AS DOUBLE), 0) * 100 END AS methylation_percentage FROM {source} GROUP BY ALL)"""
+
+
+@query(f"{_bins('')} SELECT * FROM cb")
+def cell_bin_sums(spark, sf):
+    return _cells(spark, sf)
+
+
+@query(f"{_bins('')}, {_profile('', 'grp', 'cb JOIN cells ON barcode = sample')} SELECT * FROM p")
+def group_bin_profile(spark, sf):
+    return me.group_profile(_cells(spark, sf), frame(spark, sf, "cells"), MIN_COVERAGE)
+
+
+@query(f"{_bins('')}, {_profile('', 'sample', 'cb')} SELECT * FROM p")
+def cell_bin_profile(spark, sf):
+    return me.group_profile(_cells(spark, sf), None, MIN_COVERAGE)
+
+
+SEGMENTS = [("up", 20), ("body", 20), ("down", 20)]
+
+
+@query(f"""{_bins('segment')}, {_profile('segment', 'grp', 'cb JOIN cells ON barcode = sample')}
+SELECT "group", segment, bin + CASE segment WHEN 'up' THEN 0 WHEN 'body' THEN 20 ELSE 40 END AS bin, total_coverage, total_methylated, methylation_percentage FROM p""")
+def combined_regions_profile(spark, sf):
+    profile = me.group_profile(_cells(spark, sf, ("segment",)), frame(spark, sf, "cells"), MIN_COVERAGE, ("segment",))
+    return me.combine_segments(profile, SEGMENTS)
+
+
+@query(f"{cte('transcription')} SELECT gene_name, barcode FROM transcription WHERE status = 'transcribed'")
+def transcription_unpivot(spark, sf):
+    wide = frame(spark, sf, "transcription").groupBy("gene_name").pivot("barcode", list(CELLS)).agg(F.first("status"))
+    return wide.unpivot("gene_name", list(CELLS), "barcode", "status").where("status = 'transcribed'").select("gene_name", "barcode")
+
+
+_MOTIF = f"""{cte('fasta')}, f AS (SELECT chrom, upper(seq) AS seq FROM fasta),
+cg AS (SELECT chrom, unnest(list_filter(range(0, length(seq)), lambda i: substr(seq, CAST(i + 1 AS BIGINT), 2) = 'CG')) AS p FROM f),
+gap AS (SELECT chrom, p, lag(p) OVER w AS a, lead(p) OVER w AS b FROM cg WINDOW w AS (PARTITION BY chrom ORDER BY p)),
+pieces AS (SELECT chrom, string_split_regex(seq, '[AT]CG[AT]') AS q FROM f),
+piece AS (SELECT chrom, unnest(q) AS s, generate_subscripts(q, 1) AS k, len(q) AS n FROM pieces),
+hits AS (SELECT chrom, CAST(sum(length(s)) OVER (PARTITION BY chrom ORDER BY k) AS BIGINT) + (k - 1) * 4 + 1 AS start, k, n FROM piece),
+w AS (SELECT h.chrom, h.start, (a IS NULL OR h.start - a > 35) AND (b IS NULL OR b - h.start > 35) AS solo FROM hits h JOIN gap g ON g.chrom = h.chrom AND g.p = h.start WHERE k < n)"""
+
+
+@query(f"""{_MOTIF} SELECT chrom, start, start + 2 AS "end" FROM w""")
+def motif_positions(spark, sf):
+    return motif.cpgs(frame(spark, sf, "fasta")).drop("solo")
+
+
+@query(f"""{_MOTIF} SELECT chrom, start, start + 2 AS "end" FROM w WHERE solo""")
+def motif_solo(spark, sf):
+    return motif.cpgs(frame(spark, sf, "fasta")).where("solo").drop("solo")
+
+
+@query(f"{_MOTIF} SELECT coalesce(chrom, 'total') AS chrom, count(*) AS wcgw, count(*) FILTER (WHERE solo) AS solo, CAST(count(*) FILTER (WHERE solo) AS DOUBLE) / count(*) * 100 AS pct FROM w GROUP BY ROLLUP (chrom)")
+def motif_stats(spark, sf):
+    return motif.statistics(frame(spark, sf, "fasta"))
+
+
+@query(f"""{cte('reads')}, m AS (SELECT *, (row_number() OVER (PARTITION BY qname ORDER BY rec_no) - 1) % 2 + 1 AS read FROM reads WHERE flag & 4 = 0)
+SELECT flag & 64 <> 0 AS is_read1, flag, coalesce(xr, 'NA') AS xr, coalesce(xg, 'NA') AS xg, CAST(read AS INTEGER) AS read, count(*) AS "count" FROM m GROUP BY ALL""")
+def flag_combinations(spark, sf):
+    return reads.flag_combinations(frame(spark, sf, "reads"))
+
+
+def _pairs_sql(where: str = "flag & 1 <> 0 AND flag & 4 = 0 AND flag & 8 = 0") -> str:
+    return f"""{cte('reads')}, m AS (SELECT *, row_number() OVER (PARTITION BY qname ORDER BY rec_no) - 1 AS n FROM reads WHERE {where}),
+fs AS (SELECT a.qname, a.n // 2 AS pair_no, a.flag AS f1, a.ref_id AS c1, a.start_pos AS s1, a.end_pos AS e1, b.flag AS f2, b.ref_id AS c2, b.start_pos AS s2, b.end_pos AS e2 FROM m a JOIN m b ON b.qname = a.qname AND b.n = a.n + 1 WHERE a.n % 2 = 0),
+p AS (SELECT qname, pair_no, CASE WHEN f2 & 64 <> 0 THEN f2 ELSE f1 END AS f1, CASE WHEN f2 & 64 <> 0 THEN c2 ELSE c1 END AS c1, CASE WHEN f2 & 64 <> 0 THEN s2 ELSE s1 END AS s1, CASE WHEN f2 & 64 <> 0 THEN e2 ELSE e1 END AS e1,
+ CASE WHEN f2 & 64 <> 0 THEN f1 ELSE f2 END AS f2, CASE WHEN f2 & 64 <> 0 THEN c1 ELSE c2 END AS c2, CASE WHEN f2 & 64 <> 0 THEN s1 ELSE s2 END AS s2, CASE WHEN f2 & 64 <> 0 THEN e1 ELSE e2 END AS e2 FROM fs)"""
+
+
+@query(f"{_pairs_sql()} SELECT qname, pair_no, f1 AS flag1, s1 AS start1, e1 AS end1, f2 AS flag2, s2 AS start2, e2 AS end2 FROM p")
+def read_pairs(spark, sf):
+    p = reads.ordered_pairs(frame(spark, sf, "reads"))
+    return p.select("qname", "pair_no", *[F.col(f"r{k}.{c}").alias(f"{a}{k}") for k in (1, 2) for c, a in (("flag", "flag"), ("start_pos", "start"), ("end_pos", "end"))])
+
+
+_DOVE = "c1 = c2 AND CASE WHEN f1 & 16 = 0 AND f2 & 16 <> 0 THEN e2 < e1 OR s2 < s1 WHEN f1 & 16 <> 0 AND f2 & 16 = 0 THEN e1 < e2 OR s1 < s2 ELSE FALSE END"
+
+
+@query(f"{_pairs_sql()} SELECT qname, pair_no, s1 AS start1, e1 AS end1, s2 AS start2, e2 AS end2 FROM p WHERE {_DOVE}")
+def dovetail_pairs(spark, sf):
+    p = reads.ordered_pairs(frame(spark, sf, "reads")).where(reads.dovetail())
+    return p.select("qname", "pair_no", *[F.col(f"r{k}.{c}_pos").alias(f"{c}{k}") for k in (1, 2) for c in ("start", "end")])
+
+
+@query(f"""{_pairs_sql()}, o AS (SELECT *, greatest(s1, s2) AS a, least(e1, e2) AS b FROM p WHERE {_DOVE})
+SELECT qname, pair_no, e1 - s1 - greatest(least(e1, b) - greatest(s1, a), 0) AS masked1, e2 - s2 - greatest(least(e2, b) - greatest(s2, a), 0) AS masked2 FROM o""")
+def dovetail_masked_len(spark, sf):
+    p = reads.ordered_pairs(frame(spark, sf, "reads")).where(reads.dovetail())
+    p = p.withColumn("a", F.greatest("r1.start_pos", "r2.start_pos")).withColumn("b", F.least("r1.end_pos", "r2.end_pos"))
+
+    def masked(r: str) -> Column:
+        at = F.sequence(F.col(f"{r}.start_pos"), F.col(f"{r}.end_pos") - 1)
+        return F.size(F.filter(reads.mask_outside(F.transform(at, lambda x: F.lit(30)), at, F.col("a"), F.col("b")), lambda q: q == 0)).cast("long")
+
+    return p.select("qname", "pair_no", masked("r1").alias("masked1"), masked("r2").alias("masked2"))
+
+
+_FRAG = f"""{_pairs_sql()}, q AS (SELECT c1 AS chrom, CASE WHEN f1 & 16 = 0 THEN s1 ELSE s2 END AS start, CASE WHEN f1 & 16 = 0 THEN e2 ELSE e1 END AS "end", CASE WHEN f1 & 16 = 0 THEN '+' ELSE '-' END AS strand
+ FROM p WHERE c1 = c2 AND (f1 & 16 = 0) <> (f2 & 16 = 0)), fr AS (SELECT *, "end" - start AS size FROM q WHERE start < "end")"""
+
+
+@query(f"{_FRAG} SELECT * FROM fr")
+def fragments(spark, sf):
+    return reads.fragments(frame(spark, sf, "reads"))
+
+
+@query(f"""{_FRAG} SELECT CAST(r.size AS BIGINT) AS size, count(fr.size) AS "count" FROM (SELECT unnest(range(1, 501)) AS size) r LEFT JOIN fr USING (size) GROUP BY r.size""")
+def fragment_histogram(spark, sf):
+    return reads.size_histogram(reads.fragments(frame(spark, sf, "reads")))
+
+
+@query(f"""{_pairs_sql()}, z AS (SELECT greatest(e1, e2) - least(s1, s2) AS n FROM p WHERE c1 = c2), k AS (SELECT CASE WHEN n <= 50 THEN 'small' WHEN n <= 100 THEN 'medium' WHEN n <= 150 THEN 'long' ELSE 'xlarge' END AS size_class, count(*) AS pairs FROM z GROUP BY ALL)
+SELECT size_class, pairs, CAST(pairs AS DOUBLE) / CAST(sum(pairs) OVER () AS DOUBLE) * 100 AS pct FROM k""")
+def fragment_size_classes(spark, sf):
+    return reads.size_classes(frame(spark, sf, "reads"))
+
+
+@query(f"""{_pairs_sql('flag & 4 = 0')}, k AS (SELECT CASE f1 WHEN 99 THEN 'OT' WHEN 83 THEN 'OB' WHEN 147 THEN 'CTOT' WHEN 163 THEN 'CTOB' END AS strand_group FROM fs) SELECT strand_group, count(*) AS pairs FROM k WHERE strand_group IS NOT NULL GROUP BY ALL""")
+def directional_split_counts(spark, sf):
+    return reads.directional(frame(spark, sf, "reads")).groupBy("strand_group").agg(F.count("*").alias("pairs"))
+
+
+@query(f"""{cte('reads')}, k AS (SELECT qname, flag, start_pos, end_pos - start_pos AS n, flag & 64 <> 0 AS a, flag & 128 <> 0 AS b FROM reads)
+SELECT qname, flag, start_pos, CAST(CASE WHEN flag & 4 <> 0 THEN 0 WHEN a THEN least(n, 8) WHEN b THEN least(n, 13) ELSE 0 END AS BIGINT) AS masked_count FROM k""")
+def quality_mask_head_tail(spark, sf):
+    r = frame(spark, sf, "reads").withColumn("quals", F.array_repeat(F.lit(30), (F.col("end_pos") - F.col("start_pos")).cast("int")))
+    r = r.withColumn("masked", reads.mask_ends(F.col("quals"), F.col("flag"), (5, 10), (3, 3)))
+    return r.select("qname", "flag", "start_pos", F.size(F.filter("masked", lambda q: q == 0)).cast("long").alias("masked_count"))
+
+
+@query(f"{cte('fastq')} SELECT split_part(header, ':', -1) AS barcode, count(*) AS reads FROM fastq GROUP BY ALL")
+def fastq_barcode_counts(spark, sf):
+    return fastq.barcode_counts(frame(spark, sf, "fastq"))
+
+
+_ID = "regexp_replace(regexp_split_to_array(substr(header, 2), '\\s+')[1], '/[12]$', '')"
+
+
+@query(f"{cte('fastq')} SELECT max(rec_no) OVER (PARTITION BY {_ID}) AS rank, {_ID} AS read_id, seq FROM fastq")
+def fastq_sync_rank(spark, sf):
+    f = frame(spark, sf, "fastq")
+    return fastq.reorder(f, f).select("rank", "read_id", "seq")
+
+
+_R2 = "r2 AS (SELECT rec_no, CASE WHEN rec_no % 17 = 0 THEN replace(header, 'INST', 'OTHER') ELSE header END AS header FROM fastq WHERE rec_no % 101 <> 5)"
+
+
+def _mate(spark, sf) -> DataFrame:
+    f = frame(spark, sf, "fastq").where("rec_no % 101 <> 5")
+    return f.withColumn("header", F.when(F.col("rec_no") % 17 == 0, F.replace("header", F.lit("INST"), F.lit("OTHER"))).otherwise(F.col("header")))
+
+
+_MIS = f"{cte('fastq')}, {_R2}, z AS (SELECT 4 * a.rec_no + 1 AS line_num, split_part(a.header, ' ', 1) AS r1_name, split_part(b.header, ' ', 1) AS r2_name FROM fastq a JOIN r2 b USING (rec_no)) SELECT * FROM z WHERE r1_name <> r2_name"
+
+
+@query(_MIS)
+def fastq_mismatches(spark, sf):
+    return fastq.mismatches(frame(spark, sf, "fastq"), _mate(spark, sf))
+
+
+@query(f"{_MIS} ORDER BY line_num LIMIT 10")
+def fastq_mismatches_top10(spark, sf):
+    return fastq_mismatches(spark, sf).orderBy("line_num").limit(10)
+
+
+@query(f"{cte('fastq')} SELECT rec_no, header, seq, qual FROM fastq ORDER BY split_part(header, ' ', 1), header")
+def fastq_sort_by_header(spark, sf):
+    return fastq.sort_by_header(frame(spark, sf, "fastq")).select("rec_no", "header", "seq", "qual")
+
+
+_TYPES = (("I1", "rec_no % 7 <> 0"), ("I2", "rec_no % 5 <> 0"), ("R1", "rec_no % 3 <> 0"), ("R2", "rec_no >= 0"))
+
+
+@query(f"""{cte('fastq')}, t AS ({' UNION ALL '.join(f"SELECT '{t}' AS file_type, rec_no, split_part(header, ' ', 1) AS read_name FROM fastq WHERE {w}" for t, w in _TYPES)}),
+n AS (SELECT read_name, count(DISTINCT file_type) = 4 AS matched, min(rec_no) FILTER (WHERE file_type = 'I1') AS f FROM t GROUP BY ALL)
+SELECT DISTINCT file_type, matched, CASE WHEN matched THEN f END AS ord, read_name FROM t JOIN n USING (read_name)""")
+def fastq_four_way_match(spark, sf):
+    f = frame(spark, sf, "fastq").select("rec_no", "header")
+    parts = [f.where(w).select(F.lit(t).alias("file_type"), "rec_no", "header") for t, w in _TYPES]
+    records = parts[0]
+    for p in parts[1:]:
+        records = records.unionByName(p)
+    return fastq.four_way(records)
+
+
+_LINES = """lines AS (SELECT concat('f', CAST(rec_no % 6 AS STRING), '.fastq') AS file, rec_no * 4 + {k} AS line_no, {v} AS value FROM fastq)"""
+
+
+def _lines(spark, sf) -> DataFrame:
+    """Records dealt to six files as lines; some headers and separators are broken, the last file loses a line."""
+    f = frame(spark, sf, "fastq").where("rec_no < 6000").withColumn("file", F.concat(F.lit("f"), (F.col("rec_no") % 6).cast("string")))
+    bad = (F.col("rec_no") % 6 == 1) & (F.col("rec_no") % 50 == 7)
+    header = F.when(bad, F.substr("header", F.lit(2))).otherwise(F.col("header"))
+    plus = F.when((F.col("rec_no") % 6 == 2) & (F.col("rec_no") % 40 == 8), "x").otherwise(F.col("plus"))
+    n = F.floor(F.col("rec_no") / 6)
+    four = F.posexplode(F.array(header, "seq", plus, "qual")).alias("k", "value")
+    out = f.select("file", n.alias("n"), four).select("file", (F.col("n") * 4 + F.col("k")).alias("line_no"), "value")
+    return out.where("NOT (file = 'f5' AND line_no = 3)")
+
+
+_CHECK = f"""{cte('fastq')}, k(k) AS (VALUES (0), (1), (2), (3)),
+l AS (SELECT concat('f', CAST(rec_no % 6 AS VARCHAR)) AS file, rec_no // 6 * 4 + k AS line_no,
+ CASE k WHEN 0 THEN CASE WHEN rec_no % 6 = 1 AND rec_no % 50 = 7 THEN substr(header, 2) ELSE header END WHEN 1 THEN seq WHEN 2 THEN CASE WHEN rec_no % 6 = 2 AND rec_no % 40 = 8 THEN 'x' ELSE plus END ELSE qual END AS value
+ FROM fastq, k WHERE rec_no < 6000),
+b AS (SELECT file, line_no, CASE WHEN line_no % 4 = 0 AND NOT starts_with(value, '@') THEN 'bad header' WHEN line_no % 4 = 2 AND NOT starts_with(value, '+') THEN 'bad separator' END AS bad FROM l WHERE NOT (file = 'f5' AND line_no = 3)),
+c AS (SELECT file, coalesce(arg_min(bad, line_no) FILTER (WHERE bad IS NOT NULL), CASE WHEN count(*) % 4 <> 0 THEN 'truncated' ELSE 'ok' END) AS status, count(*) AS n FROM b GROUP BY file),
+checked AS (SELECT file, status, CASE WHEN status = 'ok' THEN n // 4 ELSE 0 END AS reads FROM c)"""
+
+
+@query(f"{_CHECK} SELECT * FROM checked")
+def fastq_check(spark, sf):
+    return fastq.check(_lines(spark, sf))
+
+
+@query(f"{_CHECK} SELECT count(*) FILTER (WHERE status = 'ok') AS passed, count(*) FILTER (WHERE status <> 'ok') AS failed, CAST(sum(reads) AS BIGINT) AS total_reads, CAST(sum(reads) AS BIGINT) // count(*) FILTER (WHERE status = 'ok') AS average_reads FROM checked")
+def fastq_check_summary(spark, sf):
+    return fastq.check_summary(fastq.check(_lines(spark, sf)))
+
+
+_FILES = f"""{cte('files')}, c AS (SELECT dir, name, regexp_replace(regexp_replace(regexp_replace(regexp_replace(name, '_S\\d+', '', 'g'), '_L\\d+', '', 'g'), '_R[12].*', '', 'g'), '_I[12].*', '', 'g') AS sample,
+ CASE WHEN contains(name, '_R1') THEN 'R1' WHEN contains(name, '_R2') THEN 'R2' WHEN contains(name, '_I1') THEN 'I1' WHEN contains(name, '_I2') THEN 'I2' END AS read_type FROM files)"""
+
+
+@query(f"{_FILES} SELECT * FROM c")
+def file_catalog_samples(spark, sf):
+    return fastq.catalogue(frame(spark, sf, "files"))
+
+
+@query(f"""{_FILES}, n AS (SELECT sample, count(*) FILTER (WHERE read_type = 'R1') AS r1, count(*) FILTER (WHERE read_type = 'R2') AS r2, count(*) FILTER (WHERE read_type = 'I1') AS i1, count(*) FILTER (WHERE read_type = 'I2') AS i2 FROM c GROUP BY sample)
+SELECT *, r1 <> r2 OR i1 <> i2 AS uneven FROM n""")
+def file_pairing(spark, sf):
+    return fastq.pairing(frame(spark, sf, "files"))
+
+
+@query(f"{_FILES} SELECT sample, read_type, CAST(row_number() OVER (PARTITION BY sample, read_type ORDER BY dir, name) AS INTEGER) AS part, dir, name FROM c")
+def file_concatenation(spark, sf):
+    return fastq.concatenation(frame(spark, sf, "files"))
+
+
+@query(f"{cte('files')}, p AS (SELECT DISTINCT split_part(name, '-', 1) AS prefix FROM files) SELECT prefix, concat('S', lpad(CAST(row_number() OVER (ORDER BY prefix) AS VARCHAR), 2, '0')) AS sample_number FROM p")
+def sample_numbers(spark, sf):
+    return fastq.sample_numbers(frame(spark, sf, "files"))
+
+
+@query(f"{cte('files')} SELECT dir, name, (row_number() OVER (ORDER BY dir, name) - 1) // 10 AS batch FROM files")
+def file_batches(spark, sf):
+    return fastq.batches(frame(spark, sf, "files"))
+
+
+@query(f"""{cte('files')}, l AS (SELECT dir, count(DISTINCT regexp_extract(name, '_L(\\d+)_', 1)) AS lanes FROM files GROUP BY dir),
+r AS (SELECT dir, name AS old, regexp_replace(name, '_S\\d+_L\\d+_', '_') AS new, lanes FROM files JOIN l USING (dir)),
+k AS (SELECT *, count(*) OVER (PARTITION BY dir, new) AS k FROM r WHERE old <> new)
+SELECT dir, old, new, CASE WHEN lanes > 1 THEN 'abort' WHEN k > 1 THEN 'skip' ELSE 'rename' END AS action FROM k""")
+def rename_plan(spark, sf):
+    return fastq.rename_plan(frame(spark, sf, "files"))
+
+
+_SHEET = ", ".join(f"('{s}', '{i}')" for s, i in SHEET)
+
+
+@query(f"""{cte('fastq')}, sheet(sample, idx) AS (VALUES {_SHEET}), b AS (SELECT rec_no, split_part(split_part(header, ':', -1), '+', 1) AS b FROM fastq),
+d AS (SELECT b.b, min(sample) AS sample, count(*) AS n FROM (SELECT DISTINCT b FROM b) b JOIN sheet ON length(b.b) = length(idx) AND hamming(b.b, idx) <= 1 GROUP BY b.b)
+SELECT coalesce(CASE WHEN n = 1 THEN sample END, 'undetermined') AS sample, count(*) AS reads FROM b LEFT JOIN d USING (b) GROUP BY 1""")
+def demux_hamming(spark, sf):
+    sheet = spark.createDataFrame(SHEET, "sample string, index string")
+    return fastq.demultiplex(frame(spark, sf, "fastq"), sheet).groupBy(F.coalesce("sample", F.lit("undetermined")).alias("sample")).agg(F.count("*").alias("reads"))
+
+
+_CT = "((ref = 'C' AND alt = 'T') OR (ref = 'G' AND alt = 'A'))"
+
+
+@query(f"""{cte('variants')} SELECT chrom, pos - 1 AS start, pos - 1 + length(ref) AS "end", id FROM variants WHERE {_CT}""")
+def vcf_ct_ga_bed(spark, sf):
+    return variants.to_bed(variants.bisulfite_prone(frame(spark, sf, "variants")))
+
+
+@query(f"{cte('variants', 'cpg_bed')} SELECT * FROM variants v WHERE EXISTS (SELECT 1 FROM cpg_bed c WHERE c.chrom = v.chrom AND v.pos - 1 < c.end_pos AND v.pos > c.start_pos)")
+def vcf_in_cpg(spark, sf):
+    return variants.in_regions(frame(spark, sf, "variants"), frame(spark, sf, "cpg_bed"))
+
+
+@query(f"{cte('variants')} SELECT chrom, pos, id FROM variants ORDER BY CAST(substr(chrom, 4) AS INT), pos, id")
+def vcf_natural_sort(spark, sf):
+    return variants.natural_sort(frame(spark, sf, "variants")).select("chrom", "pos", "id")
+
+
+@query(f"""{cte('variants')}, c AS (SELECT 'even' AS sample, chrom, pos, ref, alt FROM variants WHERE pos % 2 = 0 UNION ALL SELECT 'third', chrom, pos, ref, CASE WHEN pos % 5 = 0 THEN 'G' ELSE alt END FROM variants WHERE pos % 3 = 0)
+SELECT chrom, pos, ref, string_agg(DISTINCT alt, ',' ORDER BY alt) AS alt, string_agg(DISTINCT sample, ',' ORDER BY sample) AS samples FROM c GROUP BY chrom, pos, ref""")
+def vcf_merge_samples(spark, sf):
+    v = frame(spark, sf, "variants")
+    third = v.where("pos % 3 = 0").withColumn("alt", F.when(F.col("pos") % 5 == 0, "G").otherwise(F.col("alt")))
+    return variants.merge_samples(v.where("pos % 2 = 0").withColumn("sample", F.lit("even")).unionByName(third.withColumn("sample", F.lit("third"))))
+
+
+_BLOCKS = "SELECT chrom, start_pos AS block_start, start_pos + 3 AS block_end, concat('new', chrom) AS target_chrom, start_pos + 1000 AS target_start, CASE WHEN start_pos % 2 = 0 THEN '+' ELSE '-' END AS target_strand, CAST(100000000 AS BIGINT) AS target_size FROM {src}"
+
+
+@query(f"""{cte('variants', 'cpg_bed')}, blocks AS ({_BLOCKS.format(src='cpg_bed')}), v AS (SELECT chrom, pos - 1 AS start_pos, pos AS end_pos, id FROM variants)
+SELECT v.chrom, v.start_pos, v.end_pos, v.id, target_chrom, CASE WHEN target_strand = '+' THEN v.start_pos + target_start - block_start ELSE target_size - (v.end_pos + target_start - block_start) END AS target_from,
+ CASE WHEN target_strand = '+' THEN v.end_pos + target_start - block_start ELSE target_size - (v.start_pos + target_start - block_start) END AS target_to
+FROM v LEFT JOIN blocks b ON b.chrom = v.chrom AND v.start_pos >= block_start AND v.end_pos <= block_end""")
+def vcf_lift_over(spark, sf):
+    c = frame(spark, sf, "cpg_bed")
+    blocks = spark.sql(_BLOCKS.format(src="{c}"), c=c)
+    v = frame(spark, sf, "variants").select("chrom", (F.col("pos") - 1).alias("start_pos"), F.col("pos").alias("end_pos"), "id")
+    return variants.lift_over(v, blocks)
+
+
+def select_columns(df: DataFrame, *wanted: str) -> DataFrame:
+    """One or two columns by header name; a missing name is an error."""
+    missing = [c for c in wanted if c not in df.columns]
+    if missing:
+        raise ValueError(f"no column {', '.join(missing)}")
+    return df.select(*wanted)
+
+
+@query(f"{cte('regions')} SELECT gene_name, bin FROM regions")
+def select_columns_by_name(spark, sf):
+    return select_columns(frame(spark, sf, "regions"), "gene_name", "bin")
+
+
+@query(f"{cte('variants', 'regions')} SELECT * FROM variants v WHERE EXISTS (SELECT 1 FROM regions c WHERE c.chrom = v.chrom AND v.pos - 1 < c.end_pos AND v.pos > c.start_pos)")
+def vcf_in_regions(spark, sf):
+    return variants.in_regions(frame(spark, sf, "variants"), frame(spark, sf, "regions"))
