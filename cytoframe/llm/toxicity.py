@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,13 +53,12 @@ class BlockMaxIndex:
         self.ids = np.asarray(order)
         self.block, self.size = block, len(rows)
         self.blocks = -(-len(rows) // block) or 1
-        self.peak = np.zeros((len(idf), self.blocks))
-        postings: dict[tuple[int, int], list[tuple[int, float]]] = defaultdict(list)
+        # a posting run holds the weights of one term in one block, by place in the block
+        self.runs = np.zeros((len(idf), self.blocks, block), np.float32)
         for place, e in enumerate(order):
             for t, w in vectors[e].items():
-                postings[t, place // block].append((place % block, w))
-                self.peak[t, place // block] = max(self.peak[t, place // block], w)
-        self.postings = {k: (np.array([p for p, _ in v]), np.array([w for _, w in v])) for k, v in postings.items()}
+                self.runs[t, place // block, place % block] = w
+        self.peak = self.runs.max(axis=2, initial=0).astype(float)
 
     def unit(self, counts: dict[int, int]) -> dict[int, float]:
         w = {t: (1 + math.log(n)) * self.idf[t] for t, n in counts.items()}
@@ -71,20 +70,21 @@ class BlockMaxIndex:
         q = self.unit(counts)
         if not q or not self.size:
             return np.empty(0), np.empty(0, int)
-        terms = np.fromiter(q, int)
-        bound = np.fromiter(q.values(), float) @ self.peak[terms]
+        terms, weights = np.fromiter(q, int), np.fromiter(q.values(), float)
+        bound = weights @ self.peak[terms]
         best_s, best_p = np.empty(0), np.empty(0, int)
         for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or (len(best_s) == k and bound[b] < best_s[-1] - 1e-12):
+            if bound[b] <= 0 or (len(best_s) == k and bound[b] < best_s[-1] - 1e-6):
                 break
-            score = np.zeros(self.block)
-            for t, w in q.items():
-                if (p := self.postings.get((t, b))) is not None:
-                    score[p[0]] += w * p[1]
+            score = weights @ self.runs[terms, b]
             at = np.flatnonzero(score > 0)
             place = at + b * self.block
             if skip >= 0:
                 at, place = at[self.ids[place] != skip], place[self.ids[place] != skip]
+            if len(best_s) == k:
+                at, place = at[score[at] >= best_s[-1]], place[score[at] >= best_s[-1]]
+                if not len(at):
+                    continue
             s, p = np.concatenate([best_s, score[at]]), np.concatenate([best_p, place])
             top = np.lexsort((p, -s))[:k]
             best_s, best_p = s[top], p[top]
@@ -154,8 +154,9 @@ def platt(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, floa
     return max(float(t[0]), 0.1), float(t[1])
 
 
-def select_terms(sample: DataFrame, n_terms: int, least_g2: float) -> list[str]:
-    """The terms whose presence tells most about the label, by the likelihood ratio over the sample."""
+def select_terms(sample: DataFrame, n_terms: int, least_g2: float, least_ratio: float) -> list[str]:
+    """The terms whose presence tells most about the label, by the likelihood ratio over the sample; of those
+    that are `least_ratio` times as common in one class as in the other (one occurrence added to each)."""
 
     def presence(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pos, neg = Counter(), Counter()
@@ -178,10 +179,11 @@ def select_terms(sample: DataFrame, n_terms: int, least_g2: float) -> list[str]:
     counts = sample.mapInPandas(presence, "term string, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     counts = counts.where("pos + neg >= 3").withColumn("all", F.col("pos") + F.col("neg"))
     g2 = counts.withColumn("g2", 2 * (part("pos", np_, "all") + part("neg", nn, "all")))
-    return [r["term"] for r in g2.where(F.col("g2") >= least_g2).orderBy(F.desc("g2"), "term").limit(n_terms).collect()]
+    ratio = (F.col("pos") + 1) / (np_ + 1) / ((F.col("neg") + 1) / (nn + 1))
+    return [r["term"] for r in g2.where((F.col("g2") >= least_g2) & (F.greatest(ratio, 1 / ratio) >= least_ratio)).orderBy(F.desc("g2"), "term").limit(n_terms).collect()]
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = 4000, n_terms: int = 1024, least_g2: float = 24.0, k: int = 15) -> ToxicityModel:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = 4000, n_terms: int = 1024, least_g2: float = 24.0, least_ratio: float = 3.0, k: int = 15) -> ToxicityModel:
     """Learn from a sample of at most `per_class` labelled training rows of each class (chosen by a hash of the id).
 
     Document frequencies are counted over all documents. At most `n_terms` terms, 2 * `per_class` sparse vectors
@@ -192,7 +194,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
     sample = scratch.write(labelled_sample(docs, labels, label, per_class).dropDuplicates(["text", "y"]), "sample")
     train = labels.where(~held_out(F.col("doc_id"))).groupBy(F.col(label).cast("int").alias("y")).agg(F.count("*").alias("n")).where("y in (0, 1)")
     stands = {r["y"]: r["n"] for r in train.collect()}
-    terms = select_terms(sample, n_terms, least_g2)
+    terms = select_terms(sample, n_terms, least_g2, least_ratio)
     lookup = {t: i for i, t in enumerate(terms)}
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
