@@ -59,3 +59,26 @@ def hamming(a: Column, b: Column) -> Column:
 def million_label(reads: Column) -> Column:
     """Read count in millions, three decimals."""
     return F.format_string("%.3f", reads / F.lit(1e6))
+
+
+def file_sample(name: Column) -> Column:
+    """The sample of a methylation file name."""
+    return F.regexp_replace(name, r"\.allc\.tsv(\.gz)?$", "")
+
+
+def file_barcode(name: Column, context: Column) -> Column:
+    """The cell of a methylation file name `cell.context.allc.tsv.gz`."""
+    return F.replace(file_sample(name), F.concat(F.lit("."), context), F.lit(""))
+
+
+def strip_number(name: Column, keep_number: bool = False) -> Column:
+    """A file name up to its sample number, or up to its lane."""
+    return F.regexp_replace(name, r"_L\d+.*$" if keep_number else r"_S\d+.*$", "")
+
+
+def first_context(name: Column, contexts: tuple[str, ...]) -> Column:
+    """Text before '-' of the first listed context that the name contains; null if none."""
+    out = F.when(F.lit(False), "")
+    for c in contexts:
+        out = out.when(F.contains(name, F.lit(c)), c.split("-")[0])
+    return out

@@ -132,3 +132,26 @@ def demultiplex(fastq: DataFrame, sheet: DataFrame, mismatches: int = 1) -> Data
 def sample_reads(fastq: DataFrame, n: int, seed: int = 100) -> DataFrame:
     """n records chosen by a seeded hash of their id, so that mates of one id are chosen together."""
     return fastq.withColumn("_id", names.read_id(F.col("header"))).orderBy(F.xxhash64("_id", F.lit(seed)), "_id").limit(n).drop("_id")
+
+
+def same_names(files: DataFrame, first: str, second: str) -> DataFrame:
+    """(name, in_second): the files of directory `first` and whether `second` has one of the same name."""
+    own = files.where(F.col("dir") == first).select("name")
+    other = files.where(F.col("dir") == second).select("name", F.lit(True).alias("_in"))
+    return own.join(other, "name", "left").select("name", F.coalesce("_in", F.lit(False)).alias("in_second"))
+
+
+def mate_files(files: DataFrame) -> DataFrame:
+    """(dir, i1, i2, r1, r2) for each I1 file whose R1 and R2 exist; i2 is null where there is none."""
+    own = files.where(F.contains("name", F.lit("_I1"))).select("dir", F.col("name").alias("i1"))
+    out = own
+    for kind, how in (("I2", "left"), ("R1", "inner"), ("R2", "inner")):
+        want = out.withColumn("_w", F.replace("i1", F.lit("_I1"), F.lit(f"_{kind}")))
+        have = files.select("dir", F.col("name").alias("_w"), F.col("name").alias(kind.lower()))
+        out = want.join(have, ["dir", "_w"], how).drop("_w")
+    return out.select("dir", "i1", "i2", "r1", "r2")
+
+
+def match_counts(matched: DataFrame) -> DataFrame:
+    """Names of each file in all four files, and others."""
+    return matched.groupBy("file_type").agg(F.count_if("matched").alias("matched_reads"), F.count_if(~F.col("matched")).alias("unmatched_reads"))

@@ -133,3 +133,18 @@ def combine_segments(profile: DataFrame, segments: list[tuple[str, int]], twice:
         at += n
     out = profile.withColumn("_shift", shift).where("_shift IS NOT NULL").withColumn("bin", F.col("bin") + F.col("_shift")).drop("_shift")
     return out.unionByName(out) if twice else out
+
+
+def region_summary(regions: DataFrame) -> DataFrame:
+    """Regions with data, mean coverage of those, and the unweighted mean of their percentages."""
+    covered = F.col("total_coverage") > 0
+    return regions.agg(
+        F.count("*").alias("regions"), F.count_if(covered).alias("with_data"),
+        F.try_divide(F.sum(F.when(covered, F.col("total_coverage"))), F.count_if(covered)).alias("mean_coverage"), F.avg("methylation_percentage").alias("mean_percentage"),
+    )
+
+
+def gene_bins(rows: DataFrame) -> DataFrame:
+    """chrom, start_pos, end_pos, bin and gene_name (null below seven columns) of split interval lines (cols)."""
+    at = lambda i: F.get("cols", i)
+    return rows.select(at(0).alias("chrom"), at(1).try_cast("long").alias("start_pos"), at(2).try_cast("long").alias("end_pos"), at(3).try_cast("long").alias("bin"), F.when(F.size("cols") >= 7, at(6)).alias("gene_name"))

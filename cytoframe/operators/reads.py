@@ -99,3 +99,25 @@ def mask_ends(quals: Column, flag: Column, head: tuple[int, int], tail: tuple[in
     h = F.when(has(flag, READ1), head[0]).when(has(flag, READ2), head[1]).otherwise(0)
     t = F.when(has(flag, READ1), tail[0]).when(has(flag, READ2), tail[1]).otherwise(0)
     return F.when(off, quals).otherwise(F.transform(quals, lambda q, i: F.when((i < h) | (i >= F.size(quals) - t), 0).otherwise(q)))
+
+
+def mask_dovetails(reads: DataFrame) -> DataFrame:
+    """(qname, ord, flag, masked_from, masked_to, branch): where each record's qualities stay, in output order of `branch`.
+
+    Unpaired and unmapped records pass (0), pairs come next with the overlap as bounds where they dovetail (1),
+    records without a partner last (2); pairs over two references are dropped. Null bounds mask nothing.
+    """
+    ok = has("flag", PAIRED) & ~has("flag", UNMAPPED) & ~has("flag", MATE_UNMAPPED)
+    none = F.lit(None).cast("long")
+    passed = reads.where(~ok).select("qname", "ord", "flag", none.alias("masked_from"), none.alias("masked_to"), F.lit(0).alias("branch"))
+    n = F.row_number().over(Window.partitionBy("qname").orderBy("ord")) - 1
+    rows = reads.where(ok).withColumn("pair_no", F.floor(n / 2)).select("qname", "pair_no", F.struct("ord", "flag", "ref_id", "start_pos", "end_pos").alias("r"))
+    g = rows.groupBy("qname", "pair_no").agg(F.array_sort(F.collect_list("r")).alias("m"))
+    lone = g.where(F.size("m") == 1).select("qname", F.col("m")[0]["ord"].alias("ord"), F.col("m")[0]["flag"].alias("flag"), none.alias("masked_from"), none.alias("masked_to"), F.lit(2).alias("branch"))
+    p = g.where(F.size("m") == 2).withColumn("swap", has(F.col("m")[1]["flag"], READ1))
+    p = p.select("qname", F.when(F.col("swap"), F.col("m")[1]).otherwise(F.col("m")[0]).alias("r1"), F.when(F.col("swap"), F.col("m")[0]).otherwise(F.col("m")[1]).alias("r2"))
+    p = p.where("r1.ref_id = r2.ref_id").withColumn("d", dovetail())
+    low, high = F.when(F.col("d"), F.greatest("r1.start_pos", "r2.start_pos")), F.when(F.col("d"), F.least("r1.end_pos", "r2.end_pos"))
+    both = p.select("qname", low.alias("masked_from"), high.alias("masked_to"), F.explode(F.array("r1", "r2")).alias("r"))
+    paired = both.select("qname", F.col("r.ord").alias("ord"), F.col("r.flag").alias("flag"), "masked_from", "masked_to", F.lit(1).alias("branch"))
+    return passed.unionByName(paired).unionByName(lone)

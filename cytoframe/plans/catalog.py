@@ -576,3 +576,36 @@ def select_columns_by_name(spark, sf):
 @query(f"{cte('variants', 'regions')} SELECT * FROM variants v WHERE EXISTS (SELECT 1 FROM regions c WHERE c.chrom = v.chrom AND v.pos - 1 < c.end_pos AND v.pos > c.start_pos)")
 def vcf_in_regions(spark, sf):
     return variants.in_regions(frame(spark, sf, "variants"), frame(spark, sf, "regions"))
+
+
+@query(f"""WITH q AS ({_region_sql("r.start_pos + 1", _RID)}) SELECT count(*) AS regions, count(*) FILTER (WHERE total_coverage > 0) AS with_data,
+ CAST(sum(total_coverage) FILTER (WHERE total_coverage > 0) AS DOUBLE) / nullif(count(*) FILTER (WHERE total_coverage > 0), 0) AS mean_coverage, round(avg(methylation_percentage), 6) AS mean_percentage FROM q""")
+def region_summary(spark, sf):
+    return me.region_summary(region_methylation_bed0(spark, sf)).withColumn("mean_percentage", F.round("mean_percentage", 6))
+
+
+@query(f"{cte('files')} SELECT name, EXISTS (SELECT 1 FROM files b WHERE b.dir = 'd1' AND b.name = a.name) AS in_second FROM files a WHERE dir = 'd0'")
+def same_name_files(spark, sf):
+    return fastq.same_names(frame(spark, sf, "files"), "d0", "d1")
+
+
+@query(f"""{cte('files')} SELECT a.dir, a.name AS i1, b.name AS i2, c.name AS r1, d.name AS r2 FROM files a LEFT JOIN files b ON b.dir = a.dir AND b.name = replace(a.name, '_I1', '_I2')
+JOIN files c ON c.dir = a.dir AND c.name = replace(a.name, '_I1', '_R1') JOIN files d ON d.dir = a.dir AND d.name = replace(a.name, '_I1', '_R2') WHERE contains(a.name, '_I1')""")
+def mate_files(spark, sf):
+    return fastq.mate_files(frame(spark, sf, "files"))
+
+
+@query(f"WITH q AS ({ORACLE_SQL['fastq_four_way_match']}) SELECT file_type, count(*) FILTER (WHERE matched) AS matched_reads, count(*) FILTER (WHERE NOT matched) AS unmatched_reads FROM q GROUP BY file_type")
+def fastq_match_counts(spark, sf):
+    return fastq.match_counts(fastq_four_way_match(spark, sf))
+
+
+_PASS = "flag & 1 <> 0 AND flag & 4 = 0 AND flag & 8 = 0"
+
+
+@query(f"""{_pairs_sql()}, b AS (SELECT count(*) FILTER (WHERE c1 = c2) * 2 AS n, count(*) FILTER (WHERE {_DOVE}) * 2 AS d, CAST(sum(CASE WHEN {_DOVE} THEN greatest(s1, s2) * 2 END) AS BIGINT) AS s FROM p),
+c AS (SELECT qname, count(*) % 2 AS odd FROM m GROUP BY qname)
+SELECT 0 AS branch, (SELECT count(*) FROM reads WHERE NOT ({_PASS})) AS records, CAST(0 AS BIGINT) AS bounded, CAST(NULL AS BIGINT) AS from_sum UNION ALL SELECT 1, n, d, s FROM b UNION ALL SELECT 2, CAST(sum(odd) AS BIGINT), 0, NULL FROM c""")
+def dovetail_mask_plan(spark, sf):
+    out = reads.mask_dovetails(frame(spark, sf, "reads"))
+    return out.groupBy("branch").agg(F.count("*").alias("records"), F.count("masked_from").alias("bounded"), F.sum("masked_from").alias("from_sum"))
