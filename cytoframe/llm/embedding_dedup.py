@@ -169,7 +169,7 @@ def embedding_duplicates(vectors: DataFrame, threshold: float = 0.95, tile: int
         other = tiles.select(F.col("tile").alias("tile_b"), F.col("reps").alias("reps_b"), F.col("copies").alias("copies_b"), F.col("vecs").alias("vecs_b"))
         met = near.join(tiles.drop("cell", "n"), "tile").join(other, "tile_b")
         out = scratch.write(met.mapInPandas(compare_tiles(axes, threshold), "u long, v long, links long"), f"met{dim}")
-        scratch.drop(f"cells{dim}")
+        scratch.drop(f"cells{dim}", f"tiles{dim}", f"near{dim}")
         counts.append(out.where("v is null").groupBy("u").agg(F.sum("links").alias("links")))
         edges.append(out.where("v is not null").select("u", "v"))
     lone = base.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), "fine").where("not fine").drop("fine")

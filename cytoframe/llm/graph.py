@@ -15,21 +15,25 @@ def components(edges: DataFrame, scratch: Scratch, tag: str) -> DataFrame:
     vanish in a round, so the rounds grow with the logarithm of the nodes. Hubs meet in partial
     aggregations and in joins that adaptive execution can split.
     """
-    live = scratch.write(
-        edges.where("u != v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), f"{tag}-e0"
-    )
+    made: list[str] = []
+
+    def write(df: DataFrame, name: str) -> DataFrame:
+        made.append(f"{tag}-{name}")
+        return scratch.write(df, made[-1])
+
+    live = write(edges.where("u != v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "e0")
     found: DataFrame | None = None
     k = 0
     while live.limit(1).count():
         both = live.unionByName(live.select(F.col("v").alias("u"), F.col("u").alias("v")))
         up = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), F.least("u", "m").alias("root"))
-        up = scratch.write(up, f"{tag}-p{k}")
+        up = write(up, f"p{k}")
         step = 0
         while True:  # pointer jumping: the paths halve each time
             nxt = up.select(F.col("node").alias("root"), F.col("root").alias("far"))
-            jumped = scratch.write(
+            jumped = write(
                 up.join(nxt, "root", "left").select("node", F.coalesce("far", "root").alias("root"), (F.coalesce("far", "root") != F.col("root")).alias("moved")),
-                f"{tag}-p{k}-{step}",
+                f"p{k}-{step}",
             )
             step += 1
             up = jumped.select("node", "root")
@@ -38,17 +42,19 @@ def components(edges: DataFrame, scratch: Scratch, tag: str) -> DataFrame:
         if found is None:
             found = up
         else:
-            found = scratch.write(
+            found = write(
                 found.join(up.select(F.col("node").alias("root"), F.col("root").alias("far")), "root", "left")
                 .select("node", F.coalesce("far", "root").alias("root")),
-                f"{tag}-f{k}",
+                f"f{k}",
             )
         a, b = up.select(F.col("node").alias("u"), F.col("root").alias("ru")), up.select(F.col("node").alias("v"), F.col("root").alias("rv"))
-        live = scratch.write(
+        live = write(
             live.join(a, "u").join(b, "v").where("ru != rv").select(F.least("ru", "rv").alias("u"), F.greatest("ru", "rv").alias("v")).distinct(),
-            f"{tag}-e{k + 1}",
+            f"e{k + 1}",
         )
         k += 1
     if found is None:
-        return live.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    return found
+        found = live.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    out = scratch.write(found, f"{tag}-components")
+    scratch.drop(*made)
+    return out

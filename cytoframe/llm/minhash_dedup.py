@@ -238,6 +238,7 @@ def near_duplicates(
     stars = crowded.join(crowded.groupBy("node").agg(F.min("rep").alias("v")), "node").select(F.col("rep").alias("u"), "v").where("u != v")
     groups = components(edges.unionByName(stars), scratch, "coarse")
 
+    scratch.drop("sigs", *[f"shared{k}" for k in range(1, level + 1)])
     sizes = scratch.write(groups.groupBy("root").agg(F.count("*").alias("m")), "sizes")
     half = tile // 2
     member = groups.join(sizes, "root").select(
@@ -259,6 +260,7 @@ def near_duplicates(
     )
     linked = dealt.repartition("tile").sortWithinPartitions("tile", "side", "rep").mapInPandas(confirm_tiles(percent), "u long, v long")
     found = components(linked, scratch, "linked")
+    scratch.drop("member", "sizes", "coarse-components")
 
     narrow = known.select("doc_id", "n", "k1", "k2")
     rep = narrow.where("n > 0 and doc_id is not null").join(classes, ["k1", "k2"]).join(found.select(F.col("node").alias("rep"), "root"), "rep", "left")

@@ -117,6 +117,19 @@ FROM embeddings e JOIN m ON m.node = e.vec_id LEFT JOIN k ON k.u = e.vec_id
 """
 
 
+_OP10 = """
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words FROM documents),
+i AS (SELECT doc_id, words, CAST(unnest(range(1, greatest(len(words) - 3, 1) + 1)) AS BIGINT) AS k FROM w WHERE len(words) > 0),
+s AS (SELECT DISTINCT doc_id, array_to_string(words[k : k + 3], ' ') AS shingle FROM i),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS common FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT u, v FROM o JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE 100 * common >= 80 * (x.n + y.n - common)),
+c(node, root) AS (SELECT doc_id, doc_id FROM documents UNION SELECT l.v, c.root FROM c JOIN l ON l.u = c.node WHERE c.root < l.v),
+m AS (SELECT node, min(root) AS component_id FROM c GROUP BY node)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id, d.doc_id = m.component_id AS kept FROM documents d JOIN m ON m.node = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+"""
+
+
 def _chat_sql() -> str:
     import re
 
@@ -140,4 +153,5 @@ ORACLE_SQL = {
     "op7_license_scan": _licence_sql(),
     "op8_embedding_dedup": _OP8,
     "op9_chat_format": _chat_sql(),
+    "op10_minhash_dedup": _OP10,
 }
