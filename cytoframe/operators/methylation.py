@@ -27,17 +27,25 @@ def totals(allc: DataFrame) -> DataFrame:
 def region_sums(sites: DataFrame, regions: DataFrame, coord: str, bin_size: int = 500, keys: tuple[str, ...] = (), spine: DataFrame | None = None) -> DataFrame:
     """Coverage, methylated reads and sites of every region row (rid), empty regions included.
 
-    Hits and the regions themselves (with zeros) are one union, grouped once: the spine costs no join.
+    Hits are aggregated by rid first, on the partitioning that the join with the regions needs as well.
     """
-    info = [c for c in regions.columns if c != "rid"]
     hits = join_points(sites.select(*keys, "chrom", "pos", "mc", "cov"), regions.select("rid", "chrom", "start_pos", "end_pos"), coord, bin_size)
     hits = hits.groupBy(*keys, "rid").agg(F.sum("cov").alias("c"), F.sum("mc").alias("m"), F.count("*").alias("n"))
-    every = (spine if spine is not None else regions).select(*keys, "rid", F.struct(*info).alias("info"), *[F.lit(0).cast("long").alias(x) for x in "cmn"])
-    both = hits.select(*keys, "rid", F.lit(None).cast(every.schema["info"].dataType).alias("info"), "c", "m", "n").unionByName(every)
-    g = both.groupBy(*keys, "rid").agg(
-        F.max("info").alias("info"), F.sum("c").alias("total_coverage"), F.sum("m").alias("total_methylated"), F.sum("n").alias("sites_with_data")
-    )
-    return g.select(*keys, "rid", "info.*", "total_coverage", "total_methylated", "sites_with_data")
+    every = (spine if spine is not None else regions).join(hits, [*keys, "rid"], "left")
+    info = [c for c in regions.columns if c != "rid"]
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    return every.select(*keys, "rid", *info, zero("c").alias("total_coverage"), zero("m").alias("total_methylated"), zero("n").alias("sites_with_data"))
+
+
+def cell_region_bins(sites: DataFrame, regions: DataFrame, cells: tuple[str, ...], coord: str, keys: tuple[str, ...] = (), bin_size: int = 500) -> DataFrame:
+    """Sums over all regions of a (sample, strand side, keys, bin), with zeros where no site lies: what `cell_bins`
+    needs of the region rows, without a row for each region and cell."""
+    by = ["strand_side", *keys, "bin"]
+    known = regions.where("bin IS NOT NULL")
+    hits = join_points(sites.select("sample", "chrom", "pos", "mc", "cov"), known.select(*by, "chrom", "start_pos", "end_pos"), coord, bin_size)
+    hits = hits.groupBy("sample", *by).agg(F.sum("cov").alias("c"), F.sum("mc").alias("m"))
+    zeros = known.select(*by).distinct().select(F.explode(F.array(*map(F.lit, cells))).alias("sample"), *by, F.lit(0).cast("long").alias("c"), F.lit(0).cast("long").alias("m"))
+    return hits.unionByName(zeros).groupBy("sample", *by).agg(F.sum("c").alias("total_coverage"), F.sum("m").alias("total_methylated"))
 
 
 def region_methylation(allc: DataFrame, regions: DataFrame, coord: str, bin_size: int = 500) -> DataFrame:

@@ -21,14 +21,20 @@ def cpgs(fasta: DataFrame, distance: int = 35) -> DataFrame:
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            chroms, starts, solos = [], [], []
             for chrom, seq in zip(batch["chrom"], batch["seq"]):
                 seq = (seq or "").upper()
                 every = np.array([m.start() for m in CG.finditer(seq)], np.int64)
                 at = np.array([m.start() + 1 for m in WCGW.finditer(seq)], np.int64)
                 if len(at):
-                    gap = np.diff(every)
-                    alone = np.r_[True, gap > distance] & np.r_[gap > distance, True]
-                    yield pd.DataFrame({"chrom": chrom, "start": at, "end": at + 2, "solo": alone[np.searchsorted(every, at)]})
+                    gap = np.diff(every) > distance
+                    alone = np.r_[True, gap] & np.r_[gap, True]
+                    chroms += [chrom] * len(at)
+                    starts.append(at)
+                    solos.append(alone[np.searchsorted(every, at)])
+            if starts:
+                start = np.concatenate(starts)
+                yield pd.DataFrame({"chrom": chroms, "start": start, "end": start + 2, "solo": np.concatenate(solos)})
 
     return fasta.select("chrom", "seq").mapInPandas(scan, "chrom string, start long, end long, solo boolean")
 

@@ -98,7 +98,11 @@ def mask_ends(quals: Column, flag: Column, head: tuple[int, int], tail: tuple[in
     off = flag.bitwiseAND(UNMAPPED | 0x100 | 0x800) != 0
     h = F.when(has(flag, READ1), head[0]).when(has(flag, READ2), head[1]).otherwise(0)
     t = F.when(has(flag, READ1), tail[0]).when(has(flag, READ2), tail[1]).otherwise(0)
-    return F.when(off, quals).otherwise(F.transform(quals, lambda q, i: F.when((i < h) | (i >= F.size(quals) - t), 0).otherwise(q)))
+    n = F.size(quals)
+    h = F.least(h, n)
+    t = F.least(t, n - h)
+    zeros = lambda k: F.array_repeat(F.lit(0), k)
+    return F.when(off, quals).otherwise(F.concat(zeros(h), F.slice(quals, h + 1, n - h - t), zeros(t)))
 
 
 def mask_dovetails(reads: DataFrame) -> DataFrame:

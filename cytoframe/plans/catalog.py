@@ -225,10 +225,10 @@ def bin100_methylation(spark, sf):
 
 def _cells(spark, sf, keys: tuple[str, ...] = ()) -> DataFrame:
     seg = F.element_at(F.array(F.lit("up"), F.lit("body"), F.lit("down")), (F.col("rid") % 3 + 1).cast("int"))
-    rows = _cell_regions(spark, sf)
     r = frame(spark, sf, "regions").withColumn("strand_side", F.when(F.col("strand") == "+", "top").otherwise("bottom"))
     if keys:
-        rows, r = rows.withColumn("segment", seg), r.withColumn("segment", seg)
+        r = r.withColumn("segment", seg)
+    rows = me.cell_region_bins(me.last_call(frame(spark, sf, "allc"), "sample"), r, CELLS, "closed", keys)
     expressed = transcription_unpivot(spark, sf)
     return me.cell_bins(rows, r, expressed, keys)
 
@@ -379,7 +379,7 @@ SELECT qname, flag, start_pos, CAST(CASE WHEN flag & 4 <> 0 THEN 0 WHEN a THEN l
 def quality_mask_head_tail(spark, sf):
     r = frame(spark, sf, "reads").withColumn("quals", F.array_repeat(F.lit(30), (F.col("end_pos") - F.col("start_pos")).cast("int")))
     r = r.withColumn("masked", reads.mask_ends(F.col("quals"), F.col("flag"), (5, 10), (3, 3)))
-    return r.select("qname", "flag", "start_pos", F.size(F.filter("masked", lambda q: q == 0)).cast("long").alias("masked_count"))
+    return r.select("qname", "flag", "start_pos", (F.size("masked") - F.size(F.array_remove("masked", 0))).cast("long").alias("masked_count"))
 
 
 @query(f"{cte('fastq')} SELECT split_part(header, ':', -1) AS barcode, count(*) AS reads FROM fastq GROUP BY ALL")
