@@ -62,12 +62,15 @@ def judge(urls: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: s
     tails = F.expr(f"transform(sequence(1, least(size(split(host, '[.]')), {labels})), k -> substring_index(host, '.', -k))")
     heads = F.array(*[F.when(F.length("path") >= n, F.substring("path", 1, n) if n else F.lit("")) for n in lengths])
     keys = F.flatten(F.transform(tails, lambda t: F.transform(F.filter(heads, lambda x: x.isNotNull()), lambda x: F.concat(t, x))))
-    cand = page.select("*", F.explode(F.concat(F.array(F.lit(None).cast("string")), keys)).alias("key"))
+    # each page keeps a row of its own, which no rule meets; its key is the id, so that these rows spread over all tasks
+    own = F.struct(F.lit(True).alias("own"), F.coalesce(F.col("id").cast("string"), F.lit("")).alias("key"))
+    listed = F.transform(keys, lambda k: F.struct(F.lit(False).alias("own"), k.alias("key")))
+    cand = page.select("*", F.explode(F.concat(F.array(own), listed)).alias("c")).select("id", "host", "path", "copies", "c.own", "c.key")
     cand = cand.select("*", _block(F.col("key"), blocks).alias("block"), *[m.alias(f"m{i}") for i, m in enumerate(_bits(F.col("key")))])
     hit = cand.join(F.broadcast(bloom(rules, blocks)), "block", "left").where(
-        " and ".join(f"(w{i} & m{i}) = m{i}" for i in range(WORDS)) + " or key is null"
+        " and ".join(f"(w{i} & m{i}) = m{i}" for i in range(WORDS)) + " or own"
     )
-    won = hit.select("id", "host", "path", "copies", "key").join(rules, "key", "left")
+    won = hit.select("id", "host", "path", "copies", "own", "key").join(rules.withColumn("own", F.lit(False)), ["own", "key"], "left")
     best = won.groupBy("id", "host", "path").agg(
         F.max("copies").alias("copies"),
         F.max(F.when(F.col("verdict").isNotNull(), F.struct(F.length("key").alias("l"), "hl", "key", "verdict"))).alias("r"),
