@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import FloatType
 
 from .common import Scratch, link
 from .graph import components
@@ -15,13 +16,19 @@ from .minhash_dedup import blocks, runs, spanning
 CELL_AXES = 3
 
 
-def moments(dim: int) -> Callable:
+def stacked(batch: pd.DataFrame, kind: str) -> np.ndarray:
+    """The vectors as rows; doubles are scaled by powers of two, which is exact, so that no norm overflows."""
+    x = np.stack(batch["embedding"].to_numpy()).astype(kind)
+    return x if kind == "float32" else np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+
+
+def moments(dim: int, kind: str) -> Callable:
     """The upper triangle of the sum of outer products of a partition's unit vectors."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros((dim, dim))
         for batch in batches:
-            x = np.stack(batch["embedding"].to_numpy()).astype(np.float64)
+            x = stacked(batch, kind).astype(np.float64)
             x /= np.linalg.norm(x, axis=1, keepdims=True)
             total += x.T @ x
         i, j = np.triu_indices(dim)
@@ -30,21 +37,21 @@ def moments(dim: int) -> Callable:
     return run
 
 
-def principal_axes(vectors: DataFrame, dim: int) -> np.ndarray:
+def principal_axes(vectors: DataFrame, dim: int, kind: str) -> np.ndarray:
     """Columns: the axes of the second moments of all unit vectors, by falling share. The driver gets dim^2 / 2 sums."""
-    sums = vectors.mapInPandas(moments(dim), "i int, j int, s double").groupBy("i", "j").agg(F.sum("s").alias("s")).collect()
+    sums = vectors.mapInPandas(moments(dim, kind), "i int, j int, s double").groupBy("i", "j").agg(F.sum("s").alias("s")).collect()
     m = np.zeros((dim, dim))
     for r in sums:
         m[r["i"], r["j"]] = m[r["j"], r["i"]] = r["s"]
     return np.ascontiguousarray(np.linalg.eigh(m)[1][:, ::-1])
 
 
-def place(axes: np.ndarray, width: float) -> Callable:
+def place(axes: np.ndarray, width: float, kind: str) -> Callable:
     """The grid cell of each vector on the leading axes; vectors within the cosine lie in the same or the next cells."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            raw = np.stack(batch["embedding"].to_numpy()).astype(np.float32)
+            raw = stacked(batch, kind)
             x = raw.astype(np.float64)
             p = x @ axes[:, :CELL_AXES] / np.linalg.norm(x, axis=1, keepdims=True)
             cell = np.floor(p / width).astype(np.int64) + 64
@@ -104,7 +111,7 @@ def links_between(a: np.ndarray, b: np.ndarray, axes: np.ndarray, threshold: flo
         yield (i[i < j], j[i < j]) if same else (i, j)
 
 
-def compare_tiles(axes: np.ndarray, threshold: float) -> Callable:
+def compare_tiles(axes: np.ndarray, threshold: float, kind: str) -> Callable:
     """Rows (u, v, links): `links` more links of class u where v is null, else a link u - v of a spanning forest."""
     dim = len(axes)
 
@@ -112,7 +119,7 @@ def compare_tiles(axes: np.ndarray, threshold: float) -> Callable:
         for batch in batches:
             for r in batch.itertuples(index=False):
                 same = r.tile == r.tile_b
-                a, b = np.frombuffer(r.vecs, np.float32).reshape(-1, dim), np.frombuffer(r.vecs_b, np.float32).reshape(-1, dim)
+                a, b = np.frombuffer(r.vecs, kind).reshape(-1, dim), np.frombuffer(r.vecs_b, kind).reshape(-1, dim)
                 ids = np.r_[np.frombuffer(r.reps, np.int64), np.frombuffer(r.reps_b, np.int64)] if not same else np.frombuffer(r.reps, np.int64)
                 ca, cb = np.frombuffer(r.copies, np.int64), np.frombuffer(r.copies_b, np.int64)
                 shift = 0 if same else len(a)
@@ -140,25 +147,27 @@ def embedding_duplicates(vectors: DataFrame, threshold: float = 0.95, tile: int
     vectors' lengths reach the driver; vectors of different lengths are never linked.
     Vectors that are null, empty, zero or hold null or non-finite components have no links and are components
     of their own; so are rows with a null id (component_id null). Rows that share an id are one vertex, with
-    the links of the first of its classes. An id of its own links with its equal copies.
+    the links of the first of its classes. An id of its own links with its equal copies. Floats are kept as
+    floats, other numbers are compared as doubles.
     """
     spark = vectors.sparkSession
     scratch = Scratch(spark, "vectors")
-    base = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<float>").alias("embedding"))
+    kind, number = ("float32", "float") if isinstance(vectors.schema[vec_col].dataType.elementType, FloatType) else ("float64", "double")
+    base = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast(f"array<{number}>").alias("embedding"))
     fine = (
         F.col("embedding").isNotNull() & (F.size("embedding") > 0) & F.col("vec_id").isNotNull()
         & F.forall("embedding", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))), F.lit(False)))
         & F.exists("embedding", lambda x: F.coalesce(x != 0, F.lit(False)))
     )
     base = base.withColumn("fine", F.coalesce(fine, F.lit(False)))
-    good = base.where("fine").select("vec_id", F.transform("embedding", lambda x: F.when(x == 0, F.lit(0.0).cast("float")).otherwise(x)).alias("embedding"))
+    good = base.where("fine").select("vec_id", F.transform("embedding", lambda x: F.when(x == 0, F.lit(0.0).cast(number)).otherwise(x)).alias("embedding"))
     classes = scratch.write(good.groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")).withColumn("dim", F.size("embedding")), "classes")
     width = (2 - 2 * threshold) ** 0.5 + 1e-6
     edges, counts = [], []
     for dim in sorted(r["dim"] for r in classes.select("dim").distinct().collect()):
         own = classes.where(F.col("dim") == dim)
-        axes = principal_axes(own.select("embedding"), dim)
-        cells = scratch.write(own.select("rep", "copies", "embedding").mapInPandas(place(axes, width), "rep long, copies long, cell long, vec binary"), f"cells{dim}")
+        axes = principal_axes(own.select("embedding"), dim, kind)
+        cells = scratch.write(own.select("rep", "copies", "embedding").mapInPandas(place(axes, width, kind), "rep long, copies long, cell long, vec binary"), f"cells{dim}")
         # at most (2 / width + 1) ^ 3 cells, a few hundred rows
         size = cells.groupBy("cell").agg(F.ceil(F.count("*") / tile).alias("nc"))
         dealt = cells.join(F.broadcast(size), "cell").withColumn("tile", F.col("cell") * (1 << 32) + F.pmod(F.xxhash64("rep"), F.col("nc")))
@@ -168,7 +177,7 @@ def embedding_duplicates(vectors: DataFrame, threshold: float = 0.95, tile: int
         near = scratch.write(near, f"near{dim}")
         other = tiles.select(F.col("tile").alias("tile_b"), F.col("reps").alias("reps_b"), F.col("copies").alias("copies_b"), F.col("vecs").alias("vecs_b"))
         met = near.join(tiles.drop("cell", "n"), "tile").join(other, "tile_b")
-        out = scratch.write(met.mapInPandas(compare_tiles(axes, threshold), "u long, v long, links long"), f"met{dim}")
+        out = scratch.write(met.mapInPandas(compare_tiles(axes, threshold, kind), "u long, v long, links long"), f"met{dim}")
         scratch.drop(f"cells{dim}", f"tiles{dim}", f"near{dim}")
         counts.append(out.where("v is null").groupBy("u").agg(F.sum("links").alias("links")))
         edges.append(out.where("v is not null").select("u", "v"))

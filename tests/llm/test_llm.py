@@ -194,6 +194,11 @@ def test_urls(spark):
     assert url_filter.judge(pages.limit(0), rules).count() == 0 and url_filter.judge(pages, rules.limit(0), default="block").where("verdict = 'block'").count() == pages.count()
     many = spark.range(5000).select(F.concat(F.lit("h"), "id", F.lit(".org")).alias("host"), F.lit("/a").alias("path"), F.lit("block").alias("verdict"))
     seen = spark.range(9000).select("id", F.concat(F.lit("http://s.h"), "id", F.lit(".org/ab")).alias("url")).withColumnRenamed("id", "page_id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # the same by a shuffled join
+    try:
+        assert sorted(url_filter.judge(pages, rules).collect(), key=str) == sorted(got.values(), key=str)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert url_filter.judge(seen, many).where("verdict = 'block'").count() == 5000
 
 
@@ -224,6 +229,8 @@ def test_embeddings(spark):
                 todo += [k for k in links.get(todo.pop(), ()) if k not in seen and not seen.add(k)]
             assert (got[i]["n_links"], got[i]["component_id"], got[i]["kept"]) == (len(links.get(i, ())), min(seen), min(seen) == i)
     assert embedding_dedup.embedding_duplicates(df.limit(0)).count() == 0
+    wide = spark.createDataFrame([(1, [1e200, 2e200]), (2, [1e-200, 2e-200]), (3, [1.0, 0.32868411]), (4, [1.0, 0.0])], "vec_id long, embedding array<double>")
+    assert {x["vec_id"]: (x["n_links"], x["component_id"]) for x in embedding_dedup.embedding_duplicates(wide).collect()} == {1: (1, 1), 2: (1, 1), 3: (0, 3), 4: (0, 4)}
 
 
 def test_chat(spark):
