@@ -17,6 +17,13 @@ def properly_mapped(reads: DataFrame) -> DataFrame:
     return reads.where(has("flag", PAIRED) & ~has("flag", UNMAPPED) & ~has("flag", MATE_UNMAPPED))
 
 
+def in_span(reads: DataFrame, chrom: Column, span: str) -> DataFrame:
+    """Reads (0-based half-open) that touch a span such as chr4:100-200, which is 1-based with both ends."""
+    name, _, ends = span.rpartition(":")
+    first, last = (int(x.replace(",", "")) for x in ends.split("-"))
+    return reads.where((chrom == name) & (F.col("start_pos") < last) & (F.col("end_pos") > first - 1))
+
+
 def pairs(reads: DataFrame) -> DataFrame:
     """One row for each complete pair: (qname, pair_no, first, second) in the order of arrival.
 

@@ -26,6 +26,20 @@ def natural_sort(variants: DataFrame) -> DataFrame:
     return variants.orderBy(*names.natural_key(F.col("chrom")), "pos", "id")
 
 
+def concatenate(*calls: DataFrame) -> DataFrame:
+    """Calls of several files, which may overlap, in natural order; repeated calls stay."""
+    every = calls[0]
+    for more in calls[1:]:
+        every = every.unionByName(more)
+    return natural_sort(every)
+
+
+def windows(contigs: DataFrame, size: int = 100_000) -> DataFrame:
+    """(chrom, start_pos, end_pos): contigs (chrom, length) cut every `size` bases, 0-based half-open."""
+    start = F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(size).cast("long"))).alias("start_pos")
+    return contigs.where("length > 0").select("chrom", "length", start).select("chrom", "start_pos", F.least(F.col("start_pos") + size, "length").alias("end_pos"))
+
+
 def merge_samples(variants: DataFrame) -> DataFrame:
     """Sites of several samples' calls (sample, chrom, pos, ref, alt): alleles and samples of each, sorted."""
     g = variants.groupBy("chrom", "pos", "ref").agg(F.array_sort(F.collect_set("alt")).alias("alts"), F.array_sort(F.collect_set("sample")).alias("samples"))

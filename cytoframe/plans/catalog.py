@@ -609,3 +609,21 @@ SELECT 0 AS branch, (SELECT count(*) FROM reads WHERE NOT ({_PASS})) AS records,
 def dovetail_mask_plan(spark, sf):
     out = reads.mask_dovetails(frame(spark, sf, "reads"))
     return out.groupBy("branch").agg(F.count("*").alias("records"), F.count("masked_from").alias("bounded"), F.sum("masked_from").alias("from_sum"))
+
+
+@query(f"{cte('reads')} SELECT qname, flag, start_pos, end_pos FROM reads WHERE ref_id = 1 AND start_pos < 90000 AND end_pos > 49999")
+def reads_in_span(spark, sf):
+    r = frame(spark, sf, "reads")
+    return reads.in_span(r, F.concat(F.lit("chr"), F.col("ref_id").cast("string")), "chr1:50000-90000").select("qname", "flag", "start_pos", "end_pos")
+
+
+@query(f"{cte('variants')} SELECT chrom, pos, id, ref, alt FROM variants WHERE pos % 2 = 0 UNION ALL SELECT chrom, pos, id, ref, alt FROM variants WHERE pos % 3 = 0")
+def vcf_concat(spark, sf):
+    v = frame(spark, sf, "variants")
+    return variants.concatenate(v.where("pos % 2 = 0"), v.where("pos % 3 = 0")).select("chrom", "pos", "id", "ref", "alt")
+
+
+@query(f"""{cte('variants')}, c AS (SELECT chrom, max(pos) AS length FROM variants GROUP BY chrom), w AS (SELECT chrom, length, unnest(range(0, length, 1000)) AS start_pos FROM c)
+SELECT chrom, start_pos, least(start_pos + 1000, length) AS end_pos FROM w""")
+def contig_windows(spark, sf):
+    return variants.windows(frame(spark, sf, "variants").groupBy("chrom").agg(F.max("pos").alias("length")), 1000)

@@ -10,6 +10,8 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.names import natural_key
+
 FASTQ = "file string, rec_no long, header string, seq string, plus string, qual string"
 READ = "file string, rec_no long, qname string, flag int, ref_id int, ref_name string, start_pos long, end_pos long, cigar string, seq string, quals array<int>, tags map<string,string>"
 BGZF_END = bytes.fromhex("1f8b08040000000000ff0600424302001b0003000000000000000000")
@@ -166,6 +168,33 @@ def read_vcf(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     )
 
 
+def write_vcf(variants: DataFrame, path: str, header: list[str], samples: dict[str, str] | None = None) -> None:
+    """Records (chrom, pos, id, ref, alt; qual, filter, info, format and sample columns where present) as VCF text in natural order.
+
+    `header` holds the ## lines. samples: new names by sample column. The header sorts before all records, so
+    the part files, in the order of their names, are one VCF file.
+    """
+    have, samples = dict(variants.dtypes), samples or {}
+
+    def cell(name: str):
+        if name not in have:
+            return F.lit(".")
+        c = F.col(name)
+        if have[name].startswith("map"):
+            c = F.array_join(F.transform(F.map_entries(c), lambda e: F.concat_ws("=", e["key"], e["value"])), ";")
+        elif have[name].startswith("array"):
+            c = F.array_join(c, ",")
+        return F.coalesce(F.nullif(c.cast("string"), F.lit("")), F.lit("."))
+
+    fixed = ["chrom", "pos", "id", "ref", "alt", "qual", "filter", "info"]
+    more = ["format", *samples] if samples else []
+    title = "#" + "\t".join([*(c.upper() for c in fixed), *(["FORMAT", *samples.values()] if samples else [])])
+    rows = variants.select(F.lit(len(header) + 1).alias("line"), "chrom", "pos", F.concat_ws("\t", *map(cell, fixed + more)).alias("value"))
+    head = variants.sparkSession.createDataFrame(list(enumerate([*header, title])), "line int, value string")
+    every = rows.unionByName(head, allowMissingColumns=True)
+    every.orderBy("line", *natural_key(F.col("chrom")), "pos", "value").select("value").write.text(path)
+
+
 def write_sam(reads: DataFrame, path: str, header: str = "") -> None:
     """Alignments as SAM text, sorted by reference and start."""
     quals = F.array_join(F.transform("quals", lambda q: F.char(q + 33)), "")

@@ -97,3 +97,9 @@ def write_tsv(df: DataFrame, path: str, places: int | None = None, header: bool
     out = df.select(*[decimals(F.col(c), places).alias(c) if kind == "double" and places is not None else F.col(c) for c, kind in df.dtypes])
     writer = out.write.option("sep", "\t").option("header", header).option("emptyValue", "").option("compression", "gzip" if gzip else "none")
     (writer.partitionBy(*partition_by) if partition_by else writer).csv(path)
+
+
+def write_bedgraph(bins: DataFrame, path: str, width: int = 100, value: str = "fraction") -> None:
+    """Bins (chrom, bin_start, value) as chrom, start, end, value, sorted; bins without a value are left out."""
+    rows = bins.where(F.col(value).isNotNull()).orderBy("chrom", "bin_start")
+    write_tsv(rows.select("chrom", "bin_start", (F.col("bin_start") + width).alias("bin_end"), value), path, header=False)

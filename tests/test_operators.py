@@ -131,6 +131,17 @@ def test_text_sources(spark, tmp_path):
     assert (v["pos"], v["alt"], v["info"]["DP"], v["filter"]) == (5, ["T", "G"], "3", None)
 
 
+def test_variant_and_bin_sinks(spark, tmp_path):
+    v = spark.createDataFrame([("chr10", 4, "a", "C", ["T", "G"], {"DP": "3"}, "GT", "0/1"), ("chr2", 9, None, "G", ["A"], {}, "GT", None)], "chrom string, pos long, id string, ref string, alt array<string>, info map<string,string>, format string, s1 string")
+    sequences.write_vcf(v, str(tmp_path / "v"), ["##fileformat=VCFv4.2"], {"s1": "donor"})
+    lines = "".join(p.read_text() for p in sorted((tmp_path / "v").glob("part-*"))).splitlines()
+    assert lines[0] == "##fileformat=VCFv4.2" and lines[1].split("\t")[-2:] == ["FORMAT", "donor"]
+    assert lines[2:] == ["chr2\t9\t.\tG\tA\t.\t.\t.\tGT\t.", "chr10\t4\ta\tC\tT,G\t.\t.\tDP=3\tGT\t0/1"]
+    assert sequences.read_vcf(spark, str(tmp_path / "v")).count() == 2
+    tables.write_bedgraph(spark.createDataFrame([("c", 100, 0.5), ("c", 0, 0.25), ("c", 200, None)], "chrom string, bin_start long, fraction double"), str(tmp_path / "b"))
+    assert "".join(p.read_text() for p in sorted((tmp_path / "b").glob("part-*"))) == "c\t0\t100\t0.25\nc\t100\t200\t0.5\n"
+
+
 def test_bam_and_integrity(spark, tmp_path):
     name, cigar, seq = b"q\0", struct.pack("<I", 4 << 4), bytes([0x12, 0x48])
     body = struct.pack("<iiBBHHHiiii", 0, 9, len(name), 60, 0, 1, 99, 4, -1, -1, 0) + name + cigar + seq + bytes([30] * 4) + b"XRZCT\0" + b"NMC\x02"
