@@ -1,4 +1,4 @@
-"""Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index."""
+"""Toxicity by the nearest labelled examples: exact cosine of label-weighted TF-IDF over a block-max inverted index."""
 
 from __future__ import annotations
 
@@ -37,55 +37,95 @@ def count_terms(text: str, lookup, cache: dict) -> dict[int, int]:
     return found
 
 
-class BlockMaxIndex:
-    """Unit TF-IDF vectors of examples in an inverted index whose postings come in blocks with their largest weight.
+def as_arrays(counts) -> tuple[np.ndarray, np.ndarray]:
+    """Terms and numbers of a dict, or of a pair of arrays."""
+    if isinstance(counts, dict):
+        return np.fromiter(counts, np.int32, len(counts)), np.fromiter(counts.values(), np.int32, len(counts))
+    return counts
+
 
-    Examples of one label and like terms lie side by side, so that blocks differ in what they can reach. A
-    query visits blocks by falling upper bound (the sum of query weight times the block's largest weight) and
-    stops at the first that cannot beat its k-th best cosine: the result is exact.
+class BlockMaxIndex:
+    """Unit vectors of examples (TF-IDF under the given weights of terms) in an inverted index whose postings are
+    cut into blocks of examples with their largest weight.
+
+    Examples of one label and like terms lie side by side, so that blocks differ in what they can reach. Postings
+    of rare terms are sparse and always added up. Terms that more than an eighth of the examples hold are kept as
+    dense runs by block, and read only for blocks that can still win: a block's bound is its best sum of rare
+    terms plus the largest weights of its common ones, and the search stops at the first block that cannot beat
+    the k-th best cosine. No term is left out: the result is exact.
     """
 
-    def __init__(self, rows: list[dict[int, int]], labels: np.ndarray, idf: np.ndarray, block: int = 64):
-        self.idf = idf
-        vectors = [self.unit(r) for r in rows]
-        order = sorted(range(len(rows)), key=lambda e: (max(vectors[e], key=lambda t: (vectors[e][t], t), default=-1), labels[e], e))
-        self.labels = np.asarray(labels)[order]
-        self.ids = np.asarray(order)
-        self.block, self.size = block, len(rows)
+    def __init__(self, rows: list, labels: np.ndarray, idf: np.ndarray, block: int = 64):
+        self.idf, self.block, self.size = np.asarray(idf, float), block, len(rows)
         self.blocks = -(-len(rows) // block) or 1
-        # a posting run holds the weights of one term in one block, by place in the block
-        self.runs = np.zeros((len(idf), self.blocks, block), np.float32)
-        for place, e in enumerate(order):
-            for t, w in vectors[e].items():
-                self.runs[t, place // block, place % block] = w
-        self.peak = self.runs.max(axis=2, initial=0).astype(float)
+        vectors = [(t, w.astype(np.float32)) for t, w in (self.weigh(*as_arrays(r)) for r in rows)]
+        strongest = [max(zip(w.tolist(), t.tolist()))[1] if len(t) else -1 for t, w in vectors]
+        order = sorted(range(len(rows)), key=lambda e: (strongest[e], labels[e], e))
+        self.labels, self.ids = np.asarray(labels)[order], np.asarray(order, int)
+        term = np.concatenate([np.empty(0, np.int32), *(vectors[e][0] for e in order)])
+        weight = np.concatenate([np.empty(0, np.float32), *(vectors[e][1] for e in order)])
+        place = np.repeat(np.arange(len(order), dtype=np.int32), [len(vectors[e][0]) for e in order])
+        self.begin = np.r_[0, np.cumsum(np.bincount(term, minlength=len(self.idf)))]
+        del vectors
+        by = np.argsort(term, kind="stable").astype(np.int32)
+        self.place, self.weight = place[by], weight[by]
+        del term, weight, place, by
+        self._dense()
+
+    def _dense(self) -> None:
+        n = np.diff(self.begin)
+        common = np.flatnonzero(n > self.size / 8)
+        self.column = np.full(len(n), -1)
+        self.column[common] = np.arange(len(common))
+        self.runs = np.zeros((self.blocks, len(common), self.block), np.float32)
+        for c, t in enumerate(common):
+            at = slice(self.begin[t], self.begin[t + 1])
+            self.runs[self.place[at] // self.block, c, self.place[at] % self.block] = self.weight[at]
+        self.peak = self.runs.max(axis=2, initial=0).T.astype(float)
+
+    def __getstate__(self) -> dict:
+        """The dense runs are made anew from the postings, so they do not travel."""
+        return {k: v for k, v in self.__dict__.items() if k not in ("runs", "peak", "column")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._dense()
+
+    def weigh(self, terms: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        w = (1 + np.log(n)) * self.idf[terms]
+        norm = math.sqrt(float(w @ w))
+        return (terms, w / norm) if norm else (terms[:0], w[:0])
 
     def unit(self, counts: dict[int, int]) -> dict[int, float]:
-        w = {t: (1 + math.log(n)) * self.idf[t] for t, n in counts.items()}
-        norm = math.sqrt(sum(x * x for x in w.values()))
-        return {t: x / norm for t, x in w.items()} if norm else {}
+        t, w = self.weigh(*as_arrays(counts))
+        return dict(zip(t.tolist(), w.tolist()))
 
-    def search(self, counts: dict[int, int], k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
+    def search(self, counts, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Cosines and places of the k nearest examples (ties: the lower place); `skip` is an example to leave out."""
-        q = self.unit(counts)
-        if not q or not self.size:
+        terms, q = self.weigh(*as_arrays(counts))
+        if not len(terms) or not self.size:
             return np.empty(0), np.empty(0, int)
-        terms, weights = np.fromiter(q, int), np.fromiter(q.values(), float)
-        bound = weights @ self.peak[terms]
+        column = self.column[terms]
+        rare, often = column < 0, column >= 0
+        lo, n = self.begin[terms[rare]], self.begin[terms[rare] + 1] - self.begin[terms[rare]]
+        at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        score = np.bincount(self.place[at], np.repeat(q[rare], n) * self.weight[at], self.blocks * self.block).astype(float).reshape(self.blocks, self.block)
+        dense = np.zeros(len(self.peak), np.float32)
+        dense[column[often]] = q[often]
+        bound = score.max(axis=1) + q[often] @ self.peak[column[often]]
+        if skip >= 0:
+            score.flat[np.flatnonzero(self.ids == skip)] = -np.inf
         best_s, best_p = np.empty(0), np.empty(0, int)
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or (len(best_s) == k and bound[b] < best_s[-1] - 1e-6):
+        order, step = np.argsort(-bound, kind="stable"), 8
+        for first in range(0, self.blocks, step):
+            blocks = order[first : first + step]
+            least = best_s[-1] if len(best_s) == k else 0.0
+            blocks = blocks[(bound[blocks] > 0) & (bound[blocks] >= least - 1e-5)]
+            if not len(blocks):
                 break
-            score = weights @ self.runs[terms, b]
-            at = np.flatnonzero(score > 0)
-            place = at + b * self.block
-            if skip >= 0:
-                at, place = at[self.ids[place] != skip], place[self.ids[place] != skip]
-            if len(best_s) == k:
-                at, place = at[score[at] >= best_s[-1]], place[score[at] >= best_s[-1]]
-                if not len(at):
-                    continue
-            s, p = np.concatenate([best_s, score[at]]), np.concatenate([best_p, place])
+            s = np.stack([score[b] + dense @ self.runs[b] for b in blocks])
+            i, j = np.nonzero((s >= least) & (s > 0))
+            s, p = np.concatenate([best_s, s[i, j]]), np.concatenate([best_p, blocks[i] * self.block + j])
             top = np.lexsort((p, -s))[:k]
             best_s, best_p = s[top], p[top]
         return best_s, best_p
@@ -94,18 +134,19 @@ class BlockMaxIndex:
 class ToxicityModel:
     """What a task needs to score a text: vocabulary, index, calibration and the keys of the examples."""
 
-    def __init__(self, terms: list[str], rows: list[dict[int, int]], labels: list[int], keys: list, df: np.ndarray, n_docs: int, weights: tuple[float, float] = (1.0, 1.0), k: int = 15):
-        self.lookup = {t: i for i, t in enumerate(terms)}
-        self.terms, self.k, self.keys = terms, k, keys
+    def __init__(self, lookup: dict[str, int], rows: list, labels: list[int], keys: list, df: np.ndarray, n_docs: int, weights: tuple[float, float] = (1.0, 1.0), k: int = 15):
+        self.lookup = lookup
+        self.k, self.keys = k, keys
         y = np.asarray(labels, float)
         self.weights = np.array(weights)  # of an example of either class: how many labelled rows it stands for
         rate = self.weights[y.astype(int)]
+        rows = [as_arrays(r) for r in rows]
         idf = np.log((n_docs + 1) / (df + 1)) + 1
         self.prior = ((rate * y).sum() + 1) / (rate.sum() + 2)
-        empty = np.array([not r for r in rows], bool)
+        empty = np.array([not len(r[0]) for r in rows], bool)
         self.silent = ((rate * y)[empty].sum() + self.prior) / (rate[empty].sum() + 1)  # texts without any known term
         keep = np.flatnonzero(~empty)
-        self.index = BlockMaxIndex([rows[e] for e in keep], y[keep], idf)
+        self.index = BlockMaxIndex([rows[e] for e in keep], y[keep], idf * np.sqrt(1 + label_strength(rows, y, len(lookup))))
         self.keep = keep
         self.a, self.b = 1.0, 0.0
         if len(keep) > k:  # calibration on votes that leave the example itself out
@@ -154,71 +195,74 @@ def platt(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, floa
     return max(float(t[0]), 0.1), float(t[1])
 
 
-def select_terms(sample: DataFrame, n_terms: int, least_g2: float, least_ratio: float) -> list[str]:
-    """The terms whose presence tells most about the label, by the likelihood ratio over the sample; of those
-    that are `least_ratio` times as common in one class as in the other (one occurrence added to each)."""
+def label_strength(rows: list, y: np.ndarray, n_terms: int) -> np.ndarray:
+    """How much each term's presence tells about the label: the likelihood ratio G2 over the examples, 0 or more."""
 
-    def presence(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pos, neg = Counter(), Counter()
-        for batch in batches:
-            for text, y in zip(batch["text"], batch["y"]):
-                (pos if y else neg).update({t for w in set(WORD.findall(text.lower())) for t in word_terms(w)})
-        terms = [*pos.keys() | neg.keys()]
-        yield pd.DataFrame({"term": terms, "pos": [pos[t] for t in terms], "neg": [neg[t] for t in terms]}).astype({"pos": "int64", "neg": "int64", "term": "str"})
+    def holding(of: list) -> np.ndarray:
+        return sum((np.bincount(r[0], minlength=n_terms) for r in of), np.zeros(n_terms))
 
-    n = sample.groupBy().agg(F.sum("y").alias("p"), F.count("*").alias("n")).first()
-    np_, nn = int(n["p"] or 0), int(n["n"]) - int(n["p"] or 0)
-    if not np_ or not nn:
-        return []
+    pos, neg = holding([r for r, v in zip(rows, y) if v]), holding([r for r, v in zip(rows, y) if not v])
+    n_pos, n = float((y > 0).sum()), len(rows)
+    if not 0 < n_pos < n:
+        return np.zeros(n_terms)
 
-    def part(observed: str, total: int, all_: str):
-        expected = F.col(all_) * (total / (np_ + nn))
-        rest, rest_e = total - F.col(observed), total - expected
-        return F.when(F.col(observed) > 0, F.col(observed) * F.log(F.col(observed) / expected)).otherwise(0.0) + F.when(rest > 0, rest * F.log(rest / rest_e)).otherwise(0.0)
+    def part(observed: np.ndarray, total: float) -> np.ndarray:
+        expected = (pos + neg) * (total / n)
+        terms = ((observed, expected), (total - observed, total - expected))
+        return sum(o * np.log(np.where(o > 0, o, 1) / np.where(o > 0, e, 1)) for o, e in terms)
 
-    counts = sample.mapInPandas(presence, "term string, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    counts = counts.where("pos + neg >= 3").withColumn("all", F.col("pos") + F.col("neg"))
-    g2 = counts.withColumn("g2", 2 * (part("pos", np_, "all") + part("neg", nn, "all")))
-    ratio = (F.col("pos") + 1) / (np_ + 1) / ((F.col("neg") + 1) / (nn + 1))
-    return [r["term"] for r in g2.where((F.col("g2") >= least_g2) & (F.greatest(ratio, 1 / ratio) >= least_ratio)).orderBy(F.desc("g2"), "term").limit(n_terms).collect()]
+    return np.maximum(2 * (part(pos, n_pos) + part(neg, n - n_pos)), 0)
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = 4000, n_terms: int = 1024, least_g2: float = 24.0, least_ratio: float = 3.0, k: int = 15) -> ToxicityModel:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = 4000, k: int = 15) -> ToxicityModel:
     """Learn from a sample of at most `per_class` labelled training rows of each class (chosen by a hash of the id).
 
-    Document frequencies are counted over all documents. At most `n_terms` terms, 2 * `per_class` sparse vectors
-    over them and one count for each term reach the driver.
+    Every term of the sample is indexed. Document frequencies are counted over all documents. A term's weight is
+    its TF-IDF times the root of 1 + G2, so that terms which tell about the label count for more and none is lost.
+    The words and 2 * `per_class` sparse vectors of the sample and one count for each term reach the driver.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "toxicity")
     sample = scratch.write(labelled_sample(docs, labels, label, per_class).dropDuplicates(["text", "y"]), "sample")
     train = labels.where(~held_out(F.col("doc_id"))).groupBy(F.col(label).cast("int").alias("y")).agg(F.count("*").alias("n")).where("y in (0, 1)")
     stands = {r["y"]: r["n"] for r in train.collect()}
-    terms = select_terms(sample, n_terms, least_g2, least_ratio)
-    lookup = {t: i for i, t in enumerate(terms)}
+
+    def vocabulary(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"word": sorted({w for text in batch["text"] for w in WORD.findall(text.lower())})}, dtype="str")
+
+    words = sample.select("text").mapInPandas(vocabulary, "word string").distinct().toArrow()["word"].to_pylist()
+    lookup = {t: i for i, t in enumerate(sorted({t for w in words for t in word_terms(w)}))}
+    del words
+    shared = spark.sparkContext.broadcast(lookup)
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache: dict = {}
         for batch in batches:
-            found = [count_terms(t, lookup.get, cache) for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "y": batch["y"], "t": [list(f) for f in found], "n": [list(f.values()) for f in found]})
+            found = [as_arrays(count_terms(t, shared.value.get, cache)) for t in batch["text"]]
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "y": batch["y"], "t": [f[0].astype("<i4").tobytes() for f in found], "n": [f[1].astype("<i4").tobytes() for f in found]})
 
     def frequency(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        df, cache, n = np.zeros(len(lookup), np.int64), {}, 0
+        df, cache, n = np.zeros(len(shared.value), np.int64), {}, 0
         for batch in batches:
             n += len(batch)
             for text in batch["text"]:
-                df[list(count_terms(text or "", lookup.get, cache))] += 1
-        yield pd.DataFrame({"t": np.arange(-1, len(lookup)), "n": np.r_[n, df]})
+                df[list(count_terms(text or "", shared.value.get, cache))] += 1
+        held = np.flatnonzero(df)
+        yield pd.DataFrame({"t": np.r_[-1, held], "n": np.r_[n, df[held]]})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = sample.mapInPandas(vectors, f"doc_id {kind}, y int, t array<int>, n array<int>").orderBy("doc_id").collect()
-    counts = {r["t"]: r["n"] for r in docs.select("text").mapInPandas(frequency, "t int, n long").groupBy("t").agg(F.sum("n").alias("n")).collect()}
+    got = sample.mapInPandas(vectors, f"doc_id {kind}, y int, t binary, n binary").orderBy("doc_id", "y", "t", "n").toArrow()
+    y, keys = got["y"].to_pylist(), got["doc_id"].to_pylist()
+    rows = list(zip(*([np.frombuffer(x.as_buffer(), "<i4") for x in got[c]] for c in ("t", "n"))))
+    counts = docs.select("text").mapInPandas(frequency, "t int, n long").groupBy("t").agg(F.sum("n").alias("n")).toArrow()
     scratch.drop("sample")
-    have = Counter(r["y"] for r in rows)
+    shared.unpersist()
+    df = np.zeros(len(lookup) + 1)  # the last: all documents
+    df[counts["t"].to_numpy()] = counts["n"].to_numpy()
+    have = Counter(y)
     weights = tuple(max(1.0, stands.get(y, 0) / max(have[y], 1)) for y in (0, 1))
-    df = np.array([counts.get(i, 0) for i in range(len(terms))], float)
-    return ToxicityModel(terms, [dict(zip(r["t"], r["n"])) for r in rows], [r["y"] for r in rows], [r["doc_id"] for r in rows], df, int(counts.get(-1, 0)), weights, k)
+    return ToxicityModel(lookup, rows, y, keys, df[:-1], int(df[-1]), weights, k)
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = 0.7) -> DataFrame:

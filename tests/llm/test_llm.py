@@ -85,6 +85,37 @@ def test_block_max_search_is_exact():
         assert np.allclose(index.search(q, 10)[0], np.sort(dense @ v)[::-1][:10], atol=1e-6)
 
 
+def test_toxicity_indexes_every_term(spark):
+    """Neutral words are in no way telling of the label, and still find the nearest example."""
+    texts = [f"topic{chr(97 + i % 26)}{chr(97 + i // 26)} plain words {'rotten' if i % 2 else 'lovely'}" for i in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int"))
+    trained = [t for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 3 != 1]
+    assert set(model.lookup) == {x for t in trained for w in toxicity.WORD.findall(t) for x in toxicity.word_terms(w)}
+    for i, t in enumerate(texts):
+        if t in trained:
+            assert model.score(t.split()[0], {})[1][0][0] == i
+    assert model.score("plain words", {})[1]
+
+
+def test_block_max_search_with_rare_and_common_terms():
+    r = random.Random(4)
+    rows = [{t: r.randint(1, 3) for t in [*r.sample(range(20), 8), *r.sample(range(20, 900), 12)]} for _ in range(700)]
+    index = toxicity.BlockMaxIndex(rows, np.array([r.randint(0, 1) for _ in rows], float), np.array([r.uniform(0.5, 3) for _ in range(900)]), block=16)
+    assert (index.column >= 0).any() and (index.column < 0).any()
+    dense = np.zeros((700, 900))
+    for place, e in enumerate(index.ids):
+        for t, w in index.unit(rows[e]).items():
+            dense[place, t] = w
+    for e in range(60):
+        all_ = dense @ dense[np.flatnonzero(index.ids == e)[0]]
+        assert np.allclose(index.search(rows[e], 10)[0], np.sort(all_)[::-1][:10], atol=1e-5)
+        cosine, place = index.search(rows[e], 10, skip=e)
+        assert e not in index.ids[place] and np.allclose(cosine, np.sort(all_[index.ids != e])[::-1][:10], atol=1e-5)
+    common = {int(t): 1 for t in np.flatnonzero(index.column >= 0)}
+    assert len(index.search(common, 10, skip=3)[0]) == 10
+
+
 def test_scores_of_awkward_rows(spark, docs, labels, awkward):
     for scored in (toxicity.score_toxicity(awkward, toxicity.fit(docs, labels)), quality.score_quality(awkward, quality.fit(docs, labels)), quality.score_quality(awkward, None)):
         got = scored.collect()
