@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -32,6 +33,50 @@ RULES = (
     ("mit-line", "MIT", ("mit",)),
     ("mit-text", "MIT", ("mit-grant", "mit-notice")),
 )
+#: Genuine full sentences of licence texts, normalised; found across wrapped lines and comment leaders.
+TEXTS = {
+    "mit-full-grant": "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions",
+    "mit-full-notice": "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software",
+    "mit-full-warranty": "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement",
+    "bsd-head": "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
+    "bsd-source": "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer",
+    "bsd-binary": "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution",
+    "apache-full": "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license",
+    "apache-asf": "the asf licenses this file to you under the apache license version 2 0 the license you may not use this file except in compliance with the license",
+    "apache-at": "you may obtain a copy of the license at",
+    "apache-at-http": "you may obtain a copy of the license at http www apache org licenses license 2 0",
+    "apache-at-https": "you may obtain a copy of the license at https www apache org licenses license 2 0",
+    "apache-unless": "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied",
+    "gpl-3-only": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation version 3 of the license",
+    "gpl-3-later": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "gpl-2-only": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation version 2 of the license",
+    "gpl-2-later": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",
+    "gpl-full-warranty": "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose",
+}
+#: Sentences known by their end, as a name stands in them.
+ENDS = {"bsd-name": "may be used to endorse or promote products derived from this software without specific prior written permission"}
+TEXT_RULES = (
+    ("mit-full", "MIT", ("mit-full-grant", "mit-full-notice", "mit-full-warranty")),
+    ("mit-full-short", "MIT", ("mit-full-grant", "mit-full-notice")),
+    ("mit-full-end", "MIT", ("mit-full-notice", "mit-full-warranty")),
+    *((f"{k}-line", "MIT", (k,)) for k in ("mit-full-grant", "mit-full-notice", "mit-full-warranty")),
+    ("bsd-3-full", "BSD-3-Clause", ("bsd-head", "bsd-source", "bsd-binary", "bsd-name")),
+    ("bsd-3-conditions", "BSD-3-Clause", ("bsd-source", "bsd-binary", "bsd-name")),
+    ("bsd-3-end", "BSD-3-Clause", ("bsd-binary", "bsd-name")),
+    ("bsd-2-full", "BSD-2-Clause", ("bsd-head", "bsd-source", "bsd-binary")),
+    ("bsd-2-conditions", "BSD-2-Clause", ("bsd-source", "bsd-binary")),
+    *((f"{first}-{at}", "Apache-2.0", (first, at, "apache-unless")) for first in ("apache-full", "apache-asf") for at in ("apache-at", "apache-at-http", "apache-at-https")),
+    *((f"{k}-line", "Apache-2.0", (k,)) for k in ("apache-full", "apache-asf", "apache-at-http", "apache-at-https", "apache-unless")),
+    *((f"{k}-header", f"GPL-{k[4]}.0", (k, "gpl-full-warranty")) for k in ("gpl-3-only", "gpl-3-later", "gpl-2-only", "gpl-2-later")),
+    *((f"{k}-line", f"GPL-{k[4]}.0", (k,)) for k in ("gpl-3-only", "gpl-3-later", "gpl-2-only", "gpl-2-later")),
+)
+#: Every text that holds an entry of TEXTS or ENDS, or a tag, matches this.
+HINT = re.compile(r"licen[sc]e|software|copyright|redistribution", re.I)
+LINE = re.compile(r"[^\r\n]+")
+LEADER = re.compile(r"[ \t]*(?:(?://+|/\*+|\*+/?|#+|;+|--+|%+|<!--|\(\*|rem\b|dnl\b|['\"]{3})[ \t]*)*", re.I)
+ITEM = re.compile(r"\(?(?:\d+|[a-z])[.)][ \t]")
+STOP = re.compile(r"\x00|[.!?]+(?=[ \x00]|$)")
+TAG = re.compile(r"SPDX-License-Identifier:[ \t]*([^\r\n]*)")
 BREAK = re.compile(r"\n+|[.!?;:]+(?=[ \t\r\n]|$)")
 OTHER = re.compile(r"[^a-z0-9]+")
 
@@ -40,6 +85,44 @@ def normalise(sentence: str) -> str:
     return OTHER.sub(" ", sentence.lower()).strip()
 
 
+def unwrapped(text: str) -> Iterator[tuple[int, int, str]]:
+    """(start, end, normalised) of the sentences of a text whose lines are joined again.
+
+    Comment leaders are stripped; sentences end at .!? before white space, at lines that are blank or hold a
+    leader alone, before numbered items and after a colon at a line's end (but for "free software:").
+    """
+    parts, begins, raws, size, last, above = [], [], [], 0, 0, ""
+    for m in LINE.finditer(text):
+        at = LEADER.match(text, m.start(), m.end()).end()
+        line = text[at : m.end()].rstrip()
+        if not line:
+            above = "\x00"
+            continue
+        apart = text.count("\n", last, m.start()) > 1 or above == "\x00" or ITEM.match(line) or (above.endswith(":") and not above.lower().endswith("software:"))
+        begins.append(size + 1)
+        raws.append(at)
+        parts += ["\x00" if apart else " ", line]
+        size += 1 + len(line)
+        last, above = m.end(), line
+    joined, at = "".join(parts), 0
+    raw = lambda x: raws[max(bisect_right(begins, x) - 1, 0)] + x - begins[max(bisect_right(begins, x) - 1, 0)]
+    for cut, after in [*((m.start(), m.end()) for m in STOP.finditer(joined)), (len(joined), 0)]:
+        part = joined[at:cut]
+        if len(part) > 8:
+            yield raw(at + len(part) - len(part.lstrip())), raw(at + len(part.rstrip()) - 1) + 1, normalise(part)
+        at = after
+
+
+def declared(text: str) -> Iterator[tuple[int, int, str]]:
+    """(start, end, licence) of the identifiers in SPDX tags; exceptions after WITH are no licences."""
+    for tag in TAG.finditer(text):
+        before = ""
+        for m in re.finditer(r"[A-Za-z0-9][A-Za-z0-9.+-]*", tag[1]):
+            if m[0].upper() not in ("AND", "OR", "WITH") and before != "WITH":
+                yield tag.start(1) + m.start(), tag.start(1) + m.end(), m[0]
+            before = m[0].upper()
+
+
 def recognise(ids: list[str], rules) -> Iterator[tuple[int, int, str, str]]:
     """(first, last, rule, licence): leftmost rule, the longest of those that start there; no sentence counts twice."""
     by_first: dict[str, list] = {}
@@ -59,14 +142,18 @@ def recognise(ids: list[str], rules) -> Iterator[tuple[int, int, str, str]]:
 def scan_licenses(docs: DataFrame, sentences: dict[str, str] = SENTENCES, rules=RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each document: id, n_sentences known, licenses (distinct, sorted, joined by commas), matches.
 
-    Texts are cut at line ends and at .!?;: before white space; a sentence is normalised to its lower-case
+    Statements: texts are cut at line ends and at .!?;: before white space; a sentence is normalised to its lower-case
     ASCII letters and digits. Known sentences become identifiers; rules match runs of successive identifiers,
-    other sentences between them are passed over. matches: rule, licence, start and end in code points.
+    other sentences between them are passed over. Full licence texts and headers (TEXTS, ENDS, TEXT_RULES) are found
+    besides in the unwrapped sentences, which take the place of statements inside them, and SPDX tags by their
+    identifiers, each of which counts as a sentence. matches: rule, licence, start and end in code points.
     The tables of sentences and rules travel with the tasks, so they are meant to hold thousands of entries,
     not millions. Nothing is shuffled. Null and empty texts have no match; repeated rows are kept.
     """
     known = {text: key for key, text in sentences.items()}
-    rules = tuple(rules)
+    whole = {text: key for key, text in TEXTS.items()}
+    ends = tuple((end, key) for key, end in ENDS.items())
+    rules = (*rules, *TEXT_RULES)
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -79,8 +166,20 @@ def scan_licenses(docs: DataFrame, sentences: dict[str, str] = SENTENCES, rules=
                         ids.append(found)
                         spans.append((at, cut[0]))
                     at = cut[1]
-                hits = list(recognise(ids, rules))
-                out.append((key, len(ids), ",".join(sorted({h[3] for h in hits})), [{"rule": r, "license": lic, "start": spans[a][0], "end": spans[b][1]} for a, b, r, lic in hits]))
+                tags: list[tuple[int, int, str]] = []
+                if text and HINT.search(text):
+                    full = []
+                    for lo, hi, sentence in unwrapped(text):
+                        found = whole.get(sentence) or next((k for end, k in ends if sentence.endswith(end)), None)
+                        if found and (found != "apache-at" or full):
+                            full.append((lo, hi, found))
+                    if full:
+                        other = [(*span, i) for span, i in zip(spans, ids) if not any(span[0] < hi and lo < span[1] for lo, hi, _ in full)]
+                        every = sorted([*full, *other])
+                        ids, spans = [e[2] for e in every], [e[:2] for e in every]
+                    tags = list(declared(text))
+                matches = [(spans[a][0], spans[b][1], r, lic) for a, b, r, lic in recognise(ids, rules)] + [(lo, hi, "spdx-tag", lic) for lo, hi, lic in tags]
+                out.append((key, len(ids) + len(tags), ",".join(sorted({m[3] for m in matches})), [{"rule": r, "license": lic, "start": lo, "end": hi} for lo, hi, r, lic in sorted(matches)]))
             yield pd.DataFrame(out, columns=["id", "n_sentences", "licenses", "matches"])
 
     kind = docs.schema[id_col].dataType.simpleString()
