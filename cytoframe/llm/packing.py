@@ -83,18 +83,22 @@ def pack_vectors(items: np.ndarray, limits: np.ndarray) -> np.ndarray:
 
 def pack_documents(
     docs: DataFrame, json_path: str, ranks_path: str | None, pattern: str, size: int = 2048, max_segments: int = 256, max_loss: int | None = None,
-    end_id: int = 1, group_rows: int = 4096, id_col: str = "doc_id", text_col: str = "text",
+    end_id: int = 1, group_rows: int = 4096, id_col: str = "doc_id", text_col: str = "text", prompt_col: str | None = None,
 ) -> DataFrame:
     """One row for each piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset, loss_tokens.
 
-    A document's ids end with `end_id`. Ids are cut after every `size`: the full pieces are sequences of
-    their own, and each document's rest (shorter than `size`) is packed with others under limits on tokens,
-    segments and loss-bearing tokens (`max_loss`, size if None; plain text learns from every token, so a
-    piece's loss tokens are its length). Rests are dealt by a hash of the row to groups of about `group_rows`,
+    A document's ids end with `end_id`. With `prompt_col`, the ids of that text come first and bear no loss, those of
+    the text after it and the end do; plain text learns from every token. Ids are cut after every `size`, and
+    before a piece would hold more than `max_loss` loss-bearing tokens (size if None). Pieces of `size` are
+    sequences of their own, and shorter ones are packed with others under limits on tokens, segments and
+    loss-bearing tokens. Rests are dealt by a hash of the row to groups of about `group_rows`,
     each packed in one task; a group leaves one sequence or so that is not full. sequence_id holds the group
     in its upper half. Null text counts as empty: a document of one id. Equal rows are packed each for itself.
     """
-    limits = np.array([size, max_segments, max_loss or size])
+    max_loss = size if max_loss is None else max_loss
+    if min(size, max_segments, max_loss) < 1:
+        raise ValueError("limits are 1 at least")
+    limits = np.array([size, max_segments, max_loss])
     kind = docs.schema[id_col].dataType.simpleString()
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -102,29 +106,36 @@ def pack_documents(
             for lo in range(0, len(batch), 256):
                 part = batch.iloc[lo : lo + 256]
                 rows = []
-                for key, ids in zip(part["id"], tokenise([t or "" for t in part["text"]], json_path, ranks_path, pattern)):
-                    ids = np.array([*ids, end_id], "<u4")
-                    n = len(ids)
-                    rows += [(key, s, min(size, n - s), zlib.crc32(ids[s : s + size].tobytes()), n) for s in range(0, n, size)]
-                yield pd.DataFrame(rows, columns=["id", "start", "length", "ids_crc32", "doc_tokens"])
-
-    pieces = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).mapInPandas(cut, f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long")
+                tokens = tokenise([t or "" for t in part["text"]], json_path, ranks_path, pattern)
+                prompts = tokenise([t or "" for t in part["prompt"]], json_path, ranks_path, pattern) if prompt_col else [[]] * len(part)
+                for key, prompt, ids in zip(part["id"], prompts, tokens):
+                    silent = len(prompt)
+                    ids = np.array([*prompt, *ids, end_id], "<u4")
+                    n, start = len(ids), 0
+                    while start < n:
+                        end = min(start + size, n, max(start, silent) + max_loss)
+                        rows.append((key, start, end - start, zlib.crc32(ids[start:end].tobytes()), n, end - min(max(start, silent), end)))
+                        start = end
+                yield pd.DataFrame(rows, columns=["id", "start", "length", "ids_crc32", "doc_tokens", "loss_tokens"])
+
+    given = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"), *([docs[prompt_col].alias("prompt")] if prompt_col else []))
+    pieces = given.mapInPandas(cut, f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, loss_tokens long")
     groups = max(1, -(-docs.count() // group_rows))
     dealt = pieces.withColumn("g", F.pmod(F.xxhash64("id", "ids_crc32", "length"), F.lit(groups)))
 
     def pack(batch: pd.DataFrame) -> pd.DataFrame:
-        batch = batch.sort_values(["length", "id", "start", "ids_crc32"], ascending=[False, True, True, True], na_position="first").reset_index(drop=True)
-        n = batch["length"].to_numpy()
+        batch = batch.sort_values(["length", "id", "start", "ids_crc32", "loss_tokens"], ascending=[False, True, True, True, True], na_position="first").reset_index(drop=True)
+        n, loss = batch["length"].to_numpy(), batch["loss_tokens"].to_numpy()
         rest = n < size
         bins = np.empty(len(batch), np.int64)
         bins[~rest] = np.arange((~rest).sum())
-        bins[rest] = pack_vectors(np.stack([n[rest], np.ones(rest.sum(), np.int64), n[rest]], axis=1), limits) + (~rest).sum()
+        bins[rest] = pack_vectors(np.stack([n[rest], np.ones(rest.sum(), np.int64), loss[rest]], axis=1), limits) + (~rest).sum()
         order = np.argsort(bins, kind="stable")
         before = np.cumsum(n[order]) - n[order]
         first = np.r_[True, bins[order][1:] != bins[order][:-1]]
         offset = np.empty(len(batch), np.int64)
         offset[order] = before - np.maximum.accumulate(np.where(first, before, 0))
-        return batch.assign(sequence_id=batch["g"].astype("int64") * (1 << 32) + bins, offset=offset, loss_tokens=n)[["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "loss_tokens"]]
+        return batch.assign(sequence_id=batch["g"].astype("int64") * (1 << 32) + bins, offset=offset)[["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "loss_tokens"]]
 
     packed = dealt.groupBy("g").applyInPandas(pack, f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, loss_tokens long")
     return packed.withColumnRenamed("id", id_col)
