@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -14,31 +16,57 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names; a local one only where it is unset (tests)."""
+    """The folder that spark.checkpoint.dir names. Where it is unset, a local one for a local master, whose tasks all see
+    it; on a cluster that is an error, as each machine would write its part for itself."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is unset: it must name a folder that all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
 
 
 class Scratch:
-    """Tables written to the shared folder, so that a lost executor costs no recomputed lineage."""
+    """Tables written to the shared folder, so that a lost executor costs no recomputed lineage.
+
+    Results read them lazily, so an operator can free only what no later plan of its own reads; see `temporary`.
+    """
+
+    made: list[list[Scratch]] = []
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        if self.made:
+            self.made[-1].append(self)
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
+    def write(self, df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
         path = f"{self.root}/{name}"
-        df.write.parquet(path)
+        df.write.option("compression", compression).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
         """Free tables that no later plan reads."""
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
         for name in names:
-            path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-            path.getFileSystem(conf).delete(path, True)
+            self._delete(f"{self.root}/{name}")
+
+    def clear(self) -> None:
+        self._delete(self.root)
+
+    def _delete(self, place: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(place)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def temporary() -> Iterator[None]:
+    """Scratch tables that operators make inside are removed at the end, so what they return must be written by then."""
+    Scratch.made.append([])
+    try:
+        yield
+    finally:
+        for scratch in Scratch.made.pop():
+            scratch.clear()
 
 
 def held_out(doc_id: Column) -> Column:
@@ -50,7 +78,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     """(doc_id, text, y): at most per_class labelled training rows of each class, chosen by a hash of the id.
 
     Only ids are ranked; the texts are then fetched by a join with 2 * per_class ids, which bounds that
-    broadcast. A document with several labels takes the largest; null labels count for nothing.
+    broadcast. An id is one row: of several texts the smallest, of several labels the largest; null labels count for
+    nothing, null texts are empty.
     """
     y = (
         labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
@@ -60,7 +89,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     y = y.join(present, "doc_id", "left_semi")
     order = F.xxhash64("doc_id", F.lit(7)), F.col("doc_id")
     chosen = y.where("y = 1").orderBy(*order).limit(per_class).unionByName(y.where("y = 0").orderBy(*order).limit(per_class))
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "y")
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    return rows.groupBy("doc_id", "y").agg(F.min("text").alias("text")).select("doc_id", "text", "y")
 
 
 def roots(parent: np.ndarray) -> np.ndarray:

@@ -11,9 +11,8 @@ URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.exam
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score_toxicity(docs, model).select("doc_id", "held_out", "score", "predicted", "evidence")
+    model, vectors = toxicity.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return toxicity.score_toxicity(vectors, model).select("doc_id", "held_out", "score", "predicted", "evidence")
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

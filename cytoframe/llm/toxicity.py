@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -12,146 +11,179 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from .common import Scratch, held_out, labelled_sample
+from .words import WordTable
 
-WORD = re.compile(r"[^\W\d_]+")
-STEMS = (4, 5, 6)
-CACHE = 300_000
+BATCH = 256  # texts that are cut and searched at once
 
+Counts = tuple[np.ndarray, np.ndarray]  # terms in ascending order, occurrences of each
 
-def word_terms(word: str) -> tuple[str, ...]:
-    """The word, and its first letters as stems: inflected forms share these."""
-    return (word, *(f"{word[:n]}*" for n in STEMS if len(word) > n))
 
+def counted(table: WordTable, texts: list[str], none: int) -> Iterator[Counts]:
+    """Terms (all numbers but `none`) of whole texts with their occurrences."""
+    for slots in table.slots(texts):
+        t = table.rows[slots].ravel()
+        t = np.sort(t[t != none])
+        first = np.flatnonzero(np.r_[True, t[1:] != t[:-1]]) if len(t) else np.empty(0, int)
+        yield t[first], np.diff(np.r_[first, len(t)]).astype(np.int32)
 
-def count_terms(text: str, lookup, cache: dict) -> dict[int, int]:
-    """Occurrences of the known terms of a whole text."""
-    found: dict[int, int] = {}
-    for word, n in Counter(WORD.findall(text.lower())).items():
-        hits = cache.get(word)
-        if hits is None:
-            if len(cache) > CACHE:
-                cache.clear()
-            hits = cache[word] = tuple(i for t in word_terms(word) if (i := lookup(t)) is not None)
-        for i in hits:
-            found[i] = found.get(i, 0) + n
-    return found
 
+def in_vocabulary(codes: np.ndarray):
+    """Term numbers for hashes: places in the sorted vocabulary, -1 for what is not in it."""
 
-def as_arrays(counts) -> tuple[np.ndarray, np.ndarray]:
-    """Terms and numbers of a dict, or of a pair of arrays."""
-    if isinstance(counts, dict):
-        return np.fromiter(counts, np.int32, len(counts)), np.fromiter(counts.values(), np.int32, len(counts))
-    return counts
+    def resolve(hashes: np.ndarray) -> np.ndarray:
+        if not len(codes):
+            return np.full(hashes.shape, -1, np.int32)
+        flat = hashes.ravel()
+        by = np.argsort(flat)  # in order, as the search then stays in the cache
+        at = np.empty(len(flat), np.int64)
+        at[by] = np.minimum(np.searchsorted(codes, flat[by]), len(codes) - 1)
+        return np.where(codes[at] == flat, at, -1).astype(np.int32).reshape(hashes.shape)
+
+    return resolve
 
 
 class BlockMaxIndex:
     """Unit vectors of examples (TF-IDF under the given weights of terms) in an inverted index whose postings are
     cut into blocks of examples with their largest weight.
 
-    Examples of one label and like terms lie side by side, so that blocks differ in what they can reach. Postings
-    of rare terms are sparse and always added up. Terms that more than an eighth of the examples hold are kept as
-    dense runs by block, and read only for blocks that can still win: a block's bound is its best sum of rare
-    terms plus the largest weights of its common ones, and the search stops at the first block that cannot beat
-    the k-th best cosine. No term is left out: the result is exact.
+    Examples of like common terms, of one label and of like length lie side by side, so that blocks differ in what
+    they can reach. Postings of rare terms are sparse and always added up. Terms that more than one example in
+    `often` holds are kept as dense runs by block, and read only for blocks that can still win: a block's bound is its
+    best sum of rare terms plus the largest weights of its common ones, and blocks that cannot beat the k-th best
+    cosine are passed over. Texts are searched many at a time, so that a run is read once for all that need it.
+    No term is left out: the result is exact (in single precision).
     """
 
-    def __init__(self, rows: list, labels: np.ndarray, idf: np.ndarray, block: int = 64):
+    def __init__(self, rows: list[Counts], labels: np.ndarray, idf: np.ndarray, block: int = 64, often: int = 16):
         self.idf, self.block, self.size = np.asarray(idf, float), block, len(rows)
         self.blocks = -(-len(rows) // block) or 1
-        vectors = [(t, w.astype(np.float32)) for t, w in (self.weigh(*as_arrays(r)) for r in rows)]
-        strongest = [max(zip(w.tolist(), t.tolist()))[1] if len(t) else -1 for t, w in vectors]
-        order = sorted(range(len(rows)), key=lambda e: (strongest[e], labels[e], e))
-        self.labels, self.ids = np.asarray(labels)[order], np.asarray(order, int)
+        vectors = [self.weigh(*r) for r in rows]
+        held = np.bincount(np.concatenate([np.empty(0, np.int32), *(t for t, _ in vectors)]), minlength=len(self.idf))
+        common = np.flatnonzero(held > self.size / often)
+        self.column = np.full(len(self.idf), -1, np.int32)
+        self.column[common] = np.arange(len(common))
+        dense = np.zeros((self.size, len(common)), np.float32)
+        for e, (t, w) in enumerate(vectors):
+            c = self.column[t]
+            dense[e, c[c >= 0]] = w[c >= 0]
+        order = np.lexsort(([len(t) for t, _ in vectors], labels, clusters(dense)))
+        self.labels, self.ids = np.asarray(labels)[order], order
         term = np.concatenate([np.empty(0, np.int32), *(vectors[e][0] for e in order)])
-        weight = np.concatenate([np.empty(0, np.float32), *(vectors[e][1] for e in order)])
-        place = np.repeat(np.arange(len(order), dtype=np.int32), [len(vectors[e][0]) for e in order])
-        self.begin = np.r_[0, np.cumsum(np.bincount(term, minlength=len(self.idf)))]
+        weight = np.concatenate([np.empty(0, np.float32), *(vectors[e][1].astype(np.float32) for e in order)])
+        place = np.repeat(np.arange(self.size, dtype=np.int32), [len(vectors[e][0]) for e in order])
         del vectors
-        by = np.argsort(term, kind="stable").astype(np.int32)
+        rare = self.column[term] < 0
+        by = np.flatnonzero(rare)[np.argsort(term[rare], kind="stable")]
+        self.begin = np.r_[0, np.cumsum(np.bincount(term[rare], minlength=len(self.idf)))]
         self.place, self.weight = place[by], weight[by]
-        del term, weight, place, by
-        self._dense()
+        del term, weight, place, by, rare
+        at = np.nonzero(dense[order])
+        self.filled = (at[0].astype(np.int32), at[1].astype(np.int32), dense[order[at[0]], at[1]], len(common))
+        self._runs()
 
-    def _dense(self) -> None:
-        n = np.diff(self.begin)
-        common = np.flatnonzero(n > self.size / 8)
-        self.column = np.full(len(n), -1)
-        self.column[common] = np.arange(len(common))
-        self.runs = np.zeros((self.blocks, len(common), self.block), np.float32)
-        for c, t in enumerate(common):
-            at = slice(self.begin[t], self.begin[t + 1])
-            self.runs[self.place[at] // self.block, c, self.place[at] % self.block] = self.weight[at]
-        self.peak = self.runs.max(axis=2, initial=0).T.astype(float)
+    def _runs(self) -> None:
+        row, column, weight, n = self.filled
+        self.runs = np.zeros((self.blocks, self.block, n), np.float32)
+        self.runs.reshape(-1, n)[row, column] = weight
+        self.peak = self.runs.max(axis=1, initial=0).T.copy()
 
     def __getstate__(self) -> dict:
-        """The dense runs are made anew from the postings, so they do not travel."""
-        return {k: v for k, v in self.__dict__.items() if k not in ("runs", "peak", "column")}
+        """The dense runs are made anew from their entries, so they do not travel."""
+        return {k: v for k, v in self.__dict__.items() if k not in ("runs", "peak")}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
-        self._dense()
+        self._runs()
 
     def weigh(self, terms: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         w = (1 + np.log(n)) * self.idf[terms]
         norm = math.sqrt(float(w @ w))
         return (terms, w / norm) if norm else (terms[:0], w[:0])
 
-    def unit(self, counts: dict[int, int]) -> dict[int, float]:
-        t, w = self.weigh(*as_arrays(counts))
-        return dict(zip(t.tolist(), w.tolist()))
-
-    def search(self, counts, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Cosines and places of the k nearest examples (ties: the lower place); `skip` is an example to leave out."""
-        terms, q = self.weigh(*as_arrays(counts))
-        if not len(terms) or not self.size:
-            return np.empty(0), np.empty(0, int)
-        column = self.column[terms]
-        rare, often = column < 0, column >= 0
-        lo, n = self.begin[terms[rare]], self.begin[terms[rare] + 1] - self.begin[terms[rare]]
-        at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        score = np.bincount(self.place[at], np.repeat(q[rare], n) * self.weight[at], self.blocks * self.block).astype(float).reshape(self.blocks, self.block)
-        dense = np.zeros(len(self.peak), np.float32)
-        dense[column[often]] = q[often]
-        bound = score.max(axis=1) + q[often] @ self.peak[column[often]]
-        if skip >= 0:
-            score.flat[np.flatnonzero(self.ids == skip)] = -np.inf
-        best_s, best_p = np.empty(0), np.empty(0, int)
-        order, step = np.argsort(-bound, kind="stable"), 8
-        for first in range(0, self.blocks, step):
-            blocks = order[first : first + step]
-            least = best_s[-1] if len(best_s) == k else 0.0
-            blocks = blocks[(bound[blocks] > 0) & (bound[blocks] >= least - 1e-5)]
-            if not len(blocks):
-                break
-            s = np.stack([score[b] + dense @ self.runs[b] for b in blocks])
-            i, j = np.nonzero((s >= least) & (s > 0))
-            s, p = np.concatenate([best_s, s[i, j]]), np.concatenate([best_p, blocks[i] * self.block + j])
-            top = np.lexsort((p, -s))[:k]
-            best_s, best_p = s[top], p[top]
-        return best_s, best_p
+    def search(self, queries: list[Counts], k: int, skip: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Cosines and places of the k nearest examples of each query (ties: the lower place); cosines of 0 are left
+        out. `skip` names an example for each query that does not count."""
+        if not self.size:
+            return [(np.empty(0), np.empty(0, int)) for _ in queries]
+        n, width, slack = len(queries), self.blocks * self.block, 1e-4
+        score, q = np.empty((n, width), np.float32), np.zeros((n, self.runs.shape[2]), np.float32)
+        for i, counts in enumerate(queries):
+            t, w = self.weigh(*counts)
+            column = self.column[t]
+            q[i, column[column >= 0]] = w[column >= 0]
+            lo = self.begin[t]
+            size = self.begin[t + 1] - lo
+            ends = np.cumsum(size)
+            total = int(ends[-1]) if len(ends) else 0
+            at = np.repeat(lo - ends + size, size)
+            at += np.arange(total)
+            score[i] = np.bincount(self.place[at], np.repeat(w, size) * self.weight[at], width)
+        if skip is not None:
+            where = np.empty(self.size, int)
+            where[self.ids] = np.arange(self.size)
+            score[np.arange(n), where[skip]] = -np.inf
+        bound = score.reshape(n, self.blocks, self.block).max(axis=2) + q @ self.peak + slack
+        order = np.argsort(-bound, axis=1, kind="stable")
+        rank = np.argsort(order, axis=1)
+        known, least = np.zeros((n, self.blocks), bool), np.zeros(n, np.float32)
+        exact = np.full((n, self.blocks, self.block), -np.inf, np.float32)
+        parts = score.reshape(exact.shape)
+        for reach in (2, 8, self.blocks):
+            need = (rank < reach) & ~known & (bound > slack) & (bound >= least[:, None])
+            for b in np.flatnonzero(need.any(axis=0)):
+                who = np.flatnonzero(need[:, b])
+                exact[who, b] = parts[who, b] + q[who] @ self.runs[b].T
+            known |= need
+            if k < reach * self.block and reach < self.blocks:  # the k-th best of the blocks read so far
+                best = np.take_along_axis(exact, order[:, :reach, None], axis=1).reshape(n, -1)
+                least = np.maximum(np.partition(best, best.shape[1] - k, axis=1)[:, best.shape[1] - k], 0)
+        exact = exact.reshape(n, width)
+        out = []
+        for i in range(n):
+            p = np.flatnonzero((exact[i] >= least[i]) & (exact[i] > 0))
+            top = p[np.lexsort((p, -exact[i, p]))[:k]]
+            out.append((exact[i, top].astype(float), top))
+        return out
+
+
+def clusters(rows: np.ndarray, k: int = 8, rounds: int = 6) -> np.ndarray:
+    """A number 0..k-1 for each row: spherical k-means from evenly spaced rows."""
+    if len(rows) <= k or not rows.shape[1]:
+        return np.zeros(len(rows), int)
+    centre = rows[np.linspace(0, len(rows) - 1, k).astype(int)]
+    for _ in range(rounds):
+        own = np.argmax(rows @ centre.T, axis=1)
+        centre = np.stack([rows[own == j].sum(axis=0) for j in range(k)])
+        centre /= np.maximum(np.linalg.norm(centre, axis=1, keepdims=True), 1e-9)
+    return own
 
 
 class ToxicityModel:
-    """What a task needs to score a text: vocabulary, index, calibration and the keys of the examples."""
+    """What a task needs to score texts: vocabulary, index, calibration and the keys of the examples."""
 
-    def __init__(self, lookup: dict[str, int], rows: list, labels: list[int], keys: list, df: np.ndarray, n_docs: int, weights: tuple[float, float] = (1.0, 1.0), k: int = 15):
-        self.lookup = lookup
-        self.k, self.keys = k, keys
+    def __init__(self, codes: np.ndarray, rows: list[Counts], labels: list[int], keys: list, df: np.ndarray, n_docs: int, weights: tuple[float, float] = (1.0, 1.0), k: int = 15):
+        self.codes, self.k, self.keys = codes, k, keys
         y = np.asarray(labels, float)
         self.weights = np.array(weights)  # of an example of either class: how many labelled rows it stands for
         rate = self.weights[y.astype(int)]
-        rows = [as_arrays(r) for r in rows]
         idf = np.log((n_docs + 1) / (df + 1)) + 1
         self.prior = ((rate * y).sum() + 1) / (rate.sum() + 2)
         empty = np.array([not len(r[0]) for r in rows], bool)
         self.silent = ((rate * y)[empty].sum() + self.prior) / (rate[empty].sum() + 1)  # texts without any known term
         keep = np.flatnonzero(~empty)
-        self.index = BlockMaxIndex([rows[e] for e in keep], y[keep], idf * np.sqrt(1 + label_strength(rows, y, len(lookup))))
+        self.index = BlockMaxIndex([rows[e] for e in keep], y[keep], idf * np.sqrt(1 + label_strength(rows, y, len(codes))))
         self.keep = keep
         self.a, self.b = 1.0, 0.0
         if len(keep) > k:  # calibration on votes that leave the example itself out
-            votes = np.array([self.vote(*self.index.search(rows[e], k, skip=i)) for i, e in enumerate(keep)])
-            self.a, self.b = platt(logit(votes), y[keep], rate[keep])
+            votes = []
+            for lo in range(0, len(keep), BATCH):
+                own = np.arange(lo, min(lo + BATCH, len(keep)))
+                votes += [self.vote(*got) for got in self.index.search([rows[e] for e in keep[own]], k, skip=own)]
+            self.a, self.b = platt(logit(np.array(votes)), y[keep], rate[keep])
+
+    def table(self) -> WordTable:
+        """One for each task: the words that its texts have in common are looked up once."""
+        return WordTable(in_vocabulary(self.codes))
 
     def vote(self, cosine: np.ndarray, place: np.ndarray) -> float:
         """Votes weighted by the reciprocal square of the distance, and one vote for the prior."""
@@ -159,13 +191,22 @@ class ToxicityModel:
         w = self.weights[label.astype(int)] / (1.05 - np.minimum(cosine, 1)) ** 2
         return float((self.prior + (w * label).sum()) / (1 + w.sum()))
 
-    def score(self, text: str, cache: dict) -> tuple[float, list[tuple]]:
-        counts = count_terms(text, self.lookup.get, cache)
-        if not counts:
-            return self.silent, []
-        cosine, place = self.index.search(counts, self.k)
-        z = self.a * logit(np.array([self.vote(cosine, place)]))[0] + self.b
-        return float(1 / (1 + math.exp(-z))), [(self.keys[self.keep[self.index.ids[p]]], float(c), int(self.index.labels[p])) for c, p in zip(cosine[:3], place[:3])]
+    def score(self, texts: list[str]) -> list[tuple[float, list[tuple]]]:
+        return self.score_counts(list(counted(self.table(), texts, -1)))
+
+    def score_counts(self, counts: list[Counts]) -> list[tuple[float, list[tuple]]]:
+        """The score of each text, and its three nearest examples (key, cosine, label)."""
+        out = []
+        for lo in range(0, len(counts), BATCH):
+            part = counts[lo : lo + BATCH]
+            for (terms, _), (cosine, place) in zip(part, self.index.search(part, self.k)):
+                if not len(terms):
+                    out.append((float(self.silent), []))
+                    continue
+                z = self.a * logit(np.array([self.vote(cosine, place)]))[0] + self.b
+                near = [(self.keys[self.keep[self.index.ids[p]]], float(c), int(self.index.labels[p])) for c, p in zip(cosine[:3], place[:3])]
+                out.append((float(1 / (1 + math.exp(-z))), near))
+        return out
 
 
 def logit(p: np.ndarray) -> np.ndarray:
@@ -214,83 +255,114 @@ def label_strength(rows: list, y: np.ndarray, n_terms: int) -> np.ndarray:
     return np.maximum(2 * (part(pos, n_pos) + part(neg, n - n_pos)), 0)
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = 4000, k: int = 15) -> ToxicityModel:
-    """Learn from a sample of at most `per_class` labelled training rows of each class (chosen by a hash of the id).
+def packed(x: np.ndarray) -> bytes:
+    """Numbers below 2^32 as four planes of bytes, of which the upper ones compress to little."""
+    return np.ascontiguousarray(x, "<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def planes(b: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
+def unpacked(terms: bytes) -> np.ndarray:
+    return np.cumsum(planes(terms), dtype=np.int64).astype(np.int32)
+
+
+def vectorise(docs: DataFrame, codes, carry: tuple[str, ...]) -> DataFrame:
+    """The columns `carry`, and the known terms of every whole text (steps between them) with their occurrences."""
+
+    @F.pandas_udf("t binary, n binary")
+    def cut(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        table = WordTable(in_vocabulary(codes.value))
+        for texts in batches:
+            found = []
+            for lo in range(0, len(texts), BATCH):
+                found += [(packed(np.diff(t, prepend=0)), packed(n)) for t, n in counted(table, [t or "" for t in texts.iloc[lo : lo + BATCH]], -1)]
+            yield pd.DataFrame(found, columns=["t", "n"])
+
+    return docs.select(*carry, cut("text").alias("_v")).select(*carry, F.col("_v.t").alias("_terms"), F.col("_v.n").alias("_n"))
+
 
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = 4000, k: int = 15, carry: tuple[str, ...] = ("doc_id",)) -> tuple[ToxicityModel, DataFrame]:
+    """A model, and the columns `carry` of all rows with their sparse vectors, a written table that it scores.
+
+    Learns from a sample of at most `per_class` labelled training rows of each class (chosen by a hash of the id).
     Every term of the sample is indexed. Document frequencies are counted over all documents. A term's weight is
     its TF-IDF times the root of 1 + G2, so that terms which tell about the label count for more and none is lost.
-    The words and 2 * `per_class` sparse vectors of the sample and one count for each term reach the driver.
+    The 2 * `per_class` sparse vectors of the sample and one count for each term reach the driver. Every text is cut
+    into words once: frequencies and scores come from the written vectors.
+    Rows of one text and label are one example, an id is one row of the sample; null texts are empty. With an empty
+    table or sample every score is the prior of 0.5 under no evidence. Other columns are not read.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "toxicity")
-    sample = scratch.write(labelled_sample(docs, labels, label, per_class).dropDuplicates(["text", "y"]), "sample")
+    sample = labelled_sample(docs, labels, label, per_class).dropDuplicates(["text", "y"])
     train = labels.where(~held_out(F.col("doc_id"))).groupBy(F.col(label).cast("int").alias("y")).agg(F.count("*").alias("n")).where("y in (0, 1)")
     stands = {r["y"]: r["n"] for r in train.collect()}
 
-    def vocabulary(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame({"word": sorted({w for text in batch["text"] for w in WORD.findall(text.lower())})}, dtype="str")
-
-    words = sample.select("text").mapInPandas(vocabulary, "word string").distinct().toArrow()["word"].to_pylist()
-    lookup = {t: i for i, t in enumerate(sorted({t for w in words for t in word_terms(w)}))}
-    del words
-    shared = spark.sparkContext.broadcast(lookup)
-
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache: dict = {}
+        table = WordTable(lambda hashes: hashes)
         for batch in batches:
-            found = [as_arrays(count_terms(t, shared.value.get, cache)) for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "y": batch["y"], "t": [f[0].astype("<i4").tobytes() for f in found], "n": [f[1].astype("<i4").tobytes() for f in found]})
+            found = list(counted(table, list(batch["text"]), 0))
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "y": batch["y"], "t": [f[0].astype("<u8").tobytes() for f in found], "n": [f[1].astype("<i4").tobytes() for f in found]})
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    got = sample.mapInPandas(vectors, f"doc_id {kind}, y int, t binary, n binary").orderBy("doc_id", "y", "t", "n").toArrow()
+    y, keys = got["y"].to_pylist(), got["doc_id"].to_pylist()
+    codes = np.empty(0, np.uint64)
+    for chunk in got["t"].chunks:
+        codes = np.union1d(codes, np.concatenate([np.empty(0, np.uint64), *(np.frombuffer(x.as_buffer(), "<u8") for x in chunk)]))
+    rows = [(np.searchsorted(codes, np.frombuffer(t.as_buffer(), "<u8")).astype(np.int32), np.frombuffer(n.as_buffer(), "<i4").copy()) for t, n in zip(got["t"], got["n"])]
+    del got
+    vectors = scratch.write(vectorise(docs, spark.sparkContext.broadcast(codes), carry), "vectors", compression="zstd")
 
     def frequency(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        df, cache, n = np.zeros(len(shared.value), np.int64), {}, 0
+        df, n = np.zeros(len_codes, np.int64), 0
         for batch in batches:
             n += len(batch)
-            for text in batch["text"]:
-                df[list(count_terms(text or "", shared.value.get, cache))] += 1
+            for terms in batch["_terms"]:
+                df[unpacked(terms)] += 1
         held = np.flatnonzero(df)
         yield pd.DataFrame({"t": np.r_[-1, held], "n": np.r_[n, df[held]]})
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    got = sample.mapInPandas(vectors, f"doc_id {kind}, y int, t binary, n binary").orderBy("doc_id", "y", "t", "n").toArrow()
-    y, keys = got["y"].to_pylist(), got["doc_id"].to_pylist()
-    rows = list(zip(*([np.frombuffer(x.as_buffer(), "<i4") for x in got[c]] for c in ("t", "n"))))
-    counts = docs.select("text").mapInPandas(frequency, "t int, n long").groupBy("t").agg(F.sum("n").alias("n")).toArrow()
-    scratch.drop("sample")
-    shared.unpersist()
-    df = np.zeros(len(lookup) + 1)  # the last: all documents
+    len_codes = len(codes)
+    counts = vectors.select("_terms").mapInPandas(frequency, "t int, n long").groupBy("t").agg(F.sum("n").alias("n")).toArrow()
+    df = np.zeros(len(codes) + 1)  # the last: all documents
     df[counts["t"].to_numpy()] = counts["n"].to_numpy()
+    del counts
     have = Counter(y)
     weights = tuple(max(1.0, stands.get(y, 0) / max(have[y], 1)) for y in (0, 1))
-    return ToxicityModel(lookup, rows, y, keys, df[:-1], int(df[-1]), weights, k)
+    return ToxicityModel(codes, rows, y, keys, df[:-1], int(df[-1]), weights, k), vectors
 
 
-def score_toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = 0.7) -> DataFrame:
-    """(doc_id, held_out, score, predicted, evidence) of every whole text, row by row.
+def score_toxicity(vectors: DataFrame, model: ToxicityModel, threshold: float = 0.7) -> DataFrame:
+    """(doc_id, held_out, score, predicted, evidence) of every row of a table of vectors (see `fit`).
 
-    evidence: the three nearest labelled examples (doc_id, cosine, label). A null, empty or term-free text has
-    no neighbour and gets the rate of such examples. The model has a bounded size and is broadcast.
+    evidence: the three nearest labelled examples (doc_id, cosine, label); of equal cosines the earlier example in the
+    index's order. A null, empty or term-free text has no neighbour and gets the rate of such examples. Repeated rows
+    are scored each; an empty table gives none; other columns are not read. The model has a bounded size and is broadcast.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    shared = vectors.sparkSession.sparkContext.broadcast(model)
+    kind = vectors.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache: dict = {}
         for batch in batches:
-            got = [shared.value.score(t or "", cache) for t in batch["text"]]
+            got = shared.value.score_counts([(unpacked(t), planes(n)) for t, n in zip(batch["_terms"], batch["_n"])])
             yield pd.DataFrame({"doc_id": batch["doc_id"], "score": [g[0] for g in got], "evidence": [[{"doc_id": i, "cosine": c, "label": y} for i, c, y in g[1]] for g in got]})
 
-    out = docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, score double, evidence array<struct<doc_id:{kind},cosine:double,label:int>>")
+    out = vectors.select("doc_id", "_terms", "_n").mapInPandas(run, f"doc_id {kind}, score double, evidence array<struct<doc_id:{kind},cosine:double,label:int>>")
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "evidence")
 
 
-def keep_clean(docs: DataFrame, model: ToxicityModel, threshold: float = 0.7) -> DataFrame:
-    """The rows of `docs`, with all their columns, whose score is below the threshold."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    cache: dict = {}
+def keep_clean(vectors: DataFrame, model: ToxicityModel, threshold: float = 0.7) -> DataFrame:
+    """The rows of a table of vectors (see `fit`), with its carried columns, whose score is below the threshold.
+
+    Every row is judged by its own text: repeated rows stay or go together, null and empty texts are scored as such.
+    """
+    shared = vectors.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        return pd.Series([shared.value.score(t or "", cache)[0] for t in texts], dtype=float)
+    def score(terms: pd.Series, n: pd.Series) -> pd.Series:
+        return pd.Series([s for s, _ in shared.value.score_counts([(unpacked(t), planes(m)) for t, m in zip(terms, n)])], dtype=float)
 
-    return docs.where(score("text") < threshold)
+    return vectors.where(score("_terms", "_n") < threshold).drop("_terms", "_n")

@@ -7,11 +7,13 @@ import zlib
 
 import numpy as np
 import pytest
+from hypothesis import given, strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 import public_tokenizers as public
 from cytoframe.llm import byte_bpe, chat_format, embedding_dedup, fingerprint, license_scan, minhash_dedup, packing, quality, queries, toxicity, url_filter
+from cytoframe.llm.words import STEMS, WORD, WordTable, term_hashes
 
 SF = "/root/testdata/sf0.01"
 DOC = "doc_id long, text string, lang string, source string, n_chars long, sig string, rep long"
@@ -63,67 +65,139 @@ def test_quality_gradient():
 
 
 def test_toxicity_held_out(docs, labels):
-    model = toxicity.fit(docs, labels)
-    scored = toxicity.score_toxicity(docs, model)
+    model, vectors = toxicity.fit(docs, labels, carry=tuple(docs.columns))
+    scored = toxicity.score_toxicity(vectors, model)
     assert accuracy(scored, labels, "toxic") > 0.93
-    assert toxicity.keep_clean(docs, model).count() == scored.where("predicted = 0").count()
+    kept = toxicity.keep_clean(vectors, model)
+    assert kept.columns == docs.columns and kept.count() == scored.where("predicted = 0").count()
 
 
-def test_block_max_search_is_exact():
+def _dense(index, rows, n_terms):
+    """The unit vectors of rows under the index's weights, in plain loops."""
+    out = np.zeros((len(rows), n_terms))
+    for e, (t, n) in enumerate(rows):
+        for term, count in zip(t, n):
+            out[e, term] = (1 + np.log(count)) * index.idf[term]
+        norm = np.sqrt((out[e] ** 2).sum())
+        out[e] /= norm if norm else 1
+    return out
+
+
+def _rows(r, n, draw, most):
+    terms = [np.array(sorted(draw()), np.int32) for _ in range(n)]
+    return [(t, np.array([r.randint(1, most) for _ in t], np.int32)) for t in terms]
+
+
+@pytest.mark.parametrize("shape", ["few terms", "rare and common"])
+def test_block_max_search_is_exact(shape):
     r = random.Random(3)
-    rows = [{t: r.randint(1, 4) for t in r.sample(range(40), r.randint(1, 8))} for _ in range(500)]
-    idf = np.array([r.uniform(0.5, 3) for _ in range(40)])
-    index = toxicity.BlockMaxIndex(rows, np.array([r.randint(0, 1) for _ in rows], float), idf, block=16)
-    dense = np.zeros((500, 40))
-    for place, e in enumerate(index.ids):
-        for t, w in index.unit(rows[e]).items():
-            dense[place, t] = w
-    for q in rows[:40]:
-        v = np.zeros(40)
-        for t, w in index.unit(q).items():
-            v[t] = w
-        assert np.allclose(index.search(q, 10)[0], np.sort(dense @ v)[::-1][:10], atol=1e-6)
+    if shape == "few terms":
+        n_terms, rows = 40, _rows(r, 500, lambda: r.sample(range(40), r.randint(1, 8)), 4)
+    else:
+        n_terms, rows = 900, _rows(r, 700, lambda: [*r.sample(range(20), 8), *r.sample(range(20, 900), 12)], 3)
+    index = toxicity.BlockMaxIndex(rows, np.array([r.randint(0, 1) for _ in rows], float), np.array([r.uniform(0.5, 3) for _ in range(n_terms)]), block=16)
+    assert (index.column >= 0).any() and (shape == "few terms" or (index.column < 0).any())
+    dense = _dense(index, rows, n_terms)
+    nobody = (np.empty(0, np.int32), np.empty(0, np.int32))
+    for got, q in zip(index.search([*rows[:60], nobody], 10), dense[:60]):
+        every = dense @ q
+        assert np.allclose(got[0], np.sort(every)[::-1][:10], atol=1e-5) and np.allclose(every[index.ids[got[1]]], got[0], atol=1e-5)
+    assert not len(index.search([nobody], 10)[0][0])
+    for e, (cosine, place) in enumerate(index.search(rows[:60], 10, skip=np.arange(60))):
+        every = dense @ dense[e]
+        assert e not in index.ids[place] and np.allclose(cosine, np.sort(every[np.arange(len(rows)) != e])[::-1][:10], atol=1e-5)
+
+
+def test_toxicity_scores_equal_brute_force(spark):
+    """Terms, frequencies, weights, votes and calibration, recomputed from the texts with dictionaries and dense vectors."""
+    r = random.Random(11)
+    words = [f"{a}{b}{c}ing" for a in "bcdfg" for b in "aeiou" for c in "lmnrt"] + ["rotten", "lovely"]
+    texts = [" ".join([*r.choices(words[:-2], k=r.randint(3, 30)), "rotten" if i % 3 == 0 else "lovely"]) for i in range(240)] + ["", "12 34"]
+    labels = [(i, int(i % 3 == 0)) for i in range(200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model, vectors = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), per_class=100_000, k=7)
+    got = {x["doc_id"]: x["score"] for x in toxicity.score_toxicity(vectors, model).collect()}
+
+    def terms(text):
+        out = {}
+        for w in WORD.findall(text.lower()):
+            for t in [w, *(w[:n] + "*" for n in STEMS if len(w) > n)]:
+                out[t] = out.get(t, 0) + 1
+        return out
+
+    every = [terms(t) for t in texts]
+    trained = [(i, y) for i, y in labels if zlib.crc32(str(i).encode()) % 3 != 1]
+    known = {t for i, _ in trained for t in every[i]}
+    held = lambda rows, t: sum(t in x for x in rows)
+    n, n_pos = len(trained), sum(y for _, y in trained)
+    weight = {}
+    for t in known:
+        a, b = held([every[i] for i, y in trained if y], t), held([every[i] for i, y in trained if not y], t)
+        g2 = 0.0
+        for observed, total in ((a, n_pos), (b, n - n_pos)):
+            expected = (a + b) * total / n
+            g2 += sum(o * np.log(o / e) for o, e in ((observed, expected), (total - observed, total - expected)) if o)
+        weight[t] = (np.log((len(texts) + 1) / (held(every, t) + 1)) + 1) * np.sqrt(1 + max(2 * g2, 0))
+
+    def unit(counts):
+        v = {t: (1 + np.log(c)) * weight[t] for t, c in counts.items() if t in weight}
+        norm = np.sqrt(sum(x * x for x in v.values()))
+        return {t: x / norm for t, x in v.items()}
+
+    units = [(i, y, unit(every[i])) for i, y in trained]
+    prior = (n_pos + 1) / (n + 2)
+
+    def vote(q, leave=None):
+        near = sorted(((sum(x * v.get(t, 0) for t, x in q.items()), y) for i, y, v in units if i != leave), reverse=True)[:7]
+        w = [1 / (1.05 - min(c, 1)) ** 2 for c, _ in near if c > 0]
+        return (prior + sum(x * y for x, (_, y) in zip(w, near))) / (1 + sum(w))
+
+    z = lambda p: np.log(np.clip(p, 1e-6, 1 - 1e-6) / (1 - np.clip(p, 1e-6, 1 - 1e-6)))
+    x, y = np.array([z(vote(v, i)) for i, _, v in units]), np.array([y for _, y, _ in units], float)
+    a, b = 1.0, 0.0
+    for _ in range(20_000):  # the same fit by plain gradient steps
+        q = 1 / (1 + np.exp(-(a * x + b)))
+        a, b = a - 1e-4 * (((q - y) * x).sum() + a - 1), b - 1e-4 * ((q - y).sum() + b)
+    for i, counts in enumerate(every):
+        q = unit(counts)
+        want = 1 / (1 + np.exp(-(max(a, 0.1) * z(vote(q)) + b))) if q else prior
+        assert abs(got[i] - want) < 2e-3
 
 
 def test_toxicity_indexes_every_term(spark):
     """Neutral words are in no way telling of the label, and still find the nearest example."""
     texts = [f"topic{chr(97 + i % 26)}{chr(97 + i // 26)} plain words {'rotten' if i % 2 else 'lovely'}" for i in range(60)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    model = toxicity.fit(docs, spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int"))
+    model, _ = toxicity.fit(docs, spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int"))
     trained = [t for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 3 != 1]
-    assert set(model.lookup) == {x for t in trained for w in toxicity.WORD.findall(t) for x in toxicity.word_terms(w)}
+    assert len(model.codes) == len({x for t in trained for w in WORD.findall(t) for x in (w, *(w[:n] + "*" for n in STEMS if len(w) > n))})
     for i, t in enumerate(texts):
         if t in trained:
-            assert model.score(t.split()[0], {})[1][0][0] == i
-    assert model.score("plain words", {})[1]
-
-
-def test_block_max_search_with_rare_and_common_terms():
-    r = random.Random(4)
-    rows = [{t: r.randint(1, 3) for t in [*r.sample(range(20), 8), *r.sample(range(20, 900), 12)]} for _ in range(700)]
-    index = toxicity.BlockMaxIndex(rows, np.array([r.randint(0, 1) for _ in rows], float), np.array([r.uniform(0.5, 3) for _ in range(900)]), block=16)
-    assert (index.column >= 0).any() and (index.column < 0).any()
-    dense = np.zeros((700, 900))
-    for place, e in enumerate(index.ids):
-        for t, w in index.unit(rows[e]).items():
-            dense[place, t] = w
-    for e in range(60):
-        all_ = dense @ dense[np.flatnonzero(index.ids == e)[0]]
-        assert np.allclose(index.search(rows[e], 10)[0], np.sort(all_)[::-1][:10], atol=1e-5)
-        cosine, place = index.search(rows[e], 10, skip=e)
-        assert e not in index.ids[place] and np.allclose(cosine, np.sort(all_[index.ids != e])[::-1][:10], atol=1e-5)
-    common = {int(t): 1 for t in np.flatnonzero(index.column >= 0)}
-    assert len(index.search(common, 10, skip=3)[0]) == 10
+            assert model.score([t.split()[0]])[0][1][0][0] == i
+    assert model.score(["plain words"])[0][1]
+
+
+@given(st.lists(st.text(alphabet="aéßΣ中1_-' \n\u2003²", max_size=30), max_size=8))
+def test_word_table_cuts_like_the_pattern(texts):
+    table = WordTable(lambda h: h)
+    for _ in range(2):
+        got = [table.rows[s][:, 0].tolist() for s in table.slots(texts)]
+        assert got == [term_hashes(WORD.findall(" ".join(w.lower() for w in t.split())))[:, 0].tolist() for t in texts]
 
 
 def test_scores_of_awkward_rows(spark, docs, labels, awkward):
-    for scored in (toxicity.score_toxicity(awkward, toxicity.fit(docs, labels)), quality.score_quality(awkward, quality.fit(docs, labels)), quality.score_quality(awkward, None)):
+    both = awkward.unionByName(docs, allowMissingColumns=True)
+    model, vectors = toxicity.fit(both, labels)
+    found = toxicity.score_toxicity(vectors, model).where("doc_id IS NULL OR doc_id < 9")
+    assert found.where("doc_id IS NULL").count() == 1 and found.where("doc_id = 6").select("score").distinct().count() >= 1
+    assert toxicity.score_toxicity(vectors, model).where("score < 0 OR score > 1 OR score IS NULL").count() == 0
+    for scored in (quality.score_quality(awkward, quality.fit(docs, labels)), quality.score_quality(awkward, None)):
         got = scored.collect()
         assert len(got) == len(AWKWARD) and all(0 <= r["score"] <= 1 for r in got)
     empty = awkward.limit(0)
     assert quality.fit(empty, labels) is None
-    model = toxicity.fit(empty, labels)
-    assert toxicity.score_toxicity(empty, model).count() == 0
+    model, vectors = toxicity.fit(empty, labels)
+    assert toxicity.score_toxicity(vectors, model).count() == 0
 
 
 def test_packing(spark, awkward, docs):
