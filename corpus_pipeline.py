@@ -19,8 +19,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below 0.7."""
-    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.keep_clean(docs, model)
+    model, vectors = toxicity.fit(docs, table(spark, sf_dir, "labels"), carry=tuple(docs.columns))
+    return toxicity.keep_clean(vectors, model)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
