@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import pickle
 from collections import Counter
 from collections.abc import Iterator
 
@@ -79,21 +80,18 @@ class BlockMaxIndex:
         del term, weight, place, by, rare
         at = np.nonzero(dense[order])
         self.filled = (at[0].astype(np.int32), at[1].astype(np.int32), dense[order[at[0]], at[1]], len(common))
-        self._runs()
+        self.runs = None
 
-    def _runs(self) -> None:
-        row, column, weight, n = self.filled
-        self.runs = np.zeros((self.blocks, self.block, n), np.float32)
-        self.runs.reshape(-1, n)[row, column] = weight
-        self.peak = self.runs.max(axis=1, initial=0).T.copy()
+    def _ready(self) -> None:
+        """Dense runs and their peaks, made from the entries where a search first needs them."""
+        if self.runs is None:
+            row, column, weight, n = self.filled
+            self.runs = np.zeros((self.blocks, self.block, n), np.float32)
+            self.runs.reshape(self.blocks * self.block, n)[row, column] = weight
+            self.peak = self.runs.max(axis=1, initial=0).T.copy()
 
     def __getstate__(self) -> dict:
-        """The dense runs are made anew from their entries, so they do not travel."""
-        return {k: v for k, v in self.__dict__.items() if k not in ("runs", "peak")}
-
-    def __setstate__(self, state: dict) -> None:
-        self.__dict__.update(state)
-        self._runs()
+        return {k: v for k, v in self.__dict__.items() if k != "peak"} | {"runs": None}
 
     def weigh(self, terms: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         w = (1 + np.log(n)) * self.idf[terms]
@@ -105,6 +103,7 @@ class BlockMaxIndex:
         out. `skip` names an example for each query that does not count."""
         if not self.size:
             return [(np.empty(0), np.empty(0, int)) for _ in queries]
+        self._ready()
         n, width, slack = len(queries), self.blocks * self.block, 1e-4
         score, q = np.empty((n, width), np.float32), np.zeros((n, self.runs.shape[2]), np.float32)
         for i, counts in enumerate(queries):
@@ -256,12 +255,16 @@ def label_strength(rows: list, y: np.ndarray, n_terms: int) -> np.ndarray:
 
 
 def packed(x: np.ndarray) -> bytes:
-    """Numbers below 2^32 as four planes of bytes, of which the upper ones compress to little."""
-    return np.ascontiguousarray(x, "<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    """Numbers below 2^32 as planes of bytes, as many as the largest number needs."""
+    need = max(1, (int(x.max(initial=0)).bit_length() + 7) // 8)
+    return bytes([need]) + np.ascontiguousarray(x, "<u4").view(np.uint8).reshape(-1, 4)[:, :need].T.tobytes()
 
 
 def planes(b: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+    x = np.frombuffer(b, np.uint8, offset=1).reshape(b[0], -1)
+    out = np.zeros((x.shape[1], 4), np.uint8)
+    out[:, : b[0]] = x.T
+    return out.view("<u4").ravel()
 
 
 def unpacked(terms: bytes) -> np.ndarray:
@@ -289,8 +292,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
     Learns from a sample of at most `per_class` labelled training rows of each class (chosen by a hash of the id).
     Every term of the sample is indexed. Document frequencies are counted over all documents. A term's weight is
     its TF-IDF times the root of 1 + G2, so that terms which tell about the label count for more and none is lost.
-    The 2 * `per_class` sparse vectors of the sample and one count for each term reach the driver. Every text is cut
-    into words once: frequencies and scores come from the written vectors.
+    One task builds the index from the 2 * `per_class` sparse vectors; the driver gets the finished model and one count
+    for each term. Every text is cut into words once: frequencies and scores come from the written vectors.
     Rows of one text and label are one example, an id is one row of the sample; null texts are empty. With an empty
     table or sample every score is the prior of 0.5 under no evidence. Other columns are not read.
     """
@@ -300,21 +303,22 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
     train = labels.where(~held_out(F.col("doc_id"))).groupBy(F.col(label).cast("int").alias("y")).agg(F.count("*").alias("n")).where("y in (0, 1)")
     stands = {r["y"]: r["n"] for r in train.collect()}
 
-    def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = WordTable(lambda hashes: hashes)
         for batch in batches:
             found = list(counted(table, list(batch["text"]), 0))
             yield pd.DataFrame({"doc_id": batch["doc_id"], "y": batch["y"], "t": [f[0].astype("<u8").tobytes() for f in found], "n": [f[1].astype("<i4").tobytes() for f in found]})
 
+    def distinct(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = np.unique(np.concatenate([np.empty(0, np.uint64), *(np.frombuffer(t, "<u8") for t in batch["t"])]))
+            yield pd.DataFrame({"code": found.view(np.int64)})
+
     kind = docs.schema["doc_id"].dataType.simpleString()
-    got = sample.mapInPandas(vectors, f"doc_id {kind}, y int, t binary, n binary").orderBy("doc_id", "y", "t", "n").toArrow()
-    y, keys = got["y"].to_pylist(), got["doc_id"].to_pylist()
-    codes = np.empty(0, np.uint64)
-    for chunk in got["t"].chunks:
-        codes = np.union1d(codes, np.concatenate([np.empty(0, np.uint64), *(np.frombuffer(x.as_buffer(), "<u8") for x in chunk)]))
-    rows = [(np.searchsorted(codes, np.frombuffer(t.as_buffer(), "<u8")).astype(np.int32), np.frombuffer(n.as_buffer(), "<i4").copy()) for t, n in zip(got["t"], got["n"])]
-    del got
-    vectors = scratch.write(vectorise(docs, spark.sparkContext.broadcast(codes), carry), "vectors", compression="zstd")
+    examples = scratch.write(sample.mapInPandas(cut, f"doc_id {kind}, y int, t binary, n binary"), "examples")
+    codes = np.sort(examples.select("t").mapInPandas(distinct, "code long").distinct().toArrow()["code"].to_numpy().view(np.uint64))
+    known = spark.sparkContext.broadcast(codes)
+    vectors = scratch.write(vectorise(docs, known, carry), "vectors", compression="zstd")
 
     def frequency(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         df, n = np.zeros(len_codes, np.int64), 0
@@ -330,9 +334,24 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
     df = np.zeros(len(codes) + 1)  # the last: all documents
     df[counts["t"].to_numpy()] = counts["n"].to_numpy()
     del counts
-    have = Counter(y)
-    weights = tuple(max(1.0, stands.get(y, 0) / max(have[y], 1)) for y in (0, 1))
-    return ToxicityModel(codes, rows, y, keys, df[:-1], int(df[-1]), weights, k), vectors
+
+    def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The whole (bounded) sample in one task, so that the driver need not hold it."""
+        rows, y, keys = [], [], []
+        for batch in batches:
+            y += batch["y"].tolist()
+            keys += batch["doc_id"].tolist()
+            rows += [(np.searchsorted(known.value, np.frombuffer(t, "<u8")).astype(np.int32), np.frombuffer(n, "<i4").copy()) for t, n in zip(batch["t"], batch["n"])]
+        have = Counter(y)
+        weights = tuple(max(1.0, stands.get(v, 0) / max(have[v], 1)) for v in (0, 1))
+        whole = pickle.dumps(ToxicityModel(known.value, rows, y, keys, df[:-1], int(df[-1]), weights, k), protocol=5)
+        for lo in range(0, len(whole), 1 << 24):
+            yield pd.DataFrame({"lo": [lo], "part": [whole[lo : lo + (1 << 24)]]})
+
+    made = examples.repartition(1).sortWithinPartitions("doc_id", "y", "t", "n").mapInPandas(build, "lo long, part binary").toArrow().sort_by("lo")
+    if not made.num_rows:  # an empty sample gives its task no rows
+        return ToxicityModel(codes, [], [], [], df[:-1], int(df[-1]), (1.0, 1.0), k), vectors
+    return pickle.loads(b"".join(x.as_buffer() for x in made["part"])), vectors
 
 
 def score_toxicity(vectors: DataFrame, model: ToxicityModel, threshold: float = 0.7) -> DataFrame:
