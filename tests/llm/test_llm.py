@@ -50,7 +50,7 @@ def test_quality_held_out(spark, docs, labels):
     assert {r[0] for r in kept.select("doc_id").collect()} == {r[0] for r in scored.where("predicted = 1").select("doc_id").collect()}
 
 
-def test_quality_gradient():
+def test_quality_finds_the_telling_passage():
     r = np.random.default_rng(1)
     bags, y = [], []
     for i in range(200):  # one telling passage among others
@@ -64,6 +64,47 @@ def test_quality_gradient():
     assert np.mean((m.score(bags)[0] > 0.5) == y) > 0.95
 
 
+def test_quality_forward_and_gradient():
+    """Scores by plain loops; every gradient by finite differences."""
+    r = np.random.default_rng(7)
+    m = quality.AttentionMIL(6, hidden=5, gate=4)
+    m.mean, m.std = r.normal(size=6), r.uniform(0.5, 2, 6)
+    bags = [r.normal(size=(n, 6)) for n in (1, 4, 2, 7)]
+    y, weight = np.array([1.0, 0, 0, 1]), np.array([0.5, 2, 1, 1])
+    p = m.p
+    for bag, got in zip(bags, m.score(bags)[0]):
+        h = [np.tanh(((x - m.mean) / m.std) @ p["E"] + p["e"]) for x in bag]
+        raw = [sum(p["w"][k] * np.tanh(z @ p["V"][:, k]) / (1 + np.exp(-(z @ p["U"][:, k]))) for k in range(4)) for z in h]
+        a = np.exp(raw) / np.exp(raw).sum()
+        assert abs(got - 1 / (1 + np.exp(-(sum(w * z for w, z in zip(a, h)) @ p["c"] + p["b"][0])))) < 1e-9
+    x, start = np.concatenate(bags), np.cumsum([0, *map(len, bags[:-1])])
+    grad = m.gradient(x, start, y, weight)
+    for name, g in grad.items():
+        flat = p[name].reshape(-1)
+        for k in range(len(flat)):
+            old, step = flat[k], 1e-6
+            flat[k] = old + step
+            up = m.loss(x, start, y, weight)
+            flat[k] = old - step
+            down = m.loss(x, start, y, weight)
+            flat[k] = old
+            assert abs((up - down) / (2 * step) - g.reshape(-1)[k]) < 1e-6
+
+
+def test_quality_of_long_texts(spark, monkeypatch):
+    """A text cut in slices scores as one; a class of long texts alone is learnt and told apart."""
+    r = random.Random(2)
+    texts = [" ".join(r.choice(["good", "fine"] if i % 2 else ["junk", "spam"]) + str(r.randint(0, 9)) for _ in range(3000 if i % 2 else 20)) for i in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = quality.fit(docs, spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int"), max_passages=5)
+    whole = model.score_texts(texts)
+    monkeypatch.setattr(quality, "SLICE", 7)
+    assert all(np.allclose(a, b) for a, b in zip(whole, model.score_texts(texts)))
+    assert list(whole[0] > 0.5) == [i % 2 == 1 for i in range(60)] and whole[2][1] == 63
+    parts = [quality.features(b) for b in quality.passages(texts[1])]
+    assert sum(map(len, parts)) == 63 and sum(len(b[0]) for b in quality.passages(texts[1], 5)) == 5
+
+
 def test_toxicity_held_out(docs, labels):
     model, vectors = toxicity.fit(docs, labels, carry=tuple(docs.columns))
     scored = toxicity.score_toxicity(vectors, model)
