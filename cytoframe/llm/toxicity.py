@@ -9,7 +9,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import Scratch, held_out, labelled_sample
 from .words import WordTable
@@ -55,7 +57,7 @@ class BlockMaxIndex:
     No term is left out: the result is exact (in single precision).
     """
 
-    def __init__(self, rows: list[Counts], labels: np.ndarray, idf: np.ndarray, block: int = 64, often: int = 16):
+    def __init__(self, rows: list[Counts], labels: np.ndarray, idf: np.ndarray, block: int = 64, often: int = 24):
         self.idf, self.block, self.size = np.asarray(idf, float), block, len(rows)
         self.blocks = -(-len(rows) // block) or 1
         vectors = [self.weigh(*r) for r in rows]
@@ -98,11 +100,11 @@ class BlockMaxIndex:
         norm = math.sqrt(float(w @ w))
         return (terms, w / norm) if norm else (terms[:0], w[:0])
 
-    def search(self, queries: list[Counts], k: int, skip: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Cosines and places of the k nearest examples of each query (ties: the lower place); cosines of 0 are left
-        out. `skip` names an example for each query that does not count."""
-        if not self.size:
-            return [(np.empty(0), np.empty(0, int)) for _ in queries]
+    def search(self, queries: list[Counts], k: int, skip: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Cosines and places of the k nearest examples, a row for each query (ties: the lower place); 0 and -1 stand
+        where no more examples share a term. `skip` names an example for each query that does not count."""
+        if not self.size or not queries:
+            return np.zeros((len(queries), k)), np.full((len(queries), k), -1)
         self._ready()
         n, width, slack = len(queries), self.blocks * self.block, 1e-4
         score, q = np.empty((n, width), np.float32), np.zeros((n, self.runs.shape[2]), np.float32)
@@ -137,12 +139,15 @@ class BlockMaxIndex:
                 best = np.take_along_axis(exact, order[:, :reach, None], axis=1).reshape(n, -1)
                 least = np.maximum(np.partition(best, best.shape[1] - k, axis=1)[:, best.shape[1] - k], 0)
         exact = exact.reshape(n, width)
-        out = []
-        for i in range(n):
-            p = np.flatnonzero((exact[i] >= least[i]) & (exact[i] > 0))
-            top = p[np.lexsort((p, -exact[i, p]))[:k]]
-            out.append((exact[i, top].astype(float), top))
-        return out
+        i, p = np.nonzero((exact >= least[:, None]) & (exact > 0))
+        cos = exact[i, p]
+        by = np.lexsort((p, -cos, i))
+        i, p, cos = i[by], p[by], cos[by]
+        nth = np.arange(len(i)) - np.searchsorted(i, i)
+        i, p, cos, nth = i[nth < k], p[nth < k], cos[nth < k], nth[nth < k]
+        cosine, place = np.zeros((n, k)), np.full((n, k), -1)
+        cosine[i, nth], place[i, nth] = cos, p
+        return cosine, place
 
 
 def clusters(rows: np.ndarray, k: int = 8, rounds: int = 6) -> np.ndarray:
@@ -177,35 +182,35 @@ class ToxicityModel:
             votes = []
             for lo in range(0, len(keep), BATCH):
                 own = np.arange(lo, min(lo + BATCH, len(keep)))
-                votes += [self.vote(*got) for got in self.index.search([rows[e] for e in keep[own]], k, skip=own)]
-            self.a, self.b = platt(logit(np.array(votes)), y[keep], rate[keep])
+                votes.append(self.votes(*self.index.search([rows[e] for e in keep[own]], k, skip=own)))
+            self.a, self.b = platt(logit(np.concatenate(votes)), y[keep], rate[keep])
 
     def table(self) -> WordTable:
         """One for each task: the words that its texts have in common are looked up once."""
         return WordTable(in_vocabulary(self.codes))
 
-    def vote(self, cosine: np.ndarray, place: np.ndarray) -> float:
-        """Votes weighted by the reciprocal square of the distance, and one vote for the prior."""
-        label = self.index.labels[place]
-        w = self.weights[label.astype(int)] / (1.05 - np.minimum(cosine, 1)) ** 2
-        return float((self.prior + (w * label).sum()) / (1 + w.sum()))
+    def votes(self, cosine: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Votes weighted by the reciprocal square of the distance, and one vote for the prior, for each row."""
+        label = np.where(place >= 0, self.index.labels[place], 0) if self.index.size else np.zeros(place.shape)
+        w = np.where(place >= 0, self.weights[label.astype(int)] / (1.05 - np.minimum(cosine, 1)) ** 2, 0)
+        return (self.prior + (w * label).sum(axis=1)) / (1 + w.sum(axis=1))
 
-    def score(self, texts: list[str]) -> list[tuple[float, list[tuple]]]:
-        return self.score_counts(list(counted(self.table(), texts, -1)))
+    def score_counts(self, counts: list[Counts]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The scores of texts, and their nearest examples: cosines and places, a row for each text."""
+        got = [self.index.search(counts[lo : lo + BATCH], self.k) for lo in range(0, len(counts), BATCH)]
+        cosine, place = (np.concatenate(x) for x in zip(*got)) if got else (np.zeros((0, self.k)), np.zeros((0, self.k), int))
+        score = 1 / (1 + np.exp(-(self.a * logit(self.votes(cosine, place)) + self.b)))
+        return np.where([len(terms) > 0 for terms, _ in counts], score, self.silent), cosine, place
+
+    def example(self, place: np.ndarray) -> np.ndarray:
+        """Numbers of examples (into `keys`) at places of the index."""
+        return self.keep[self.index.ids[place]]
 
-    def score_counts(self, counts: list[Counts]) -> list[tuple[float, list[tuple]]]:
+    def score(self, texts: list[str]) -> list[tuple[float, list[tuple]]]:
         """The score of each text, and its three nearest examples (key, cosine, label)."""
-        out = []
-        for lo in range(0, len(counts), BATCH):
-            part = counts[lo : lo + BATCH]
-            for (terms, _), (cosine, place) in zip(part, self.index.search(part, self.k)):
-                if not len(terms):
-                    out.append((float(self.silent), []))
-                    continue
-                z = self.a * logit(np.array([self.vote(cosine, place)]))[0] + self.b
-                near = [(self.keys[self.keep[self.index.ids[p]]], float(c), int(self.index.labels[p])) for c, p in zip(cosine[:3], place[:3])]
-                out.append((float(1 / (1 + math.exp(-z))), near))
-        return out
+        score, cosine, place = self.score_counts(list(counted(self.table(), texts, -1)))
+        near = [[(self.keys[self.example(p)], float(c), int(self.index.labels[p])) for c, p in zip(*row) if p >= 0] for row in zip(cosine[:, :3], place[:, :3])]
+        return list(zip(score.tolist(), near))
 
 
 def logit(p: np.ndarray) -> np.ndarray:
@@ -363,13 +368,23 @@ def score_toxicity(vectors: DataFrame, model: ToxicityModel, threshold: float =
     """
     shared = vectors.sparkSession.sparkContext.broadcast(model)
     kind = vectors.schema["doc_id"].dataType.simpleString()
+    batch_type = to_arrow_type(vectors.schema["doc_id"].dataType)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        keys = pa.array(model.keys, batch_type)
         for batch in batches:
-            got = shared.value.score_counts([(unpacked(t), planes(n)) for t, n in zip(batch["_terms"], batch["_n"])])
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "score": [g[0] for g in got], "evidence": [[{"doc_id": i, "cosine": c, "label": y} for i, c, y in g[1]] for g in got]})
-
-    out = vectors.select("doc_id", "_terms", "_n").mapInPandas(run, f"doc_id {kind}, score double, evidence array<struct<doc_id:{kind},cosine:double,label:int>>")
+            score, cosine, place = model.score_counts([(unpacked(t), planes(n)) for t, n in zip(batch["_terms"].to_pylist(), batch["_n"].to_pylist())])
+            cosine, place = cosine[:, :3], place[:, :3]
+            found = place >= 0
+            p = place[found]
+            example = pa.array(model.example(p) if len(p) else np.empty(0, int), pa.int64())
+            near = [keys.take(example), pa.array(cosine[found]), pa.array(model.index.labels[p].astype(np.int32) if len(p) else np.empty(0, np.int32))]
+            ends = np.r_[0, np.cumsum(found.sum(axis=1))].astype(np.int32)
+            evidence = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(near, ["doc_id", "cosine", "label"]))
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(score), evidence], ["doc_id", "score", "evidence"])
+
+    out = vectors.select("doc_id", "_terms", "_n").mapInArrow(run, f"doc_id {kind}, score double, evidence array<struct<doc_id:{kind},cosine:double,label:int>>")
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "evidence")
 
 
@@ -382,6 +397,6 @@ def keep_clean(vectors: DataFrame, model: ToxicityModel, threshold: float = 0.7)
 
     @F.pandas_udf("double")
     def score(terms: pd.Series, n: pd.Series) -> pd.Series:
-        return pd.Series([s for s, _ in shared.value.score_counts([(unpacked(t), planes(m)) for t, m in zip(terms, n)])], dtype=float)
+        return pd.Series(shared.value.score_counts([(unpacked(t), planes(m)) for t, m in zip(terms, n)])[0])
 
     return vectors.where(score("_terms", "_n") < threshold).drop("_terms", "_n")

@@ -59,22 +59,23 @@ class WordTable:
         self.used = 0
 
     def _learn(self, new: list[str]) -> None:
-        words: dict[str, int] = {}
-        for token in new:
-            low = token.lower()
-            if low.isalpha():
-                self.slot[token] = self.used + words.setdefault(low, len(words))
+        low = [t.lower() for t in new]
+        plain = list(map(str.isalpha, low))
+        words = [w for w, p in zip(low, plain) if p]
+        self.slot.update(zip((t for t, p in zip(new, plain) if p), range(self.used, self.used + len(words))))
+        for token, w, p in zip(new, low, plain):
+            if p:
                 continue
-            found = WORD.findall(low)
-            own = [self.used + words.setdefault(w, len(words)) for w in found]
-            if len(own) == 1:
-                self.slot[token] = own[0]
-            elif own:
+            found = WORD.findall(w)
+            if len(found) == 1:
+                self.slot[token] = self.used + len(words)
+            elif found:
                 self.slot[token] = -2 - len(self.several)
-                self.several.append(np.array(own))
+                self.several.append(np.arange(len(words), len(words) + len(found)) + self.used)
             else:
                 self.slot[token] = -1
-        rows = self.resolve(term_hashes(list(words)))
+            words += found
+        rows = self.resolve(term_hashes(words))
         if self.rows is None:
             self.rows = np.empty((max(1024, 2 * len(rows)), rows.shape[1]), rows.dtype)
         while len(self.rows) < self.used + len(rows):

@@ -140,13 +140,14 @@ def test_block_max_search_is_exact(shape):
     assert (index.column >= 0).any() and (shape == "few terms" or (index.column < 0).any())
     dense = _dense(index, rows, n_terms)
     nobody = (np.empty(0, np.int32), np.empty(0, np.int32))
-    for got, q in zip(index.search([*rows[:60], nobody], 10), dense[:60]):
+    cosine, place = index.search([*rows[:60], nobody], 10)
+    assert (cosine[60] == 0).all() and (place[60] == -1).all()
+    for c, p, q in zip(cosine, place, dense[:60]):
         every = dense @ q
-        assert np.allclose(got[0], np.sort(every)[::-1][:10], atol=1e-5) and np.allclose(every[index.ids[got[1]]], got[0], atol=1e-5)
-    assert not len(index.search([nobody], 10)[0][0])
-    for e, (cosine, place) in enumerate(index.search(rows[:60], 10, skip=np.arange(60))):
+        assert np.allclose(c, np.sort(every)[::-1][:10], atol=1e-5) and np.allclose(every[index.ids[p[p >= 0]]], c[p >= 0], atol=1e-5)
+    for e, (c, p) in enumerate(zip(*index.search(rows[:60], 10, skip=np.arange(60)))):
         every = dense @ dense[e]
-        assert e not in index.ids[place] and np.allclose(cosine, np.sort(every[np.arange(len(rows)) != e])[::-1][:10], atol=1e-5)
+        assert e not in index.ids[p[p >= 0]] and np.allclose(c, np.sort(every[np.arange(len(rows)) != e])[::-1][:10], atol=1e-5)
 
 
 def test_toxicity_scores_equal_brute_force(spark):
