@@ -10,10 +10,8 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import FloatType
 
 from .common import Scratch, link
-from .graph import components
-from .minhash_dedup import blocks, runs, spanning
-
-CELL_AXES = 3
+from .graph import components, same_ids, with_components
+from .minhash_dedup import blocks, runs
 
 
 def stacked(batch: pd.DataFrame, kind: str) -> np.ndarray:
@@ -23,7 +21,7 @@ def stacked(batch: pd.DataFrame, kind: str) -> np.ndarray:
 
 
 def moments(dim: int, kind: str) -> Callable:
-    """The upper triangle of the sum of outer products of a partition's unit vectors."""
+    """The sum of outer products of a partition's unit vectors, a row of the matrix each."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros((dim, dim))
@@ -31,45 +29,41 @@ def moments(dim: int, kind: str) -> Callable:
             x = stacked(batch, kind).astype(np.float64)
             x /= np.linalg.norm(x, axis=1, keepdims=True)
             total += x.T @ x
-        i, j = np.triu_indices(dim)
-        yield pd.DataFrame({"i": i, "j": j, "s": total[i, j]})
+        yield pd.DataFrame({"i": range(dim), "s": [r.tobytes() for r in total]})
 
     return run
 
 
+def summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One row for each i: the sum of its rows."""
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for i, s in zip(batch["i"], batch["s"]):
+            total[i] = total.get(i, 0) + np.frombuffer(s)
+    yield pd.DataFrame({"i": list(total), "s": [r.tobytes() for r in total.values()]}).astype({"i": "int32"})
+
+
 def principal_axes(vectors: DataFrame, dim: int, kind: str) -> np.ndarray:
-    """Columns: the axes of the second moments of all unit vectors, by falling share. The driver gets dim^2 / 2 sums."""
-    sums = vectors.mapInPandas(moments(dim, kind), "i int, j int, s double").groupBy("i", "j").agg(F.sum("s").alias("s")).collect()
+    """Columns: the axes of the second moments of all unit vectors, by falling share. The driver gets `dim` rows of them."""
+    parts = vectors.mapInPandas(moments(dim, kind), "i int, s binary").repartition("i")
     m = np.zeros((dim, dim))
-    for r in sums:
-        m[r["i"], r["j"]] = m[r["j"], r["i"]] = r["s"]
+    for r in parts.mapInPandas(summed, "i int, s binary").collect():
+        m[r["i"]] = np.frombuffer(r["s"])
     return np.ascontiguousarray(np.linalg.eigh(m)[1][:, ::-1])
 
 
-def place(axes: np.ndarray, width: float, kind: str) -> Callable:
-    """The grid cell of each vector on the leading axes; vectors within the cosine lie in the same or the next cells."""
+def place(axes: np.ndarray, kind: str) -> Callable:
+    """The leading principal coordinate of each unit vector; linked ones lie no further apart in it than in space."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             raw = stacked(batch, kind)
             x = raw.astype(np.float64)
-            p = x @ axes[:, :CELL_AXES] / np.linalg.norm(x, axis=1, keepdims=True)
-            cell = np.floor(p / width).astype(np.int64) + 64
-            cell = np.pad(cell, ((0, 0), (0, CELL_AXES - cell.shape[1])))
-            yield pd.DataFrame({"rep": batch["rep"], "copies": batch["copies"], "cell": (cell[:, 0] << 16) + (cell[:, 1] << 8) + cell[:, 2], "vec": [r.tobytes() for r in raw]})
+            yield pd.DataFrame({"cid": batch["cid"], "copies": batch["copies"], "at": x @ axes[:, 0] / np.linalg.norm(x, axis=1), "vec": [r.tobytes() for r in raw]})
 
     return run
 
 
-def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One row for each tile, its vectors side by side."""
-    for frame in runs(batches, "tile"):
-        rows = []
-        for t in blocks(frame, "tile"):
-            rows.append((t["tile"].iloc[0], t["cell"].iloc[0], len(t), t["rep"].to_numpy(np.int64).tobytes(), t["copies"].to_numpy(np.int64).tobytes(), b"".join(t["vec"])))
-        yield pd.DataFrame(rows, columns=["tile", "cell", "n", "reps", "copies", "vecs"])
-
-
 def links_between(a: np.ndarray, b: np.ndarray, axes: np.ndarray, threshold: float, same: bool, steps: tuple[int, ...] = (8, 16, 32)) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs (i, j) with cosine >= threshold, in blocks of rows of `a`; for one tile with itself only i < j.
 
@@ -116,80 +110,91 @@ def compare_tiles(axes: np.ndarray, threshold: float, kind: str) -> Callable:
     dim = len(axes)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for r in batch.itertuples(index=False):
-                same = r.tile == r.tile_b
-                a, b = np.frombuffer(r.vecs, kind).reshape(-1, dim), np.frombuffer(r.vecs_b, kind).reshape(-1, dim)
-                ids = np.r_[np.frombuffer(r.reps, np.int64), np.frombuffer(r.reps_b, np.int64)] if not same else np.frombuffer(r.reps, np.int64)
-                ca, cb = np.frombuffer(r.copies, np.int64), np.frombuffer(r.copies_b, np.int64)
-                shift = 0 if same else len(a)
-                count, parent = np.zeros(len(ids), np.int64), np.arange(len(ids))
+        for frame in runs(batches, "meet", 1 << 14):
+            for meet in blocks(frame, "meet"):
+                ids, copies = meet["cid"].to_numpy(np.int64), meet["copies"].to_numpy(float)
+                x = np.frombuffer(b"".join(meet["vec"]), kind).reshape(-1, dim)
+                n = int((meet["side"] == 0).sum())
+                same = n == len(x)
+                a, b, shift = (x, x, 0) if same else (x[:n], x[n:], n)
+                count, parent = np.zeros(len(ids)), np.arange(len(ids))
                 for i, j in links_between(a, b, axes, threshold, same):
                     if len(i):
-                        np.add.at(count, i, cb[j])
-                        np.add.at(count, j + shift, ca[i])
-                        parent = link(parent, i, j + shift)
-                at = np.flatnonzero(count)
-                u, v = spanning(parent, ids)
+                        count += np.bincount(i, copies[j + shift], len(ids)) + np.bincount(j + shift, copies[i], len(ids))
+                        open_ = parent[i] != parent[j + shift]
+                        parent = link(parent, i[open_], j[open_] + shift)
+                at, tied = np.flatnonzero(count), np.flatnonzero(parent != np.arange(len(ids)))
                 if len(at):
-                    yield pd.DataFrame({"u": np.r_[ids[at], u], "v": pd.array(np.r_[np.zeros(len(at), np.int64), v], "Int64"), "links": np.r_[count[at], np.zeros(len(u), np.int64)]}).assign(v=lambda d: d["v"].where(d["links"] == 0))
+                    v = pd.array(np.r_[np.zeros(len(at), np.int64), ids[parent[tied]]], "Int64")
+                    v[: len(at)] = pd.NA
+                    yield pd.DataFrame({"u": np.r_[ids[at], ids[tied]], "v": v, "links": np.r_[count[at], np.zeros(len(tied))].astype(np.int64)})
 
     return run
 
 
-def embedding_duplicates(vectors: DataFrame, threshold: float = 0.95, tile: int = 2048, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+def meetings(placed: DataFrame, width: float, tile: int, scratch: Scratch, name: str) -> DataFrame:
+    """(meet, side, cid, copies, vec): classes in slices of about `tile` along the leading coordinate, each of which
+    meets itself and every slice within `width` once. Slices that ties make too large are divided by a hash."""
+    n = placed.count()
+    points = [k / -(-n // tile) for k in range(1, -(-n // tile))]
+    bounds = sorted(set(placed.agg(F.percentile_approx("at", F.array(*map(F.lit, points)), F.lit(max(10_000, 20 * len(points)))).alias("q")).first()["q"])) if points else []
+    below = lambda x: F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= x)) if bounds else F.lit(0)
+    cut = placed.withColumn("slice", below(F.col("at")))
+    ends = cut.groupBy("slice").agg(F.max("at").alias("hi"), F.ceil(F.count("*") / tile).cast("int").alias("parts"))
+    ends = scratch.write(ends.select("slice", "parts", below(F.col("hi") + width).alias("last")), f"slices{name}")
+    numbered = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    mine = ends.select(F.col("slice").alias("a"), "parts", F.explode(F.sequence("slice", "last")).alias("b")).select("a", numbered.alias("ka"), "b")
+    other = ends.select(F.col("slice").alias("b"), numbered.alias("kb"))
+    pairs = mine.join(other, "b").where("a < b or ka <= kb").select("a", "ka", "b", "kb", F.xxhash64("a", "ka", "b", "kb").alias("meet"))
+    sides = pairs.select("meet", F.lit(0).alias("side"), F.col("a").alias("slice"), F.col("ka").alias("k"))
+    sides = sides.unionByName(pairs.where("a != b or ka != kb").select("meet", F.lit(1).alias("side"), F.col("b").alias("slice"), F.col("kb").alias("k")))
+    dealt = cut.join(ends.select("slice", "parts"), "slice").withColumn("k", F.pmod(F.xxhash64("cid"), "parts").cast("int"))
+    return dealt.join(sides, ["slice", "k"]).select("meet", "side", "cid", "copies", "vec")
+
+
+def embedding_duplicates(vectors: DataFrame, threshold: float = 0.95, tile: int = 16384, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(id, n_links, component_id, kept) of every vector.
 
-    Equal vectors are one class, with its smallest id and its size. Classes are placed in a grid over their
-    three leading principal coordinates, with cells as wide as two linked unit vectors can lie apart, and cut
-    into tiles of about `tile`; a tile meets the tiles of the same and of the neighbouring cells once. A
-    meeting returns counts and a spanning forest, never its pairs. Only the sums of products (dim^2) and the
+    Equal vectors are one class with a key of its own, whatever their ids. Classes are ordered by their leading
+    principal coordinate and cut into slices of about `tile` (fewer for long vectors, so that a pair of slices
+    fits in a task); a slice meets itself and those within the reach of a link once. A meeting returns counts and
+    a spanning forest, never its pairs. So a vector is shuffled once for each slice within reach: where the leading
+    coordinate spreads little, that is every slice. `dim` rows of the second moments, the slices' bounds and the
     vectors' lengths reach the driver; vectors of different lengths are never linked.
-    Vectors that are null, empty, zero or hold null or non-finite components have no links and are components
-    of their own; so are rows with a null id (component_id null). Rows that share an id are one vertex, with
-    the links of the first of its classes. An id of its own links with its equal copies. Floats are kept as
-    floats, other numbers are compared as doubles.
+    n_links counts the other rows whose vector is linked with this row's, equal ones included, whatever their ids;
+    components follow links and ids: rows that share an id are one vertex. Vectors that are null, empty, zero or hold
+    null or non-finite components link with nothing, and belong to their id; rows with a null id are on their own
+    (component_id null). Floats are kept as floats, other numbers are compared as doubles. Other columns are not read.
     """
     spark = vectors.sparkSession
     scratch = Scratch(spark, "vectors")
     kind, number = ("float32", "float") if isinstance(vectors.schema[vec_col].dataType.elementType, FloatType) else ("float64", "double")
-    base = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast(f"array<{number}>").alias("embedding"))
+    base = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast(f"array<{number}>").alias("embedding"))
     fine = (
-        F.col("embedding").isNotNull() & (F.size("embedding") > 0) & F.col("vec_id").isNotNull()
+        F.col("embedding").isNotNull() & (F.size("embedding") > 0) & F.col("id").isNotNull()
         & F.forall("embedding", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))), F.lit(False)))
         & F.exists("embedding", lambda x: F.coalesce(x != 0, F.lit(False)))
     )
     base = base.withColumn("fine", F.coalesce(fine, F.lit(False)))
-    good = base.where("fine").select("vec_id", F.transform("embedding", lambda x: F.when(x == 0, F.lit(0.0).cast(number)).otherwise(x)).alias("embedding"))
-    classes = scratch.write(good.groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")).withColumn("dim", F.size("embedding")), "classes")
+    good = base.where("fine").select("id", F.transform("embedding", lambda x: F.when(x == 0, F.lit(0.0).cast(number)).otherwise(x)).alias("embedding"))
+    good = good.select("*", F.xxhash64("embedding").alias("k1"), F.xxhash64(F.lit("2"), "embedding").alias("k2"))
+    classes = good.groupBy("k1", "k2").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("embedding").alias("embedding"))
+    classes = scratch.write(classes.withColumn("dim", F.size("embedding")).withColumn("cid", F.monotonically_increasing_id()), "classes")
     width = (2 - 2 * threshold) ** 0.5 + 1e-6
-    edges, counts = [], []
+    narrow = good.select("id", "k1", "k2")
+    edges, counts = same_ids(narrow, classes), spark.createDataFrame([], "u long, links long")
     for dim in sorted(r["dim"] for r in classes.select("dim").distinct().collect()):
-        own = classes.where(F.col("dim") == dim)
+        own = classes.where(F.col("dim") == dim).select("cid", "copies", "embedding")
         axes = principal_axes(own.select("embedding"), dim, kind)
-        cells = scratch.write(own.select("rep", "copies", "embedding").mapInPandas(place(axes, width, kind), "rep long, copies long, cell long, vec binary"), f"cells{dim}")
-        # at most (2 / width + 1) ^ 3 cells, a few hundred rows
-        size = cells.groupBy("cell").agg(F.ceil(F.count("*") / tile).alias("nc"))
-        dealt = cells.join(F.broadcast(size), "cell").withColumn("tile", F.col("cell") * (1 << 32) + F.pmod(F.xxhash64("rep"), F.col("nc")))
-        tiles = scratch.write(dealt.select("tile", "cell", "rep", "copies", "vec").repartition("tile").sortWithinPartitions("tile", "rep").mapInPandas(gather, "tile long, cell long, n int, reps binary, copies binary, vecs binary"), f"tiles{dim}")
-        steps = [x * (1 << 16) + y * (1 << 8) + z for x in (-1, 0, 1) for y in (-1, 0, 1) for z in (-1, 0, 1)]
-        near = tiles.select("tile", F.explode(F.array(*[F.col("cell") + F.lit(s) for s in steps])).alias("cell")).join(tiles.select("cell", F.col("tile").alias("tile_b")), "cell").where("tile <= tile_b").select("tile", "tile_b")
-        near = scratch.write(near, f"near{dim}")
-        other = tiles.select(F.col("tile").alias("tile_b"), F.col("reps").alias("reps_b"), F.col("copies").alias("copies_b"), F.col("vecs").alias("vecs_b"))
-        met = near.join(tiles.drop("cell", "n"), "tile").join(other, "tile_b")
+        placed = scratch.write(own.mapInPandas(place(axes, kind), "cid long, copies long, at double, vec binary"), f"placed{dim}")
+        met = meetings(placed, width, min(tile, max(256, (1 << 22) // dim)), scratch, str(dim))
+        met = met.repartition("meet").sortWithinPartitions("meet", "side", "cid")
         out = scratch.write(met.mapInPandas(compare_tiles(axes, threshold, kind), "u long, v long, links long"), f"met{dim}")
-        scratch.drop(f"cells{dim}", f"tiles{dim}", f"near{dim}")
-        counts.append(out.where("v is null").groupBy("u").agg(F.sum("links").alias("links")))
-        edges.append(out.where("v is not null").select("u", "v"))
-    lone = base.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), "fine").where("not fine").drop("fine")
-    if not edges:
-        out = lone
-    else:
-        e, n = edges[0], counts[0]
-        for k in range(1, len(edges)):
-            e, n = e.unionByName(edges[k]), n.unionByName(counts[k])
-        found = components(e, scratch, "linked")
-        info = classes.join(n.withColumnRenamed("u", "rep"), "rep", "left").join(found.withColumnRenamed("node", "rep"), "rep", "left")
-        info = scratch.write(info.select("embedding", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "rep").alias("component_id")), "info")
-        out = good.join(info, "embedding").select("vec_id", "n_links", "component_id").unionByName(lone)
-    return out.select(F.col("vec_id").alias(id_col), "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"))
+        scratch.drop(f"placed{dim}", f"slices{dim}")
+        counts = counts.unionByName(out.where("v is null").groupBy("u").agg(F.sum("links").alias("links")))
+        edges = edges.unionByName(out.where("v is not null").select("u", "v"))
+    found = components(edges, scratch, "linked")
+    links = classes.join(counts.withColumnRenamed("u", "cid"), "cid", "left").select("k1", "k2", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    none = base.where("not fine").select("id", F.lit(0).cast("long").alias("n_links"))
+    out = with_components(narrow.join(links, ["k1", "k2"]), none, classes, found, scratch)
+    return out.select(F.col("id").alias(id_col), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))

@@ -58,3 +58,23 @@ def components(edges: DataFrame, scratch: Scratch, tag: str) -> DataFrame:
     out = scratch.write(found, f"{tag}-components")
     scratch.drop(*made)
     return out
+
+
+def same_ids(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Edges (u, v) between the classes (k1, k2, cid) of ids that have several, from rows (id, k1, k2)."""
+    keys = rows.groupBy("id").agg(*[f(c).alias(f"{n}{c}") for c in ("k1", "k2") for n, f in (("lo", F.min), ("hi", F.max))])
+    ids = keys.where("lok1 != hik1 or lok2 != hik2").select("id")
+    own = rows.join(ids, "id", "left_semi").select("id", "k1", "k2").distinct().join(classes.select("k1", "k2", "cid"), ["k1", "k2"])
+    return own.join(own.groupBy("id").agg(F.min("cid").alias("u")), "id").where("u != cid").select("u", F.col("cid").alias("v"))
+
+
+def with_components(some: DataFrame, none: DataFrame, classes: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame:
+    """`some` (id, k1, k2, ...) and `none` (id, ...), rows without a class, with component_id: the smallest id that a
+    row's class leads to. A row without a class belongs to its id; a null id has no component."""
+    root = classes.select("cid", "k1", "k2", "rep").join(found.withColumnRenamed("node", "cid"), "cid", "left").select("k1", "k2", "rep", F.coalesce("root", "cid").alias("root"))
+    root = scratch.write(root, "roots")
+    info = root.join(root.groupBy("root").agg(F.min("rep").alias("component_id")), "root").select("k1", "k2", "component_id")
+    some = scratch.write(some.join(info, ["k1", "k2"]).drop("k1", "k2"), "some")
+    by_id = some.select(F.col("id").alias("_id"), F.col("component_id").alias("_c")).join(none.select(F.col("id").alias("_id")), "_id", "left_semi").distinct()
+    none = none.join(by_id, F.col("id") == F.col("_id"), "left").withColumn("component_id", F.coalesce("_c", "id")).drop("_id", "_c")
+    return some.unionByName(none)

@@ -3,7 +3,8 @@
 Chosen path: documents branch by the value of selected minwise tokens, node by node; a node small enough is
 compared exhaustively on its signatures, a crowded one branches again by tokens that its own key selects; several
 independent trees bring the recall to its target (Christiani, Pagh and Sivertsen, 2018). The trees only gather
-documents into candidate groups; every link is then confirmed on full shingle sets.
+documents into candidate groups; every link is then confirmed on full shingle sets, and only confirmed links are
+followed to components.
 """
 
 from __future__ import annotations
@@ -16,7 +17,8 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from .common import Scratch, link
-from .graph import components
+from .graph import components, same_ids, with_components
+from .words import mix
 
 TOKENS = 64  # minwise tokens of a signature
 CACHE = 400_000
@@ -26,13 +28,6 @@ ODD = _R.integers(0, 1 << 64, TOKENS, np.uint64) | np.uint64(1)
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
-def mix(h: np.ndarray) -> np.ndarray:
-    """The finaliser of splitmix64."""
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
-
-
 def shingle_set(text: str, width: int, cache: dict[bytes, int]) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the runs of `width` words; fewer words are one run, none give an empty set.
 
@@ -97,75 +92,74 @@ def blocks(frame: pd.DataFrame, key: str) -> Iterator[pd.DataFrame]:
         yield frame.iloc[lo:hi]
 
 
-def spanning(parent: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One edge for each entry that is not its set's root."""
-    at = np.flatnonzero(parent != np.arange(len(parent)))
-    return ids[at], ids[parent[at]]
-
-
 def compare_nodes(least_equal: int) -> Callable:
-    """Edges that span the pairs of a node whose signatures agree in at least `least_equal` tokens."""
+    """(node, sub, cid): the sets of two or more classes of a node that pairs lead to whose signatures agree in at
+    least `least_equal` tokens; `sub` is the smallest class of the set."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in runs(batches, "node"):
-            us, vs = [], []
+            out = []
             for node in blocks(frame, "node"):
                 if len(node) < 2:
                     continue
-                ids = node["rep"].to_numpy()
+                ids = node["cid"].to_numpy()
                 sig = np.frombuffer(b"".join(node["sig"]), np.int32).reshape(len(ids), TOKENS)
                 parent = np.arange(len(ids))
                 for i in range(len(ids) - 1):
-                    j = i + 1 + np.flatnonzero((sig[i + 1 :] == sig[i]).sum(axis=1) >= least_equal)
+                    j = i + 1 + np.flatnonzero(parent[i + 1 :] != parent[i])
+                    j = j[(sig[j] == sig[i]).sum(axis=1) >= least_equal]
                     if len(j):
                         parent = link(parent, np.full(len(j), i), j)
-                u, v = spanning(parent, ids)
-                us.append(u)
-                vs.append(v)
-            if us:
-                yield pd.DataFrame({"u": np.concatenate(us), "v": np.concatenate(vs)})
+                many = np.flatnonzero(np.bincount(parent, minlength=len(ids))[parent] > 1)
+                out.append((np.full(len(many), node["node"].iloc[0]), ids[parent[many]], ids[many]))
+            if out:
+                yield pd.DataFrame({name: np.concatenate(x) for name, x in zip(("node", "sub", "cid"), zip(*out))})
 
     return run
 
 
 def confirm_tiles(percent: int) -> Callable:
-    """Edges that span the linked pairs of a tile: 100 * intersection >= percent * union, on full sets."""
+    """Edges that span the linked pairs of a tile: 100 * intersection >= percent * union, on full sets.
+
+    Pairs of one `comp` are known to be connected and not compared again, nor are pairs that became connected in the
+    tile; where a tile has two sides, only pairs across them are.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in runs(batches, "tile", 512):
             us, vs = [], []
             for tile in blocks(frame, "tile"):
-                ids, side = tile["rep"].to_numpy(), tile["side"].to_numpy()
+                if len(tile) < 2:
+                    continue
+                ids, side = tile["cid"].to_numpy(), tile["side"].to_numpy()
                 sets = [np.frombuffer(b, np.uint64) for b in tile["set"]]
                 size = np.array([len(s) for s in sets])
-                if len(ids) < 2:
-                    continue
-                flat = np.concatenate(sets)
-                token = np.unique(flat, return_inverse=True)[1].ravel() if len(ids) > 2 else flat
+                token = np.unique(np.concatenate(sets), return_inverse=True)[1].ravel()
                 start = np.cumsum(size) - size
-                parent = np.arange(len(ids))
-                mark = np.zeros(int(token.max()) + 1 if len(ids) > 2 else 1, bool)
+                known = np.unique(tile["comp"].to_numpy(), return_index=True, return_inverse=True)
+                parent = known[1][known[2].ravel()]
+                mark = np.zeros(int(token.max()) + 1, bool)
                 two = bool((side != side[0]).any())
                 for i in range(len(ids) - 1):
                     if two and side[i] != side[0]:
                         break  # rows are sorted by side: what follows was all compared
-                    if len(ids) == 2:
-                        both = np.array([0, len(np.intersect1d(sets[0], sets[1], assume_unique=True))])
-                    else:
-                        own = token[start[i] : start[i] + size[i]]
-                        mark[own] = True
-                        both = np.add.reduceat(mark[token[start[i + 1] :]].astype(np.int64), start[i + 1 :] - start[i + 1])
-                        both = np.r_[np.zeros(i + 1, np.int64), both]
-                        mark[own] = False
-                    hit = (100 * both >= percent * (size[i] + size - both)) & (np.arange(len(ids)) > i)
+                    apart = (parent[i + 1 :] != parent[i]) & (100 * np.minimum(size[i + 1 :], size[i]) >= percent * np.maximum(size[i + 1 :], size[i]))
                     if two:
-                        hit &= side != side[i]
-                    j = np.flatnonzero(hit)
+                        apart &= side[i + 1 :] != side[i]
+                    j = i + 1 + np.flatnonzero(apart)
+                    if not len(j):
+                        continue
+                    own = token[start[i] : start[i] + size[i]]
+                    mark[own] = True
+                    ends = np.cumsum(size[j])
+                    at = np.repeat(start[j] - ends + size[j], size[j]) + np.arange(ends[-1])
+                    both = np.add.reduceat(mark[token[at]].astype(np.int64), ends - size[j])
+                    mark[own] = False
+                    j = j[100 * both >= percent * (size[i] + size[j] - both)]
                     if len(j):
+                        us.append(np.full(len(j), ids[i]))
+                        vs.append(ids[j])
                         parent = link(parent, np.full(len(j), i), j)
-                u, v = spanning(parent, ids)
-                us.append(u)
-                vs.append(v)
             if us:
                 yield pd.DataFrame({"u": np.concatenate(us), "v": np.concatenate(vs)})
 
@@ -178,93 +172,146 @@ def near_duplicates(
 ) -> DataFrame:
     """(id, n_shingles, component_id, kept) of every row: the component of documents linked at percent / 100 or more.
 
-    Equal sets are one class; its smallest id stands for it. In each of `trees` trees a class starts with one
-    token; a node of more than `leaf` classes branches by one more token that the node selects, in a quarter
-    of the nodes by two (1.25 children on average, the reciprocal of the threshold). Small nodes are compared
-    on signatures with four standard errors of slack. What is still together after `depth` tokens is one
-    candidate group as it is, so no size is capped. Candidate groups are then confirmed exhaustively on full
-    sets; a group of more than `tile` classes is cut into tiles, each pair of which is a task's row group that
-    returns spanning links only. A pair at the threshold shares its first node in one tree of ten with
-    probability 1 - 0.2^10, a pair that stays crowded to the end in at least 0.99 of cases.
-    Texts without words have no set and link with nothing; they, and rows with a null id, are kept on their own
-    (component_id is the id). Rows that share an id are one document. Repeated rows are returned as often.
+    Equal sets are one class with a key of its own, whatever the ids of its rows. In each of `trees` trees a class
+    starts with one token; a node of more than `leaf` classes branches by one more token that the node selects, in
+    a quarter of the nodes by two (1.25 children on average, the reciprocal of the threshold). Small nodes are
+    compared on signatures with four standard errors of slack, which leaves sets of classes that may be linked.
+    A pair at the threshold shares its first node in one tree of ten with probability 1 - 0.2^10, a pair that
+    stays crowded to the end in at least 0.99 of cases. Every link is then confirmed on full sets:
+    - Sets that signatures connect over all nodes, up to `tile` classes, are compared as one, each class once.
+    - Larger ones are compared by node, so a class goes to at most as many tasks as it has nodes.
+    - A node that is still crowded after `depth` tokens is cut into chunks of `tile`, each with the node's first class
+      as pivot. If that leaves several components in it, all pairs across them are compared, chunk by chunk; pairs
+      within a component need not be. Its cost is the classes apart from the largest component times all of them.
+    Nothing is capped. Components follow confirmed links, and ids: rows that share an id are one document, so their
+    classes belong together. Texts without words have no set and link with nothing but rows of their id; rows
+    with a null id are kept on their own (component_id null). Repeated rows are returned as often; texts are read whole.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "near")
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h"))
 
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache: dict = {}
         for batch in batches:
             rows = []
-            for key, text in zip(batch["doc_id"], batch["text"]):
+            for key, text, h in zip(batch["doc_id"], batch["text"], batch["h"]):
                 s = shingle_set(text or "", width, cache)
-                rows.append((key, len(s), *(set_key(s) if len(s) else (0, 0)), signature(s).tobytes() if len(s) else None))
-            yield pd.DataFrame(rows, columns=["doc_id", "n", "k1", "k2", "sig"]).astype({"doc_id": "Int64"})
+                rows.append((key, h, len(s), *(set_key(s) if len(s) else (0, 0)), signature(s).tobytes() if len(s) else None))
+            yield pd.DataFrame(rows, columns=["doc_id", "h", "n", "k1", "k2", "sig"]).astype({"doc_id": "Int64"})
 
-    known = scratch.write(base.mapInPandas(sketch, "doc_id long, n long, k1 long, k2 long, sig binary"), "known")
+    known = scratch.write(base.mapInPandas(sketch, "doc_id long, h long, n long, k1 long, k2 long, sig binary"), "known")
     full = known.where("n > 0 and doc_id is not null")
-    classes = scratch.write(full.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")), "classes")
-    sigs = scratch.write(full.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select(F.col("doc_id").alias("rep"), "sig").dropDuplicates(["rep"]), "sigs")
+    # a class's text is that of its smallest id, found again by its hash; the keys are fixed by the written table
+    classes = full.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "h")).alias("r"), F.min("sig").alias("sig"))
+    classes = classes.select("k1", "k2", F.col("r.doc_id").alias("rep"), F.col("r.h").alias("h"), "sig").withColumn("cid", F.monotonically_increasing_id())
+    classes = scratch.write(classes, "classes")
+
+    weak, crowded = candidates(classes, scratch, percent, trees, leaf, depth)
+    groups = components(weak.where("sub != cid").select(F.col("sub").alias("u"), F.col("cid").alias("v")), scratch, "coarse")
+    sizes = groups.groupBy("root").agg(F.count("*").alias("m"))
+    groups = scratch.write(groups.withColumnRenamed("node", "cid").join(sizes, "root"), "groups")
+    wide = groups.where(F.col("m") > tile).select("cid")
+    big = scratch.write(crowded.join(wide, "cid", "left_semi"), "big")
+    chunks = big.groupBy("node").agg(F.ceil(F.count("*") / tile).cast("int").alias("nc"))
+    dealt = big.join(chunks, "node").withColumn("c", F.pmod(F.xxhash64("cid"), "nc").cast("int"))
+    pivots = dealt.where("cid = sub").select("node", "sub", "cid", F.explode(F.sequence(F.lit(0), F.col("nc") - 1)).alias("c"))
+    member = (
+        groups.where(F.col("m") <= tile).select("cid", F.xxhash64(F.lit(0), "root").alias("tile"))
+        .unionByName(weak.where("not crowded").join(wide, "cid", "left_semi").select("cid", F.xxhash64(F.lit(1), "node", "sub").alias("tile")))
+        .unionByName(dealt.select("node", "sub", "cid", "c").unionByName(pivots).select("cid", F.xxhash64(F.lit(2), "node", "c").alias("tile")).distinct())
+        .select("cid", F.struct("tile", F.lit(0).alias("side"), F.lit(None).cast("long").alias("comp")).alias("t"))
+    )
+
+    def confirm(member: DataFrame) -> DataFrame:
+        """Edges from the tiles that hold each class (cid, t: tile, side, comp)."""
+
+        def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            cache: dict = {}
+            for batch in batches:
+                found = [shingle_set(t or "", width, cache) for t in batch["text"]]
+                own = np.array([len(s) > 0 and set_key(s) == (a, b) for s, a, b in zip(found, batch["k1"], batch["k2"])], bool)
+                yield batch[["cid", "tiles"]].assign(set=[s.tobytes() for s in found])[own]
+
+        held = member.groupBy("cid").agg(F.array_sort(F.collect_list("t")).alias("tiles"))
+        held = held.join(classes.select("cid", "k1", "k2", F.col("rep").alias("doc_id"), "h"), "cid")
+        texts = base.where("doc_id is not null and text is not null").join(held, ["doc_id", "h"]).select("cid", "k1", "k2", "tiles", "text").distinct()
+        kind = "array<struct<tile:bigint,side:int,comp:bigint>>"
+        whole = texts.mapInPandas(sets, f"cid long, tiles {kind}, set binary")
+        spread = whole.select("cid", "set", F.explode("tiles").alias("t")).select("t.tile", "t.side", F.coalesce("t.comp", "cid").alias("comp"), "cid", "set")
+        return spread.repartition("tile").sortWithinPartitions("tile", "side", "cid").mapInPandas(confirm_tiles(percent), "u long, v long")
+
+    linked = scratch.write(confirm(scratch.write(member, "member")).unionByName(same_ids(full.withColumnRenamed("doc_id", "id"), classes)), "links")
+    found = components(linked, scratch, "linked")
+    apart = across(big, found, scratch, tile) if big.limit(1).count() else None
+    if apart is not None:
+        found = components(linked.unionByName(confirm(apart)), scratch, "relinked")
+    scratch.drop("member", "groups", "coarse-components", "big", "weak", "crowded")
+
+    narrow = known.select(F.col("doc_id").alias("id"), "n", "k1", "k2")
+    out = with_components(narrow.where("n > 0 and id is not null"), narrow.where("n = 0 or id is null").drop("k1", "k2"), classes, found, scratch)
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def candidates(classes: DataFrame, scratch: Scratch, percent: int, trees: int, leaf: int, depth: int) -> tuple[DataFrame, DataFrame]:
+    """The trees. (node, sub, cid, crowded): sets of classes that may be linked, of small and of crowded nodes; and
+    those of the crowded nodes alone, of which every class counts."""
+    sigs = classes.select("cid", "sig")
 
     def token(at):
         return F.substring("sig", at * 4 + 1, 4) if isinstance(at, int) else F.expr(f"substring(sig, ({at}) * 4 + 1, 4)")
 
     first = F.array(*[F.xxhash64(F.lit(r), token(r)) for r in range(trees)])
-    cand = sigs.select(F.explode(first).alias("node"), "rep")
+    cand = sigs.select(F.explode(first).alias("node"), "cid")
     leaves, crowded, level = [], None, 1
     while True:
         cand = scratch.write(cand, f"cand{level}")
         counts = scratch.write(cand.groupBy("node").agg(F.count("*").alias("m")).where("m > 1"), f"counts{level}")
         shared = scratch.write(cand.join(counts, "node"), f"shared{level}")
         scratch.drop(f"cand{level}", f"counts{level}")
-        leaves.append(shared.where(F.col("m") <= leaf).select("node", "rep"))
-        crowded = shared.where(F.col("m") > leaf).select("node", "rep")
+        leaves.append(shared.where(F.col("m") <= leaf).select("node", "cid"))
+        crowded = shared.where(F.col("m") > leaf).select("node", "cid")
         if level == depth or not crowded.limit(1).count():
             break
         at = f"{trees} + pmod(xxhash64(node, b, {level}), {TOKENS - trees})"
         cand = (
-            crowded.join(sigs, "rep")
-            .select("rep", "sig", "node", F.explode(F.when(F.pmod(F.xxhash64("node", F.lit(1)), F.lit(4)) == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("b"))
-            .select(F.xxhash64("node", "b", token(f"cast({at} as int)")).alias("node"), "rep")
+            crowded.join(sigs, "cid")
+            .select("cid", "sig", "node", F.explode(F.when(F.pmod(F.xxhash64("node", F.lit(1)), F.lit(4)) == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("b"))
+            .select(F.xxhash64("node", "b", token(f"cast({at} as int)")).alias("node"), "cid")
         )
         level += 1
     small = leaves[0]
     for more in leaves[1:]:
         small = small.unionByName(more)
     slack = percent / 100 - 4 * (percent / 100 * (1 - percent / 100) / TOKENS) ** 0.5
-    nodes = small.join(sigs, "rep").repartition("node").sortWithinPartitions("node", "rep")
-    edges = nodes.mapInPandas(compare_nodes(int(slack * TOKENS)), "u long, v long")
-    stars = crowded.join(crowded.groupBy("node").agg(F.min("rep").alias("v")), "node").select(F.col("rep").alias("u"), "v").where("u != v")
-    groups = components(edges.unionByName(stars), scratch, "coarse")
-
-    scratch.drop("sigs", *[f"shared{k}" for k in range(1, level + 1)])
-    sizes = scratch.write(groups.groupBy("root").agg(F.count("*").alias("m")), "sizes")
-    half = tile // 2
-    member = groups.join(sizes, "root").select(
-        F.col("node").alias("rep"), "root",
-        F.when(F.col("m") <= tile, F.lit(1)).otherwise(F.ceil(F.col("m") / half)).cast("int").alias("nc"),
-    ).withColumn("c", F.pmod(F.xxhash64("rep"), "nc").cast("int"))
-    member = scratch.write(member, "member")
-
-    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache: dict = {}
-        for batch in batches:
-            yield batch.drop(columns="text").assign(set=[shingle_set(t, width, cache).tobytes() for t in batch["text"]])
+    nodes = small.join(sigs, "cid").repartition("node").sortWithinPartitions("node", "cid")
+    weak = nodes.mapInPandas(compare_nodes(int(slack * TOKENS)), "node long, sub long, cid long").withColumn("crowded", F.lit(False))
+    full = crowded.join(crowded.groupBy("node").agg(F.min("cid").alias("sub")), "node").select("node", "sub", "cid")
+    full = scratch.write(full, "crowded")
+    weak = scratch.write(weak.unionByName(full.withColumn("crowded", F.lit(True))), "weak")
+    scratch.drop(*[f"shared{k}" for k in range(1, level + 1)])
+    return weak, full
 
-    texts = base.where("doc_id is not null and text is not null").join(member.withColumnRenamed("rep", "doc_id"), "doc_id")
-    whole = texts.select(F.col("doc_id").alias("rep"), "root", "nc", "c", "text").mapInPandas(sets, "rep long, root long, nc int, c int, set binary")
-    j = F.explode(F.sequence(F.lit(0), F.col("nc") - 1)).alias("j")
-    dealt = whole.select("rep", "root", "c", "set", j).select(
-        F.xxhash64("root", F.least("c", "j"), F.greatest("c", "j")).alias("tile"), F.col("c").alias("side"), "rep", "set"
-    )
-    linked = dealt.repartition("tile").sortWithinPartitions("tile", "side", "rep").mapInPandas(confirm_tiles(percent), "u long, v long")
-    found = components(linked, scratch, "linked")
-    scratch.drop("member", "sizes", "coarse-components")
 
-    narrow = known.select("doc_id", "n", "k1", "k2")
-    rep = narrow.where("n > 0 and doc_id is not null").join(classes, ["k1", "k2"]).join(found.select(F.col("node").alias("rep"), "root"), "rep", "left")
-    out = rep.select("doc_id", "n", F.coalesce("root", "rep").alias("component_id")).unionByName(
-        narrow.where("n = 0 or doc_id is null").select("doc_id", "n", F.col("doc_id").alias("component_id"))
-    )
-    return out.select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+def across(big: DataFrame, found: DataFrame, scratch: Scratch, tile: int) -> DataFrame | None:
+    """Tiles (cid, t) of all pairs across the components of crowded nodes; None where each is one component.
+
+    In each node the classes outside its largest component meet one another and that component, in chunks.
+    """
+    own = big.join(found.withColumnRenamed("node", "cid"), "cid", "left").select("node", "cid", F.coalesce("root", "cid").alias("comp"))
+    own = scratch.write(own, "own")
+    parts = own.groupBy("node", "comp").agg(F.count("*").alias("m"))
+    top = parts.groupBy("node").agg(F.max(F.struct("m", "comp"))["comp"].alias("main"), F.max("m").alias("nm"), F.sum("m").alias("all")).where("nm < all")
+    if not top.limit(1).count():
+        return None
+    top = top.select("node", "main", F.ceil(F.col("nm") / (8 * tile)).cast("int").alias("nd"), F.ceil((F.col("all") - F.col("nm")) / (tile // 2)).cast("int").alias("nr"))
+    at = own.join(top, "node")
+    rest = at.where("comp != main").withColumn("c", F.pmod(F.xxhash64("cid"), "nr").cast("int"))
+    main = at.where("comp = main").withColumn("c", F.pmod(F.xxhash64("cid"), "nd").cast("int"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1)).alias("j")
+    key = lambda *c: F.xxhash64(*c).alias("tile")
+    among = rest.select("cid", "comp", "node", "c", every("nr")).select("cid", "comp", F.col("c").alias("side"), key(F.lit(3), "node", F.least("c", "j"), F.greatest("c", "j")))
+    left = rest.select("cid", "comp", "node", "c", every("nd")).select("cid", "comp", F.lit(0).alias("side"), key(F.lit(4), "node", "c", "j"))
+    right = main.select("cid", "comp", "node", "c", every("nr")).select("cid", "comp", F.lit(1).alias("side"), key(F.lit(4), "node", "j", "c"))
+    tiles = among.unionByName(left).unionByName(right).select("cid", F.struct("tile", "side", "comp").alias("t"))
+    return scratch.write(tiles, "across")
