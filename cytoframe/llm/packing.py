@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -12,6 +13,11 @@ import pandas as pd
 import tiktoken
 from pyspark.sql import DataFrame, functions as F
 
+from .common import Scratch
+
+#: Runs that the ranks' pattern cannot take: its matcher needs a stack frame for each character.
+LONG_RUN = re.compile(r"\s{20000}")
+
 
 @functools.cache
 def _encoder(ranks_path: str, pattern: str) -> tiktoken.Encoding:
@@ -29,11 +35,12 @@ def _tokenizer(json_path: str):
 
 def tokenise(texts: list[str], json_path: str, ranks_path: str | None, pattern: str, specials: tuple[str, ...] = ("<|endoftext|>",)) -> list[list[int]]:
     """The ids of byte_bpe json tokenizers. Where the same vocabulary lies as ranks, these give the same ids five
-    times faster; texts that hold a special token's string go to the json tokenizer all the same."""
+    times faster; texts that hold a special token's string or a very long run of blanks go to the json tokenizer all the same."""
     if ranks_path is None:
         return [e.ids for e in _tokenizer(json_path).encode_batch(texts, add_special_tokens=False)]
     fast = _encoder(ranks_path, pattern).encode_ordinary
-    return [_tokenizer(json_path).encode(t, add_special_tokens=False).ids if any(s in t for s in specials) else fast(t) for t in texts]
+    odd = lambda t: any(s in t for s in specials) or len(t) >= 20_000 and LONG_RUN.search(t)
+    return [_tokenizer(json_path).encode(t, add_special_tokens=False).ids if odd(t) else fast(t) for t in texts]
 
 
 def pack_vectors(items: np.ndarray, limits: np.ndarray) -> np.ndarray:
@@ -91,9 +98,12 @@ def pack_documents(
     the text after it and the end do; plain text learns from every token. Ids are cut after every `size`, and
     before a piece would hold more than `max_loss` loss-bearing tokens (size if None). Pieces of `size` are
     sequences of their own, and shorter ones are packed with others under limits on tokens, segments and
-    loss-bearing tokens. Rests are dealt by a hash of the row to groups of about `group_rows`,
-    each packed in one task; a group leaves one sequence or so that is not full. sequence_id holds the group
-    in its upper half. Null text counts as empty: a document of one id. Equal rows are packed each for itself.
+    loss-bearing tokens. Pieces are written with the number of their row in its task, and dealt by a hash of all to
+    groups of about `group_rows`, so that rows repeated any number of times spread as well; each group is packed in
+    one task and leaves one sequence or so that is not full. sequence_id holds the group in its upper half.
+    Null texts and prompts count as empty: a document of one id at least; null ids are documents too. Equal rows are
+    packed each for itself. An empty table gives no piece; texts of any length are tokenised whole; other columns are
+    not read.
     """
     max_loss = size if max_loss is None else max_loss
     if min(size, max_segments, max_loss) < 1:
@@ -102,6 +112,7 @@ def pack_documents(
     kind = docs.schema[id_col].dataType.simpleString()
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        row = 0
         for batch in batches:
             for lo in range(0, len(batch), 256):
                 part = batch.iloc[lo : lo + 256]
@@ -114,14 +125,16 @@ def pack_documents(
                     n, start = len(ids), 0
                     while start < n:
                         end = min(start + size, n, max(start, silent) + max_loss)
-                        rows.append((key, start, end - start, zlib.crc32(ids[start:end].tobytes()), n, end - min(max(start, silent), end)))
+                        rows.append((key, start, end - start, zlib.crc32(ids[start:end].tobytes()), n, end - min(max(start, silent), end), row))
                         start = end
-                yield pd.DataFrame(rows, columns=["id", "start", "length", "ids_crc32", "doc_tokens", "loss_tokens"])
+                    row += 1
+                yield pd.DataFrame(rows, columns=["id", "start", "length", "ids_crc32", "doc_tokens", "loss_tokens", "row"])
 
     given = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"), *([docs[prompt_col].alias("prompt")] if prompt_col else []))
-    pieces = given.mapInPandas(cut, f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, loss_tokens long")
-    groups = max(1, -(-docs.count() // group_rows))
-    dealt = pieces.withColumn("g", F.pmod(F.xxhash64("id", "ids_crc32", "length"), F.lit(groups)))
+    pieces = given.mapInPandas(cut, f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, loss_tokens long, row long")
+    pieces = Scratch(docs.sparkSession, "packing").write(pieces, "pieces")
+    groups = max(1, -(-pieces.count() // group_rows))
+    dealt = pieces.withColumn("g", F.pmod(F.xxhash64("id", "start", "ids_crc32", "length", "row"), F.lit(groups))).drop("row")
 
     def pack(batch: pd.DataFrame) -> pd.DataFrame:
         batch = batch.sort_values(["length", "id", "start", "ids_crc32", "loss_tokens"], ascending=[False, True, True, True, True], na_position="first").reset_index(drop=True)
