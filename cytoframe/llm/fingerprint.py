@@ -7,39 +7,61 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SPACE = r"[\x20\x09-\x0D]+"
+LEAST = 8  # hashes that a sketch keeps at least
+BUCKETS = 1024
 
 
-def with_sketch(df: DataFrame, text: str, name: str, width: int = 5, scale: int = 4) -> DataFrame:
+def with_sketch(df: DataFrame, text: str, name: str, width: int = 5, scale: int = 16) -> DataFrame:
     """`df` with a sketch of the column `text`: every distinct shingle hash in the lowest 1/scale of the hash space, sorted.
 
-    A shingle is a run of `width` words; a text with fewer words is one shingle, one without words has none.
-    Where a non-empty text has no hash that low, its smallest stands in, so that only empty texts have empty
-    sketches. Each step is a column of its own: an array that a lambda function reads is then made once a row.
+    A shingle is a run of `width` words; a text with fewer words is one shingle, one without words has none. A
+    text with fewer than LEAST hashes that low keeps its LEAST smallest (all, if it has no more), so that short texts
+    can be compared as well and only empty texts have empty sketches. A text of 1,000 words keeps some 60 hashes.
+    Each step is a column of its own: an array that a lambda function reads is then made once a row.
     """
-    low = F.array_sort(F.array_distinct(F.filter("_hashes", lambda h: h < F.lit(-(1 << 63) + (1 << 64) // scale))))
     runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size("_words") - (width - 1), F.lit(1))), lambda i: F.xxhash64(F.slice(F.col("_words"), i, F.lit(width))))
     out = df.withColumn("_words", F.filter(F.split(F.lower(text), SPACE), lambda w: w != ""))
     out = out.withColumn("_hashes", F.when(F.size("_words") > 0, runs).otherwise(F.array().cast("array<bigint>")))
-    out = out.withColumn("_low", low)
-    return out.withColumn(name, F.when((F.size("_low") > 0) | (F.size("_hashes") == 0), F.col("_low")).otherwise(F.array(F.array_min("_hashes")))).drop("_words", "_hashes", "_low")
+    out = out.withColumn("_low", F.sort_array(F.array_distinct(F.filter("_hashes", lambda h: h < F.lit(top(scale))))))
+    few = F.slice(F.sort_array(F.array_distinct("_hashes")), 1, LEAST)
+    return out.withColumn(name, F.when(F.size("_low") >= LEAST, F.col("_low")).otherwise(few)).drop("_words", "_hashes", "_low")
 
 
-def merge(a: Column, b: Column, scale: int = 4) -> Column:
-    """The sketch of two texts' shingles together: what is low in either, or else the smaller of the two stand-ins."""
-    both = F.array_sort(F.array_union(a, b))
-    low = F.filter(both, lambda h: h < F.lit(-(1 << 63) + (1 << 64) // scale))
-    return F.when((F.size(low) > 0) | (F.size(both) == 0), low).otherwise(F.slice(both, 1, 1))
+def top(scale: int) -> int:
+    """Every hash below this one is kept."""
+    return -(1 << 63) + (1 << 64) // scale
 
 
-def likeness(a: Column, b: Column) -> Column:
-    """Estimated Jaccard resemblance, 0 to 1; two empty sketches are alike."""
-    both = F.size(F.array_intersect(a, b))
-    return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).otherwise(both / (F.size(a) + F.size(b) - both))
+def merge(a: Column, b: Column, scale: int = 16) -> Column:
+    """The sketch of two texts' shingles together: what is low in either, or else the smallest hashes of both."""
+    both = F.sort_array(F.array_union(a, b))
+    low = F.filter(both, lambda h: h < F.lit(top(scale)))
+    return F.when(F.size(low) >= LEAST, low).otherwise(F.slice(both, 1, LEAST))
 
 
-def containment(a: Column, b: Column) -> Column:
+def reach(a: Column, scale: int = 16) -> Column:
+    """The largest hash up to which a sketch is complete: all, where the text has fewer than LEAST shingles."""
+    return F.when(F.size(a) < LEAST, F.lit((1 << 63) - 1)).otherwise(F.greatest(F.element_at(a, -1), F.lit(top(scale) - 1)))
+
+
+def _counts(a: Column, b: Column, scale: int) -> tuple[Column, Column, Column]:
+    """Hashes of either sketch and of both, as far as both are complete."""
+    end = F.least(reach(a, scale), reach(b, scale))
+    within = lambda x: F.size(F.filter(x, lambda h: h <= end))
+    return within(a), within(b), within(F.array_intersect(a, b))
+
+
+def likeness(a: Column, b: Column, scale: int = 16) -> Column:
+    """Estimated Jaccard resemblance, 0 to 1; two empty sketches are alike. Its standard error is near
+    sqrt(J (1 - J) scale / n) for texts that have n shingles together, and 0 where both have fewer than LEAST."""
+    x, y, both = _counts(a, b, scale)
+    return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).otherwise(F.coalesce(F.try_divide(both, x + y - both), F.lit(0.0)))
+
+
+def containment(a: Column, b: Column, scale: int = 16) -> Column:
     """Estimated part of the first text's shingles that the second holds; 1 for an empty first text."""
-    return F.when(F.size(a) == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / F.size(a))
+    x, _, both = _counts(a, b, scale)
+    return F.when(F.size(a) == 0, F.lit(1.0)).otherwise(F.coalesce(F.try_divide(both, x), F.lit(0.0)))
 
 
 def hex_sketch(sketch: Column) -> Column:
@@ -47,23 +69,24 @@ def hex_sketch(sketch: Column) -> Column:
     return F.array_join(F.transform(sketch, lambda h: F.lower(F.lpad(F.hex(h), 16, "0"))), "")
 
 
-def _slices(ids: DataFrame, n: int) -> list:
-    """At most n - 1 ascending bounds that cut the ids into even parts."""
+def _slices(ids: DataFrame, n: int) -> tuple[list, list]:
+    """At most n - 1 ascending bounds that cut the ids into even parts, and those of them that fill several parts."""
     points = [i / n for i in range(1, n)]
-    got = ids.select(F.percentile_approx("k", F.array(*map(F.lit, points)), F.lit(max(10_000, 20 * n))).alias("q")).first()["q"]
-    return sorted(set(got or []))
+    got = ids.select(F.percentile_approx("k", F.array(*map(F.lit, points)), F.lit(max(10_000, 20 * n))).alias("q")).first()["q"] or []
+    return sorted(set(got)), sorted({x for x in got if got.count(x) > 1})
 
 
-def with_next(docs: DataFrame, key: str, values: list[str], parts: int, ties: list[str], derive: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
-    """`docs` with next_<value> for each value: that of the row after it by descending key (equal keys by `ties`);
-    for the last row that of the first. `derive` adds columns to the rows and to the few sentinels alike, after
-    these were picked.
+def with_next(docs: DataFrame, key: str, values: list[str], parts: int, text: str, derive: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """`docs` with next_<value> for each value: that of the row after it by descending key; for the last row that of
+    the first. Equal keys stand in the order of a hash of `text`, then of the text; null keys come last. `derive` adds
+    columns to the rows and to the few sentinels alike, after these were picked.
 
-    A window over the whole table would be one task. Keys are cut at sampled quantiles into `parts` slices;
-    each slice is a window of its own, and gets as sentinel a copy of the first row of the slice that follows,
-    found by a join with one key for each slice. Null keys come last.
+    A window over the whole table would be one task. Keys are cut at sampled quantiles into `parts` slices, and a key
+    that fills several of them (or the null keys) into BUCKETS ranges of the text's hash. Each slice is a window
+    of its own, and gets as sentinel the first row of the slice that follows, found by a join with one row for each
+    slice. Copies of one row stay together.
     """
-    bounds = _slices(docs.select(F.col(key).alias("k")).where("k is not null"), parts)
+    bounds, often = _slices(docs.select(F.col(key).alias("k")).where("k is not null"), parts)
     step = max(1, int(len(bounds) ** 0.5))
     if bounds:
         fine, coarse = F.array(*map(F.lit, bounds)), F.array(*map(F.lit, bounds[step - 1 :: step]))
@@ -71,32 +94,37 @@ def with_next(docs: DataFrame, key: str, values: list[str], parts: int, ties: li
         slot = jump + F.size(F.filter(F.slice(fine, jump + 1, F.lit(step)), lambda b: b <= F.col(key)))
     else:
         slot = F.lit(0)
-    slot = F.when(F.col(key).isNull(), F.lit(-1)).otherwise(slot)
-    rows = docs.withColumn("_slot", slot).withColumn("_sentinel", F.lit(0))
-    # a row for each slice: at most `parts` + 1
-    tops = docs.select(slot.alias("s"), F.col(key).alias("top")).groupBy("s").agg(F.max("top").alias("top"))
-    order = Window.orderBy(F.desc("s"))
-    tops = tops.select("top", F.col("s").alias("of"), F.coalesce(F.lag("s").over(order), F.last("s").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("to"))
-    heads = rows.join(F.broadcast(tops), rows[key].eqNullSafe(tops["top"]) & (rows["_slot"] == tops["of"])).select(
-        *[rows[c] for c in docs.columns], F.col("to").alias("_slot"), F.lit(1).alias("_sentinel")
+    bucket = F.shiftright("_hash", 54).cast("int") + 1 + BUCKETS // 2
+    shared = F.col(key).isNull() | (F.col(key).isin(often) if often else F.lit(False))
+    # numbers ascend as keys descend; the keys above a shared one in its slice come before it
+    slot = F.when(shared, bucket).otherwise(0) - F.when(F.col(key).isNull(), F.lit(-1)).otherwise(slot) * (BUCKETS + 1)
+    rows = docs.withColumn("_hash", F.xxhash64(text)).withColumn("_slot", slot).withColumn("_sentinel", F.lit(0))
+    # a row for each slice: at most `parts` + BUCKETS for each shared key, of which there are fewer than `parts`
+    first = F.max(F.struct(F.col(key).isNotNull().alias("has"), F.col(key).alias("top"), F.bitwise_not("_hash").alias("h")))
+    tops = rows.groupBy(F.col("_slot").alias("of")).agg(first.alias("t"))
+    order = Window.orderBy(F.desc("of"))
+    tops = tops.select("of", "t.top", F.bitwise_not("t.h").alias("h"), F.coalesce(F.lead("of").over(order), F.first("of").over(order)).alias("to"))
+    heads = rows.join(F.broadcast(tops), rows[key].eqNullSafe(tops["top"]) & (rows["_hash"] == tops["h"]) & (rows["_slot"] == tops["of"])).select(
+        *[rows[c] for c in docs.columns], rows["_hash"], F.col("to").alias("_slot"), F.lit(1).alias("_sentinel")
     )
-    w = Window.partitionBy("_slot").orderBy("_sentinel", F.desc_nulls_last(key), *ties)
+    w = Window.partitionBy("_slot").orderBy("_sentinel", F.desc_nulls_last(key), "_hash", text)
     out = derive(rows.unionByName(heads)).select("*", *[F.lead(v).over(w).alias(f"next_{v}") for v in values])
-    return out.where("_sentinel = 0").drop("_slot", "_sentinel")
+    return out.where("_sentinel = 0").drop("_slot", "_sentinel", "_hash")
 
 
-def fingerprint_documents(docs: DataFrame, width: int = 5, scale: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fingerprint_documents(docs: DataFrame, width: int = 5, scale: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, contained_in_next.
 
     The edited text has its last floor(n_chars / 2) code points replaced by the first as many (or all) of the
-    next document's by descending id. Null text counts as empty; among equal ids the order is that of the
-    texts; a table of one document is its own next. Repeated rows are kept. Every text is read, shuffled and
-    sketched once, the edited text once more.
+    next document's by descending id. Null text counts as empty; among equal ids (and null ones, which come last) the
+    order is that of a hash of the texts, then of the texts; a table of one document is its own next, an empty table
+    gives nothing. Repeated rows are kept. Every whole text is read, shuffled and sketched once, the edited text once
+    more. Other columns are not read.
     """
     spark = docs.sparkSession
     parts = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    d = with_next(base, "id", ["text", "sketch"], min(parts, 4096), ["text"], lambda rows: with_sketch(rows, "text", "sketch", width, scale))
+    d = with_next(base, "id", ["text", "sketch"], min(parts, 4096), "text", lambda rows: with_sketch(rows, "text", "sketch", width, scale))
     d = d.withColumn("n_chars", F.length("text").cast("long"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     d = d.withColumn("edited", F.concat(F.substr("text", F.lit(1), F.col("n_chars").cast("int") - half), F.substr("next_text", F.lit(1), half)))
@@ -105,6 +133,6 @@ def fingerprint_documents(docs: DataFrame, width: int = 5, scale: int = 4, id_co
     return d.select(
         F.col("id").alias(id_col), "n_chars", "edited_sha256",
         hex_sketch(F.col("sketch")).alias("fingerprint"), hex_sketch(F.col("edited_sketch")).alias("edited_fingerprint"),
-        likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"), likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
-        containment(F.col("sketch"), F.col("next_sketch")).alias("contained_in_next"),
+        likeness(F.col("sketch"), F.col("edited_sketch"), scale).alias("near_edited"), likeness(F.col("sketch"), F.col("next_sketch"), scale).alias("near_next"),
+        containment(F.col("sketch"), F.col("next_sketch"), scale).alias("contained_in_next"),
     )
