@@ -23,13 +23,15 @@ def unescape(text: Column) -> Column:
 def fold(events: DataFrame) -> DataFrame:
     """(conv_id, ord, role, text): the final messages of each conversation.
 
-    events: conv_id, seq, kind, message_id, role, text. Kinds: 'message' and 'delta' (null counts as
+    events: conv_id, seq (whole numbers), kind, message_id, role, text. Kinds: 'message' and 'delta' (null counts as
     'message'): a message's text and further pieces of it; 'edit' replaces all that came before it in the
     message; 'regenerate' does so too, and drops the messages that began after this one and before the event.
     A null message_id stands for a message of its own. Messages stand in the order of their first events,
     equal places in the order of role and text. Null texts are empty, null roles too; events of an unknown
-    kind are passed over. Each row counts, repeated ones as well.
-    The pieces of a message are aggregated before the conversation is put together.
+    kind are passed over. Each row counts, repeated ones as well; rows with a null conv_id are one conversation. An
+    empty log gives no message; texts are folded whole; other columns are not read.
+    The pieces of a message are aggregated before the conversation is put together; regenerations are looked up by a
+    running maximum, so a long conversation costs no more for each of its rows.
     """
     e = events.select("conv_id", "seq", F.coalesce("kind", F.lit("message")).alias("kind"), "message_id", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     e = e.where(F.col("kind").isin("message", "delta", "edit", "regenerate"))
@@ -48,8 +50,9 @@ def fold(events: DataFrame) -> DataFrame:
     )
     every = whole.unionByName(parts)
     by = Window.partitionBy("conv_id")
-    spans = F.collect_list(F.when(F.col("again").isNotNull(), F.struct("first", "again"))).over(by)
-    kept = every.withColumn("cut", spans).where(~F.coalesce(F.exists("cut", lambda s: (s["first"] < F.col("first")) & (F.col("first") < s["again"])), F.lit(False)))
+    # a message is dropped if one that began before it was regenerated after it began
+    before = by.orderBy("first").rangeBetween(Window.unboundedPreceding, -1)
+    kept = every.withColumn("last", F.max("again").over(before)).where("last is null or last <= first")
     return kept.select("conv_id", F.row_number().over(by.orderBy("first", "role", "text")).cast("long").alias("ord"), "role", "text")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from . import byte_bpe, chat_format, embedding_dedup, fingerprint, license_scan, minhash_dedup, packing, quality, toxicity, url_filter
 from .common import table
@@ -50,11 +50,34 @@ def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.embedding_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def event_log(rows: DataFrame) -> DataFrame:
+    """A log whose fold gives the rows (conv_id, turn, role, text) back: texts come in two pieces; every third is then
+    replaced by a draft and edited back; a reply is followed by a false start that its regeneration drops. Turns that
+    several rows of a conversation share come as messages of their own."""
+    n = F.count("*").over(Window.partitionBy("conv_id", "turn"))
+    r = rows.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", F.coalesce("text", F.lit("")).alias("text"), n.alias("n"))
+    size = F.length("text")
+    half = F.floor(size / 2).cast("int")
+    own = F.col("turn").cast("string")
+
+    def event(k: int, kind: str, text, role=F.col("role"), name=own):
+        return F.struct(F.lit(k).alias("k"), F.lit(kind).alias("kind"), name.alias("message_id"), role.alias("role"), text.alias("text"))
+
+    nobody, third, reply = F.lit(None).cast("string"), F.pmod("turn", F.lit(3)) == 0, F.col("role") == "assistant"
+    whole = event(0, "message", F.col("text"), name=nobody)
+    pieces = [event(0, "message", F.substr("text", F.lit(1), half)), event(1, "delta", F.substr("text", half + 1, size), nobody)]
+    edits = [event(2, "edit", F.concat(F.lit("draft of "), "text"), nobody), event(3, "delta", F.lit(" and more"), nobody), event(4, "edit", F.col("text"), nobody)]
+    again = [event(5, "message", F.lit("a false start"), F.lit("assistant"), F.concat(own, F.lit(" false"))), event(6, "regenerate", F.substr("text", F.lit(1), half), nobody), event(7, "delta", F.substr("text", half + 1, size), nobody)]
+    events = F.when(F.col("n") > 1, F.array(whole)).when(third & reply, F.array(*pieces, *edits, *again)).when(third, F.array(*pieces, *edits)).when(reply, F.array(*pieces, *again)).otherwise(F.array(*pieces))
+    e = r.select("conv_id", "turn", F.explode(events).alias("e"))
+    return e.select("conv_id", (F.col("turn") * 8 + F.col("e.k")).alias("seq"), "e.kind", "e.message_id", "e.role", "e.text")
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = "</s>[INST] ok [/INST]"
-    rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("seq"), "role", "text")
-    extra = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("seq"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(own).alias("text"))
-    events = rows.unionByName(extra).select("*", F.lit("message").alias("kind"), F.lit(None).cast("string").alias("message_id"))
+    rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
+    extra = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(own).alias("text"))
+    events = event_log(rows.unionByName(extra))
     done = chat_format.render(chat_format.fold(events)).select("conv_id", "formatted", chat_format.parse(F.col("formatted")).alias("turns"), chat_format.learned(F.col("formatted"), F.col("loss")).alias("learned"))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return done.select(
