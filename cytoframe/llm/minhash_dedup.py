@@ -167,7 +167,7 @@ def confirm_tiles(percent: int) -> Callable:
 
 
 def near_duplicates(
-    docs: DataFrame, width: int = 5, percent: int = 80, trees: int = 10, leaf: int = 512, depth: int = 4, tile: int = 256,
+    docs: DataFrame, width: int = 5, percent: int = 80, trees: int = 10, leaf: int = 512, depth: int = 4, tile: int = 256, most_broadcast: int = 400_000,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """(id, n_shingles, component_id, kept) of every row: the component of documents linked at percent / 100 or more.
@@ -183,7 +183,8 @@ def near_duplicates(
     - A node that is still crowded after `depth` tokens is cut into chunks of `tile`, each with the node's first class
       as pivot. If that leaves several components in it, all pairs across them are compared, chunk by chunk; pairs
       within a component need not be. Its cost is the classes apart from the largest component times all of them.
-    Nothing is capped. Components follow confirmed links, and ids: rows that share an id are one document, so their
+    Nothing is capped. Where up to `most_broadcast` classes have to be compared, their keys (two numbers each) are broadcast
+    to pick their texts before these are shuffled. Components follow confirmed links, and ids: rows that share an id are one document, so their
     classes belong together. Texts without words have no set and link with nothing but rows of their id; rows
     with a null id are kept on their own (component_id null). Repeated rows are returned as often; texts are read whole.
     """
@@ -223,30 +224,34 @@ def near_duplicates(
         .select("cid", F.struct("tile", F.lit(0).alias("side"), F.lit(None).cast("long").alias("comp")).alias("t"))
     )
 
-    def confirm(member: DataFrame) -> DataFrame:
-        """Edges from the tiles that hold each class (cid, t: tile, side, comp)."""
-
-        def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            cache: dict = {}
-            for batch in batches:
-                found = [shingle_set(t or "", width, cache) for t in batch["text"]]
-                own = np.array([len(s) > 0 and set_key(s) == (a, b) for s, a, b in zip(found, batch["k1"], batch["k2"])], bool)
-                yield batch[["cid", "tiles"]].assign(set=[s.tobytes() for s in found])[own]
-
-        held = member.groupBy("cid").agg(F.array_sort(F.collect_list("t")).alias("tiles"))
-        held = held.join(classes.select("cid", "k1", "k2", F.col("rep").alias("doc_id"), "h"), "cid")
-        texts = base.where("doc_id is not null and text is not null").join(held, ["doc_id", "h"]).select("cid", "k1", "k2", "tiles", "text").distinct()
-        kind = "array<struct<tile:bigint,side:int,comp:bigint>>"
-        whole = texts.mapInPandas(sets, f"cid long, tiles {kind}, set binary")
-        spread = whole.select("cid", "set", F.explode("tiles").alias("t")).select("t.tile", "t.side", F.coalesce("t.comp", "cid").alias("comp"), "cid", "set")
+    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cache: dict = {}
+        for batch in batches:
+            found = [shingle_set(t or "", width, cache) for t in batch["text"]]
+            own = np.array([len(s) > 0 and set_key(s) == (a, b) for s, a, b in zip(found, batch["k1"], batch["k2"])], bool)
+            yield batch[["cid", "tiles"]].assign(set=[s.tobytes() for s in found])[own]
+
+    # one text of each class that has to be compared, found by its id and hash; all their sets are written once
+    held = scratch.write(member.groupBy("cid").agg(F.array_sort(F.collect_list("t")).alias("tiles")), "held")
+    held = held.join(classes.select("cid", "k1", "k2", F.col("rep").alias("doc_id"), "h"), "cid")
+    texts = base.where("doc_id is not null and text is not null")
+    if held.count() <= most_broadcast:  # else all texts are shuffled to the classes
+        texts = texts.join(F.broadcast(held.select("doc_id", "h")), ["doc_id", "h"], "left_semi")
+    texts = texts.join(held, ["doc_id", "h"]).select("cid", "k1", "k2", "tiles", "text").distinct()
+    whole = scratch.write(texts.mapInPandas(sets, "cid long, tiles array<struct<tile:bigint,side:int,comp:bigint>>, set binary"), "sets", compression="uncompressed")
+
+    def confirm(placed: DataFrame) -> DataFrame:
+        """Edges from the tiles of (cid, tiles, set)."""
+        spread = placed.select("cid", "set", F.explode("tiles").alias("t")).select("t.tile", "t.side", F.coalesce("t.comp", "cid").alias("comp"), "cid", "set")
         return spread.repartition("tile").sortWithinPartitions("tile", "side", "cid").mapInPandas(confirm_tiles(percent), "u long, v long")
 
-    linked = scratch.write(confirm(scratch.write(member, "member")).unionByName(same_ids(full.withColumnRenamed("doc_id", "id"), classes)), "links")
+    linked = scratch.write(confirm(whole).unionByName(same_ids(full.withColumnRenamed("doc_id", "id"), classes)), "links")
     found = components(linked, scratch, "linked")
     apart = across(big, found, scratch, tile) if big.limit(1).count() else None
     if apart is not None:
-        found = components(linked.unionByName(confirm(apart)), scratch, "relinked")
-    scratch.drop("member", "groups", "coarse-components", "big", "weak", "crowded")
+        again = whole.select("cid", "set").join(apart.groupBy("cid").agg(F.collect_list("t").alias("tiles")), "cid")
+        found = components(linked.unionByName(confirm(again)), scratch, "relinked")
+    scratch.drop("held", "sets", "groups", "coarse-components", "big", "weak", "crowded")
 
     narrow = known.select(F.col("doc_id").alias("id"), "n", "k1", "k2")
     out = with_components(narrow.where("n > 0 and id is not null"), narrow.where("n = 0 or id is null").drop("k1", "k2"), classes, found, scratch)
