@@ -16,7 +16,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from .common import Scratch, held_out, labelled_sample
 from .words import WordTable
 
-BATCH = 256  # texts that are cut and searched at once
+BATCH = 384  # texts that are cut and searched at once
 
 Counts = tuple[np.ndarray, np.ndarray]  # terms in ascending order, occurrences of each
 
@@ -80,8 +80,9 @@ class BlockMaxIndex:
         self.begin = np.r_[0, np.cumsum(np.bincount(term[rare], minlength=len(self.idf)))]
         self.place, self.weight = place[by], weight[by]
         del term, weight, place, by, rare
-        at = np.nonzero(dense[order])
-        self.filled = (at[0].astype(np.int32), at[1].astype(np.int32), dense[order[at[0]], at[1]], len(common))
+        dense = dense[order]
+        at = np.nonzero(dense)
+        self.filled = (at[0].astype(np.int32), at[1].astype(np.int32), dense[at], len(common))
         self.runs = None
 
     def _ready(self) -> None:
@@ -197,10 +198,14 @@ class ToxicityModel:
 
     def score_counts(self, counts: list[Counts]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The scores of texts, and their nearest examples: cosines and places, a row for each text."""
-        got = [self.index.search(counts[lo : lo + BATCH], self.k) for lo in range(0, len(counts), BATCH)]
-        cosine, place = (np.concatenate(x) for x in zip(*got)) if got else (np.zeros((0, self.k)), np.zeros((0, self.k), int))
+        cosine, place = self.index.search(counts, self.k)
         score = 1 / (1 + np.exp(-(self.a * logit(self.votes(cosine, place)) + self.b)))
-        return np.where([len(terms) > 0 for terms, _ in counts], score, self.silent), cosine, place
+        return np.where(np.fromiter((len(terms) > 0 for terms, _ in counts), bool, len(counts)), score, self.silent), cosine, place
+
+    def score_packed(self, terms: list, n: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same of written vectors, a batch at a time."""
+        got = [self.score_counts([(unpacked(t), planes(m)) for t, m in zip(terms[lo : lo + BATCH], n[lo : lo + BATCH])]) for lo in range(0, max(len(terms), 1), BATCH)]
+        return tuple(np.concatenate(x) for x in zip(*got))
 
     def example(self, place: np.ndarray) -> np.ndarray:
         """Numbers of examples (into `keys`) at places of the index."""
@@ -374,7 +379,7 @@ def score_toxicity(vectors: DataFrame, model: ToxicityModel, threshold: float =
         model = shared.value
         keys = pa.array(model.keys, batch_type)
         for batch in batches:
-            score, cosine, place = model.score_counts([(unpacked(t), planes(n)) for t, n in zip(batch["_terms"].to_pylist(), batch["_n"].to_pylist())])
+            score, cosine, place = model.score_packed([x.as_buffer() for x in batch["_terms"]], [x.as_buffer() for x in batch["_n"]])
             cosine, place = cosine[:, :3], place[:, :3]
             found = place >= 0
             p = place[found]
@@ -397,6 +402,6 @@ def keep_clean(vectors: DataFrame, model: ToxicityModel, threshold: float = 0.7)
 
     @F.pandas_udf("double")
     def score(terms: pd.Series, n: pd.Series) -> pd.Series:
-        return pd.Series(shared.value.score_counts([(unpacked(t), planes(m)) for t, m in zip(terms, n)])[0])
+        return pd.Series(shared.value.score_packed(terms.tolist(), n.tolist())[0])
 
     return vectors.where(score("_terms", "_n") < threshold).drop("_terms", "_n")

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 WORD = re.compile(r"[^\W\d_]+")
 STEMS = (4, 5, 6)
@@ -48,7 +50,7 @@ class WordTable:
     `most` tokens are known. Texts are resolved many at a time, so that new words cost little.
     """
 
-    def __init__(self, resolve, most: int = 300_000):
+    def __init__(self, resolve, most: int = 150_000):
         self.resolve, self.most = resolve, most
         self._clear()
 
@@ -85,15 +87,19 @@ class WordTable:
 
     def slots(self, texts: list[str]) -> list[np.ndarray]:
         """For each text the rows (numbers into `rows`) of its words, in their order."""
-        split = [t.split() for t in texts]
+        lists = pc.utf8_split_whitespace(pa.array(texts, pa.large_string()))
+        tokens = lists.flatten().dictionary_encode()  # every token once, and its places
+        names = tokens.dictionary.to_pylist()
         if len(self.slot) > self.most:
             self._clear()
-        new = set().union(*split).difference(self.slot)
+        known = self.slot
+        new = [t for t in names if t not in known]
         if new or self.rows is None:
-            self._learn(list(new))
-        get, out = self.slot.__getitem__, []
-        for tokens in split:
-            s = np.fromiter(map(get, tokens), np.int64, len(tokens))
+            self._learn(new)
+        number = np.fromiter(map(self.slot.__getitem__, names), np.int64, len(names))
+        every = number[tokens.indices.to_numpy()]
+        out = []
+        for s in np.split(every, lists.offsets.to_numpy()[1:-1]):
             odd = np.flatnonzero(s < 0)
             if len(odd):
                 more = [self.several[-2 - s[i]] for i in odd if s[i] < -1]
