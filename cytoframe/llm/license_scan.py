@@ -17,10 +17,6 @@ SENTENCES = {
     "apache-2-compliance": "you may not use this file except in compliance with the license",
     "apache-2-copy": "you may obtain a copy of the license at",
     "mit": "released under the mit license",
-    "mit-grant": "permission is hereby granted free of charge to any person obtaining a copy of this software",
-    "mit-notice": "the above copyright notice and this permission notice shall be included in all copies",
-    "gpl-free": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license",
-    "gpl-warranty": "this program is distributed in the hope that it will be useful but without any warranty",
 }
 #: (rule, licence, ordered sentence identifiers).
 RULES = (
@@ -29,9 +25,7 @@ RULES = (
     ("apache-2-line", "Apache-2.0", ("apache-2",)),
     ("cc-by-nc-4-line", "CC-BY-NC-4.0", ("cc-by-nc-4",)),
     ("gpl-3-line", "GPL-3.0", ("gpl-3",)),
-    ("gpl-header", "GPL-3.0", ("gpl-free", "gpl-warranty")),
     ("mit-line", "MIT", ("mit",)),
-    ("mit-text", "MIT", ("mit-grant", "mit-notice")),
 )
 #: Genuine full sentences of licence texts, normalised; found across wrapped lines and comment leaders.
 TEXTS = {
@@ -47,11 +41,17 @@ TEXTS = {
     "apache-at-http": "you may obtain a copy of the license at http www apache org licenses license 2 0",
     "apache-at-https": "you may obtain a copy of the license at https www apache org licenses license 2 0",
     "apache-unless": "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied",
-    "gpl-3-only": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation version 3 of the license",
-    "gpl-3-later": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
-    "gpl-2-only": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation version 2 of the license",
-    "gpl-2-later": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",
-    "gpl-full-warranty": "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose",
+    "isc-grant": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+    "isc-grant-and": "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+    "isc-warranty": "the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness",
+    "mpl-2-form": "this source code form is subject to the terms of the mozilla public license v",
+    "mpl-2-at-http": "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0",
+    "mpl-2-at-https": "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0",
+    "bsl-1": "distributed under the boost software license version 1 0",
+    "unlicense": "this is free and unencumbered software released into the public domain",
+    "unlicense-grant": "anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means",
+    "zlib-warranty": "this software is provided as is without any express or implied warranty",
+    "zlib-grant": "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions",
 }
 #: Sentences known by their end, as a name stands in them.
 ENDS = {"bsd-name": "may be used to endorse or promote products derived from this software without specific prior written permission"}
@@ -67,9 +67,52 @@ TEXT_RULES = (
     ("bsd-2-conditions", "BSD-2-Clause", ("bsd-source", "bsd-binary")),
     *((f"{first}-{at}", "Apache-2.0", (first, at, "apache-unless")) for first in ("apache-full", "apache-asf") for at in ("apache-at", "apache-at-http", "apache-at-https")),
     *((f"{k}-line", "Apache-2.0", (k,)) for k in ("apache-full", "apache-asf", "apache-at-http", "apache-at-https", "apache-unless")),
-    *((f"{k}-header", f"GPL-{k[4]}.0", (k, "gpl-full-warranty")) for k in ("gpl-3-only", "gpl-3-later", "gpl-2-only", "gpl-2-later")),
-    *((f"{k}-line", f"GPL-{k[4]}.0", (k,)) for k in ("gpl-3-only", "gpl-3-later", "gpl-2-only", "gpl-2-later")),
+    *((f"{k}-full", "ISC", (k, "isc-warranty")) for k in ("isc-grant", "isc-grant-and")),
+    *((f"{k}-line", "ISC", (k,)) for k in ("isc-grant", "isc-grant-and", "isc-warranty")),
+    *((f"{k}-header", "MPL-2.0", ("mpl-2-form", k)) for k in ("mpl-2-at-http", "mpl-2-at-https")),
+    *((f"{k}-line", "MPL-2.0", (k,)) for k in ("mpl-2-at-http", "mpl-2-at-https")),
+    ("bsl-1-line", "BSL-1.0", ("bsl-1",)),
+    ("unlicense-text", "Unlicense", ("unlicense", "unlicense-grant")),
+    ("unlicense-line", "Unlicense", ("unlicense",)),
+    ("zlib-text", "Zlib", ("zlib-warranty", "zlib-grant")),
+    ("zlib-line", "Zlib", ("zlib-grant",)),
 )
+#: The GNU headers: identifier, name, versions. Each names a program or a library, and its version alone or later ones.
+GNU = (("gpl", "gnu general public license", ("2", "3")), ("lgpl", "gnu lesser general public license", ("2.1", "3")), ("agpl", "gnu affero general public license", ("3",)))
+#: Parts of the Creative Commons names, by the parts of their identifiers.
+CC_PARTS = {"by": "attribution", "nc": "noncommercial", "nd": "noderivatives", "sa": "sharealike"}
+CC_KINDS = ("by", "by-sa", "by-nd", "by-nc", "by-nc-sa", "by-nc-nd")
+CC_VERSIONS = {"3.0": "unported", "4.0": "international"}
+
+
+def _families() -> tuple[dict[str, str], list[tuple]]:
+    """Sentences and rules of the GNU and Creative Commons families."""
+    texts, rules = {}, []
+    for thing in ("program", "library"):
+        texts[f"gnu-{thing}-warranty"] = f"this {thing} is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose"
+    for key, name, versions in GNU:
+        for v in versions:
+            for thing in ("program", "library"):
+                for later in (False, True):
+                    this = f"{key}-{v}-{'later' if later else 'only'}-{thing}"
+                    number = v.replace(".", " ")
+                    end = f"either version {number} of the license or at your option any later version" if later else f"version {number} of the license"
+                    texts[this] = f"this {thing} is free software you can redistribute it and or modify it under the terms of the {name} as published by the free software foundation {end}"
+                    licence = f"{key.upper()}-{v if '.' in v else v + '.0'}"
+                    rules += [(f"{this}-header", licence, (this, f"gnu-{thing}-warranty")), (f"{this}-line", licence, (this,))]
+    for kind in CC_KINDS:
+        for v, where in CC_VERSIONS.items():
+            for word in ("a", "the"):
+                this = f"cc-{kind}-{v}-{word}"
+                name = " ".join(CC_PARTS[x] for x in kind.split("-"))
+                texts[this] = f"this work is licensed under {word} creative commons {name} {v.replace('.', ' ')} {where} license"
+                rules.append((f"{this}-line", f"CC-{kind.upper()}-{v}", (this,)))
+    return texts, rules
+
+
+_MORE_TEXTS, _MORE_RULES = _families()
+TEXTS |= _MORE_TEXTS
+TEXT_RULES = (*TEXT_RULES, *_MORE_RULES)
 #: Every text that holds an entry of TEXTS or ENDS, or a tag, matches this.
 HINT = re.compile(r"licen[sc]e|software|copyright|redistribution", re.I)
 LINE = re.compile(r"[^\r\n]+")
@@ -108,7 +151,7 @@ def unwrapped(text: str) -> Iterator[tuple[int, int, str]]:
     raw = lambda x: raws[max(bisect_right(begins, x) - 1, 0)] + x - begins[max(bisect_right(begins, x) - 1, 0)]
     for cut, after in [*((m.start(), m.end()) for m in STOP.finditer(joined)), (len(joined), 0)]:
         part = joined[at:cut]
-        if len(part) > 8:
+        if part.strip():
             yield raw(at + len(part) - len(part.lstrip())), raw(at + len(part.rstrip()) - 1) + 1, normalise(part)
         at = after
 
@@ -148,9 +191,11 @@ def scan_licenses(docs: DataFrame, sentences: dict[str, str] = SENTENCES, rules=
     besides in the unwrapped sentences, which take the place of statements inside them, and SPDX tags by their
     identifiers, each of which counts as a sentence. matches: rule, licence, start and end in code points.
     The tables of sentences and rules travel with the tasks, so they are meant to hold thousands of entries,
-    not millions. Nothing is shuffled. Null and empty texts have no match; repeated rows are kept.
+    not millions. Nothing is shuffled. Null and empty texts have no match; repeated rows are scanned each, texts of any
+    length whole; of rules that start at one sentence the longest wins. An empty table gives none; other columns are not read.
     """
     known = {text: key for key, text in sentences.items()}
+    shortest = min(map(len, known), default=1)  # a sentence is no shorter than its normal form
     whole = {text: key for key, text in TEXTS.items()}
     ends = tuple((end, key) for key, end in ENDS.items())
     rules = (*rules, *TEXT_RULES)
@@ -162,7 +207,7 @@ def scan_licenses(docs: DataFrame, sentences: dict[str, str] = SENTENCES, rules=
                 ids, spans, at = [], [], 0
                 for cut in [*((m.start(), m.end()) for m in BREAK.finditer(text or "")), (len(text or ""), 0)]:
                     part = text[at : cut[0]] if text else ""
-                    if len(part) > 8 and (found := known.get(normalise(part))):
+                    if len(part) >= shortest and (found := known.get(normalise(part))):
                         ids.append(found)
                         spans.append((at, cut[0]))
                     at = cut[1]

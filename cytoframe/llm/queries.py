@@ -107,7 +107,7 @@ _OP7 = r"""
 WITH s(sid, sentence) AS (VALUES {sentences}),
 cut AS (SELECT doc_id, regexp_split_to_array(regexp_replace(coalesce(text, ''), '[.!?;:]+([ \t\r\n]|$)', chr(10), 'g'), '\n') AS parts FROM documents),
 part AS (SELECT doc_id, unnest(parts) AS raw, generate_subscripts(parts, 1) AS pos FROM cut),
-hit AS (SELECT doc_id, pos, sid FROM part JOIN s ON trim(regexp_replace(lower(raw), '[^a-z0-9]+', ' ', 'g')) = sentence WHERE length(raw) > 8),
+hit AS (SELECT doc_id, pos, sid FROM part JOIN s ON trim(regexp_replace(lower(raw), '[^a-z0-9]+', ' ', 'g')) = sentence),
 seq AS (SELECT doc_id, count(*) AS n, ' ' || string_agg(sid, '  ' ORDER BY pos) || ' ' AS ids FROM hit GROUP BY doc_id),
 rule(ids, license) AS (VALUES {rules}),
 got AS (SELECT DISTINCT doc_id, license FROM (SELECT doc_id, unnest(regexp_extract_all(ids, '{pattern}')) AS ids FROM seq) JOIN rule USING (ids))

@@ -51,7 +51,27 @@ but WITHOUT ANY WARRANTY; without even the implied warranty of
 MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
 GNU General Public License for more details."""
 GPL2 = GPL3.replace("software:", "software;").replace("version 3", "version 2")
-WANT = [(MIT, "MIT", "mit-full"), (BSD2, "BSD-2-Clause", "bsd-2-full"), (BSD3, "BSD-3-Clause", "bsd-3-full"), (APACHE, "Apache-2.0", "apache-full-apache-at"), (GPL3, "GPL-3.0", "gpl-3-later-header"), (GPL2, "GPL-2.0", "gpl-2-later-header")]
+LGPL = GPL3.replace("program", "library").replace("General Public License", "Lesser General Public License", 1).replace("version 3", "version 2.1").replace("software:", "software;")
+AGPL = GPL3.replace("GNU General", "GNU Affero General", 1)
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES
+WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF
+MERCHANTABILITY AND FITNESS."""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+CC = """This work is licensed under a Creative Commons
+Attribution-NonCommercial-ShareAlike 4.0 International License."""
+UNLICENSE = """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or
+distribute this software, either in source code form or as a compiled
+binary, for any purpose, commercial or non-commercial, and by any
+means."""
+WANT = [(LGPL, "LGPL-2.1", "lgpl-2.1-later-library-header"), (AGPL, "AGPL-3.0", "agpl-3-later-program-header"), (ISC, "ISC", "isc-grant-full"), (MPL, "MPL-2.0", "mpl-2-at-https-header"), (CC, "CC-BY-NC-SA-4.0", "cc-by-nc-sa-4.0-a-line"), (UNLICENSE, "Unlicense", "unlicense-text"), (MIT, "MIT", "mit-full"), (BSD2, "BSD-2-Clause", "bsd-2-full"), (BSD3, "BSD-3-Clause", "bsd-3-full"), (APACHE, "Apache-2.0", "apache-full-apache-at"), (GPL3, "GPL-3.0", "gpl-3-later-program-header"), (GPL2, "GPL-2.0", "gpl-2-later-program-header")]
 
 
 @pytest.mark.parametrize("leader", ["", "# ", "// ", " * ", "-- "])
@@ -64,10 +84,20 @@ def test_wrapped_headers(spark, leader):
         assert (got[i]["licenses"], [m["rule"] for m in got[i]["matches"]]) == (licence, [rule])
         m = got[i]["matches"][0]
         part = texts[i][m["start"] : m["end"]]
-        assert part.split()[0] in text and part[-1].isalpha()
+        assert part.split()[0] in text and part[-1].isalnum() or part[-1] == "/"
 
 
 def test_tags_and_windows_line_ends(spark):
     df = spark.createDataFrame([(1, "// SPDX-License-Identifier: (MIT OR GPL-2.0-only WITH Classpath-exception-2.0)\r\nx"), (2, MIT.replace("\n", "\r\n"))], "doc_id long, text string")
     got = {r["doc_id"]: r["licenses"] for r in license_scan.scan_licenses(df).collect()}
     assert got == {1: "GPL-2.0-only,MIT", 2: "MIT"}
+
+
+def test_every_rule_is_found_in_its_own_sentences():
+    """No rule is dead: its sentences, put one behind the other, give it or a longer one of the same licence."""
+    for tables, rules in ((license_scan.SENTENCES, license_scan.RULES), (license_scan.TEXTS | license_scan.ENDS, license_scan.TEXT_RULES)):
+        for name, licence, seq in rules:
+            assert all(k in tables for k in seq)
+            found = list(license_scan.recognise(list(seq), rules))
+            assert [(m[2], m[3]) for m in found] == [(name, licence)]
+            assert all(license_scan.normalise(tables[k]) == tables[k] for k in seq)
