@@ -3,10 +3,12 @@
 import base64
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from hypothesis import given, strategies as st
 from pyspark.sql import functions as F
 
@@ -297,6 +299,48 @@ def test_fingerprints(spark, docs, awkward):
     assert fingerprint.fingerprint_documents(awkward.where("doc_id = 3")).first()["near_next"] == 1
 
 
+def _sketch(text, width=5, scale=16):
+    """All hashes below the threshold, or the eight smallest; and how far they are complete."""
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", text.lower()) if w]
+    every = set()
+    for i in range(max(1, len(words) - width + 1) if words else 0):
+        h = 42
+        for w in words[i : i + width]:
+            h = xxhash.xxh64_intdigest(w.encode(), h)
+        every.add(h - (1 << 64) if h >> 63 else h)
+    low = sorted(h for h in every if h < fingerprint.top(scale))
+    kept = low if len(low) >= 8 else sorted(every)[:8]
+    return kept, (1 << 63) - 1 if len(kept) < 8 else max(kept[-1], fingerprint.top(scale) - 1)
+
+
+def _alike(a, b):
+    end = min(a[1], b[1])
+    x, y = ({h for h in s[0] if h <= end} for s in (a, b))
+    return 1.0 if not a[0] and not b[0] else len(x & y) / len(x | y) if x | y else 0.0
+
+
+def test_fingerprints_equal_brute_force(spark, docs, awkward):
+    rows = docs.select("doc_id", "text").limit(200).union(awkward.where("doc_id is not null and doc_id <> 6").select(F.col("doc_id") + 10**7, "text"))
+    data = sorted(((r[0], r[1] or "") for r in rows.collect()), reverse=True)
+    got = sorted(fingerprint.fingerprint_documents(rows).collect(), key=lambda r: -r["doc_id"])
+    hexed = lambda s: "".join(f"{h % (1 << 64):016x}" for h in s[0])
+    for k, (r, (key, text)) in enumerate(zip(got, data)):
+        nxt, half = data[(k + 1) % len(data)][1], len(text) // 2
+        own, edited, other = _sketch(text), _sketch(text[: len(text) - half] + nxt[:half]), _sketch(nxt)
+        assert (r["doc_id"], r["fingerprint"], r["edited_fingerprint"]) == (key, hexed(own), hexed(edited))
+        assert abs(r["near_edited"] - _alike(own, edited)) < 1e-12 and abs(r["near_next"] - _alike(own, other)) < 1e-12
+
+
+def test_next_of_an_id_that_fills_many_slices(spark):
+    rows = [(7, f"text {i}") for i in range(300)] + [(None, f"none {i}") for i in range(200)] + [(i, f"other {i}") for i in range(20, 40)]
+    df = spark.createDataFrame(rows, "id long, text string")
+    out = fingerprint.with_next(df, "id", ["text"], 16, "text")
+    got = {r["text"]: r["next_text"] for r in out.collect()}
+    key = {r["text"]: r["h"] for r in df.select("text", F.xxhash64("text").alias("h")).collect()}
+    order = [t for _, t in sorted(rows, key=lambda x: (x[0] is None, -(x[0] or 0), key[x[1]]))]
+    assert got == dict(zip(order, [*order[1:], order[0]]))
+
+
 def test_merged_sketch_is_the_sketch_of_both(spark):
     df = spark.createDataFrame([("a b c d e f g h i j k l", "m n o p q r s t u v w x y z")], "a string, b string")
     for c in ("a", "b"):
@@ -436,6 +480,77 @@ def test_near_duplicates(spark, docs, awkward):
     assert minhash_dedup.near_duplicates(awkward.limit(0)).count() == 0
 
 
+def test_near_duplicates_of_repeated_ids(spark):
+    """Each id has two texts, and another id a near copy of the second: one vertex each, no link lost."""
+    r = random.Random(12)
+    rows = []
+    for i in range(60):
+        a, b = ([f"w{r.randint(0, 10**6)}" for _ in range(100)] for _ in range(2))
+        near = list(b)
+        near[50] = "other"
+        rows += [(i, " ".join(a)), (i, " ".join(b)), (1000 + i, " ".join(near)), (i, "")]
+    rows += [(5000, rows[0][1]), (5000, rows[4][1]), (None, rows[0][1])]  # one id ties two others together
+    got = minhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == len(rows)
+    want = {k: (0 if k in (1, 1001) else k % 1000) for k, _ in rows if k is not None} | {5000: 0}
+    assert all(x["component_id"] == want[x["doc_id"]] and x["kept"] == (x["doc_id"] == want[x["doc_id"]]) for x in got if x["doc_id"] is not None)
+    ids = [5, 5, 1, 2, 7]
+    frame = spark.createDataFrame([(5, rows[0][1]), (5, rows[4][1]), (1, rows[0][1]), (2, rows[4][1]), (7, None)], "doc_id long, text string")
+    assert sorted((x["doc_id"], x["component_id"]) for x in minhash_dedup.near_duplicates(frame).collect()) == [(k, min(k, 1) if k != 7 else 7) for k in sorted(ids)]
+
+
+@pytest.mark.parametrize("args", [{"leaf": 4, "tile": 8, "depth": 2}, {"leaf": 4, "tile": 8, "depth": 4, "most_broadcast": 0}])
+def test_crowded_nodes_of_several_components(spark, args):
+    """Chains of near copies: the ends of a chain are far apart, several chains share most of their words."""
+    r = random.Random(21)
+    base, rows = [f"w{i}" for i in range(150)], []
+    for g in range(3):
+        text = list(base)
+        for i in r.sample(range(150), 6):
+            text[i] = f"g{g}x{i}"
+        for step in range(40):
+            rows.append((len(rows), " ".join(text)))
+            text[(step * 7) % 150] = f"g{g}s{step}"
+    got = {x["doc_id"]: x["component_id"] for x in minhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=2, **args).collect()}
+    assert got == _components(rows, 2)
+
+
+def test_embeddings_of_repeated_ids(spark):
+    a, b, c = [1.0, 0.0, 0.0, 0.1], [0.0, 1.0, 0.1, 0.0], [0.0, 0.0, 1.0, 0.0]
+    df = spark.createDataFrame([(5, a), (5, b), (1, a), (2, b), (9, c), (9, None), (8, None)], "vec_id long, embedding array<float>")
+    got = sorted((x["vec_id"], x["component_id"], x["n_links"]) for x in embedding_dedup.embedding_duplicates(df).collect())
+    assert got == [(1, 1, 1), (2, 1, 1), (5, 1, 1), (5, 1, 1), (8, 8, 0), (9, 9, 0), (9, 9, 0)]
+
+
+def test_packing_of_very_long_blanks(spark):
+    for text in ("\n" * 1_000_000, " " * 1_000_000, "a" * 3000 + "\r\n" * 400_000 + "b", "x" * 200_000):
+        ids = packing.tokenise([text], public.path("byte_bpe_50k.json"), public.path("byte_bpe_50k.tiktoken"), public.PATTERN)[0]
+        assert ids == packing.tokenise([text], public.path("byte_bpe_50k.json"), None, public.PATTERN)[0]
+    df = spark.createDataFrame([(1, " " * 1_000_000), (2, "a b")], "doc_id long, text string")
+    got = packing.pack_documents(df, public.path("byte_bpe_50k.json"), public.path("byte_bpe_50k.tiktoken"), public.PATTERN)
+    assert {r["doc_id"] for r in got.collect()} == {1, 2}
+
+
+def test_packing_spreads_repeated_rows(spark):
+    df = spark.createDataFrame([(7, "the same short text")] * 500, "doc_id long, text string")
+    got = packing.pack_documents(df, public.path("byte_bpe_50k.json"), public.path("byte_bpe_50k.tiktoken"), public.PATTERN, group_rows=50).toPandas()
+    assert len(got) == 500 and (got["sequence_id"] // (1 << 32)).value_counts().max() < 100
+    assert not got.duplicated(["sequence_id", "offset"]).any()
+
+
+def test_pipeline_stages_of_awkward_rows(spark, docs, awkward):
+    rows = awkward.select("doc_id", "text", "lang", "source", "n_chars").unionByName(docs)
+    good = corpus_pipeline.quality_classifier(spark, rows, SF)
+    clean = corpus_pipeline.toxicity_filter(spark, rows, SF)
+    assert good.columns == clean.columns == docs.columns and good.count() <= rows.count() and clean.count() <= rows.count()
+    copies = [(5, "one two three four five six", "en"), (5, "one two three four five six", "en"), (5, "another text that is under the same id", "en"), (None, "one two three four five six", "de"), (None, "nothing like the others here at all", "de"), (None, "nothing like the others here at all", "de"), (6, None, None), (6, "", None), (3, "another text that is under the same id", "fr")]
+    frame = spark.createDataFrame(copies, "doc_id long, text string, lang string").withColumn("rep", F.lit(1)).withColumn("cid", F.lit("x"))
+    kept = corpus_pipeline.near_duplicates(spark, frame, SF).collect()
+    assert sorted((str(r["doc_id"]), r["text"] or "") for r in kept) == [("3", "another text that is under the same id"), ("6", ""), ("None", "nothing like the others here at all")]
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), SF).count() == 0
+
+
 def test_pipeline_stages(spark, docs, labels):
     """Each stage on its predecessor's rows, against the operators' own scores and brute force."""
     good = corpus_pipeline.quality_classifier(spark, docs, SF)
