@@ -6,32 +6,46 @@ import public_tokenizers as public
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cytoframe.llm import minhash_dedup, packing, quality, toxicity
-from cytoframe.llm.common import Scratch, table
+from cytoframe.llm.common import Scratch, table, temporary
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose quality score is at least 0.5."""
+    """Rows whose quality score is at least 0.5, each judged by its own whole text; null and empty texts are scored as
+    such, repeated rows stay or go together. Without labels of both classes all stay; an empty table stays empty."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
     return quality.keep_good(docs, model)
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity score is below 0.7."""
+    """Rows whose toxicity score is below 0.7, each judged by its own whole text; null and empty texts get the rate of
+    such examples, repeated rows stay or go together. Without labels all stay; an empty table stays empty."""
     model, vectors = toxicity.fit(docs, table(spark, sf_dir, "labels"), carry=tuple(docs.columns))
     return toxicity.keep_clean(vectors, model)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of near copies (five-word shingles, 0.8 or more)."""
-    found = minhash_dedup.near_duplicates(docs, width=5, percent=80)
-    drop = found.where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    return docs.join(drop, "doc_id", "left_anti").select(*docs.columns)
+    """One row, of the smallest id, of each group of near copies (five-word shingles, 0.8 or more).
+
+    Rows of one id are one document, of which the smallest row stays; rows without an id are known by their text, and
+    stay where no document with an id is like them. Texts without words are like nothing but rows of their id.
+    """
+    by_text = F.xxhash64("text").bitwiseAND((1 << 62) - 1).bitwiseOR(1 << 62)
+    keyed = docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("long"), by_text))
+    found = minhash_dedup.near_duplicates(keyed.select("_key", "text"), width=5, percent=80, id_col="_key")
+    kept = Scratch(spark, "kept").write(found.where("kept").groupBy("_key").agg(F.count("*").alias("_rows")), "keys")
+    alone = keyed.join(kept.where("_rows = 1"), "_key", "left_semi").select(*docs.columns)
+    again = kept.where("_rows > 1")
+    if not again.limit(1).count():
+        return alone
+    first = keyed.join(again, "_key", "left_semi").groupBy("_key").agg(F.min(F.struct(*docs.columns)).alias("r"))
+    return alone.unionByName(first.select("r.*"))
 
 
 def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of every document in sequences of at most 2048 tokens."""
+    """The pieces of every row's whole text in sequences of at most 2048 tokens. Null and empty texts are one id, null
+    ids and repeated rows are packed each for itself; an empty table has no piece."""
     return packing.pack_documents(docs, public.path("byte_bpe_50k.json"), public.path("byte_bpe_50k.tiktoken"), public.PATTERN)
 
 
@@ -41,11 +55,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written to the shared folder and read again."""
+    """All stages over documents, each written to the shared folder and read again; its scratch tables are then removed."""
     scratch = Scratch(spark, "pipeline")
     docs = table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
-        docs = scratch.write(stage(spark, docs, sf_dir), name)
+        with temporary():
+            docs = scratch.write(stage(spark, docs, sf_dir), name)
         if k:
             scratch.drop(STAGES[k - 1][0])
     return docs
