@@ -16,7 +16,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from .common import Scratch, held_out, labelled_sample
 from .words import WordTable
 
-BATCH = 384  # texts that are cut and searched at once
+BATCH = 256  # texts that are cut and searched at once
 
 Counts = tuple[np.ndarray, np.ndarray]  # terms in ascending order, occurrences of each
 
@@ -25,9 +25,16 @@ def counted(table: WordTable, texts: list[str], none: int) -> Iterator[Counts]:
     """Terms (all numbers but `none`) of whole texts with their occurrences."""
     for slots in table.slots(texts):
         t = table.rows[slots].ravel()
-        t = np.sort(t[t != none])
-        first = np.flatnonzero(np.r_[True, t[1:] != t[:-1]]) if len(t) else np.empty(0, int)
-        yield t[first], np.diff(np.r_[first, len(t)]).astype(np.int32)
+        t = t[t != none]
+        t.sort()
+        ends = np.empty(len(t), bool)
+        ends[-1:] = True
+        np.not_equal(t[1:], t[:-1], out=ends[:-1])
+        last = np.flatnonzero(ends)
+        n = last.astype(np.int32)
+        n[1:] -= n[:-1].copy()
+        n[:1] += 1
+        yield t[last], n
 
 
 def in_vocabulary(codes: np.ndarray):

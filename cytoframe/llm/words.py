@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 WORD = re.compile(r"[^\W\d_]+")
+EDGE = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~0123456789"  # no part of any word
 STEMS = (4, 5, 6)
 WIDTH = 1 + len(STEMS)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -61,7 +62,7 @@ class WordTable:
         self.used = 0
 
     def _learn(self, new: list[str]) -> None:
-        low = [t.lower() for t in new]
+        low = [t.lower().strip(EDGE) for t in new]
         plain = list(map(str.isalpha, low))
         words = [w for w, p in zip(low, plain) if p]
         self.slot.update(zip((t for t, p in zip(new, plain) if p), range(self.used, self.used + len(words))))
