@@ -21,7 +21,7 @@ from .graph import components, same_ids, with_components
 from .words import mix
 
 TOKENS = 64  # minwise tokens of a signature
-CACHE = 400_000
+CACHE = 150_000
 _R = np.random.default_rng(20)
 SEEDS = _R.integers(0, 1 << 64, TOKENS, np.uint64)
 ODD = _R.integers(0, 1 << 64, TOKENS, np.uint64) | np.uint64(1)
@@ -194,9 +194,9 @@ def near_duplicates(
 
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache: dict = {}
-        for batch in batches:
+        for part in (b.iloc[lo : lo + 1024] for b in batches for lo in range(0, len(b), 1024)):
             rows = []
-            for key, text, h in zip(batch["doc_id"], batch["text"], batch["h"]):
+            for key, text, h in zip(part["doc_id"], part["text"], part["h"]):
                 s = shingle_set(text or "", width, cache)
                 rows.append((key, h, len(s), *(set_key(s) if len(s) else (0, 0)), signature(s).tobytes() if len(s) else None))
             yield pd.DataFrame(rows, columns=["doc_id", "h", "n", "k1", "k2", "sig"]).astype({"doc_id": "Int64"})
@@ -226,10 +226,10 @@ def near_duplicates(
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache: dict = {}
-        for batch in batches:
-            found = [shingle_set(t or "", width, cache) for t in batch["text"]]
-            own = np.array([len(s) > 0 and set_key(s) == (a, b) for s, a, b in zip(found, batch["k1"], batch["k2"])], bool)
-            yield batch[["cid", "tiles"]].assign(set=[s.tobytes() for s in found])[own]
+        for part in (b.iloc[lo : lo + 1024] for b in batches for lo in range(0, len(b), 1024)):
+            found = [shingle_set(t or "", width, cache) for t in part["text"]]
+            own = np.array([len(s) > 0 and set_key(s) == (a, b) for s, a, b in zip(found, part["k1"], part["k2"])], bool)
+            yield part[["cid", "tiles"]].assign(set=[s.tobytes() for s in found])[own]
 
     # one text of each class that has to be compared, found by its id and hash; all their sets are written once
     held = scratch.write(member.groupBy("cid").agg(F.array_sort(F.collect_list("t")).alias("tiles")), "held")
