@@ -58,6 +58,25 @@ def four_way(records: DataFrame) -> DataFrame:
     return rows.select("file_type", "matched", "ord", "read_name")
 
 
+def four_way_records(records: DataFrame) -> DataFrame:
+    """(file_type, place, header, seq, plus, qual): the records of each file in their new order, from 1: those in all four
+    files in I1's order, then the others by name. Of a name that repeats in a file the last record stays."""
+    last = records.withColumn("read_name", names.first_token(F.col("header"))).groupBy("file_type", "read_name").agg(
+        F.max_by(F.struct("header", "seq", "plus", "qual"), "rec_no").alias("r"), F.max("rec_no").alias("rec_no")
+    )
+    order = four_way(records).select("file_type", "read_name", "matched", "ord")
+    rows = last.join(order, ["file_type", "read_name"])
+    # a file's own places; the files are few, the rows are dealt by file as they will be written
+    by = Window.partitionBy("file_type").orderBy(F.desc("matched"), "ord", "read_name")
+    return rows.select("file_type", F.row_number().over(by).cast("long").alias("place"), "r.*")
+
+
+def concatenated_records(records: DataFrame, files: DataFrame) -> DataFrame:
+    """(sample, read_type, part, rec_no, header, seq, plus, qual): the records (dir, name, rec_no, ...) of every sample and
+    type; sorted by part and rec_no they are the concatenated file."""
+    return records.join(concatenation(files), ["dir", "name"]).select("sample", "read_type", "part", "rec_no", "header", "seq", "plus", "qual")
+
+
 def check(lines: DataFrame) -> DataFrame:
     """(file, status, reads) from numbered lines (file, line_no from 0, value): the first violation in file order wins."""
     k = F.col("line_no") % 4
@@ -106,12 +125,15 @@ def batches(files: DataFrame, size: int = 10) -> DataFrame:
 
 
 def rename_plan(files: DataFrame) -> DataFrame:
-    """(dir, old, new, action): sample number and lane removed; skipped on a collision, aborted for a directory of several lanes."""
+    """(dir, old, new, action): sample number and lane removed; aborted for a directory of several lanes; skipped where
+    a file of the new name is there already or an earlier file, by name, takes it."""
     lane = F.regexp_extract("name", r"_L(\d+)_", 1)
     lanes = files.groupBy("dir").agg(F.count_distinct(F.when(lane != "", lane)).alias("lanes"))
-    rows = files.join(lanes, "dir").select("dir", F.col("name").alias("old"), F.regexp_replace("name", r"_S\d+_L\d+_", "_").alias("new"), "lanes")
-    rows = rows.where("old != new").withColumn("k", F.count("*").over(Window.partitionBy("dir", "new")))
-    return rows.select("dir", "old", "new", F.when(F.col("lanes") > 1, "abort").when(F.col("k") > 1, "skip").otherwise("rename").alias("action"))
+    rows = files.join(lanes, "dir").select("dir", F.col("name").alias("old"), F.regexp_replace("name", r"_S\d+_L\d+_", "_").alias("new"), "lanes").where("old != new")
+    there = files.select("dir", F.col("name").alias("new"), F.lit(True).alias("there")).distinct()
+    rows = rows.join(there, ["dir", "new"], "left").withColumn("k", F.row_number().over(Window.partitionBy("dir", "new").orderBy("old")))
+    action = F.when(F.col("lanes") > 1, "abort").when(F.col("there") | (F.col("k") > 1), "skip").otherwise("rename")
+    return rows.select("dir", "old", "new", action.alias("action"))
 
 
 def demultiplex(fastq: DataFrame, sheet: DataFrame, mismatches: int = 1) -> DataFrame:

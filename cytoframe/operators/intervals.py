@@ -26,14 +26,33 @@ def join_points(points: DataFrame, intervals: DataFrame, coord: str, bin_size: i
     return binned.join(spread, ["chrom", "_bin"]).where((F.col(pos) >= lo) & (F.col(pos) <= hi)).drop("_bin")
 
 
+def choose_bins(intervals: DataFrame, least: int = 500, start: str = "start_pos", end: str = "end_pos") -> int:
+    """A bin width for intervals of unknown lengths: nine in ten then touch two bins at most. One small job."""
+    length = intervals.agg(F.percentile_approx(F.col(end) - F.col(start), 0.9)).first()[0]
+    return max(least, int(length or 0))
+
+
+def bins(first: Column, last: Column, bin_size: int) -> Column:
+    return F.sequence(F.floor(first / bin_size), F.floor(last / bin_size))
+
+
 def overlapping(rows: DataFrame, others: DataFrame, bin_size: int = 1000, start: str = "start_pos", end: str = "end_pos") -> DataFrame:
     """The rows, once each, whose half-open interval overlaps one of `others` (chrom, start_pos, end_pos).
 
-    Bins of the rows that lie in several bins may answer more than once, so such rows need `_row`; rows of one
-    base (start + 1 = end) have one bin and go through a semi join without any distinct.
+    Rows that lie in one bin answer once, by a semi join. Those that cross a bin's end are numbered and answer in each
+    of their bins; one answer of each number is kept. Empty intervals overlap nothing; repeated rows are kept.
     """
-    spread = others.select(F.col("chrom").alias("_c"), F.col("start_pos").alias("_s"), F.col("end_pos").alias("_e")).where("_s < _e")
-    spread = spread.select("*", F.explode(F.sequence(F.floor(F.col("_s") / bin_size), F.floor((F.col("_e") - 1) / bin_size))).alias("_b"))
-    binned = rows.withColumn("_bin", F.floor(F.col(start) / bin_size))
-    on = (binned["chrom"] == spread["_c"]) & (binned["_bin"] == spread["_b"]) & (binned[start] < spread["_e"]) & (binned[end] > spread["_s"])
-    return binned.join(spread, on, "left_semi").drop("_bin")
+    spread = others.where("start_pos < end_pos").select(
+        F.col("chrom").alias("_c"), F.col("start_pos").alias("_s"), F.col("end_pos").alias("_e"), F.explode(bins(F.col("start_pos"), F.col("end_pos") - 1, bin_size)).alias("_b")
+    )
+
+    def met(df: DataFrame) -> DataFrame:
+        on = (df["chrom"] == spread["_c"]) & (df["_bin"] == spread["_b"]) & (df[start] < spread["_e"]) & (df[end] > spread["_s"])
+        return df.join(spread, on, "left_semi").drop("_bin")
+
+    own = rows.where(F.col(start) < F.col(end))
+    first, last = F.floor(F.col(start) / bin_size), F.floor((F.col(end) - 1) / bin_size)
+    one = met(own.where(first == last).withColumn("_bin", first))
+    many = own.where(first != last).withColumn("_row", F.monotonically_increasing_id())
+    many = met(many.withColumn("_bin", F.explode(F.sequence(first, last)))).dropDuplicates(["_row"]).drop("_row")
+    return one.unionByName(many)

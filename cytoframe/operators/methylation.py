@@ -152,7 +152,7 @@ def region_summary(regions: DataFrame) -> DataFrame:
     )
 
 
-def gene_bins(rows: DataFrame) -> DataFrame:
+def gene_bins(rows: DataFrame, *more: str) -> DataFrame:
     """chrom, start_pos, end_pos, bin and gene_name (null below seven columns) of split interval lines (cols)."""
-    at = lambda i: F.get("cols", i)
-    return rows.select(at(0).alias("chrom"), at(1).try_cast("long").alias("start_pos"), at(2).try_cast("long").alias("end_pos"), at(3).try_cast("long").alias("bin"), F.when(F.size("cols") >= 7, at(6)).alias("gene_name"))
+    at = lambda i: F.get("cols", F.lit(i))
+    return rows.select(*more, at(0).alias("chrom"), at(1).try_cast("long").alias("start_pos"), at(2).try_cast("long").alias("end_pos"), at(3).try_cast("long").alias("bin"), F.when(F.size("cols") >= 7, at(6)).alias("gene_name"))

@@ -132,3 +132,70 @@ def mask_dovetails(reads: DataFrame) -> DataFrame:
     both = p.select("qname", low.alias("masked_from"), high.alias("masked_to"), F.explode(F.array("r1", "r2")).alias("r"))
     paired = both.select("qname", F.col("r.ord").alias("ord"), F.col("r.flag").alias("flag"), "masked_from", "masked_to", F.lit(1).alias("branch"))
     return passed.unionByName(paired).unionByName(lone)
+
+
+def reference_positions(cigar: Column, start: Column) -> Column:
+    """The reference position of every stored base, from the CIGAR text; null for inserted and soft-clipped ones."""
+    ops = F.arrays_zip(F.regexp_extract_all(cigar, F.lit(r"(\d+)([MIDNSHP=X])"), F.lit(1)).alias("n"), F.regexp_extract_all(cigar, F.lit(r"(\d+)([MIDNSHP=X])"), F.lit(2)).alias("op"))
+    begin = F.struct(start.cast("long").alias("at"), F.array().cast("array<bigint>").alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        n, op = x["n"].cast("int"), x["op"]
+        both, stored = op.isin("M", "=", "X"), op.isin("I", "S")
+        moved = F.when(both | op.isin("D", "N"), acc["at"] + n).otherwise(acc["at"])
+        more = F.when(both, F.sequence(acc["at"], acc["at"] + n - 1)).when(stored, F.array_repeat(F.lit(None).cast("long"), n)).otherwise(F.array().cast("array<bigint>"))
+        return F.struct(moved.alias("at"), F.concat(acc["out"], more).alias("out"))
+
+    return F.aggregate(ops, begin, step)["out"]
+
+
+def masked_records(reads: DataFrame) -> DataFrame:
+    """The records that `mask_dovetails` keeps, with their qualities masked and (branch, qname, ord) as output order.
+
+    reads: qname, ord, flag, ref_id, start_pos, end_pos, cigar, quals. Bases without a reference position are masked
+    as well where a record has bounds.
+    """
+    plan = mask_dovetails(reads).select("qname", "ord", "masked_from", "masked_to", "branch")
+    rows = reads.join(plan, ["qname", "ord"])
+    at = reference_positions(F.col("cigar"), F.col("start_pos"))
+    quals = F.when(F.col("masked_from").isNotNull(), mask_outside(F.col("quals"), at, F.col("masked_from"), F.col("masked_to"))).otherwise(F.col("quals"))
+    return rows.withColumn("quals", quals).drop("masked_from", "masked_to")
+
+
+def _with_pair(reads: DataFrame) -> DataFrame:
+    """Records with their pair's number and both members in the order of arrival; leftovers have no row."""
+    by = Window.partitionBy("qname").orderBy("ord")
+    n = F.row_number().over(by) - 1
+    own = F.struct("flag", "ref_id", "start_pos", "end_pos", "ord")
+    rows = reads.withColumn("_n", n).withColumn("pair_no", F.floor(F.col("_n") / 2)).withColumn("_own", own)
+    pair = Window.partitionBy("qname", "pair_no").orderBy("_n").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = rows.withColumn("first", F.first("_own").over(pair)).withColumn("second", F.nth_value("_own", 2).over(pair))
+    return rows.where("second IS NOT NULL").drop("_own")
+
+
+def dovetail_records(reads: DataFrame) -> DataFrame:
+    """The records of dovetailed pairs with `mate` (1: read 1) and `closed`, the order of each pair's second record:
+    sorted by closed and mate they are the output file."""
+    rows = _with_pair(properly_mapped(reads))
+    swap = has(F.col("second.flag"), READ1)
+    rows = rows.withColumn("r1", F.when(swap, F.col("second")).otherwise(F.col("first"))).withColumn("r2", F.when(swap, F.col("first")).otherwise(F.col("second")))
+    rows = rows.where(dovetail()).withColumn("mate", F.when(F.col("ord") == F.col("r1.ord"), 1).otherwise(2))
+    return rows.withColumn("closed", F.col("second.ord")).drop("_n", "pair_no", "first", "second", "r1", "r2")
+
+
+def split_by_size(reads: DataFrame) -> DataFrame:
+    """The records of pairs with one reference and the class of the pair's outer span, `output` (see `size_classes`)."""
+    rows = _with_pair(properly_mapped(reads)).where("first.ref_id = second.ref_id")
+    span = F.greatest("first.end_pos", "second.end_pos") - F.least("first.start_pos", "second.start_pos")
+    kind = F.when(span <= 50, "small").when(span <= 100, "medium").when(span <= 150, "long").otherwise("xlarge")
+    return rows.withColumn("output", kind).drop("_n", "pair_no", "first", "second")
+
+
+def split_by_strand(reads: DataFrame, four: bool = True) -> DataFrame:
+    """The records of mapped pairs whose first-seen flag tells the strand, with `output`: OT, OB, CTOT and CTOB, or plus and minus."""
+    label = F.lit(None).cast("string")
+    for flag, strand in STRANDS.items():
+        name = strand if four else ("plus" if strand in ("OT", "CTOT") else "minus")
+        label = F.when(F.col("first.flag") == flag, F.lit(name)).otherwise(label)
+    rows = _with_pair(reads.where(~has("flag", UNMAPPED)))
+    return rows.withColumn("output", label).where("output IS NOT NULL").drop("_n", "pair_no", "first", "second")

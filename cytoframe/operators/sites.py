@@ -63,3 +63,24 @@ def filter_metrics(raw: DataFrame, cpgs: DataFrame) -> DataFrame:
         "input", (F.col("input") - F.col("before")).alias("nan_removed"), "before", "after", (F.col("before") - F.col("after")).alias("filtered_out"),
         (F.try_divide("after", "before") * 100).alias("retention_pct"),
     )
+
+
+def select_columns(df: DataFrame, *wanted: str) -> DataFrame:
+    """One or two columns by header name; a missing name is an error."""
+    missing = [c for c in wanted if c not in df.columns]
+    if missing:
+        raise ValueError(f"no column {', '.join(missing)}")
+    return df.select(*wanted)
+
+
+def unpivot_matrix(matrix: DataFrame, key: str, value: str, name: str = "barcode") -> DataFrame:
+    """(key, name) of the cells of a wide table that hold `value`; the first column, or `key`, names the rows."""
+    cells = [c for c in matrix.columns if c != key]
+    return matrix.unpivot(key, cells, name, "_value").where(F.col("_value") == value).select(key, name)
+
+
+def in_order(sites: DataFrame) -> DataFrame:
+    """Sites by chromosome and position, intervals by chromosome and start; other columns break ties."""
+    place = "pos" if "pos" in sites.columns else "start" if "start" in sites.columns else "start_pos"
+    rest = [c for c, kind in sites.dtypes if c not in ("chrom", place) and not kind.startswith("map")]
+    return sites.orderBy("chrom", place, *rest)

@@ -17,8 +17,8 @@ def to_bed(variants: DataFrame) -> DataFrame:
 
 
 def in_regions(variants: DataFrame, bed: DataFrame) -> DataFrame:
-    """Variants whose first base lies in a region (0-based half-open), once each."""
-    at = variants.withColumn("_s", F.col("pos") - 1).withColumn("_t", F.col("pos"))
+    """Variants of which any reference base lies in a region (0-based half-open), once each."""
+    at = variants.withColumn("_s", F.col("pos") - 1).withColumn("_t", F.col("pos") - 1 + F.length("ref"))
     return overlapping(at, bed, start="_s", end="_t").drop("_s", "_t")
 
 
@@ -46,20 +46,53 @@ def merge_samples(variants: DataFrame) -> DataFrame:
     return g.select("chrom", "pos", "ref", F.array_join("alts", ",").alias("alt"), F.array_join("samples", ",").alias("samples"))
 
 
-def lift_over(bed: DataFrame, blocks: DataFrame, bin_size: int = 10_000) -> DataFrame:
-    """Intervals (chrom, start_pos, end_pos, ...) inside one aligned block, moved to the target; others have target null.
+def merge_genotypes(calls: DataFrame) -> DataFrame:
+    """(chrom, pos, ref, alts, genotypes): one row for each site of several samples' calls (sample, chrom, pos, ref,
+    alts array, genotype such as 0/1).
 
-    blocks: chrom, block_start, block_end, target_chrom, target_start, target_strand ('+' or '-'), target_size. An interval whose start
-    lies in several blocks that hold it whole is moved by the first target.
+    Alleles of all samples are sorted; each sample's genotype is numbered anew by them. Missing calls (.) stay so,
+    and a sample without a call has no entry. Of several calls of a sample at a site the smallest counts.
     """
-    spread = blocks.select("*", F.explode(F.sequence(F.floor(F.col("block_start") / bin_size), F.floor((F.col("block_end") - 1) / bin_size))).alias("_bin"))
-    at = bed.withColumn("_bin", F.floor(F.col("start_pos") / bin_size))
-    inside = (at["chrom"] == spread["chrom"]) & (at["_bin"] == spread["_bin"]) & (at["start_pos"] >= spread["block_start"]) & (at["end_pos"] <= spread["block_end"])
-    shift = F.col("target_start") - F.col("block_start")
+    alts = F.array_sort(F.array_distinct(F.flatten(F.collect_set("alts")))).alias("all")
+    by = ["chrom", "pos", "ref"]
+    sites = calls.groupBy(*by).agg(alts)
+    allele = lambda x: F.when(x == ".", F.lit(".")).when(x == "0", F.lit("0")).otherwise(F.array_position("all", F.element_at("alts", x.try_cast("int"))).cast("string"))
+    sep = F.when(F.contains("genotype", F.lit("|")), F.lit("|")).otherwise(F.lit("/"))
+    rows = calls.join(sites, by).withColumn("g", F.array_join(F.transform(F.split("genotype", "[/|]"), allele), "\x01"))
+    rows = rows.withColumn("g", F.replace("g", F.lit("\x01"), sep)).groupBy(*by, "all", "sample").agg(F.min("g").alias("g"))
+    g = rows.groupBy(*by, "all").agg(F.array_sort(F.collect_list(F.struct("sample", "g"))).alias("c"))
+    return g.select(*by, F.col("all").alias("alts"), F.map_from_entries("c").alias("genotypes"))
+
+
+def lift_over(bed: DataFrame, blocks: DataFrame, min_match: float = 0.95, bin_size: int = 10_000) -> DataFrame:
+    """Intervals (chrom, start_pos, end_pos, ...), once for each row, with the target of their best chain, else null.
+
+    blocks: chain, score, chrom, block_start, block_end, target_chrom, target_start, target_strand ('+' or '-'),
+    target_size; the ungapped parts of each chain. A chain takes an interval of which it aligns at least `min_match`;
+    the target reaches from its first to its last aligned base, gaps included. Of several chains that with the
+    highest score wins, then the smallest number. Empty intervals have no target. Equal rows are lifted once.
+    """
+    every = list(bed.columns)
+    rows = bed.groupBy(*every).agg(F.count("*").alias("_n"))
+    reach = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / bin_size), F.floor((F.col(b) - 1) / bin_size))).alias("_bin")
+    spread = blocks.withColumnRenamed("chrom", "_c").select("*", reach("block_start", "block_end"))
+    at = rows.where("start_pos < end_pos").select("*", reach("start_pos", "end_pos"))
+    low, high = F.greatest("start_pos", "block_start"), F.least("end_pos", "block_end")
+    met = at.join(spread, (at["chrom"] == spread["_c"]) & (at["_bin"] == spread["_bin"]) & (F.col("start_pos") < F.col("block_end")) & (F.col("end_pos") > F.col("block_start"))).drop(spread["_bin"])
+    # a pair that shares several bins counts in that of its first common base
+    met = met.where(F.col("_bin") == F.floor(low / bin_size)).select(*every, "chain", "score", "target_chrom", "target_strand", "target_size", low.alias("lo"), high.alias("hi"), (F.col("target_start") - F.col("block_start")).alias("shift"))
+    g = met.groupBy(*every, "chain", "score", "target_chrom", "target_strand", "target_size").agg(
+        F.sum(F.col("hi") - F.col("lo")).alias("bases"), F.min(F.col("lo") + F.col("shift")).alias("a"), F.max(F.col("hi") + F.col("shift")).alias("b")
+    )
+    g = g.where(F.col("bases") >= min_match * (F.col("end_pos") - F.col("start_pos")))
     forward = F.col("target_strand") == "+"
-    moved = at.join(spread, inside, "left").select(
-        *[at[c] for c in bed.columns], "target_chrom",
-        F.when(forward, F.col("start_pos") + shift).otherwise(F.col("target_size") - (F.col("end_pos") + shift)).alias("target_from"),
-        F.when(forward, F.col("end_pos") + shift).otherwise(F.col("target_size") - (F.col("start_pos") + shift)).alias("target_to"),
+    t = F.struct(
+        F.col("score"), (-F.col("chain")).alias("order"), "target_chrom",
+        F.when(forward, F.col("a")).otherwise(F.col("target_size") - F.col("b")).alias("target_from"), F.when(forward, F.col("b")).otherwise(F.col("target_size") - F.col("a")).alias("target_to"),
     )
-    return moved.groupBy(*bed.columns).agg(F.min(F.struct("target_chrom", "target_from", "target_to")).alias("t")).select(*bed.columns, "t.*")
+    best = g.groupBy(*every).agg(F.max(t).alias("t")).select(*[F.col(c).alias(f"_{c}") for c in every], "t")
+    same = F.lit(True)
+    for c in every:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    out = rows.join(best, same, "left")
+    return out.select(*every, "t.target_chrom", "t.target_from", "t.target_to", F.explode(F.sequence(F.lit(1).cast("long"), "_n")).alias("_k")).drop("_k")

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions import names
-from ..operators import fastq, methylation as me, motif, reads, sites, variants
+from ..functions import names, smoothing
+from ..operators import fastq, intervals, methylation as me, motif, reads, sites, variants
+from ..sources import sequences, tables
+from ..sources.folders import shared_folder
+from . import region_pipeline as flagship
+from .config import PipelineConfig, Region
 from .views import cte, frame
 
 CELLS = tuple(f"cell{i}" for i in range(20))
@@ -281,7 +287,7 @@ def combined_regions_profile(spark, sf):
 @query(f"{cte('transcription')} SELECT gene_name, barcode FROM transcription WHERE status = 'transcribed'")
 def transcription_unpivot(spark, sf):
     wide = frame(spark, sf, "transcription").groupBy("gene_name").pivot("barcode", list(CELLS)).agg(F.first("status"))
-    return wide.unpivot("gene_name", list(CELLS), "barcode", "status").where("status = 'transcribed'").select("gene_name", "barcode")
+    return sites.unpivot_matrix(wide, "gene_name", "transcribed")
 
 
 _MOTIF = f"""{cte('fasta')}, f AS (SELECT chrom, upper(seq) AS seq FROM fasta),
@@ -437,12 +443,9 @@ def fastq_four_way_match(spark, sf):
     return fastq.four_way(records)
 
 
-_LINES = """lines AS (SELECT concat('f', CAST(rec_no % 6 AS STRING), '.fastq') AS file, rec_no * 4 + {k} AS line_no, {v} AS value FROM fastq)"""
-
-
 def _lines(spark, sf) -> DataFrame:
     """Records dealt to six files as lines; some headers and separators are broken, the last file loses a line."""
-    f = frame(spark, sf, "fastq").where("rec_no < 6000").withColumn("file", F.concat(F.lit("f"), (F.col("rec_no") % 6).cast("string")))
+    f = frame(spark, sf, "fastq").withColumn("file", F.concat(F.lit("f"), (F.col("rec_no") % 6).cast("string")))
     bad = (F.col("rec_no") % 6 == 1) & (F.col("rec_no") % 50 == 7)
     header = F.when(bad, F.substr("header", F.lit(2))).otherwise(F.col("header"))
     plus = F.when((F.col("rec_no") % 6 == 2) & (F.col("rec_no") % 40 == 8), "x").otherwise(F.col("plus"))
@@ -455,7 +458,7 @@ def _lines(spark, sf) -> DataFrame:
 _CHECK = f"""{cte('fastq')}, k(k) AS (VALUES (0), (1), (2), (3)),
 l AS (SELECT concat('f', CAST(rec_no % 6 AS VARCHAR)) AS file, rec_no // 6 * 4 + k AS line_no,
  CASE k WHEN 0 THEN CASE WHEN rec_no % 6 = 1 AND rec_no % 50 = 7 THEN substr(header, 2) ELSE header END WHEN 1 THEN seq WHEN 2 THEN CASE WHEN rec_no % 6 = 2 AND rec_no % 40 = 8 THEN 'x' ELSE plus END ELSE qual END AS value
- FROM fastq, k WHERE rec_no < 6000),
+ FROM fastq, k),
 b AS (SELECT file, line_no, CASE WHEN line_no % 4 = 0 AND NOT starts_with(value, '@') THEN 'bad header' WHEN line_no % 4 = 2 AND NOT starts_with(value, '+') THEN 'bad separator' END AS bad FROM l WHERE NOT (file = 'f5' AND line_no = 3)),
 c AS (SELECT file, coalesce(arg_min(bad, line_no) FILTER (WHERE bad IS NOT NULL), CASE WHEN count(*) % 4 <> 0 THEN 'truncated' ELSE 'ok' END) AS status, count(*) AS n FROM b GROUP BY file),
 checked AS (SELECT file, status, CASE WHEN status = 'ok' THEN n // 4 ELSE 0 END AS reads FROM c)"""
@@ -480,10 +483,13 @@ def file_catalog_samples(spark, sf):
     return fastq.catalogue(frame(spark, sf, "files"))
 
 
-@query(f"""{_FILES}, n AS (SELECT sample, count(*) FILTER (WHERE read_type = 'R1') AS r1, count(*) FILTER (WHERE read_type = 'R2') AS r2, count(*) FILTER (WHERE read_type = 'I1') AS i1, count(*) FILTER (WHERE read_type = 'I2') AS i2 FROM c GROUP BY sample)
+_LISTED = _FILES.replace(cte("files"), cte("listing")).replace("FROM files)", "FROM listing)")
+
+
+@query(f"""{_LISTED}, n AS (SELECT sample, count(*) FILTER (WHERE read_type = 'R1') AS r1, count(*) FILTER (WHERE read_type = 'R2') AS r2, count(*) FILTER (WHERE read_type = 'I1') AS i1, count(*) FILTER (WHERE read_type = 'I2') AS i2 FROM c GROUP BY sample)
 SELECT *, r1 <> r2 OR i1 <> i2 AS uneven FROM n""")
 def file_pairing(spark, sf):
-    return fastq.pairing(frame(spark, sf, "files"))
+    return fastq.pairing(frame(spark, sf, "listing"))
 
 
 @query(f"{_FILES} SELECT sample, read_type, CAST(row_number() OVER (PARTITION BY sample, read_type ORDER BY dir, name) AS INTEGER) AS part, dir, name FROM c")
@@ -501,12 +507,12 @@ def file_batches(spark, sf):
     return fastq.batches(frame(spark, sf, "files"))
 
 
-@query(f"""{cte('files')}, l AS (SELECT dir, count(DISTINCT regexp_extract(name, '_L(\\d+)_', 1)) AS lanes FROM files GROUP BY dir),
-r AS (SELECT dir, name AS old, regexp_replace(name, '_S\\d+_L\\d+_', '_') AS new, lanes FROM files JOIN l USING (dir)),
-k AS (SELECT *, count(*) OVER (PARTITION BY dir, new) AS k FROM r WHERE old <> new)
-SELECT dir, old, new, CASE WHEN lanes > 1 THEN 'abort' WHEN k > 1 THEN 'skip' ELSE 'rename' END AS action FROM k""")
+@query(f"""{cte('listing')}, l AS (SELECT dir, count(DISTINCT nullif(regexp_extract(name, '_L(\\d+)_', 1), '')) AS lanes FROM listing GROUP BY dir),
+r AS (SELECT dir, name AS old, regexp_replace(name, '_S\\d+_L\\d+_', '_', 'g') AS new, lanes FROM listing JOIN l USING (dir)),
+k AS (SELECT *, row_number() OVER (PARTITION BY dir, new ORDER BY old) AS k FROM r WHERE old <> new)
+SELECT dir, old, new, CASE WHEN lanes > 1 THEN 'abort' WHEN k > 1 OR EXISTS (SELECT 1 FROM listing f WHERE f.dir = k.dir AND f.name = k.new) THEN 'skip' ELSE 'rename' END AS action FROM k""")
 def rename_plan(spark, sf):
-    return fastq.rename_plan(frame(spark, sf, "files"))
+    return fastq.rename_plan(frame(spark, sf, "listing"))
 
 
 _SHEET = ", ".join(f"('{s}', '{i}')" for s, i in SHEET)
@@ -528,7 +534,7 @@ def vcf_ct_ga_bed(spark, sf):
     return variants.to_bed(variants.bisulfite_prone(frame(spark, sf, "variants")))
 
 
-@query(f"{cte('variants', 'cpg_bed')} SELECT * FROM variants v WHERE EXISTS (SELECT 1 FROM cpg_bed c WHERE c.chrom = v.chrom AND v.pos - 1 < c.end_pos AND v.pos > c.start_pos)")
+@query(f"{cte('variants', 'cpg_bed')} SELECT * FROM variants v WHERE EXISTS (SELECT 1 FROM cpg_bed c WHERE c.chrom = v.chrom AND c.start_pos < c.end_pos AND v.pos - 1 < c.end_pos AND v.pos - 1 + length(v.ref) > c.start_pos)")
 def vcf_in_cpg(spark, sf):
     return variants.in_regions(frame(spark, sf, "variants"), frame(spark, sf, "cpg_bed"))
 
@@ -538,42 +544,35 @@ def vcf_natural_sort(spark, sf):
     return variants.natural_sort(frame(spark, sf, "variants")).select("chrom", "pos", "id")
 
 
-@query(f"""{cte('variants')}, c AS (SELECT 'even' AS sample, chrom, pos, ref, alt FROM variants WHERE pos % 2 = 0 UNION ALL SELECT 'third', chrom, pos, ref, CASE WHEN pos % 5 = 0 THEN 'G' ELSE alt END FROM variants WHERE pos % 3 = 0)
+@query(f"""{cte('variants')}, c AS (SELECT 'even' AS sample, chrom, pos, ref, alt FROM variants WHERE pos % 2 = 0 UNION ALL SELECT 'third', chrom, pos, ref, CASE WHEN pos % 5 = 0 THEN 'G' ELSE alt END FROM variants WHERE pos % 2 <> 0 OR pos % 3 = 0)
 SELECT chrom, pos, ref, string_agg(DISTINCT alt, ',' ORDER BY alt) AS alt, string_agg(DISTINCT sample, ',' ORDER BY sample) AS samples FROM c GROUP BY chrom, pos, ref""")
 def vcf_merge_samples(spark, sf):
     v = frame(spark, sf, "variants")
-    third = v.where("pos % 3 = 0").withColumn("alt", F.when(F.col("pos") % 5 == 0, "G").otherwise(F.col("alt")))
+    third = v.where("pos % 2 <> 0 OR pos % 3 = 0").withColumn("alt", F.when(F.col("pos") % 5 == 0, "G").otherwise(F.col("alt")))
     return variants.merge_samples(v.where("pos % 2 = 0").withColumn("sample", F.lit("even")).unionByName(third.withColumn("sample", F.lit("third"))))
 
 
-_BLOCKS = "SELECT chrom, start_pos AS block_start, start_pos + 3 AS block_end, concat('new', chrom) AS target_chrom, start_pos + 1000 AS target_start, CASE WHEN start_pos % 2 = 0 THEN '+' ELSE '-' END AS target_strand, CAST(100000000 AS BIGINT) AS target_size FROM {src}"
-
-
-@query(f"""{cte('variants', 'cpg_bed')}, blocks AS ({_BLOCKS.format(src='cpg_bed')}), v AS (SELECT chrom, pos - 1 AS start_pos, pos AS end_pos, id FROM variants)
-SELECT v.chrom, v.start_pos, v.end_pos, v.id, target_chrom, CASE WHEN target_strand = '+' THEN v.start_pos + target_start - block_start ELSE target_size - (v.end_pos + target_start - block_start) END AS target_from,
- CASE WHEN target_strand = '+' THEN v.end_pos + target_start - block_start ELSE target_size - (v.start_pos + target_start - block_start) END AS target_to
-FROM v LEFT JOIN blocks b ON b.chrom = v.chrom AND v.start_pos >= block_start AND v.end_pos <= block_end""")
+@query(f"""{cte('spans', 'chains')}, v AS (SELECT row_number() OVER () AS n, * FROM spans),
+m AS (SELECT n, chain, score, target_chrom, target_strand, target_size, v.end_pos - v.start_pos AS size, sum(least(v.end_pos, block_end) - greatest(v.start_pos, block_start)) AS bases,
+ min(greatest(v.start_pos, block_start) + target_start - block_start) AS a, max(least(v.end_pos, block_end) + target_start - block_start) AS b
+ FROM v JOIN chains c ON c.chrom = v.chrom AND v.start_pos < block_end AND v.end_pos > block_start GROUP BY ALL),
+t AS (SELECT *, row_number() OVER (PARTITION BY n ORDER BY score DESC, chain) AS place FROM m WHERE bases >= 0.95 * size)
+SELECT chrom, start_pos, end_pos, id, target_chrom, CASE WHEN target_strand = '+' THEN a ELSE target_size - b END AS target_from, CASE WHEN target_strand = '+' THEN b ELSE target_size - a END AS target_to FROM v LEFT JOIN t ON t.n = v.n AND place = 1""")
 def vcf_lift_over(spark, sf):
-    c = frame(spark, sf, "cpg_bed")
-    blocks = spark.sql(_BLOCKS.format(src="{c}"), c=c)
-    v = frame(spark, sf, "variants").select("chrom", (F.col("pos") - 1).alias("start_pos"), F.col("pos").alias("end_pos"), "id")
-    return variants.lift_over(v, blocks)
+    return variants.lift_over(frame(spark, sf, "spans"), frame(spark, sf, "chains"))
 
 
-def select_columns(df: DataFrame, *wanted: str) -> DataFrame:
-    """One or two columns by header name; a missing name is an error."""
-    missing = [c for c in wanted if c not in df.columns]
-    if missing:
-        raise ValueError(f"no column {', '.join(missing)}")
-    return df.select(*wanted)
+@query(f"{cte('spans', 'regions')} SELECT * FROM spans v WHERE EXISTS (SELECT 1 FROM regions c WHERE c.chrom = v.chrom AND c.start_pos < c.end_pos AND v.start_pos < c.end_pos AND v.end_pos > c.start_pos)")
+def spans_in_regions(spark, sf):
+    return intervals.overlapping(frame(spark, sf, "spans"), frame(spark, sf, "regions"), bin_size=64)
 
 
 @query(f"{cte('regions')} SELECT gene_name, bin FROM regions")
 def select_columns_by_name(spark, sf):
-    return select_columns(frame(spark, sf, "regions"), "gene_name", "bin")
+    return sites.select_columns(frame(spark, sf, "regions"), "gene_name", "bin")
 
 
-@query(f"{cte('variants', 'regions')} SELECT * FROM variants v WHERE EXISTS (SELECT 1 FROM regions c WHERE c.chrom = v.chrom AND v.pos - 1 < c.end_pos AND v.pos > c.start_pos)")
+@query(f"{cte('variants', 'regions')} SELECT * FROM variants v WHERE EXISTS (SELECT 1 FROM regions c WHERE c.chrom = v.chrom AND c.start_pos < c.end_pos AND v.pos - 1 < c.end_pos AND v.pos - 1 + length(v.ref) > c.start_pos)")
 def vcf_in_regions(spark, sf):
     return variants.in_regions(frame(spark, sf, "variants"), frame(spark, sf, "regions"))
 
@@ -584,15 +583,15 @@ def region_summary(spark, sf):
     return me.region_summary(region_methylation_bed0(spark, sf)).withColumn("mean_percentage", F.round("mean_percentage", 6))
 
 
-@query(f"{cte('files')} SELECT name, EXISTS (SELECT 1 FROM files b WHERE b.dir = 'd1' AND b.name = a.name) AS in_second FROM files a WHERE dir = 'd0'")
+@query(f"{cte('listing')} SELECT name, EXISTS (SELECT 1 FROM listing b WHERE b.dir = 'd1' AND b.name = a.name) AS in_second FROM listing a WHERE dir = 'd0'")
 def same_name_files(spark, sf):
-    return fastq.same_names(frame(spark, sf, "files"), "d0", "d1")
+    return fastq.same_names(frame(spark, sf, "listing"), "d0", "d1")
 
 
-@query(f"""{cte('files')} SELECT a.dir, a.name AS i1, b.name AS i2, c.name AS r1, d.name AS r2 FROM files a LEFT JOIN files b ON b.dir = a.dir AND b.name = replace(a.name, '_I1', '_I2')
-JOIN files c ON c.dir = a.dir AND c.name = replace(a.name, '_I1', '_R1') JOIN files d ON d.dir = a.dir AND d.name = replace(a.name, '_I1', '_R2') WHERE contains(a.name, '_I1')""")
+@query(f"""{cte('listing')} SELECT a.dir, a.name AS i1, b.name AS i2, c.name AS r1, d.name AS r2 FROM listing a LEFT JOIN listing b ON b.dir = a.dir AND b.name = replace(a.name, '_I1', '_I2')
+JOIN listing c ON c.dir = a.dir AND c.name = replace(a.name, '_I1', '_R1') JOIN listing d ON d.dir = a.dir AND d.name = replace(a.name, '_I1', '_R2') WHERE contains(a.name, '_I1')""")
 def mate_files(spark, sf):
-    return fastq.mate_files(frame(spark, sf, "files"))
+    return fastq.mate_files(frame(spark, sf, "listing"))
 
 
 @query(f"WITH q AS ({ORACLE_SQL['fastq_four_way_match']}) SELECT file_type, count(*) FILTER (WHERE matched) AS matched_reads, count(*) FILTER (WHERE NOT matched) AS unmatched_reads FROM q GROUP BY file_type")
@@ -617,13 +616,291 @@ def reads_in_span(spark, sf):
     return reads.in_span(r, F.concat(F.lit("chr"), F.col("ref_id").cast("string")), "chr1:50000-90000").select("qname", "flag", "start_pos", "end_pos")
 
 
-@query(f"{cte('variants')} SELECT chrom, pos, id, ref, alt FROM variants WHERE pos % 2 = 0 UNION ALL SELECT chrom, pos, id, ref, alt FROM variants WHERE pos % 3 = 0")
+@query(f"{cte('variants')} SELECT chrom, pos, id, ref, alt FROM variants WHERE pos % 2 = 0 UNION ALL SELECT chrom, pos, id, ref, alt FROM variants WHERE pos % 2 <> 0 OR pos % 3 = 0")
 def vcf_concat(spark, sf):
     v = frame(spark, sf, "variants")
-    return variants.concatenate(v.where("pos % 2 = 0"), v.where("pos % 3 = 0")).select("chrom", "pos", "id", "ref", "alt")
+    return variants.concatenate(v.where("pos % 2 = 0"), v.where("pos % 2 <> 0 OR pos % 3 = 0")).select("chrom", "pos", "id", "ref", "alt")
 
 
 @query(f"""{cte('variants')}, c AS (SELECT chrom, max(pos) AS length FROM variants GROUP BY chrom), w AS (SELECT chrom, length, unnest(range(0, length, 1000)) AS start_pos FROM c)
 SELECT chrom, start_pos, least(start_pos + 1000, length) AS end_pos FROM w""")
 def contig_windows(spark, sf):
     return variants.windows(frame(spark, sf, "variants").groupBy("chrom").agg(F.max("pos").alias("length")), 1000)
+
+
+_ALIGN = f"{cte('alignments')}, pl AS (SELECT *, list_transform(range(len(quals)), lambda i: CASE k WHEN 0 THEN start_pos + i WHEN 1 THEN CASE WHEN i < 4 THEN NULL ELSE start_pos + i - 4 END ELSE CASE WHEN i < 10 THEN start_pos + i WHEN i < 12 THEN NULL WHEN i < 17 THEN start_pos + i - 2 ELSE start_pos + i + 1 END END) AS positions FROM alignments)"
+
+
+def _text(c) -> Column:
+    return F.array_join(c, ",", "-")
+
+
+@query(f"{_ALIGN} SELECT qname, flag, cigar, array_to_string(list_transform(positions, lambda p: coalesce(CAST(p AS VARCHAR), '-')), ',') AS positions FROM pl")
+def reference_positions(spark, sf):
+    a = frame(spark, sf, "alignments")
+    return a.select("qname", "flag", "cigar", _text(reads.reference_positions(F.col("cigar"), F.col("start_pos"))).alias("positions"))
+
+
+_RECORDS = f"""{_ALIGN}, m AS (SELECT *, row_number() OVER (PARTITION BY qname ORDER BY rec_no) - 1 AS n FROM pl WHERE {{where}}),
+fs AS (SELECT a.qname, a.n // 2 AS pair_no, a.flag AS f1, a.ref_id AS c1, a.start_pos AS s1, a.end_pos AS e1, a.rec_no AS o1, b.flag AS f2, b.ref_id AS c2, b.start_pos AS s2, b.end_pos AS e2, b.rec_no AS o2 FROM m a JOIN m b ON b.qname = a.qname AND b.n = a.n + 1 WHERE a.n % 2 = 0),
+p AS (SELECT qname, pair_no, CASE WHEN f2 & 64 <> 0 THEN f2 ELSE f1 END AS f1, c1, c2, CASE WHEN f2 & 64 <> 0 THEN s2 ELSE s1 END AS s1, CASE WHEN f2 & 64 <> 0 THEN e2 ELSE e1 END AS e1,
+ CASE WHEN f2 & 64 <> 0 THEN f1 ELSE f2 END AS f2, CASE WHEN f2 & 64 <> 0 THEN s1 ELSE s2 END AS s2, CASE WHEN f2 & 64 <> 0 THEN e1 ELSE e2 END AS e2, CASE WHEN f2 & 64 <> 0 THEN o2 ELSE o1 END AS first_mate FROM fs)"""
+_MAPPED = _RECORDS.replace("{where}", _PASS)
+
+
+@query(f"{_MAPPED} SELECT m.qname, flag, start_pos, end_pos, cigar, CASE WHEN rec_no = first_mate THEN 1 ELSE 2 END AS mate FROM m JOIN p ON p.qname = m.qname AND p.pair_no = m.n // 2 WHERE {_DOVE}")
+def dovetail_records(spark, sf):
+    return reads.dovetail_records(frame(spark, sf, "alignments")).select("qname", "flag", "start_pos", "end_pos", "cigar", "mate")
+
+
+@query(f"""{_MAPPED}, w AS (SELECT m.*, CASE WHEN {_DOVE} THEN greatest(s1, s2) END AS a, least(e1, e2) AS b FROM m JOIN p ON p.qname = m.qname AND p.pair_no = m.n // 2 WHERE c1 = c2),
+o AS (SELECT qname, flag, start_pos, 0 AS branch, quals FROM pl WHERE NOT ({_PASS})
+ UNION ALL SELECT qname, flag, start_pos, 1, CASE WHEN a IS NULL THEN quals ELSE list_transform(range(1, len(quals) + 1), lambda i: CASE WHEN positions[i] >= a AND positions[i] < b THEN quals[i] ELSE 0 END) END FROM w
+ UNION ALL SELECT qname, flag, start_pos, 2, quals FROM m WHERE n % 2 = 0 AND NOT EXISTS (SELECT 1 FROM fs WHERE fs.qname = m.qname AND fs.pair_no = m.n // 2))
+SELECT qname, flag, start_pos, branch, array_to_string(quals, ',') AS quals FROM o""")
+def dovetail_masked_records(spark, sf):
+    return reads.masked_records(frame(spark, sf, "alignments")).select("qname", "flag", "start_pos", "branch", _text("quals").alias("quals"))
+
+
+@query(f"""{_MAPPED} SELECT m.qname, flag, start_pos, cigar, CASE WHEN greatest(e1, e2) - least(s1, s2) <= 50 THEN 'small' WHEN greatest(e1, e2) - least(s1, s2) <= 100 THEN 'medium' WHEN greatest(e1, e2) - least(s1, s2) <= 150 THEN 'long' ELSE 'xlarge' END AS output
+FROM m JOIN p ON p.qname = m.qname AND p.pair_no = m.n // 2 WHERE c1 = c2""")
+def split_by_size_records(spark, sf):
+    return reads.split_by_size(frame(spark, sf, "alignments")).select("qname", "flag", "start_pos", "cigar", "output")
+
+
+@query(f"""{_RECORDS.replace("{where}", "flag & 4 = 0")}, k AS (SELECT qname, pair_no, CASE f1 WHEN 99 THEN 'OT' WHEN 83 THEN 'OB' WHEN 147 THEN 'CTOT' WHEN 163 THEN 'CTOB' END AS output FROM fs)
+SELECT m.qname, flag, start_pos, cigar, output FROM m JOIN k ON k.qname = m.qname AND k.pair_no = m.n // 2 WHERE output IS NOT NULL""")
+def split_by_strand_records(spark, sf):
+    return reads.split_by_strand(frame(spark, sf, "alignments")).select("qname", "flag", "start_pos", "cigar", "output")
+
+
+@query(f"""{cte('fastq')}, t AS ({' UNION ALL '.join(f"SELECT '{t}' AS file_type, *, split_part(header, ' ', 1) AS read_name FROM fastq WHERE {w}" for t, w in _TYPES)}),
+n AS (SELECT read_name, count(DISTINCT file_type) = 4 AS matched, min(rec_no) FILTER (WHERE file_type = 'I1') AS f FROM t GROUP BY ALL)
+SELECT file_type, row_number() OVER (PARTITION BY file_type ORDER BY matched DESC, CASE WHEN matched THEN f END, read_name) AS place, header, seq, plus, qual FROM t JOIN n USING (read_name)""")
+def fastq_four_way_records(spark, sf):
+    f = frame(spark, sf, "fastq")
+    parts = [f.where(w).withColumn("file_type", F.lit(t)) for t, w in _TYPES]
+    records = parts[0]
+    for p in parts[1:]:
+        records = records.unionByName(p)
+    return fastq.four_way_records(records)
+
+
+_OF = "SELECT CASE WHEN rec_no % 3 = 0 THEN 'd1' ELSE 'd0' END AS dir, concat('Smp', CAST(rec_no % 4 AS STRING), '_S1_L00', CAST(rec_no % 2 + 1 AS STRING), CASE WHEN rec_no % 5 = 0 THEN '_R2' ELSE '_R1' END, '_001.fastq.gz') AS name, * FROM {fastq}"
+
+
+@query(f"""{cte('fastq')}, r AS ({_OF.format(fastq='fastq')}), c AS (SELECT DISTINCT dir, name, regexp_replace(name, '_S1_L00.*', '') AS sample, CASE WHEN contains(name, '_R1') THEN 'R1' ELSE 'R2' END AS read_type FROM r),
+p AS (SELECT *, CAST(row_number() OVER (PARTITION BY sample, read_type ORDER BY dir, name) AS INTEGER) AS part FROM c)
+SELECT sample, read_type, part, rec_no, header, seq, plus, qual FROM r JOIN p USING (dir, name)""")
+def fastq_concatenated_records(spark, sf):
+    r = spark.sql(_OF, fastq=frame(spark, sf, "fastq"))
+    return fastq.concatenated_records(r, r.select("dir", "name").distinct())
+
+
+@query(f"""{cte('genotypes')}, a AS (SELECT *, list_filter([alt1, alt2], lambda x: x IS NOT NULL) AS alts FROM genotypes), s AS (SELECT chrom, pos, ref, list_sort(list_distinct(flatten(list(alts)))) AS every FROM a GROUP BY ALL),
+g AS (SELECT a.*, every, CASE WHEN genotype = './.' THEN './.' WHEN genotype = '0|1' THEN concat('0|', CAST(list_position(every, alt1) AS VARCHAR)) WHEN genotype = '1/2' THEN concat(CAST(list_position(every, alt1) AS VARCHAR), '/', CAST(list_position(every, alt2) AS VARCHAR)) ELSE concat(CAST(list_position(every, alt1) AS VARCHAR), '/', CAST(list_position(every, alt1) AS VARCHAR)) END AS g FROM a JOIN s USING (chrom, pos, ref))
+SELECT chrom, pos, ref, array_to_string(any_value(every), ',') AS alts, string_agg(concat(sample, '=', g), ',' ORDER BY sample) AS genotypes FROM g GROUP BY chrom, pos, ref""")
+def vcf_merge_genotypes(spark, sf):
+    calls = frame(spark, sf, "genotypes").withColumn("alts", F.filter(F.array("alt1", "alt2"), lambda x: x.isNotNull()))
+    m = variants.merge_genotypes(calls)
+    shown = F.array_join(F.transform(F.array_sort(F.map_entries("genotypes")), lambda e: F.concat_ws("=", e["key"], e["value"])), ",")
+    return m.select("chrom", "pos", "ref", _text("alts").alias("alts"), shown.alias("genotypes"))
+
+
+# Sources and sinks: tables are written as the files that the formats ask for, and read back.
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query(f"{cte('regions')} SELECT chrom, start_pos, end_pos, concat_ws('_', chrom, CAST(start_pos AS VARCHAR), CAST(end_pos AS VARCHAR)) AS region_id FROM regions")
+def bed_files(spark, sf):
+    at = _folder(spark, "bed")
+    tables.write_sites(frame(spark, sf, "regions").select("chrom", "start_pos", "end_pos"), at)
+    return tables.read_bed(spark, at).select("chrom", "start_pos", "end_pos", _region_id())
+
+
+@query(f"{cte('regions')} SELECT base, chrom, start_pos, end_pos, CASE WHEN strand = '+' THEN 'top' ELSE 'bottom' END AS strand_side FROM regions CROSS JOIN (VALUES (0), (1)) v(base)")
+def stranded_bed_files(spark, sf):
+    """The strand column counted from 1 and from 0."""
+    at = _folder(spark, "stranded")
+    tables.write_sites(frame(spark, sf, "regions").select("chrom", "start_pos", "end_pos", "bin", "strand"), at, gzip=False)
+    one, zero = (tables.read_stranded_bed(spark, at, 4 + base, base).select(F.lit(base).alias("base"), "chrom", "start_pos", "end_pos", "strand_side") for base in (1, 0))
+    return one.unionByName(zero)
+
+
+@query(f"{cte('allc')} SELECT chrom, pos, strand, context, mc, cov, flag FROM allc")
+def allc_files(spark, sf):
+    at = _folder(spark, "allc")
+    tables.write_sites(frame(spark, sf, "allc").select("chrom", "pos", "strand", "context", "mc", "cov", "flag"), at)
+    return tables.read_allc(spark, at).select("chrom", "pos", "strand", "context", "mc", "cov", "flag")
+
+
+@query(f"{cte('beta')} SELECT chrom, start_pos, end_pos, mc, cov FROM beta")
+def bed5_files(spark, sf):
+    at = _folder(spark, "bed5")
+    tables.write_sites(frame(spark, sf, "beta").select("chrom", "start_pos", "end_pos", "mc", "cov"), at)
+    return tables.read_bed(spark, at, tables.BED5).select("chrom", "start_pos", "end_pos", "mc", "cov")
+
+
+@query(f"""WITH q AS ({_OVERALL} SELECT * FROM o) SELECT sample, total_mc, total_cov, CASE WHEN methylation_fraction IS NOT NULL THEN printf('%.6f', methylation_fraction) END AS methylation_fraction, sites_with_data FROM q""")
+def overall_methylation_files(spark, sf):
+    """Fractions with six decimals, one folder for each sample; a folder that is missing adds no row."""
+    at = _folder(spark, "overall")
+    tables.write_tsv(overall_methylation(spark, sf), at, 6, partition_by=("sample",))
+    fields = "total_mc long, total_cov long, methylation_fraction string, sites_with_data long, sample string"
+    return tables.read_results(spark, at, fields).unionByName(tables.read_results(spark, at + "-none", fields))
+
+
+@query(f"""WITH q AS ({_region_sql("r.start_pos + 1", _RID)}) SELECT region_id, chrom, start, "end", total_coverage, CASE WHEN methylation_percentage IS NOT NULL THEN printf('%.3f', methylation_percentage) END AS methylation_percentage FROM q""")
+def region_methylation_files(spark, sf):
+    at = _folder(spark, "regions")
+    out = region_methylation_bed0(spark, sf).select("region_id", "chrom", "start", "end", "total_coverage", "methylation_percentage")
+    tables.write_tsv(out, at, 3)
+    return tables.read_results(spark, at, "region_id string, chrom string, start long, end long, total_coverage long, methylation_percentage string")
+
+
+@query(f"{cte('fastq')} SELECT split_part(header, ':', -1) AS barcode, header, seq, plus, qual FROM fastq")
+def fastq_files_by_barcode(spark, sf):
+    at = _folder(spark, "fastq")
+    f = frame(spark, sf, "fastq").withColumn("barcode", names.barcode(F.col("header")))
+    sequences.write_fastq(f, at, partition_by=("barcode",))
+    got = sequences.read_fastq(spark, at)
+    folder = F.replace(F.regexp_extract("file", "barcode=([^/]*)/", 1), F.lit("+"), F.lit("%2B"))
+    return got.select(F.url_decode(folder).alias("barcode"), "header", "seq", "plus", "qual")
+
+
+_BLANK = "(rec_no % 997 = 500)"
+
+
+@query(f"{cte('fastq')}, r AS (SELECT concat('f', CAST(rec_no % 3 AS VARCHAR)) AS file, rec_no, CASE WHEN {_BLANK} THEN '' ELSE header END AS header FROM fastq), s AS (SELECT file, min(rec_no) AS stop FROM r WHERE header = '' GROUP BY file) SELECT file, rec_no, header FROM r LEFT JOIN s USING (file) WHERE stop IS NULL OR rec_no < stop")
+def fastq_until_blank(spark, sf):
+    f = frame(spark, sf, "fastq").select(F.concat(F.lit("f"), (F.col("rec_no") % 3).cast("string")).alias("file"), "rec_no", F.when(F.expr(_BLANK), "").otherwise(F.col("header")).alias("header"))
+    return fastq.until_blank_header(f)
+
+
+@query(f"{cte('fasta')} SELECT chrom, seq FROM fasta")
+def fasta_files(spark, sf):
+    at = _folder(spark, "fasta")
+    sequences.write_fasta(frame(spark, sf, "fasta"), at)
+    return sequences.read_fasta(spark, at)
+
+
+@query(f"{cte('alignments')} SELECT qname, flag, concat('chr', CAST(ref_id AS VARCHAR)) AS ref_name, start_pos, end_pos, cigar, array_to_string(quals, ',') AS quals, concat('chr', CAST(ref_id AS VARCHAR)) AS output FROM alignments")
+def sam_files(spark, sf):
+    at = _folder(spark, "sam")
+    a = frame(spark, sf, "alignments").withColumn("ref_name", F.concat(F.lit("chr"), F.col("ref_id").cast("string")))
+    sequences.write_sam(a.withColumn("output", F.col("ref_name")), at, ("@HD\tVN:1.6",), ("output",))
+    got = sequences.read_sam(spark, at)
+    return got.select("qname", "flag", "ref_name", "start_pos", "end_pos", "cigar", _text("quals").alias("quals"), F.regexp_extract("file", "output=([^/]*)/", 1).alias("output"))
+
+
+@query(f"{cte('genotypes')} SELECT CASE sample WHEN 'smp1' THEN 'donor' ELSE sample END AS sample, chrom, pos, ref, array_to_string(list_filter([alt1, alt2], lambda x: x IS NOT NULL), ',') AS alts, genotype FROM genotypes WHERE sample = 'smp1'")
+def vcf_files(spark, sf):
+    at = _folder(spark, "vcf")
+    g = frame(spark, sf, "genotypes").where("sample = 'smp1'").select("chrom", "pos", F.lit(None).cast("string").alias("id"), "ref", F.filter(F.array("alt1", "alt2"), lambda x: x.isNotNull()).alias("alt"), F.lit("GT").alias("format"), F.col("genotype").alias("smp1"))
+    sequences.write_vcf(g, at, ["##fileformat=VCFv4.2"], {"smp1": "smp1"})
+    known = sequences.vcf_samples(spark, at).first()["samples"]
+    return sequences.genotypes(sequences.read_vcf(spark, at), known, {"smp1": "donor"}).withColumn("alts", _text("alts"))
+
+
+@query(f"{cte('transcription')} SELECT gene_name, barcode FROM transcription WHERE status = 'transcribed'")
+def matrix_file(spark, sf):
+    at = _folder(spark, "matrix")
+    wide = frame(spark, sf, "transcription").groupBy(F.col("gene_name").alias("gene")).pivot("barcode", list(CELLS)).agg(F.first("status"))
+    wide.write.option("header", True).csv(at)
+    return sites.unpivot_matrix(tables.read_matrix(spark, at), "gene_name", "transcribed")
+
+
+@query(f"""{cte('cells')}, j AS (SELECT *, CASE WHEN barcode LIKE '%1%' THEN NULL ELSE barcode END AS b, CASE grp WHEN 'grp0' THEN 'NCH' END AS c FROM cells)
+SELECT concat('/in/', barcode, '.tsv') AS allc_path, '/in/tss.bed' AS bed_path, coalesce(b, 'sample') AS barcode, coalesce(c, 'NCG') AS context, CASE grp WHEN 'grp1' THEN -500 ELSE -3000 END AS range_start, 3000 AS range_end, 5 AS strand_col,
+ concat('/out/', coalesce(b, 'sample'), '.', coalesce(c, 'NCG'), '.NA.top.tsv') AS top_path, concat('/out/', coalesce(b, 'sample'), '.', coalesce(c, 'NCG'), '.NA.bottom.tsv') AS bottom_path FROM j""")
+def tss_jobs(spark, sf):
+    """A sheet with blank cells and without some optional columns."""
+    at = _folder(spark, "sheet")
+    c = frame(spark, sf, "cells")
+    sheet = c.select(
+        F.concat(F.lit("/in/"), "barcode", F.lit(".tsv")).alias("allc_path"), F.lit("/in/tss.bed").alias("bed_path"), F.lit("/out").alias("out_dir"), F.when(F.contains("barcode", F.lit("1")), " ").otherwise(F.col("barcode")).alias("barcode"),
+        F.when(F.col("grp") == "grp0", "NCH").alias("context"), F.when(F.col("grp") == "grp1", "-500").alias("range_start"),
+    )
+    sheet.write.option("header", True).csv(at)
+    return flagship.tss_jobs(tables.read_sheet(spark, at, ("allc_path", "bed_path", "out_dir")))
+
+
+@query(f"SELECT CAST(unnest(range({FIRST}, {LAST_OFFSET} + 1)) AS BIGINT) AS position_relative_to_tss, CAST(0 AS BIGINT) AS total_coverage, CAST(0 AS BIGINT) AS total_methylated, CAST(NULL AS DOUBLE) AS methylation_percentage, CAST(0 AS BIGINT) AS sites_with_data")
+def tss_profile_empty(spark, sf):
+    return me.anchor_profile(frame(spark, sf, "allc"), frame(spark, sf, "regions").where("false"), FIRST, LAST_OFFSET, "all")
+
+
+@query(f"""{cte('listing')} SELECT name, regexp_replace(name, '_S\\d+.*$', '') AS sample, regexp_replace(name, '_L\\d+.*$', '') AS with_number,
+ CASE WHEN contains(name, 'I1') THEN 'I1' WHEN contains(name, 'I2') THEN 'I2' WHEN contains(name, 'R1') THEN 'R1' WHEN contains(name, 'R2') THEN 'R2' END AS read_type,
+ list_filter(string_split(regexp_replace(name, '\\..*$', ''), '_'), lambda x: x IN ('R1', 'R2', 'I1', 'I2'))[1] AS read_part, split_part(name, '-', 1) AS prefix FROM listing""")
+def read_file_names(spark, sf):
+    n = F.col("name")
+    return frame(spark, sf, "listing").select("name", names.strip_number(n).alias("sample"), names.strip_number(n, True).alias("with_number"), names.read_type(n, ("I1", "I2", "R1", "R2")).alias("read_type"), names.read_part(n).alias("read_part"), names.sample_prefix(n).alias("prefix"))
+
+
+_LABELS = ("NCGN-Both", "HCHN-Both")
+
+
+@query(f"""{cte('cells')}, f AS (SELECT barcode, concat(barcode, CASE grp WHEN 'grp0' THEN '.NCGN-Both' WHEN 'grp1' THEN '.HCHN-Both' ELSE '.other' END, '.allc.tsv', CASE WHEN barcode LIKE '%2%' THEN '' ELSE '.gz' END) AS name, grp FROM cells)
+SELECT name, concat(barcode, CASE grp WHEN 'grp0' THEN '.NCGN-Both' WHEN 'grp1' THEN '.HCHN-Both' ELSE '.other' END) AS sample, CASE grp WHEN 'grp0' THEN 'NCGN' WHEN 'grp1' THEN 'HCHN' END AS context, CASE grp WHEN 'grp0' THEN barcode ELSE concat(barcode, CASE grp WHEN 'grp1' THEN '.HCHN-Both' ELSE '.other' END) END AS cell FROM f""")
+def methylation_file_names(spark, sf):
+    kind = F.when(F.col("grp") == "grp0", ".NCGN-Both").when(F.col("grp") == "grp1", ".HCHN-Both").otherwise(".other")
+    f = frame(spark, sf, "cells").select(F.concat("barcode", kind, F.lit(".allc.tsv"), F.when(F.contains("barcode", F.lit("2")), "").otherwise(".gz")).alias("name"))
+    return f.select("name", names.file_sample(F.col("name")).alias("sample"), names.first_context(F.col("name"), _LABELS).alias("context"), names.file_barcode(F.col("name"), F.lit("NCGN-Both")).alias("cell"))
+
+
+@query(f"{cte('fastq')}, b AS (SELECT split_part(header, ':', -1) AS barcode, count(*) AS reads FROM fastq GROUP BY ALL) SELECT barcode, printf('%.3f', CAST(reads AS DOUBLE) / 1000000) AS label FROM b")
+def downsample_labels(spark, sf):
+    return fastq.barcode_counts(frame(spark, sf, "fastq")).select("barcode", names.million_label(F.col("reads")).alias("label"))
+
+
+@query()
+def sampled_reads(spark, sf):
+    """A thousand reads by a seeded hash, which SQL does not have; compared with a recount in the tests."""
+    return fastq.sample_reads(frame(spark, sf, "fastq"), 1000).select("rec_no", "header", "seq", "qual")
+
+
+@query()
+def smoothed_profile(spark, sf):
+    """Locally weighted regression, which SQL does not have; compared with plain loops in the tests."""
+    return smoothing.smooth(cell_bin_profile(spark, sf), "group", "bin", "methylation_percentage", 0.4)
+
+
+@query(f"{cte('regions')} SELECT chrom, start_pos, end_pos, bin, CASE WHEN rid % 4 <> 0 THEN gene_name END AS gene_name FROM regions")
+def gene_bin_lines(spark, sf):
+    text = F.concat_ws("\t", "chrom", F.col("start_pos").cast("string"), F.col("end_pos").cast("string"), F.col("bin").cast("string"), F.lit("x"), "strand", F.when(F.col("rid") % 4 != 0, F.col("gene_name")))
+    return me.gene_bins(frame(spark, sf, "regions").select(F.split(text, "\t").alias("cols")))
+
+
+CONFIG_SEGMENTS = ("up", "body", "down")
+
+
+def _pipeline(spark, sf) -> flagship.Profiles:
+    """One methylation file for each cell, one interval file for each segment, a matrix and a metadata table."""
+    at = _folder(spark, "pipeline")
+    a = frame(spark, sf, "allc").select(F.concat("sample", F.lit(".NCGN-Both.allc.tsv")).alias("f"), "ord", F.concat_ws("\t", "chrom", *[F.col(c).cast("string") for c in ("pos", "strand", "context", "mc", "cov", "flag")]).alias("value"))
+    a.repartition("f").sortWithinPartitions("f", "ord").select("f", "value").write.partitionBy("f").text(f"{at}/allc")
+    r = frame(spark, sf, "regions").withColumn("segment", F.element_at(F.array(*map(F.lit, CONFIG_SEGMENTS)), (F.col("rid") % 3 + 1).cast("int")))
+    for name in CONFIG_SEGMENTS:
+        tables.write_sites(r.where(F.col("segment") == name).select("chrom", "start_pos", "end_pos", "bin", F.lit("x").alias("x"), "strand", "gene_name"), f"{at}/{name}", gzip=False)
+    wide = frame(spark, sf, "transcription").groupBy(F.col("gene_name").alias("gene")).pivot("barcode", list(CELLS)).agg(F.first("status"))
+    wide.write.option("header", True).csv(f"{at}/matrix")
+    frame(spark, sf, "cells").select(F.col("barcode").alias("index"), F.col("grp").alias("group"), "barcode").write.option("header", True).csv(f"{at}/cells")
+    config = PipelineConfig(("NCGN-Both",), {name: Region(f"{at}/{name}", 6, ("+", "-"), 20) for name in CONFIG_SEGMENTS}, MIN_COVERAGE)
+    paths = [f"{at}/allc/f={c}.NCGN-Both.allc.tsv" for c in CELLS]
+    return flagship.run(spark, paths, config, f"{at}/matrix", f"{at}/cells", "NCGN")
+
+
+@query(f"{cte('allc', 'regions')}, {_CELL} SELECT sample, 'NCGN' AS context, ['up', 'body', 'down'][rid % 3 + 1] AS region, strand_side, concat(chrom, ':', CAST(start_pos AS VARCHAR), '-', CAST(end_pos AS VARCHAR)) AS region_id, bin, total_coverage, total_methylated, sites_with_data FROM cr")
+def pipeline_region_tables(spark, sf):
+    """The flagship from text files to its region tables."""
+    return _pipeline(spark, sf).region_rows
+
+
+@query(ORACLE_SQL["combined_regions_profile"])
+def pipeline_profiles(spark, sf):
+    """The flagship from text files to the profiles of groups."""
+    return _pipeline(spark, sf).profiles

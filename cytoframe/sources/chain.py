@@ -7,21 +7,22 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
-BLOCKS = "chrom string, block_start long, block_end long, target_chrom string, target_start long, target_strand string, target_size long, score long"
+BLOCKS = "chain long, chrom string, block_start long, block_end long, target_chrom string, target_start long, target_strand string, target_size long, score long"
 
 
 def blocks(text: str) -> Iterator[tuple]:
     """A header names the chain's ends; its lines give a block's size and the gaps to the next on either side."""
-    at = None
+    at, n = None, 1  # chains without a number are counted
     for line in text.splitlines():
         f = line.split()
         if not f or f[0].startswith("#"):
             continue
         if f[0] == "chain":
-            at = [f[2], int(f[5]), f[7], int(f[10]), f[9], int(f[8]), int(f[1])]
+            at = [f[2], int(f[5]), f[7], int(f[10]), f[9], int(f[8]), int(f[1]), int(f[12]) if len(f) > 12 else n]
+            n += 1
         elif at:
             size = int(f[0])
-            yield at[0], at[1], at[1] + size, at[2], at[3], at[4], at[5], at[6]
+            yield at[7], at[0], at[1], at[1] + size, at[2], at[3], at[4], at[5], at[6]
             if len(f) == 3:
                 at[1] += size + int(f[1])
                 at[3] += size + int(f[2])

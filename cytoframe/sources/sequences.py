@@ -1,19 +1,22 @@
-"""FASTQ, FASTA and alignment files."""
+"""FASTQ, FASTA, alignment and variant files.
+
+Text formats are read as lines by Spark itself: plain files are cut into splits, gzip files are one split that is
+inflated as a stream. Lines are numbered by file and split, so records are put together by a shuffle, whatever
+the size of a file.
+"""
 
 from __future__ import annotations
 
-import gzip
-import re
 import struct
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.names import natural_key
 
-FASTQ = "file string, rec_no long, header string, seq string, plus string, qual string"
-READ = "file string, rec_no long, qname string, flag int, ref_id int, ref_name string, start_pos long, end_pos long, cigar string, seq string, quals array<int>, tags map<string,string>"
+READ = "file string, rec_no long, qname string, flag int, ref_id int, ref_name string, start_pos long, end_pos long, cigar string, seq string, quals array<int>, tags map<string,string>, mapq int, mate_ref_name string, mate_pos long, template_length long"
 BGZF_END = bytes.fromhex("1f8b08040000000000ff0600424302001b0003000000000000000000")
 OPS, BASES = "MIDNSHP=X", "=ACMGRSVTWYHKDBN"
 
@@ -22,28 +25,44 @@ def _files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths).select("path", "content")
 
 
-def _plain(raw: bytes) -> bytes:
-    return gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else raw
-
-
-def read_fastq(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """One row for each four-line record with its number in the file; a truncated last record is kept as it is.
-
-    Compressed read files cannot be split, so a file is one task's work; its lines stream out in batches.
+def inflated(raw: bytes, step: int = 1 << 20) -> Iterator[bytes]:
+    """The content of a gzip file of any number of members, piece by piece; zlib.error where it is damaged, EOFError
+    where it is cut off."""
+    at, z = 0, zlib.decompressobj(31)
+    while at < len(raw):
+        yield z.decompress(raw[at : at + step])
+        at += step
+        while z.eof and (z.unused_data or at < len(raw)):
+            rest = z.unused_data
+            z = zlib.decompressobj(31)
+            if rest:
+                yield z.decompress(rest)
+            else:
+                break
+    if not z.eof:
+        raise EOFError("the file ends inside a member")
+
+
+def numbered_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(file, block, line_no from 0, n, value) of the lines of text files; n counts within the block from 1.
+
+    A block is a split of a file; the lines before it are those of the file's earlier blocks, which a window over one
+    row for each block adds up.
     """
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("_id"), "value"
+    )
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = lines.groupBy("file", "block").agg(F.count("*").alias("m")).select("file", "block", F.coalesce(F.sum("m").over(before), F.lit(0)).alias("_before"))
+    n = F.row_number().over(Window.partitionBy("file", "block").orderBy("_id"))
+    return lines.withColumn("n", n).join(blocks, ["file", "block"]).select("file", "block", (F.col("_before") + F.col("n") - 1).alias("line_no"), "n", "value")
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for path, raw in zip(batch["path"], batch["content"]):
-                lines = _plain(raw).decode("ascii", "replace").split("\n")
-                if lines and not lines[-1]:
-                    lines.pop()
-                for lo in range(0, len(lines), 40_000):
-                    part = [x.rstrip("\r") for x in lines[lo : lo + 40_000]]
-                    part += [None] * (-len(part) % 4)
-                    yield pd.DataFrame({"file": path, "rec_no": range(lo // 4, (lo + len(part)) // 4), "header": part[::4], "seq": part[1::4], "plus": part[2::4], "qual": part[3::4]})
 
-    return _files(spark, paths).mapInPandas(parse, FASTQ)
+def read_fastq(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """One row for each four-line record with its number in the file; a truncated last record is kept as it is."""
+    lines = numbered_lines(spark, paths).withColumn("rec_no", F.floor(F.col("line_no") / 4)).withColumn("k", F.col("line_no") % 4)
+    part = lambda k, name: F.max(F.when(F.col("k") == k, F.col("value"))).alias(name)
+    return lines.groupBy("file", "rec_no").agg(part(0, "header"), part(1, "seq"), part(2, "plus"), part(3, "qual"))
 
 
 def write_fastq(fastq: DataFrame, path: str, compress: bool = True, partition_by: tuple[str, ...] = ()) -> None:
@@ -54,16 +73,24 @@ def write_fastq(fastq: DataFrame, path: str, compress: bool = True, partition_by
 
 
 def read_fasta(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(chrom, seq); the name is the first token after '>'."""
+    """(chrom, seq); the name is the first token after '>'. Lines before the first header are passed over."""
+    lines = numbered_lines(spark, paths).withColumn("head", F.startswith("value", F.lit(">")).cast("long"))
+    own = F.sum("head").over(Window.partitionBy("file", "block").orderBy("n"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = lines.groupBy("file", "block").agg(F.sum("head").alias("m")).select("file", "block", F.coalesce(F.sum("m").over(before), F.lit(0)).alias("_before"))
+    rows = lines.withColumn("own", own).join(blocks, ["file", "block"]).withColumn("no", F.col("_before") + F.col("own")).where("no > 0")
+    g = rows.groupBy("file", "no").agg(
+        F.max(F.when(F.col("head") == 1, F.col("value"))).alias("title"),
+        F.array_sort(F.collect_list(F.when(F.col("head") == 0, F.struct("line_no", F.regexp_replace("value", r"\s+", "").alias("s"))))).alias("parts"),
+    )
+    name = F.coalesce(F.get(F.split(F.trim(F.substr("title", F.lit(2))), r"\s+"), F.lit(0)), F.lit(""))
+    return g.select(name.alias("chrom"), F.array_join(F.transform("parts", lambda p: p["s"]), "").alias("seq"))
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for raw in batch["content"]:
-                for record in _plain(raw).decode("ascii", "replace").split(">")[1:]:
-                    head, _, body = record.partition("\n")
-                    yield pd.DataFrame({"chrom": [head.split()[0] if head.split() else ""], "seq": [re.sub(r"\s+", "", body)]})
 
-    return _files(spark, paths).mapInPandas(parse, "chrom string, seq string")
+def write_fasta(fasta: DataFrame, path: str, width: int = 60) -> None:
+    """Sequences as lines of `width` letters under their names."""
+    wrapped = F.regexp_replace("seq", f"(.{{{width}}})(?=.)", "$1\n")
+    fasta.select(F.concat_ws("\n", F.concat(F.lit(">"), "chrom"), F.when(F.length("seq") > 0, wrapped)).alias("value")).write.text(path)
 
 
 def reference_length(cigar: list[tuple[int, int]]) -> int:
@@ -90,21 +117,33 @@ def decode_tags(raw: bytes) -> dict[str, str]:
     return out
 
 
-def decode_bam(path: str, data: bytes) -> Iterator[tuple]:
-    """Records of an inflated BAM file in file order (see READ)."""
-    if data[:4] != b"BAM\x01":
+def decode_bam(path: str, pieces: Iterator[bytes]) -> Iterator[tuple]:
+    """Records of a BAM file in file order (see READ), from its inflated pieces; one record is held at a time."""
+    held = bytearray()
+
+    def take(n: int) -> bytes:
+        while len(held) < n:
+            held.extend(next(pieces))
+        out = bytes(held[:n])
+        del held[:n]
+        return out
+
+    number = lambda: struct.unpack("<i", take(4))[0]
+    if take(4) != b"BAM\x01":
         raise ValueError(f"{path}: no BAM file")
-    at = 8 + struct.unpack_from("<i", data, 4)[0]
-    refs, n = [], struct.unpack_from("<i", data, at)[0]
-    at += 4
-    for _ in range(n):
-        size = struct.unpack_from("<i", data, at)[0]
-        refs.append(data[at + 4 : at + 3 + size].decode())
-        at += 8 + size
+    take(number())
+    refs = []
+    for _ in range(number()):
+        refs.append(take(number())[:-1].decode())
+        number()
     rec = 0
-    while at < len(data):
-        size, ref, pos, l_name, _, _, n_cigar, flag, l_seq = struct.unpack_from("<iiiBBHHHi", data, at)
-        end, p = at + 4 + size, at + 36
+    while True:
+        try:
+            data = take(number())
+        except StopIteration:
+            return
+        ref, pos, l_name, mapq, _, n_cigar, flag, l_seq, mate, mate_pos, span = struct.unpack_from("<iiBBHHHiiii", data)
+        p = 32
         name = data[p : p + l_name - 1].decode()
         p += l_name
         cigar = [(x >> 4, x & 15) for x in struct.unpack_from(f"<{n_cigar}I", data, p)]
@@ -113,19 +152,21 @@ def decode_bam(path: str, data: bytes) -> Iterator[tuple]:
         seq = "".join(BASES[b >> 4] + BASES[b & 15] for b in packed)[:l_seq]
         p += (l_seq + 1) // 2
         quals = list(data[p : p + l_seq])
-        yield (path, rec, name, flag, ref, refs[ref] if ref >= 0 else None, pos, pos + reference_length(cigar) if ref >= 0 else None, "".join(f"{n}{OPS[o]}" for n, o in cigar) or None, seq, quals, decode_tags(data[p + l_seq : end]))
-        at, rec = end, rec + 1
+        own = lambda i: refs[i] if i >= 0 else None
+        yield (path, rec, name, flag, ref, own(ref), pos, pos + reference_length(cigar) if ref >= 0 else None, "".join(f"{n}{OPS[o]}" for n, o in cigar) or None, seq, quals, decode_tags(data[p + l_seq :]), mapq, own(mate), mate_pos, span)
+        rec += 1
 
 
 def read_bam(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Alignments of BAM files, a file a task; positions are 0-based half-open."""
+    """Alignments of BAM files, a file a task; positions are 0-based half-open. A file's compressed bytes come as one
+    row, so it is below 2 GiB; larger ones are to be converted to SAM text, which `read_sam` reads in splits."""
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [f.split()[0] for f in READ.split(", ")]
         for batch in batches:
             for path, raw in zip(batch["path"], batch["content"]):
                 rows = []
-                for row in decode_bam(path, gzip.decompress(raw)):
+                for row in decode_bam(path, inflated(raw)):
                     rows.append(row)
                     if len(rows) == 5000:
                         yield pd.DataFrame(rows, columns=names)
@@ -136,38 +177,80 @@ def read_bam(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return _files(spark, paths).mapInPandas(parse, READ)
 
 
+def read_sam(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """The columns of READ from SAM text, by DataFrame functions; rec_no counts the file's alignment lines."""
+    lines = numbered_lines(spark, paths).where("value != '' AND NOT startswith(value, '@')")
+    rows = lines.select("file", "line_no", F.split("value", "\t").alias("c")).where(F.size("c") >= 11)
+    c = lambda i: F.nullif(F.col("c")[i], F.lit("*"))
+    length = F.aggregate(F.transform(F.regexp_extract_all("cigar", F.lit(r"(\d+)[MDN=X]"), F.lit(1)), lambda x: x.cast("long")), F.lit(0).cast("long"), lambda a, x: a + x)
+    rows = rows.select(
+        "file", "line_no", F.col("c")[0].alias("qname"), F.col("c")[1].cast("int").alias("flag"), c(2).alias("ref_name"), (F.col("c")[3].cast("long") - 1).alias("start_pos"), F.col("c")[4].cast("int").alias("mapq"),
+        c(5).alias("cigar"), F.when(F.col("c")[6] == "=", c(2)).otherwise(c(6)).alias("mate_ref_name"), (F.col("c")[7].cast("long") - 1).alias("mate_pos"), F.col("c")[8].cast("long").alias("template_length"),
+        c(9).alias("seq"), F.when(c(10).isNotNull(), F.transform(F.filter(F.split(F.col("c")[10], ""), lambda x: x != ""), lambda x: F.ascii(x) - 33)).alias("quals"),
+        F.map_from_entries(F.transform(F.filter(F.slice("c", 12, 10_000), lambda t: ~F.contains(t, F.lit(":B:"))), lambda t: F.struct(F.substr(t, F.lit(1), F.lit(2)), F.substr(t, F.lit(6))))).alias("tags"),
+    )
+    ends = F.when(F.col("ref_name").isNotNull() & F.col("cigar").isNotNull(), F.col("start_pos") + length)
+    return rows.withColumn("end_pos", ends).withColumn("rec_no", F.col("line_no")).drop("line_no")
+
+
 def integrity(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(path, gzip_ok, bam_ok): the whole file inflates; a BAM file has its magic and its end marker."""
+    """(path, gzip_ok, bam_ok): the whole file inflates, piece by piece; a BAM file has its magic and its end marker.
+    Files are below 2 GiB, as Spark gives their bytes as one row."""
 
     def test(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for path, raw in zip(batch["path"], batch["content"]):
+                first, ok = b"", True
                 try:
-                    data = gzip.decompress(raw)
-                    ok = True
-                except (OSError, EOFError, ValueError, struct.error):
-                    data, ok = b"", False
-                except Exception as e:  # zlib.error is no OSError
-                    if type(e).__name__ != "error":
-                        raise
-                    data, ok = b"", False
-                rows.append((path, ok, ok and data[:4] == b"BAM\x01" and raw.endswith(BGZF_END)))
+                    for piece in inflated(raw):
+                        first = first if len(first) > 3 else first + piece[:4]
+                except (EOFError, zlib.error):
+                    ok = False
+                ok = ok and len(raw) > 0
+                rows.append((path, ok, ok and first[:4] == b"BAM\x01" and raw.endswith(BGZF_END)))
             yield pd.DataFrame(rows, columns=["path", "gzip_ok", "bam_ok"])
 
     return _files(spark, paths).mapInPandas(test, "path string, gzip_ok boolean, bam_ok boolean")
 
 
 def read_vcf(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """chrom, pos, id, ref, alt, qual, filter, info (map) of the records; headers are passed over."""
-    rows = spark.read.text(paths).where("value != '' AND NOT startswith(value, '#')").select(F.split("value", "\t").alias("c")).where(F.size("c") >= 8)
+    """chrom, pos, id, ref, alt, qual, filter, info (map), file, format and the sample columns (array) of the records;
+    see `vcf_samples` and `genotypes`."""
+    rows = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), "value").where("value != '' AND NOT startswith(value, '#')")
+    rows = rows.select("file", F.split("value", "\t").alias("c")).where(F.size("c") >= 8)
     at = lambda i: F.nullif(F.col("c")[i], F.lit("."))
     return rows.select(
         F.col("c")[0].alias("chrom"), F.col("c")[1].cast("long").alias("pos"), at(2).alias("id"), F.col("c")[3].alias("ref"), F.split(F.col("c")[4], ",").alias("alt"),
         at(5).try_cast("double").alias("qual"), at(6).alias("filter"), F.str_to_map(F.coalesce(at(7), F.lit("")), F.lit(";"), F.lit("=")).alias("info"),
+        "file", F.get("c", F.lit(8)).alias("format"), F.slice("c", 10, 1 << 20).alias("sample_values"),
     )
 
 
+def vcf_samples(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(file, samples): the sample names of each file's header line."""
+    head = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), "value").where("startswith(value, '#CHROM')")
+    return head.select("file", F.slice(F.split("value", "\t"), 10, 1 << 20).alias("samples"))
+
+
+def genotypes(variants: DataFrame, samples: DataFrame | list[str], rename: dict[str, str] | None = None) -> DataFrame:
+    """(sample, chrom, pos, ref, alts, genotype): a row for each record and sample, for `variants.merge_genotypes`.
+
+    samples: the names of each file (see `vcf_samples`), or those of all files. `rename` gives samples new names.
+    """
+    if isinstance(samples, DataFrame):
+        rows = variants.join(samples, "file")
+    else:
+        rows = variants.withColumn("samples", F.array(*map(F.lit, samples)))
+    each = F.explode(F.arrays_zip(F.col("samples").alias("s"), F.col("sample_values").alias("v"))).alias("e")
+    at = F.array_position(F.split("format", ":"), "GT").cast("int")
+    out = rows.select("chrom", "pos", "ref", F.col("alt").alias("alts"), at.alias("at"), each).where("at > 0")
+    name = F.col("e.s")
+    for old, new in (rename or {}).items():
+        name = F.when(F.col("e.s") == old, F.lit(new)).otherwise(name)
+    return out.select(name.alias("sample"), "chrom", "pos", "ref", "alts", F.coalesce(F.get(F.split("e.v", ":"), F.col("at") - 1), F.lit("./.")).alias("genotype"))
+
+
 def write_vcf(variants: DataFrame, path: str, header: list[str], samples: dict[str, str] | None = None) -> None:
     """Records (chrom, pos, id, ref, alt; qual, filter, info, format and sample columns where present) as VCF text in natural order.
 
@@ -195,8 +278,23 @@ def write_vcf(variants: DataFrame, path: str, header: list[str], samples: dict[s
     every.orderBy("line", *natural_key(F.col("chrom")), "pos", "value").select("value").write.text(path)
 
 
-def write_sam(reads: DataFrame, path: str, header: str = "") -> None:
-    """Alignments as SAM text, sorted by reference and start."""
+def write_sam(reads: DataFrame, path: str, header: tuple[str, ...] = (), partition_by: tuple[str, ...] = ()) -> None:
+    """Alignments as SAM text after the header's lines, sorted by reference and start; one folder, with the header
+    in each, for each value of `partition_by`. Columns of READ that are absent take their neutral values."""
+    have = set(reads.columns)
+    col = lambda c, other: F.coalesce(F.col(c).cast("string"), F.lit(other)) if c in have else F.lit(other)
+    plus = lambda c: (F.coalesce(F.col(c), F.lit(-1)) + 1).cast("string") if c in have else F.lit("0")
     quals = F.array_join(F.transform("quals", lambda q: F.char(q + 33)), "")
-    line = F.concat_ws("\t", "qname", F.col("flag").cast("string"), F.coalesce("ref_name", F.lit("*")), (F.coalesce("start_pos", F.lit(-1)) + 1).cast("string"), F.lit("255"), F.coalesce("cigar", F.lit("*")), F.lit("*"), F.lit("0"), F.lit("0"), F.coalesce("seq", F.lit("*")), F.coalesce(quals, F.lit("*")))
-    reads.orderBy("ref_id", "start_pos", "rec_no").select(line.alias("value")).write.text(path)
+    tags = F.array_join(F.transform(F.array_sort(F.map_entries("tags")), lambda t: F.concat(t["key"], F.lit(":Z:"), t["value"])), "\t") if "tags" in have else F.lit(None).cast("string")
+    line = F.concat_ws(
+        "\t", "qname", F.col("flag").cast("string"), col("ref_name", "*"), plus("start_pos"), col("mapq", "255"), col("cigar", "*"), col("mate_ref_name", "*"), plus("mate_pos"),
+        col("template_length", "0"), col("seq", "*"), F.coalesce(F.nullif(quals, F.lit("")), F.lit("*")), F.nullif(tags, F.lit("")),
+    )
+    rows = reads.select(*partition_by, F.lit(len(header)).alias("_h"), "ref_id", "start_pos", *[c for c in ("rec_no",) if c in have], line.alias("value"))
+    if header:
+        top = reads.sparkSession.createDataFrame(list(enumerate(header)), "_h int, value string")
+        if partition_by:
+            top = rows.select(*partition_by).distinct().join(top, F.lit(True))  # one row for each output and header line
+        rows = rows.unionByName(top, allowMissingColumns=True)
+    order = rows.orderBy(*partition_by, "_h", "ref_id", "start_pos", *[c for c in ("rec_no",) if c in have], "value").select(*partition_by, "value")
+    (order.write.partitionBy(*partition_by) if partition_by else order.write).text(path)

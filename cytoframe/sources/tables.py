@@ -6,6 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..operators.sites import in_order
+
 ALLC = ("chrom string", "pos long", "strand string", "context string", "mc long", "cov long", "flag int")
 BED3 = ("chrom string", "start_pos long", "end_pos long")
 BED5 = (*BED3, "mc long", "cov long")
@@ -24,14 +26,15 @@ class Policy:
 
 
 def read_table(spark: SparkSession, paths: str | list[str], fields: tuple[str, ...], policy: Policy) -> DataFrame:
-    """Tab-separated lines, plain or gzip by suffix, as typed columns with `file`.
+    """Tab-separated lines, plain or gzip by suffix, as typed columns with `file` and `ord`, which sorts a file's rows.
 
     Lines are trimmed, so trailing empty columns do not count. Text that is gzipped is one task a file.
     """
     line = F.trim(F.col("value"))
     if policy.inline_comments and policy.comment:
         line = F.trim(F.substring_index(F.col("value"), policy.comment, 1))
-    rows = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), line.alias("line")).where("line != ''")
+    order = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")).alias("ord")
+    rows = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), order, line.alias("line")).where("line != ''")
     if policy.comment:
         rows = rows.where(~F.startswith("line", F.lit(policy.comment)))
     rows = rows.withColumn("c", F.split("line", "\t")).where(F.size("c") >= policy.columns)
@@ -46,7 +49,7 @@ def read_table(spark: SparkSession, paths: str | list[str], fields: tuple[str, .
         out.append(value.alias(name))
         if i < policy.columns:
             known = known & F.col(name).isNotNull()
-    return rows.select("file", *out).where(known)
+    return rows.select("file", "ord", *out).where(known)
 
 
 def read_allc(spark: SparkSession, paths: str | list[str], strict: bool = True) -> DataFrame:
@@ -80,16 +83,51 @@ def read_sheet(spark: SparkSession, path: str, required: tuple[str, ...], defaul
 
 
 def read_demux_sheet(spark: SparkSession, path: str) -> DataFrame:
-    """The rows under the [data] section of a demultiplexing sheet (a file of tens of lines)."""
-    lines = [r["value"] for r in spark.read.option("wholetext", False).text(path).coalesce(1).collect()]
-    at = next((i for i, x in enumerate(lines) if x.strip().lower().startswith("[data]")), -1)
-    head = lines[at + 1].strip().split(",")
-    return spark.createDataFrame([dict(zip(head, x.strip().split(","))) for x in lines[at + 2 :] if x.strip()], ", ".join(f"`{h}` string" for h in head))
+    """The rows under the [data] section of a demultiplexing sheet, of which the first names the columns."""
+    lines = spark.read.option("wholetext", True).text(path)
+    after = F.regexp_replace("value", r"(?is)^.*?(^|\n)\[data\][^\n]*\n", "")
+    body = lines.select(F.filter(F.split(after, r"\r?\n"), lambda x: F.trim(x) != "").alias("rows"))
+    head = [c.strip() for c in (body.select(F.get("rows", F.lit(0)).alias("h")).first()["h"] or "").split(",")]
+    rows = body.select(F.explode(F.slice("rows", 2, 1 << 20)).alias("r")).select(F.split("r", ",").alias("c"))
+    return rows.select(*[F.trim(F.get("c", F.lit(i))).alias(h) for i, h in enumerate(head)])
+
+
+def read_matrix(spark: SparkSession, path: str, key: str = "gene_name") -> DataFrame:
+    """A CSV matrix or metadata table whose first column, whatever its title, names the rows: it becomes `key`."""
+    table = spark.read.option("header", True).csv(path)
+    return table.withColumnRenamed(table.columns[0], key)
+
+
+def discover(spark: SparkSession, folder: str, pattern: str = "*", recursive: bool = True) -> DataFrame:
+    """(path, dir, name, size) of the files under a folder whose names fit a glob, in the order of their paths. Only the
+    listing is read, not the files."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).option("pathGlobFilter", pattern).load(folder)
+    place = F.regexp_extract("path", r"^(.*)/[^/]*$", 1)
+    return files.select("path", place.alias("dir"), F.substring_index("path", "/", -1).alias("name"), F.col("length").alias("size")).orderBy("path")
+
+
+def read_names(spark: SparkSession, path: str) -> DataFrame:
+    """(name): the non-blank lines of a plain list of samples or paths."""
+    return spark.read.text(path).select(F.trim("value").alias("name")).where("name != ''")
+
+
+def listed_paths(spark: SparkSession, path: str) -> list[str]:
+    """The paths of a list file, in its order, for a reader; a list of files, not of rows."""
+    return [r["name"] for r in read_names(spark, path).collect()]
+
+
+def read_results(spark: SparkSession, folder: str, fields: str) -> DataFrame:
+    """Written result tables (tab-separated, with a header, one folder for each partition value); a folder that is
+    missing or holds no file gives no rows."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return spark.createDataFrame([], fields)
+    return spark.read.schema(fields).option("sep", "\t").option("header", True).option("pathGlobFilter", "*.csv*").csv(folder)
 
 
 def decimals(value: Column, places: int) -> Column:
     """A double as text, for sinks only; null stays null."""
-    return F.when(value.isNotNull(), F.format_string(f"%.{places}f", value))
+    return F.call_function("format_number", value, F.lit("0." + "0" * places))
 
 
 def write_tsv(df: DataFrame, path: str, places: int | None = None, header: bool = True, gzip: bool = False, partition_by: tuple[str, ...] = ()) -> None:
@@ -99,6 +137,11 @@ def write_tsv(df: DataFrame, path: str, places: int | None = None, header: bool
     (writer.partitionBy(*partition_by) if partition_by else writer).csv(path)
 
 
+def write_sites(sites: DataFrame, path: str, gzip: bool = True) -> None:
+    """Sites or intervals in order (see `sites.in_order`), headerless: ALLC and BED files."""
+    write_tsv(in_order(sites), path, header=False, gzip=gzip)
+
+
 def write_bedgraph(bins: DataFrame, path: str, width: int = 100, value: str = "fraction") -> None:
     """Bins (chrom, bin_start, value) as chrom, start, end, value, sorted; bins without a value are left out."""
     rows = bins.where(F.col(value).isNotNull()).orderBy("chrom", "bin_start")

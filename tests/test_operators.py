@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from cytoframe.functions import names
 from cytoframe.functions.smoothing import lowess, smooth
 from cytoframe.operators import fastq, intervals, methylation, motif, reads, sites, variants
+from cytoframe.plans import region_pipeline
 from cytoframe.plans.config import PipelineConfig
-from cytoframe.sources import sequences, tables
+from cytoframe.sources import chain, sequences, tables
 from cytoframe.streaming import reads as stream
 
 
@@ -100,10 +101,59 @@ def test_demultiplex_within_one_mismatch(spark):
     assert {r["header"][3:7]: r["sample"] for r in fastq.demultiplex(f, sheet).collect()} == {"ACGT": "one", "ACGA": "one", "AAAA": None, "CCCC": "two"}
 
 
-def test_lift_over_of_reversed_blocks(spark):
-    bed = spark.createDataFrame([("c", 10, 12), ("c", 99, 100)], "chrom string, start_pos long, end_pos long")
-    blocks = spark.createDataFrame([("c", 5, 20, "n", 105, "-", 1000)], "chrom string, block_start long, block_end long, target_chrom string, target_start long, target_strand string, target_size long")
-    assert rows(variants.lift_over(bed, blocks).na.fill(-1).na.fill("-")) == [("c", 10, 12, "n", 888, 890), ("c", 99, 100, "-", -1, -1)]
+CHAINS = "chain long, score long, chrom string, block_start long, block_end long, target_chrom string, target_start long, target_strand string, target_size long"
+
+
+def test_lift_over_of_reversed_blocks_gaps_and_repeated_rows(spark):
+    bed = spark.createDataFrame([("c", 10, 12), ("c", 99, 100), ("c", 10, 12), ("c", 15, 35), ("c", 5, 5)], "chrom string, start_pos long, end_pos long")
+    blocks = spark.createDataFrame([(1, 50, "c", 5, 20, "n", 105, "-", 1000), (1, 50, "c", 21, 40, "n", 120, "-", 1000), (2, 20, "c", 0, 60, "m", 500, "+", 900)], CHAINS)
+    got = rows(variants.lift_over(bed, blocks, bin_size=16).na.fill(-1).na.fill("-"))
+    assert got == [("c", 5, 5, "-", -1, -1), ("c", 10, 12, "n", 888, 890), ("c", 10, 12, "n", 888, 890), ("c", 15, 35, "n", 866, 885), ("c", 99, 100, "-", -1, -1)]
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("ab"), st.integers(0, 60), st.integers(0, 30)), max_size=15), st.lists(st.tuples(st.sampled_from("ab"), st.integers(0, 60), st.integers(0, 30)), max_size=8))
+def test_overlap_semi_join_is_the_naive_one(spark, mine, others):
+    span = "chrom string, start_pos long, end_pos long"
+    a = spark.createDataFrame([(c, s, s + n) for c, s, n in mine], span)
+    b = spark.createDataFrame([(c, s, s + n) for c, s, n in others], span)
+    want = sorted((c, s, s + n) for c, s, n in mine if n and any(c == d and m and s < t + m and s + n > t for d, t, m in others))
+    assert rows(intervals.overlapping(a, b, bin_size=7)) == want
+
+
+def test_variants_reach_into_regions(spark):
+    v = spark.createDataFrame([("c", 10, "ATG", "A"), ("c", 12, "A", "T")], "chrom string, pos long, ref string, alt string")
+    r = spark.createDataFrame([("c", 10, 11)], "chrom string, start_pos long, end_pos long")
+    assert [x["pos"] for x in variants.in_regions(v, r).collect()] == [10]
+
+
+def test_rename_plan_sees_files_that_are_there(spark):
+    f = spark.createDataFrame([("d", n) for n in ("A_S1_L001_R1.fq", "A_R1.fq", "B_S1_L001_R1.fq", "B_S2_L001_R1.fq")] + [("e", "C_S1_L001_R1.fq"), ("e", "D_S1_L002_R1.fq")], "dir string, name string")
+    assert {(r["old"], r["action"]) for r in fastq.rename_plan(f).collect()} == {("A_S1_L001_R1.fq", "skip"), ("B_S1_L001_R1.fq", "rename"), ("B_S2_L001_R1.fq", "skip"), ("C_S1_L001_R1.fq", "abort"), ("D_S1_L002_R1.fq", "abort")}
+
+
+def test_reference_positions_of_every_operation(spark):
+    df = spark.createDataFrame([("2S3M1I2M2D1M3N1=1X2H", 10), (None, 5)], "c string, s long")
+    got = [r[0] for r in df.select(reads.reference_positions(F.col("c"), F.col("s"))).collect()]
+    assert got == [[None, None, 10, 11, 12, None, 13, 14, 17, 21, 22], None]
+
+
+def test_merged_genotypes(spark):
+    c = spark.createDataFrame([("a", "c", 5, "C", ["T"], "0/1"), ("b", "c", 5, "C", ["G", "T"], "1|2"), ("b", "c", 9, "A", ["G"], "./.")], "sample string, chrom string, pos long, ref string, alts array<string>, genotype string")
+    got = {r["pos"]: (r["alts"], r["genotypes"]) for r in variants.merge_genotypes(c).collect()}
+    assert got == {5: (["G", "T"], {"a": "0/2", "b": "1|2"}), 9: (["G"], {"b": "./."})}
+
+
+def test_synchronised_files_hold_the_same_reads(spark):
+    a = spark.createDataFrame([("@x/1",), ("@y/1",), ("@y/1",)], "header string")
+    b = spark.createDataFrame([("@y/2",), ("@z/2",)], "header string")
+    assert tuple(fastq.same_reads(a, b).first()) == (1, 1, 1)
+
+
+def test_sampled_reads_keep_mates_together(spark):
+    f = spark.createDataFrame([(f"@r{i}/{m}",) for i in range(50) for m in (1, 2)], "header string")
+    one, two = (sorted(r[0][:-2] for r in fastq.sample_reads(f.where(f"header LIKE '%/{m}'"), 10).collect()) for m in (1, 2))
+    assert one == two and len(one) == 10
 
 
 def test_smoothing(spark):
@@ -113,6 +163,82 @@ def test_smoothing(spark):
     assert smooth(p, "group", "bin", "pct", 0).count() == 10
 
 
+def test_smoothing_equals_plain_loops():
+    """Local lines by tricube weights, with three robust steps, point by point."""
+    r = np.random.default_rng(3)
+    x = np.sort(r.uniform(0, 10, 40))
+    y = np.sin(x) + r.normal(0, 0.1, 40)
+    k = int(np.ceil(0.4 * 40))
+    robust = np.ones(40)
+    for step in range(4):
+        fit = np.empty(40)
+        for i in range(40):
+            d = np.abs(x - x[i])
+            h = np.sort(d)[k - 1]
+            w = np.clip(1 - (d / h) ** 3, 0, None) ** 3 * robust
+            m, n = (w * x).sum() / w.sum(), (w * y).sum() / w.sum()
+            slope = (w * (x - m) * (y - n)).sum() / (w * (x - m) ** 2).sum()
+            fit[i] = n + slope * (x[i] - m)
+        e = np.abs(y - fit)
+        robust = np.clip(1 - (e / (6 * np.median(e))) ** 2, 0, None) ** 2
+    assert np.abs(lowess(x, y, 0.4) - fit).max() < 0.02
+
+
+def test_files_in_several_splits(spark, tmp_path):
+    """Records and sequences that lie across the splits of a file."""
+    records = [(f"@r{i} x:{i}", "ACGT"[: i % 4 + 1], "+", "IIII"[: i % 4 + 1]) for i in range(300)]
+    (tmp_path / "a.fastq").write_text("\n".join("\n".join(r) for r in records) + "\n@tail\nAC")
+    (tmp_path / "a.fa").write_text("; note\n" + "".join(f">c{i} about\n" + "ACGT\n" * (i % 7) for i in range(80)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        lines = sequences.numbered_lines(spark, str(tmp_path / "a.fastq"))
+        assert lines.select("block").distinct().count() > 10
+        got = sequences.read_fastq(spark, str(tmp_path / "a.fastq")).orderBy("rec_no").collect()
+        assert [(r["header"], r["seq"], r["plus"], r["qual"]) for r in got] == [*records, ("@tail", "AC", None, None)]
+        assert rows(sequences.read_fasta(spark, str(tmp_path / "a.fa"))) == sorted((f"c{i}", "ACGT" * (i % 7)) for i in range(80))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_discovery_lists_and_missing_results(spark, tmp_path):
+    for name in ("b/x.fastq.gz", "a/y.fastq.gz", "a/z.txt"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text("1")
+    got = tables.discover(spark, str(tmp_path), "*.fastq.gz").collect()
+    assert [(r["dir"][-1], r["name"], r["size"]) for r in got] == [("a", "y.fastq.gz", 1), ("b", "x.fastq.gz", 1)]
+    (tmp_path / "list.txt").write_text("one\n\n two \n")
+    assert tables.listed_paths(spark, str(tmp_path / "list.txt")) == ["one", "two"]
+    assert tables.read_results(spark, str(tmp_path / "none"), "a long").count() == 0
+    (tmp_path / "s.csv").write_text("[Header]\nx,1\n[Data],,\nSample_ID,Sample_Name,index\ns1,one,ACGT\n\ns2,two,GGGG\n")
+    assert rows(tables.read_demux_sheet(spark, str(tmp_path / "s.csv"))) == [("s1", "one", "ACGT"), ("s2", "two", "GGGG")]
+    (tmp_path / "c.chain").write_text("chain 9 chr1 100 + 10 40 n1 90 - 5 34 7\n10 2 1\n18\n\nchain 5 chr2 50 + 0 4 n2 60 + 1 5 8\n4\n")
+    assert [tuple(r) for r in chain.read_chain(spark, str(tmp_path / "c.chain")).select("chain", "block_start", "block_end", "target_start", "score").collect()] == [(7, 10, 20, 5, 9), (7, 22, 40, 16, 9), (8, 0, 4, 1, 5)]
+
+
+def test_pipeline_from_files(spark, tmp_path):
+    (tmp_path / "c1.NCGN-Both.allc.tsv").write_text("chr1\t5\t+\tACGT\t1\t2\t1\nchr1\t5\t+\tACGT\t2\t4\t1\nchr1\t90\t+\tACGT\t1\t1\t1\n")
+    with gzip.open(tmp_path / "c2.NCGN-Both.allc.tsv.gz", "wt") as f:
+        f.write("chr1\t6\t-\tACGT\t3\t3\t1\n")
+    (tmp_path / "c3.other.allc.tsv").write_text("chr1\tbroken\n")
+    (tmp_path / "body.bed").write_text("chr1\t1\t10\t0\tx\t+\tg1\nchr1\t1\t10\t1\tx\t-\tg2\nchr1\t50\t60\t0\tx\t+\tg1\n")
+    (tmp_path / "m.csv").write_text("gene,c1,c2\ng1,transcribed,silent\ng2,transcribed,transcribed\n")
+    (tmp_path / "meta.csv").write_text("id,group,barcode\n1,A,c1\n2,B,c2\n")
+    config = PipelineConfig.parse(f"contexts: [NCGN-Both]\nregions: {{body: {{bed_file: {tmp_path}/body.bed, strand_column: 6, n_bins: 2}}}}\nmin_coverage: 4")
+    paths = [str(tmp_path / n) for n in ("c1.NCGN-Both.allc.tsv", "c2.NCGN-Both.allc.tsv.gz", "c3.other.allc.tsv")]
+    out = region_pipeline.run(spark, paths, config, str(tmp_path / "m.csv"), str(tmp_path / "meta.csv"), "NCGN")
+    got = {(r["sample"], r["region_id"], r["strand_side"]): (r["total_coverage"], r["total_methylated"], r["sites_with_data"]) for r in out.region_rows.collect()}
+    assert got == {("c1", "chr1:1-10", "top"): (4, 2, 1), ("c1", "chr1:1-10", "bottom"): (4, 2, 1), ("c1", "chr1:50-60", "top"): (0, 0, 0), ("c2", "chr1:1-10", "top"): (3, 3, 1), ("c2", "chr1:1-10", "bottom"): (3, 3, 1), ("c2", "chr1:50-60", "top"): (0, 0, 0)}
+    # the top bin's sums count once for each of the two transcribed rows of g1
+    assert rows(out.profiles.select("group", "segment", "bin", "total_coverage", "methylation_percentage").na.fill(-1.0)) == [("A", "body", 0, 8, 50.0), ("A", "body", 1, 4, 50.0), ("B", "body", 1, 3, -1.0)]
+    region_pipeline.write(out, str(tmp_path / "out"))
+    back = tables.read_results(spark, str(tmp_path / "out/profiles"), "segment string, bin long, total_coverage long, total_methylated long, methylation_percentage string, group string")
+    assert sorted(r["group"] for r in back.collect()) == ["A", "A", "B"]
+    with pytest.raises(ValueError):
+        region_pipeline.run(spark, paths, config, str(tmp_path / "m.csv"), None, "HCH")
+
+
 def test_text_sources(spark, tmp_path):
     (tmp_path / "a.tsv").write_text("# x\nc\t5\t+\tCG\t1\t2\t1\nc\t6\t+\tCG\t1\nc\t7\t+\tCG\tx\t2\t1\n")
     assert tables.read_allc(spark, str(tmp_path / "a.tsv"), strict=False).count() == 1
