@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -10,23 +9,13 @@ from contextlib import contextmanager
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..sources.folders import shared_folder
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names. Where it is unset, a local one for a local master, whose tasks all see
-    it; on a cluster that is an error, as each machine would write its part for itself."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir is unset: it must name a folder that all executors share")
-        at = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at.rstrip("/")
-
-
 class Scratch:
     """Tables written to the shared folder, so that a lost executor costs no recomputed lineage.
 
@@ -36,7 +25,7 @@ class Scratch:
     made: list[list[Scratch]] = []
 
     def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.root = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        self.spark, self.root = spark, f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
         if self.made:
             self.made[-1].append(self)
 
