@@ -88,6 +88,8 @@ class WordTable:
 
     def slots(self, texts: list[str]) -> list[np.ndarray]:
         """For each text the rows (numbers into `rows`) of its words, in their order."""
+        if not texts:
+            return []
         lists = pc.utf8_split_whitespace(pa.array(texts, pa.large_string()))
         tokens = lists.flatten().dictionary_encode()  # every token once, and its places
         names = tokens.dictionary.to_pylist()
