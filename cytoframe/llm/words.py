@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +13,7 @@ WORD = re.compile(r"[^\W\d_]+")
 EDGE = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~0123456789"  # no part of any word
 STEMS = (4, 5, 6)
 WIDTH = 1 + len(STEMS)
+UNKNOWN = -(1 << 62)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -46,9 +48,10 @@ def term_hashes(words: list[str]) -> np.ndarray:
 class WordTable:
     """Rows of numbers for the words of whole texts, looked up by token.
 
-    `resolve` gives the row of each word from its hashes (see term_hashes). A token is what stands between
-    blanks; it is cut into words (runs of letters, in lower case) once, and its words' rows are kept until
-    `most` tokens are known. Texts are resolved many at a time, so that new words cost little.
+    `resolve` gives the row of each word from its hashes (see term_hashes). A token is what stands between blanks;
+    it is cut into words (runs of letters, in lower case). Tokens that a call meets twice are remembered, up to
+    `most`; those met once, which are seldom seen again, are cut anew. Texts are resolved many at a time, so that
+    new words cost little.
     """
 
     def __init__(self, resolve, most: int = 150_000):
@@ -59,58 +62,59 @@ class WordTable:
         self.slot: dict[str, int] = {}  # token: row of its only word, -1 without words, -2 - k for entry k of `several`
         self.several: list[np.ndarray] = []
         self.rows = None
-        self.used = 0
+        self.used = self.kept = 0  # rows of remembered tokens; their entries of `several`
 
-    def _learn(self, new: list[str]) -> None:
+    def _learn(self, new: list[str], at: int) -> tuple[np.ndarray, int]:
+        """The slot of each token and the end of the rows of their words, which are put at row `at`."""
         low = [t.lower().strip(EDGE) for t in new]
-        plain = list(map(str.isalpha, low))
-        words = [w for w, p in zip(low, plain) if p]
-        self.slot.update(zip((t for t, p in zip(new, plain) if p), range(self.used, self.used + len(words))))
-        for token, w, p in zip(new, low, plain):
-            if p:
-                continue
-            found = WORD.findall(w)
-            if len(found) == 1:
-                self.slot[token] = self.used + len(words)
-            elif found:
-                self.slot[token] = -2 - len(self.several)
-                self.several.append(np.arange(len(words), len(words) + len(found)) + self.used)
+        plain = np.fromiter(map(str.isalpha, low), bool, len(low))
+        words, slot = list(compress(low, plain)), np.cumsum(plain) - 1 + at
+        for i in np.flatnonzero(~plain).tolist():
+            found = WORD.findall(low[i])
+            if len(found) > 1:
+                slot[i] = -2 - len(self.several)
+                self.several.append(np.arange(len(words), len(words) + len(found)) + at)
             else:
-                self.slot[token] = -1
+                slot[i] = len(words) + at if found else -1
             words += found
         rows = self.resolve(term_hashes(words))
+        end = at + len(rows)
         if self.rows is None:
-            self.rows = np.empty((max(1024, 2 * len(rows)), rows.shape[1]), rows.dtype)
-        while len(self.rows) < self.used + len(rows):
-            self.rows = np.concatenate([self.rows, np.empty_like(self.rows)])
-        self.rows[self.used : self.used + len(rows)] = rows
-        self.used += len(rows)
+            self.rows = np.empty((max(1024, end), rows.shape[1]), rows.dtype)
+        if len(self.rows) < end:
+            self.rows = np.concatenate([self.rows[:at], np.empty((2 * end - at, rows.shape[1]), rows.dtype)])
+        self.rows[at:end] = rows
+        return slot, end
 
     def slots(self, texts: list[str]) -> list[np.ndarray]:
-        """For each text the rows (numbers into `rows`) of its words, in their order."""
+        """For each text the rows (numbers into `rows`, until the next call) of its words, in their order."""
         if not texts:
             return []
         lists = pc.utf8_split_whitespace(pa.array(texts, pa.large_string()))
         tokens = lists.flatten().dictionary_encode()  # every token once, and its places
-        names = tokens.dictionary.to_pylist()
+        names, place = tokens.dictionary.to_pylist(), tokens.indices.to_numpy()
         if len(self.slot) > self.most:
             self._clear()
-        known = self.slot
-        new = [t for t in names if t not in known]
-        if new or self.rows is None:
-            self._learn(new)
-        number = np.fromiter(map(self.slot.__getitem__, names), np.int64, len(names))
-        every = number[tokens.indices.to_numpy()]
+        del self.several[self.kept :]
+        number = np.fromiter(map(self.slot.get, names, repeat(UNKNOWN)), np.int64, len(names))
+        new = number == UNKNOWN
+        often = new & (np.bincount(place, minlength=len(names)) > 1)
+        held = list(compress(names, often))
+        number[often], self.used = self._learn(held, self.used)
+        self.slot.update(zip(held, number[often].tolist()))
+        self.kept = len(self.several)
+        number[new & ~often], _ = self._learn(list(compress(names, new & ~often)), self.used)
+        every = number[place]
         out = []
         for s in np.split(every, lists.offsets.to_numpy()[1:-1]):
             odd = np.flatnonzero(s < 0)
             if len(odd):
-                more = [self.several[-2 - s[i]] for i in odd if s[i] < -1]
-                if more:  # in place of each such token its words
+                more = s[odd] < -1
+                if more.any():  # in place of each such token its words
                     parts = np.split(s, odd)
                     joined = [parts[0]]
-                    for i, part in zip(odd, parts[1:]):
-                        joined += [self.several[-2 - s[i]] if s[i] < -1 else part[:0], part[1:]]
+                    for k, part in zip(s[odd].tolist(), parts[1:]):
+                        joined += [self.several[-2 - k], part[1:]] if k < -1 else [part[1:]]
                     s = np.concatenate(joined)
                 else:
                     s = s[s >= 0]
