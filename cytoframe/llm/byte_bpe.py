@@ -112,7 +112,9 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
 def digest_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_tokens, ids_sha256, decoded_sha256): the ids and the bytes decoded from them, as digests.
 
-    The ids stay inside the task, which spares their way through Arrow.
+    The ids stay inside the task, which spares their way through Arrow. Null and empty texts have no ids and the
+    digests of nothing; texts of any length are encoded whole; repeated rows and null ids are kept, an empty table
+    gives none; other columns are not read.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -370,6 +370,8 @@ def test_byte_bpe_equals_the_library(spark, awkward, docs):
         assert ids == enc.encode_ordinary(t) and codec.decode(ids) == t.encode()
     got = byte_bpe.digest_documents(awkward, path, public.PATTERN)
     assert got.count() == len(AWKWARD) and got.where("doc_id = 1").first()["n_tokens"] == 0
+    assert got.where("doc_id = 6").distinct().count() == 1 and got.where("doc_id IS NULL").count() == 1
+    assert byte_bpe.digest_documents(awkward.limit(0), path, public.PATTERN).count() == 0
     assert [list(r["ids"]) for r in byte_bpe.encode_documents(awkward.where("doc_id = 3"), path, public.PATTERN).collect()] == [enc.encode_ordinary("one")]
 
 
@@ -399,6 +401,7 @@ def test_licences(spark, awkward):
     r = license_scan.scan_licenses(df).first()
     assert r["licenses"] == "Apache-2.0,MIT" and [m["rule"] for m in r["matches"]] == ["apache-2-short", "mit-line"] and r["n_sentences"] == 3
     assert text[r["matches"][1]["start"] : r["matches"][1]["end"]] == "Released under the MIT License"
+    assert license_scan.scan_licenses(awkward.limit(0)).count() == 0
     got = license_scan.scan_licenses(awkward)
     assert got.count() == len(AWKWARD) and got.where("licenses != ''").count() == 0
 
@@ -437,6 +440,24 @@ def test_chat(spark):
     assert chat_format.render(chat_format.fold(events.limit(0))).count() == 0
 
 
+def test_event_log_folds_back(spark):
+    r = random.Random(6)
+    rows = [(c, t, r.choice(["user", "assistant", "system", None]), r.choice(["", None, "a", "two words", "[INST] x </s>\\\\</s>", "é🙂" * 5])) for c in range(12) for t in range(r.randint(1, 9))]
+    rows += [(3, 2, "user", "same turn"), (3, 2, "user", "same turn")]
+    got = chat_format.fold(queries.event_log(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))).orderBy("conv_id", "ord").collect()
+    want = sorted((c, t, role or "", text or "") for c, t, role, text in rows)
+    assert [(m["conv_id"], m["role"], m["text"]) for m in got] == [(c, role, text) for c, _, role, text in want]
+
+
+def test_long_conversations_drop_what_regenerations_replace(spark):
+    """Many regenerations in one conversation; only messages that began between a message and its regeneration go."""
+    log = []
+    for i in range(200):
+        log += [(1, 10 * i, "message", f"m{i}", "assistant", f"first {i}"), (1, 10 * i + 1, "message", f"f{i}", "user", "gone"), (1, 10 * i + 2, "regenerate", f"m{i}", None, f"second {i}"), (1, 10 * i + 3, "message", f"k{i}", "user", f"kept {i}")]
+    got = chat_format.fold(spark.createDataFrame(log, "conv_id long, seq long, kind string, message_id string, role string, text string")).orderBy("ord").collect()
+    assert [m["text"] for m in got] == [x for i in range(200) for x in (f"second {i}", f"kept {i}")]
+
+
 def _components(rows, width):
     sets = {}
     for key, text in rows:
