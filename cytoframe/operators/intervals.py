@@ -14,16 +14,29 @@ def bounds(start: Column, end: Column, coord: str) -> tuple[Column, Column]:
     return (start if coord == CLOSED else start + 1), end
 
 
+def _spread(intervals: DataFrame, coord: str, bin_size: int, start: str, end: str) -> DataFrame:
+    lo, hi = bounds(F.col(start), F.col(end), coord)
+    return intervals.where(lo <= hi).select("*", F.explode(bins(lo, hi, bin_size)).alias("_bin"))
+
+
+def in_bins(points: DataFrame, intervals: DataFrame, coord: str, bin_size: int = 1000, pos: str = "pos", start: str = "start_pos", end: str = "end_pos") -> DataFrame:
+    """The points of bins that an interval touches, with their bin: what `join_points` can match at all.
+
+    What is grouped by chrom, _bin and pos and joined afterwards stays where this join has put it.
+    """
+    touched = _spread(intervals.select("chrom", start, end), coord, bin_size, start, end).select("chrom", "_bin").distinct()
+    return points.withColumn("_bin", F.floor(F.col(pos) / bin_size)).join(touched, ["chrom", "_bin"], "left_semi")
+
+
 def join_points(points: DataFrame, intervals: DataFrame, coord: str, bin_size: int = 1000, pos: str = "pos", start: str = "start_pos", end: str = "end_pos") -> DataFrame:
     """Every (point, interval) with the point inside: intervals go to each bin they touch, a point to one.
 
     A pair meets in exactly one bin, so nothing has to be made distinct. Both sides have chrom; other
-    columns must differ in name. Empty intervals meet nothing.
+    columns must differ in name. Empty intervals meet nothing. Points may come with their `_bin` of this width.
     """
     lo, hi = bounds(F.col(start), F.col(end), coord)
-    spread = intervals.where(lo <= hi).select("*", F.explode(F.sequence(F.floor(lo / bin_size), F.floor(hi / bin_size))).alias("_bin"))
-    binned = points.withColumn("_bin", F.floor(F.col(pos) / bin_size))
-    return binned.join(spread, ["chrom", "_bin"]).where((F.col(pos) >= lo) & (F.col(pos) <= hi)).drop("_bin")
+    binned = points if "_bin" in points.columns else points.withColumn("_bin", F.floor(F.col(pos) / bin_size))
+    return binned.join(_spread(intervals, coord, bin_size, start, end), ["chrom", "_bin"]).where((F.col(pos) >= lo) & (F.col(pos) <= hi)).drop("_bin")
 
 
 def choose_bins(intervals: DataFrame, least: int = 500, start: str = "start_pos", end: str = "end_pos") -> int:

@@ -88,7 +88,8 @@ def _cell_regions(spark, sf) -> DataFrame:
     r = frame(spark, sf, "regions").withColumn("strand_side", F.when(F.col("strand") == "+", "top").otherwise("bottom"))
     r = r.select("rid", "chrom", "start_pos", "end_pos", "strand_side", "bin")
     spine = r.withColumn("sample", F.explode(F.array(*map(F.lit, CELLS))))
-    return me.region_sums(me.last_call(frame(spark, sf, "allc"), "sample"), r, "closed", keys=("sample",), spine=spine)
+    near = intervals.in_bins(frame(spark, sf, "allc"), r, "closed", 500)
+    return me.region_sums(me.last_call(near, "sample"), r, "closed", keys=("sample",), spine=spine)
 
 
 _CELL = f"""s AS (SELECT sample, chrom, pos, arg_max(mc, rec_no) AS mc, arg_max(cov, rec_no) AS cov FROM allc GROUP BY sample, chrom, pos),
@@ -234,7 +235,8 @@ def _cells(spark, sf, keys: tuple[str, ...] = ()) -> DataFrame:
     r = frame(spark, sf, "regions").withColumn("strand_side", F.when(F.col("strand") == "+", "top").otherwise("bottom"))
     if keys:
         r = r.withColumn("segment", seg)
-    rows = me.cell_region_bins(me.last_call(frame(spark, sf, "allc"), "sample"), r, CELLS, "closed", keys)
+    near = intervals.in_bins(frame(spark, sf, "allc"), r, "closed", 500)
+    rows = me.cell_region_bins(me.last_call(near, "sample"), r, CELLS, "closed", keys)
     expressed = transcription_unpivot(spark, sf)
     return me.cell_bins(rows, r, expressed, keys)
 

@@ -35,14 +35,14 @@ def cell_of(path: str, config: PipelineConfig) -> tuple[str, str] | None:
 
 
 def calls(spark: SparkSession, paths: list[str], config: PipelineConfig) -> DataFrame:
-    """The last call of each site of every cell and context; files without a configured context are not read."""
+    """The sites of every cell and context with their order in the file; files without a configured context are not read."""
     rows = tables.read_allc(spark, [p for p in paths if cell_of(p, config)], strict=False)
     name = F.regexp_extract("file", r"([^/=]*\.allc\.tsv(?:\.gz)?)(?:/[^/]*)?$", 1)  # a file, or a folder of part files
     cell = F.regexp_replace(name, r"\.allc\.tsv(\.gz)?$", "")
     for c in config.contexts:
         cell = F.replace(cell, F.lit(f".{c}"), F.lit(""))
     rows = rows.select(cell.alias("sample"), names.first_context(name, config.contexts).alias("context"), "chrom", "pos", "mc", "cov", "ord")
-    return me.last_call(rows, "sample", "context")
+    return rows
 
 
 def genes(spark: SparkSession, config: PipelineConfig, base: int = 1) -> DataFrame:
@@ -66,7 +66,8 @@ def run(spark: SparkSession, allc_paths: list[str], config: PipelineConfig, matr
         raise ValueError(f"no file of context {context}")
     span = ["region", "strand_side", "chrom", "start_pos", "end_pos", "bin"]
     spans = known.groupBy(*span).agg(F.count("*").alias("w"))
-    hits = me.join_points(sites_, spans, "closed").groupBy("sample", "context", *span, "w").agg(F.sum("cov").alias("c"), F.sum("mc").alias("m"), F.count("*").alias("n"))
+    last = me.last_call(me.in_bins(sites_, spans, "closed"), "sample", "context")
+    hits = me.join_points(last, spans, "closed").groupBy("sample", "context", *span, "w").agg(F.sum("cov").alias("c"), F.sum("mc").alias("m"), F.count("*").alias("n"))
     # intervals without a site get their zeros here, a row for each file, as the tables are written
     cells = F.explode(F.array(*[F.struct(F.lit(c).alias("sample"), F.lit(x).alias("context")) for c, x in files])).alias("f")
     every = known.select(*span, cells).select("f.sample", "f.context", *span)

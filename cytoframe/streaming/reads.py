@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -21,28 +22,36 @@ def windowed_counts(records: DataFrame, time: str, window: str = "10 minutes", l
     return records.withWatermark(time, late).groupBy(F.window(time, window), names.barcode(F.col("header")).alias("barcode")).agg(F.count("*").alias("reads"))
 
 
-def match_pairs(reads: DataFrame) -> DataFrame:
+def match_pairs(reads: DataFrame, wait: str | None = "1 hour") -> DataFrame:
     """Pairs of a stream of reads (qname, rec_no, flag, start_pos, end_pos) by arrival: the first read of a name
-    waits in state, the second closes the pair, the third waits anew. Reads of one batch come in the order of rec_no."""
+    waits in state, the second closes the pair, the third waits anew. Reads of one batch come in the order of rec_no.
+
+    A read that has waited for `wait` without a mate is forgotten, so the state stays as large as what arrives in that
+    time; with None it waits for ever.
+    """
     fields = "flag int, start_pos long, end_pos long"
     out = "qname string, flag1 int, start1 long, end1 long, flag2 int, start2 long, end2 long"
+    names_ = [f.split()[0] for f in out.split(", ")]
+    ms = int(pd.Timedelta(wait).total_seconds() * 1000) if wait else None
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        wait = state.get if state.exists else None
-        rows = pd.concat(list(batches)).sort_values("rec_no")
-        done = []
-        for r in rows.itertuples():
-            own = (int(r.flag), int(r.start_pos), int(r.end_pos))
-            if wait is None:
-                wait = own
-            else:
-                done.append((key[0], *wait, *own))
-                wait = None
-        if wait is None:
-            if state.exists:
-                state.remove()
-        else:
-            state.update(wait)
-        yield pd.DataFrame(done, columns=[f.split()[0] for f in out.split(", ")])
-
-    return reads.groupBy("qname").applyInPandasWithState(step, out, fields, "append", GroupStateTimeout.NoTimeout)
+        if state.hasTimedOut:
+            state.remove()
+            return
+        rows = pd.concat(list(batches)).sort_values("rec_no")[["flag", "start_pos", "end_pos"]]
+        if state.exists:
+            rows = pd.concat([pd.DataFrame([state.get], columns=rows.columns), rows])
+        n = len(rows) // 2
+        if len(rows) % 2:
+            state.update(tuple(int(x) for x in rows.iloc[-1]))
+            if ms:
+                state.setTimeoutDuration(ms)
+        elif state.exists:
+            state.remove()
+        first, second = rows.iloc[0 : 2 * n : 2].to_numpy(), rows.iloc[1 : 2 * n : 2].to_numpy()
+        done = pd.DataFrame(np.concatenate([first, second], axis=1).astype(np.int64), columns=names_[1:])
+        done.insert(0, "qname", key[0])
+        yield done.astype({"flag1": "int32", "flag2": "int32"})
+
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if ms else GroupStateTimeout.NoTimeout
+    return reads.groupBy("qname").applyInPandasWithState(step, out, fields, "append", timeout)
