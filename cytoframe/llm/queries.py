@@ -53,9 +53,10 @@ def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def event_log(rows: DataFrame) -> DataFrame:
     """A log whose fold gives the rows (conv_id, turn, role, text) back: texts come in two pieces; every third is then
     replaced by a draft and edited back; a reply is followed by a false start that its regeneration drops. Turns that
-    several rows of a conversation share come as messages of their own."""
+    several rows of a conversation share come as messages of their own. Rows are dealt by conversation once, before they
+    become events, and stay there until the conversation is one text."""
     n = F.count("*").over(Window.partitionBy("conv_id", "turn"))
-    r = rows.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", F.coalesce("text", F.lit("")).alias("text"), n.alias("n"))
+    r = rows.repartition("conv_id").select("conv_id", F.col("turn").cast("long").alias("turn"), "role", F.coalesce("text", F.lit("")).alias("text"), n.alias("n"))
     size = F.length("text")
     half = F.floor(size / 2).cast("int")
     own = F.col("turn").cast("string")
