@@ -84,7 +84,7 @@ def read_sheet(spark: SparkSession, path: str, required: tuple[str, ...], defaul
 
 def read_demux_sheet(spark: SparkSession, path: str) -> DataFrame:
     """The rows under the [data] section of a demultiplexing sheet, of which the first names the columns."""
-    lines = spark.read.option("wholetext", True).text(path)
+    lines = spark.read.text(path, wholetext=True)  # a file of tens of lines
     after = F.regexp_replace("value", r"(?is)^.*?(^|\n)\[data\][^\n]*\n", "")
     body = lines.select(F.filter(F.split(after, r"\r?\n"), lambda x: F.trim(x) != "").alias("rows"))
     head = [c.strip() for c in (body.select(F.get("rows", F.lit(0)).alias("h")).first()["h"] or "").split(",")]
