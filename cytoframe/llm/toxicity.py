@@ -65,44 +65,64 @@ class BlockMaxIndex:
     """
 
     def __init__(self, rows: list[Counts], labels: np.ndarray, idf: np.ndarray, block: int = 64, often: int = 24):
-        self.idf, self.block, self.size = np.asarray(idf, float), block, len(rows)
+        self.idf, self.block, self.often, self.size = np.asarray(idf, float), block, often, len(rows)
         self.blocks = -(-len(rows) // block) or 1
-        vectors = [self.weigh(*r) for r in rows]
-        held = np.bincount(np.concatenate([np.empty(0, np.int32), *(t for t, _ in vectors)]), minlength=len(self.idf))
-        common = np.flatnonzero(held > self.size / often)
-        self.column = np.full(len(self.idf), -1, np.int32)
-        self.column[common] = np.arange(len(common))
-        dense = np.zeros((self.size, len(common)), np.float32)
-        for e, (t, w) in enumerate(vectors):
-            c = self.column[t]
-            dense[e, c[c >= 0]] = w[c >= 0]
-        order = np.lexsort(([len(t) for t, _ in vectors], labels, clusters(dense)))
-        self.labels, self.ids = np.asarray(labels)[order], order
-        term = np.concatenate([np.empty(0, np.int32), *(vectors[e][0] for e in order)])
-        weight = np.concatenate([np.empty(0, np.float32), *(vectors[e][1].astype(np.float32) for e in order)])
-        place = np.repeat(np.arange(self.size, dtype=np.int32), [len(vectors[e][0]) for e in order])
-        del vectors
-        rare = self.column[term] < 0
-        by = np.flatnonzero(rare)[np.argsort(term[rare], kind="stable")]
-        self.begin = np.r_[0, np.cumsum(np.bincount(term[rare], minlength=len(self.idf)))]
-        # place and weight of a posting side by side, so that one read gets both
-        self.posting = np.stack([place[by], weight[by].view(np.int32)], axis=1).view(np.int64).ravel()
-        del term, weight, place, by, rare
-        dense = dense[order]
-        at = np.nonzero(dense)
-        self.filled = (at[0].astype(np.int32), at[1].astype(np.int32), dense[at], len(common))
+        length = np.array([len(t) for t, _ in rows], int)
+        term = np.concatenate([np.empty(0, np.int32), *(t for t, _ in rows)])
+        n = np.concatenate([np.empty(0, np.int32), *(c for _, c in rows)])
+        example = np.repeat(np.arange(self.size, dtype=np.int32), length)
+        self.held = np.bincount(term, minlength=len(self.idf)).astype(np.int32)
+        column, common = self._common()
+        dense, use = np.zeros((self.size, common), np.float32), column[term] >= 0
+        dense[example[use], column[term[use]]] = ((1 + np.log(n[use])) * self.idf[term[use]])
+        dense /= np.maximum(np.sqrt(np.bincount(example, ((1 + np.log(n)) * self.idf[term]) ** 2, self.size)), 1e-300)[:, None]
+        self.ids = np.lexsort((length, labels, clusters(dense)))
+        self.labels = np.asarray(labels)[self.ids]
+        place = np.empty(self.size, np.int32)
+        place[self.ids] = np.arange(self.size)
+        by = np.lexsort((place[example], term))
+        self.place, self.n = narrow(place[example[by]]), narrow(n[by])
         self.runs = None
 
+    def _common(self) -> tuple[np.ndarray, int]:
+        """The column of each common term among the dense runs (-1: rare), and their number."""
+        common = np.flatnonzero(self.held > self.size / self.often)
+        column = np.full(len(self.held), -1, np.int32)
+        column[common] = np.arange(len(common))
+        return column, len(common)
+
     def _ready(self) -> None:
-        """Dense runs and their peaks, made from the entries where a search first needs them."""
-        if self.runs is None:
-            row, column, weight, n = self.filled
-            self.runs = np.zeros((self.blocks, self.block, n), np.float32)
-            self.runs.reshape(self.blocks * self.block, n)[row, column] = weight
-            self.peak = self.runs.max(axis=1, initial=0).T.copy()
+        """Weights, sparse postings, dense runs and their peaks, made from the counts where a search first needs them."""
+        if self.runs is not None:
+            return
+        self.column, common = self._common()
+        ends = np.cumsum(self.held, dtype=np.int64)
+        step = max(1, len(self.held) // 16)  # terms at once, so that little is held twice
+
+        def parts():
+            for lo in range(0, len(self.held), step):
+                begin, end = (ends[lo - 1] if lo else 0), ends[min(lo + step, len(ends)) - 1]
+                term = np.repeat(np.arange(lo, min(lo + step, len(ends))), self.held[lo : lo + step])
+                yield term, self.place[begin:end].astype(np.int64), (1 + np.log(self.n[begin:end].astype(np.float32))) * self.idf[term]
+
+        norm = np.zeros(self.size)
+        for _, place, w in parts():
+            norm += np.bincount(place, w * w, self.size)
+        norm = np.sqrt(norm)
+        self.runs = np.zeros((self.blocks, self.block, common), np.float32)
+        flat, postings = self.runs.reshape(self.blocks * self.block, common), [np.empty(0, np.int64)]
+        for term, place, w in parts():
+            w, c = (w / norm[place]).astype(np.float32), self.column[term]
+            flat[place[c >= 0], c[c >= 0]] = w[c >= 0]
+            # place and weight of a posting side by side, so that one read gets both
+            postings.append(np.stack([place[c < 0].astype(np.int32), w[c < 0].view(np.int32)], axis=1).view(np.int64).ravel())
+        self.posting = np.concatenate(postings)
+        self.begin = np.r_[0, np.cumsum(np.where(self.column < 0, self.held, 0), dtype=np.int64)]
+        self.peak = self.runs.max(axis=1, initial=0).T.copy()
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k != "peak"} | {"runs": None}
+        """Only counts travel, three bytes or so for a posting."""
+        return {k: v for k, v in self.__dict__.items() if k not in ("posting", "begin", "column", "peak")} | {"runs": None}
 
     def weigh(self, terms: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         w = (1 + np.log(n)) * self.idf[terms]
@@ -163,6 +183,11 @@ class BlockMaxIndex:
         return cosine, place
 
 
+def narrow(x: np.ndarray) -> np.ndarray:
+    """The same numbers, 0 or more, in as few bytes as the largest needs."""
+    return x.astype(np.min_scalar_type(int(x.max(initial=0))))
+
+
 def clusters(rows: np.ndarray, k: int = 8, rounds: int = 6) -> np.ndarray:
     """A number 0..k-1 for each row: spherical k-means from evenly spaced rows."""
     if len(rows) <= k or not rows.shape[1]:

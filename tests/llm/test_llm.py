@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import pickle
 import random
 import re
 import zlib
@@ -139,6 +140,8 @@ def test_block_max_search_is_exact(shape):
     else:
         n_terms, rows = 900, _rows(r, 700, lambda: [*r.sample(range(20), 8), *r.sample(range(20, 900), 12)], 3)
     index = toxicity.BlockMaxIndex(rows, np.array([r.randint(0, 1) for _ in rows], float), np.array([r.uniform(0.5, 3) for _ in range(n_terms)]), block=16)
+    index = pickle.loads(pickle.dumps(index))  # as tasks get it
+    index._ready()
     assert (index.column >= 0).any() and (shape == "few terms" or (index.column < 0).any())
     dense = _dense(index, rows, n_terms)
     nobody = (np.empty(0, np.int32), np.empty(0, np.int32))
