@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
@@ -24,7 +25,7 @@ Bag = tuple[np.ndarray, np.ndarray]  # plain features (float32) and hashed words
 class Buckets:
     """The hash buckets of a word: of the whole word, lower-cased and without punctuation at its ends, and of its first four bytes."""
 
-    def __init__(self, most: int = 300_000):
+    def __init__(self, most: int = 100_000):
         self.known: dict[bytes, int] = {}
         self.most = most
 
@@ -260,11 +261,9 @@ def keep_good(docs: DataFrame, model: AttentionMIL | None, threshold: float = 0.
         return docs
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        out = np.empty(len(texts))
-        for lo in range(0, len(texts), 128):
-            out[lo : lo + 128] = shared.value.score_texts([t or "" for t in texts.iloc[lo : lo + 128]])[0]
-        return pd.Series(out)
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        parts = (texts.slice(lo, 128).to_pylist() for lo in range(0, len(texts), 128))
+        return pa.array(np.concatenate([np.empty(0), *(shared.value.score_texts([t or "" for t in part])[0] for part in parts)]))
 
     return docs.where(score("text") >= threshold)

@@ -10,6 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -21,7 +22,7 @@ BATCH = 256  # texts that are cut and searched at once
 Counts = tuple[np.ndarray, np.ndarray]  # terms in ascending order, occurrences of each
 
 
-def counted(table: WordTable, texts: list[str], none: int) -> Iterator[Counts]:
+def counted(table: WordTable, texts: list[str] | pa.Array, none: int) -> Iterator[Counts]:
     """Terms (all numbers but `none`) of whole texts with their occurrences."""
     for slots in table.slots(texts):
         t = table.rows[slots].ravel()
@@ -109,16 +110,25 @@ class BlockMaxIndex:
         for _, place, w in parts():
             norm += np.bincount(place, w * w, self.size)
         norm = np.sqrt(norm)
-        self.runs = np.zeros((self.blocks, self.block, common), np.float32)
-        flat, postings = self.runs.reshape(self.blocks * self.block, common), [np.empty(0, np.int64)]
+        entries, postings = [], [np.empty(0, np.int64)]
         for term, place, w in parts():
             w, c = (w / norm[place]).astype(np.float32), self.column[term]
-            flat[place[c >= 0], c[c >= 0]] = w[c >= 0]
+            entries.append((place[c >= 0].astype(np.int32), c[c >= 0], w[c >= 0]))
             # place and weight of a posting side by side, so that one read gets both
             postings.append(np.stack([place[c < 0].astype(np.int32), w[c < 0].view(np.int32)], axis=1).view(np.int64).ravel())
         self.posting = np.concatenate(postings)
         self.begin = np.r_[0, np.cumsum(np.where(self.column < 0, self.held, 0), dtype=np.int64)]
-        self.peak = self.runs.max(axis=1, initial=0).T.copy()
+        place, column, weight = (np.concatenate(x) for x in zip(*entries)) if entries else (np.empty(0, int),) * 3
+        by = np.argsort(place, kind="stable")
+        place, column, weight = place[by], column[by], weight[by]
+        cuts = np.searchsorted(place, np.arange(self.blocks + 1) * self.block)
+        self.peak, self.runs = np.zeros((common, self.blocks), np.float32), []
+        for b, (lo, hi) in enumerate(zip(cuts, cuts[1:])):  # a block keeps the columns that its examples have
+            own, at = np.unique(column[lo:hi], return_inverse=True)
+            dense = np.zeros((len(own), self.block), np.float32)
+            dense[at.ravel(), place[lo:hi] - b * self.block] = weight[lo:hi]
+            self.peak[own, b] = dense.max(axis=1, initial=0)
+            self.runs.append((own, dense))
 
     def __getstate__(self) -> dict:
         """Only counts travel, three bytes or so for a posting."""
@@ -136,7 +146,7 @@ class BlockMaxIndex:
             return np.zeros((len(queries), k)), np.full((len(queries), k), -1)
         self._ready()
         n, width, slack = len(queries), self.blocks * self.block, 1e-4
-        score, q = np.empty((n, width), np.float32), np.zeros((n, self.runs.shape[2]), np.float32)
+        score, q = np.empty((n, width), np.float32), np.zeros((n, len(self.peak)), np.float32)
         steps = np.arange(1 << 17)
         for i, counts in enumerate(queries):
             t, w = self.weigh(*counts)
@@ -166,7 +176,8 @@ class BlockMaxIndex:
             need = (rank < reach) & ~known & (bound > slack) & (bound >= least[:, None])
             for b in np.flatnonzero(need.any(axis=0)):
                 who = np.flatnonzero(need[:, b])
-                exact[who, b] = parts[who, b] + q[who] @ self.runs[b].T
+                own, dense = self.runs[b]
+                exact[who, b] = parts[who, b] + q[np.ix_(who, own)] @ dense
             known |= need
             if k < reach * self.block and reach < self.blocks:  # the k-th best of the blocks read so far
                 best = np.take_along_axis(exact, order[:, :reach, None], axis=1).reshape(n, -1)
@@ -321,14 +332,16 @@ def unpacked(terms: bytes) -> np.ndarray:
 def vectorise(docs: DataFrame, codes, carry: tuple[str, ...]) -> DataFrame:
     """The columns `carry`, and the known terms of every whole text (steps between them) with their occurrences."""
 
-    @F.pandas_udf("t binary, n binary")
-    def cut(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("struct<t:binary,n:binary>")
+    def cut(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         table = WordTable(in_vocabulary(codes.value))
         for texts in batches:
-            found = []
+            terms, n = [], []
             for lo in range(0, len(texts), BATCH):
-                found += [(packed(np.diff(t, prepend=0)), packed(n)) for t, n in counted(table, [t or "" for t in texts.iloc[lo : lo + BATCH]], -1)]
-            yield pd.DataFrame(found, columns=["t", "n"])
+                for t, c in counted(table, pc.fill_null(texts.slice(lo, BATCH), ""), -1):
+                    terms.append(packed(np.diff(t, prepend=0)))
+                    n.append(packed(c))
+            yield pa.StructArray.from_arrays([pa.array(terms, pa.binary()), pa.array(n, pa.binary())], ["t", "n"])
 
     return docs.select(*carry, cut("text").alias("_v")).select(*carry, F.col("_v.t").alias("_terms"), F.col("_v.n").alias("_n"))
 
@@ -437,8 +450,8 @@ def keep_clean(vectors: DataFrame, model: ToxicityModel, threshold: float = 0.7)
     """
     shared = vectors.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def score(terms: pd.Series, n: pd.Series) -> pd.Series:
-        return pd.Series(shared.value.score_packed(terms.tolist(), n.tolist())[0])
+    @F.arrow_udf("double")
+    def score(terms: pa.Array, n: pa.Array) -> pa.Array:
+        return pa.array(shared.value.score_packed([x.as_buffer() for x in terms], [x.as_buffer() for x in n])[0])
 
     return vectors.where(score("_terms", "_n") < threshold).drop("_terms", "_n")

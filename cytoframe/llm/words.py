@@ -86,11 +86,11 @@ class WordTable:
         self.rows[at:end] = rows
         return slot, end
 
-    def slots(self, texts: list[str]) -> list[np.ndarray]:
+    def slots(self, texts: list[str] | pa.Array) -> list[np.ndarray]:
         """For each text the rows (numbers into `rows`, until the next call) of its words, in their order."""
-        if not texts:
+        if not len(texts):
             return []
-        lists = pc.utf8_split_whitespace(pa.array(texts, pa.large_string()))
+        lists = pc.utf8_split_whitespace(pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string()))
         tokens = lists.flatten().dictionary_encode()  # every token once, and its places
         names, place = tokens.dictionary.to_pylist(), tokens.indices.to_numpy()
         if len(self.slot) > self.most:
