@@ -53,7 +53,7 @@ def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def event_log(rows: DataFrame) -> DataFrame:
     """A log whose fold gives the rows (conv_id, turn, role, text) back: texts come in two pieces; every third is then
     replaced by a draft and edited back; a reply is followed by a false start that its regeneration drops. Turns that
-    several rows of a conversation share come as messages of their own. Rows are dealt by conversation once, before they
+    several rows of a conversation share, and rows without a turn, come as messages of their own. Rows are dealt by conversation once, before they
     become events, and stay there until the conversation is one text."""
     n = F.count("*").over(Window.partitionBy("conv_id", "turn"))
     r = rows.repartition("conv_id").select("conv_id", F.col("turn").cast("long").alias("turn"), "role", F.coalesce("text", F.lit("")).alias("text"), n.alias("n"))
@@ -69,7 +69,7 @@ def event_log(rows: DataFrame) -> DataFrame:
     pieces = [event(0, "message", F.substr("text", F.lit(1), half)), event(1, "delta", F.substr("text", half + 1, size), nobody)]
     edits = [event(2, "edit", F.concat(F.lit("draft of "), "text"), nobody), event(3, "delta", F.lit(" and more"), nobody), event(4, "edit", F.col("text"), nobody)]
     again = [event(5, "message", F.lit("a false start"), F.lit("assistant"), F.concat(own, F.lit(" false"))), event(6, "regenerate", F.substr("text", F.lit(1), half), nobody), event(7, "delta", F.substr("text", half + 1, size), nobody)]
-    events = F.when(F.col("n") > 1, F.array(whole)).when(third & reply, F.array(*pieces, *edits, *again)).when(third, F.array(*pieces, *edits)).when(reply, F.array(*pieces, *again)).otherwise(F.array(*pieces))
+    events = F.when((F.col("n") > 1) | F.col("turn").isNull(), F.array(whole)).when(third & reply, F.array(*pieces, *edits, *again)).when(third, F.array(*pieces, *edits)).when(reply, F.array(*pieces, *again)).otherwise(F.array(*pieces))
     e = r.select("conv_id", "turn", F.explode(events).alias("e"))
     return e.select("conv_id", (F.col("turn") * 8 + F.col("e.k")).alias("seq"), "e.kind", "e.message_id", "e.role", "e.text")
 

@@ -446,9 +446,9 @@ def test_chat(spark):
 def test_event_log_folds_back(spark):
     r = random.Random(6)
     rows = [(c, t, r.choice(["user", "assistant", "system", None]), r.choice(["", None, "a", "two words", "[INST] x </s>\\\\</s>", "é🙂" * 5])) for c in range(12) for t in range(r.randint(1, 9))]
-    rows += [(3, 2, "user", "same turn"), (3, 2, "user", "same turn")]
+    rows += [(3, 2, "user", "same turn"), (3, 2, "user", "same turn"), (50, None, "user", "no turn at all")]
     got = chat_format.fold(queries.event_log(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))).orderBy("conv_id", "ord").collect()
-    want = sorted((c, t, role or "", text or "") for c, t, role, text in rows)
+    want = sorted((c, t or 0, role or "", text or "") for c, t, role, text in rows)
     assert [(m["conv_id"], m["role"], m["text"]) for m in got] == [(c, role, text) for c, _, role, text in want]
 
 
