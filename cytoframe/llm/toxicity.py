@@ -177,7 +177,7 @@ class BlockMaxIndex:
             for b in np.flatnonzero(need.any(axis=0)):
                 who = np.flatnonzero(need[:, b])
                 own, dense = self.runs[b]
-                exact[who, b] = parts[who, b] + q[np.ix_(who, own)] @ dense
+                exact[who, b] = parts[who, b] + np.take(q[who], own, axis=1) @ dense
             known |= need
             if k < reach * self.block and reach < self.blocks:  # the k-th best of the blocks read so far
                 best = np.take_along_axis(exact, order[:, :reach, None], axis=1).reshape(n, -1)
