@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from . import byte_bpe, chat_format, embedding_dedup, fingerprint, license_scan, minhash_dedup, packing, quality, toxicity, url_filter
+from . import byte_bpe, chat_format, embedding_dedup, fill_in_middle, fingerprint, lexical_search, license_scan, line_dedup, minhash_dedup, packing, quality, toxicity, url_filter
 from .common import table
 
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
@@ -91,7 +91,23 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_packing, op3_quality, op4_fingerprint, op5_byte_bpe, op6_url_filter, op7_license_scan, op8_embedding_dedup, op9_chat_format, op10_minhash_dedup)}
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    back = fill_in_middle.restore(F.col("output"), F.col("form"))
+    return done.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(lexical_search.index_documents(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_dedup.repeated_lines(table(spark, sf_dir, "documents"), carry=("text",))
+    kept = line_dedup.kept_text(F.coalesce("text", F.lit("")), F.col("keep"))
+    return rows.select("doc_id", "n_lines", "n_dropped", F.sha2(kept, 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_packing, op3_quality, op4_fingerprint, op5_byte_bpe, op6_url_filter, op7_license_scan, op8_embedding_dedup, op9_chat_format, op10_minhash_dedup, op11_fill_in_middle, op12_lexical_search, op13_line_dedup)}
 
 _OP6 = """
 WITH r(host, path, verdict) AS (VALUES {rules}),
@@ -153,6 +169,44 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id, d.doc_id = m.co
 """
 
 
+_OP11 = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+t AS (SELECT *, list_transform(regexp_extract_all(text, '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+'), lambda x: length(x)) AS sizes,
+      CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2, CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM d),
+c AS (SELECT doc_id, text, len(sizes) AS n, sizes, least(h1 % (len(sizes) + 1), h2 % (len(sizes) + 1)) AS a, greatest(h1 % (len(sizes) + 1), h2 % (len(sizes) + 1)) AS b,
+      CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM t),
+p AS (SELECT doc_id, text, n, form, CAST(coalesce(list_sum(sizes[1 : a]), 0) AS BIGINT) AS x, CAST(coalesce(list_sum(sizes[1 : b]), 0) AS BIGINT) AS y FROM c),
+o AS (SELECT *, CASE form WHEN 'plain' THEN text
+      WHEN 'psm' THEN '<P>' || substr(text, 1, x) || '<S>' || substr(text, y + 1) || '<M>' || substr(text, x + 1, y - x)
+      ELSE '<S>' || substr(text, y + 1) || '<P>' || substr(text, 1, x) || '<M>' || substr(text, x + 1, y - x) END AS output FROM p)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN x END AS prefix_chars, CASE WHEN form <> 'plain' THEN y - x END AS middle_chars,
+       sha256(output) AS output_sha256, sha256(text) AS restored_sha256 FROM o
+"""
+
+_TERMS = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+_OP12 = f"""
+WITH d AS (SELECT doc_id, {_TERMS} AS terms FROM documents WHERE text IS NOT NULL),
+h AS (SELECT doc_id, len(terms) AS n, terms FROM d WHERE len(terms) > 0),
+c AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS length FROM h),
+q AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+p AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, n, unnest(terms) AS term FROM h) SEMI JOIN q USING (term) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(n_docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, c GROUP BY term),
+g AS (SELECT doc_id, term, (1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * n_docs) // length))) AS gain FROM p, c),
+s AS (SELECT item_id, doc_id, CAST(sum(w * gain) AS BIGINT) AS score FROM q JOIN w USING (term) JOIN g USING (term) GROUP BY ALL HAVING sum(w * gain) > 0)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM s
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 50
+"""
+
+_OP13 = """
+WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+r AS (SELECT key, max(doc_id) AS top FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+m AS (SELECT doc_id, pos, line, r.key IS NOT NULL AND doc_id <> top AS gone FROM k LEFT JOIN r USING (key))
+SELECT doc_id, count(*) AS n_lines, CAST(sum(CAST(gone AS INTEGER)) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256 FROM m GROUP BY doc_id
+"""
+
+
 def _chat_sql() -> str:
     import re
 
@@ -177,4 +231,7 @@ ORACLE_SQL = {
     "op8_embedding_dedup": _OP8,
     "op9_chat_format": _chat_sql(),
     "op10_minhash_dedup": _OP10,
+    "op11_fill_in_middle": _OP11,
+    "op12_lexical_search": _OP12,
+    "op13_line_dedup": _OP13,
 }
