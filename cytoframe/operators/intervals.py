@@ -1,10 +1,14 @@
-"""Interval joins as equi joins on bins."""
+"""Interval joins as equi joins on bins of several widths."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 CLOSED, ZERO_BASED = "closed", "zero_based_half_open"
+STEP = 16  # bins of the next level are so many times as wide; an interval touches one more bin of its level at most
+LEVELS = 9
+PLACE = ["_level", "_bin"]
+SHARES = 10_000  # a bin is never crowded with less than this part of all points, so crowded bins are that many at most
 
 
 def bounds(start: Column, end: Column, coord: str) -> tuple[Column, Column]:
@@ -14,58 +18,132 @@ def bounds(start: Column, end: Column, coord: str) -> tuple[Column, Column]:
     return (start if coord == CLOSED else start + 1), end
 
 
+def level_of(first: Column, last: Column, bin_size: int) -> Column:
+    """The lowest level of whose bins [first, last] is no longer than STEP."""
+    out = F.when(last - first < bin_size * STEP, F.lit(0))
+    for level in range(1, LEVELS - 1):
+        out = out.when(last - first < bin_size * STEP ** (level + 1), F.lit(level))
+    return out.otherwise(F.lit(LEVELS - 1))
+
+
+def _width(level: Column, bin_size: int) -> Column:
+    return F.lit(bin_size).cast("long") * F.call_function("shiftleft", F.lit(1).cast("long"), level * (STEP.bit_length() - 1))
+
+
+def _touched(first: Column, last: Column, level: Column, bin_size: int) -> Column:
+    """(_level, _bin) of the bins of one level that [first, last] touches."""
+    w = _width(level, bin_size)
+    return F.transform(F.sequence(F.floor(first / w), F.floor(last / w)), lambda b: F.struct(level.alias("_level"), b.alias("_bin")))
+
+
+def levels_of(intervals: DataFrame, first: Column, last: Column, bin_size: int) -> Column:
+    """The levels that any of the intervals has, as a subquery: an array of LEVELS numbers at most."""
+    return intervals.where(first <= last).agg(F.array_sort(F.collect_set(level_of(first, last, bin_size)))).scalar()
+
+
 def _spread(intervals: DataFrame, coord: str, bin_size: int, start: str, end: str) -> DataFrame:
     lo, hi = bounds(F.col(start), F.col(end), coord)
-    return intervals.where(lo <= hi).select("*", F.explode(bins(lo, hi, bin_size)).alias("_bin"))
+    rows = intervals.where(lo <= hi).withColumn("_l", level_of(lo, hi, bin_size))
+    return rows.select(*intervals.columns, F.inline(_touched(lo, hi, F.col("_l"), bin_size)))
+
+
+def _placed(points: DataFrame, intervals: DataFrame, coord: str, bin_size: int, pos: str, start: str, end: str) -> DataFrame:
+    """The points with one bin of each level that an interval has."""
+    lo, hi = bounds(F.col(start), F.col(end), coord)
+    found = levels_of(intervals, lo, hi, bin_size)
+    at = F.transform(F.col("_levels"), lambda k: F.struct(k.alias("_level"), F.floor(F.col(pos) / _width(k, bin_size)).alias("_bin")))
+    return points.withColumn("_levels", found).select(*points.columns, F.inline(at))
 
 
 def in_bins(points: DataFrame, intervals: DataFrame, coord: str, bin_size: int = 1000, pos: str = "pos", start: str = "start_pos", end: str = "end_pos") -> DataFrame:
-    """The points of bins that an interval touches, with their bin: what `join_points` can match at all.
+    """The points of bins that an interval touches, with their bins (PLACE): what `join_points` can match at all.
 
-    What is grouped by chrom, _bin and pos and joined afterwards stays where this join has put it.
+    What is grouped by chrom, PLACE and pos and joined afterwards stays where this join has put it.
     """
-    touched = _spread(intervals.select("chrom", start, end), coord, bin_size, start, end).select("chrom", "_bin").distinct()
-    return points.withColumn("_bin", F.floor(F.col(pos) / bin_size)).join(touched, ["chrom", "_bin"], "left_semi")
+    bare = intervals.select("chrom", start, end)
+    touched = _spread(bare, coord, bin_size, start, end).select("chrom", *PLACE).distinct()
+    return _placed(points, bare, coord, bin_size, pos, start, end).join(touched, ["chrom", *PLACE], "left_semi")
+
 
+def join_points(
+    points: DataFrame, intervals: DataFrame, coord: str, bin_size: int = 1000, pos: str = "pos", start: str = "start_pos", end: str = "end_pos", crowded: int | None = None
+) -> DataFrame:
+    """Every (point, interval) with the point inside.
 
-def join_points(points: DataFrame, intervals: DataFrame, coord: str, bin_size: int = 1000, pos: str = "pos", start: str = "start_pos", end: str = "end_pos") -> DataFrame:
-    """Every (point, interval) with the point inside: intervals go to each bin they touch, a point to one.
+    Bins have LEVELS widths, each STEP times the one before. An interval goes to the bins of one level that it touches,
+    the lowest where these are STEP + 1 at most, however long it is; a point goes to one bin of each level that any
+    interval has (one, where all are short). A pair meets in exactly one bin, so nothing has to be made distinct.
+    Both sides have chrom; other columns must differ in name. Empty intervals meet nothing. Points may come
+    with the bins that `in_bins` gave them for the same intervals.
 
-    A pair meets in exactly one bin, so nothing has to be made distinct. Both sides have chrom; other
-    columns must differ in name. Empty intervals meet nothing. Points may come with their `_bin` of this width.
+    Bins of more than `crowded` points (and 1/SHARES of all) are cut by a hash of the position, which their
+    intervals meet in each part; the points are then counted first. Without it that is left to adaptive execution.
     """
     lo, hi = bounds(F.col(start), F.col(end), coord)
-    binned = points if "_bin" in points.columns else points.withColumn("_bin", F.floor(F.col(pos) / bin_size))
-    return binned.join(_spread(intervals, coord, bin_size, start, end), ["chrom", "_bin"]).where((F.col(pos) >= lo) & (F.col(pos) <= hi)).drop("_bin")
+    placed = points if "_bin" in points.columns else _placed(points, intervals, coord, bin_size, pos, start, end)
+    spread, on = _spread(intervals, coord, bin_size, start, end), ["chrom", *PLACE]
+    if crowded:
+        placed, spread = _salted(placed, spread, on, pos, crowded)
+        on = [*on, "_salt"]
+    return placed.join(spread, on).where((F.col(pos) >= lo) & (F.col(pos) <= hi)).drop(*PLACE, "_salt")
+
 
+def _salted(placed: DataFrame, spread: DataFrame, on: list[str], pos: str, crowded: int) -> tuple[DataFrame, DataFrame]:
+    counts = placed.groupBy(*on).agg(F.count("*").alias("_n"))
+    least = counts.agg(F.greatest(F.lit(crowded), F.coalesce(F.ceil(F.sum("_n") / SHARES), F.lit(0)))).scalar()
+    hot = counts.withColumn("_most", least).where("_n > _most").select(*on, F.ceil(F.col("_n") / F.col("_most")).alias("_parts"))
+    parts = F.coalesce("_parts", F.lit(1))
+    placed = placed.join(F.broadcast(hot), on, "left").withColumn("_salt", F.pmod(F.xxhash64(pos), parts)).drop("_parts")
+    spread = spread.join(F.broadcast(hot), on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).drop("_parts")
+    return placed, spread
 
-def choose_bins(intervals: DataFrame, least: int = 500, start: str = "start_pos", end: str = "end_pos") -> int:
-    """A bin width for intervals of unknown lengths: nine in ten then touch two bins at most. One small job."""
-    length = intervals.agg(F.percentile_approx(F.col(end) - F.col(start), 0.9)).first()[0]
-    return max(least, int(length or 0))
 
+def join_overlapping(rows: DataFrame, others: DataFrame, bin_size: int = 1000, a: tuple[str, str] = ("start_pos", "end_pos"), b: tuple[str, str] = ("other_start", "other_end")) -> DataFrame:
+    """Every pair of half-open intervals (chrom, a) and (chrom, b) that share a base, once.
+
+    A side goes to the bins that it touches of its own level and of each higher level that the other side has, some
+    STEP + 2 * LEVELS at most. A pair is that of the higher of its two levels and of the bin of its first common base.
+    """
+    (s, e), (t, u) = a, b
 
-def bins(first: Column, last: Column, bin_size: int) -> Column:
-    return F.sequence(F.floor(first / bin_size), F.floor(last / bin_size))
+    def reach(df: DataFrame, first: str, last: str, found: Column, own: str) -> DataFrame:
+        lo, hi = F.col(first), F.col(last) - 1
+        df2 = df.where(lo <= hi).withColumn(own, level_of(lo, hi, bin_size)).withColumn("_levels", found)
+        every = F.flatten(F.transform(F.array_union(F.array(own), F.filter("_levels", lambda k: k > F.col(own))), lambda k: _touched(lo, hi, k, bin_size)))
+        return df2.select(*df.columns, own, F.inline(every))
+
+    x = reach(rows, s, e, levels_of(others, F.col(t), F.col(u) - 1, bin_size), "_la")
+    y = reach(others, t, u, levels_of(rows, F.col(s), F.col(e) - 1, bin_size), "_lb")
+    first = F.floor(F.greatest(s, t) / _width(F.col("_level"), bin_size))
+    met = x.join(y, ["chrom", *PLACE]).where((F.col(s) < F.col(u)) & (F.col(e) > F.col(t)) & (F.col("_level") == F.greatest("_la", "_lb")) & (F.col("_bin") == first))
+    return met.drop(*PLACE, "_la", "_lb")
 
 
 def overlapping(rows: DataFrame, others: DataFrame, bin_size: int = 1000, start: str = "start_pos", end: str = "end_pos") -> DataFrame:
     """The rows, once each, whose half-open interval overlaps one of `others` (chrom, start_pos, end_pos).
 
-    Rows that lie in one bin answer once, by a semi join. Those that cross a bin's end are numbered and answer in each
-    of their bins; one answer of each number is kept. Empty intervals overlap nothing; repeated rows are kept.
+    Rows that go to one bin answer once, by a semi join. Those that go to several (they cross a bin's end, or the others
+    have several levels) are numbered and answer in each; one answer of each number is kept. Empty intervals overlap
+    nothing; repeated rows are kept.
     """
-    spread = others.where("start_pos < end_pos").select(
-        F.col("chrom").alias("_c"), F.col("start_pos").alias("_s"), F.col("end_pos").alias("_e"), F.explode(bins(F.col("start_pos"), F.col("end_pos") - 1, bin_size)).alias("_b")
-    )
+    bare = others.select(F.col("chrom").alias("_c"), F.col("start_pos").alias("_s"), F.col("end_pos").alias("_e")).where("_s < _e")
+    theirs = levels_of(bare, F.col("_s"), F.col("_e") - 1, bin_size)
+    ours = levels_of(rows, F.col(start), F.col(end) - 1, bin_size)
+
+    def bins(df: DataFrame, lo: Column, hi: Column, found: Column) -> DataFrame:
+        df = df.withColumn("_l", level_of(lo, hi, bin_size)).withColumn("_levels", found)
+        every = F.array_union(F.array("_l"), F.filter("_levels", lambda k: k > F.col("_l")))
+        return df.withColumn("_at", F.flatten(F.transform(every, lambda k: _touched(lo, hi, k, bin_size)))).drop("_l", "_levels")
+
+    spread = bins(bare, F.col("_s"), F.col("_e") - 1, ours)
+    spread = spread.select("_c", "_s", "_e", F.inline("_at")).withColumnsRenamed({"_level": "_k", "_bin": "_b"})
 
     def met(df: DataFrame) -> DataFrame:
-        on = (df["chrom"] == spread["_c"]) & (df["_bin"] == spread["_b"]) & (df[start] < spread["_e"]) & (df[end] > spread["_s"])
-        return df.join(spread, on, "left_semi").drop("_bin")
-
-    own = rows.where(F.col(start) < F.col(end))
-    first, last = F.floor(F.col(start) / bin_size), F.floor((F.col(end) - 1) / bin_size)
-    one = met(own.where(first == last).withColumn("_bin", first))
-    many = own.where(first != last).withColumn("_row", F.monotonically_increasing_id())
-    many = met(many.withColumn("_bin", F.explode(F.sequence(first, last)))).dropDuplicates(["_row"]).drop("_row")
+        on = (df["chrom"] == spread["_c"]) & (df["_level"] == spread["_k"]) & (df["_bin"] == spread["_b"]) & (df[start] < spread["_e"]) & (df[end] > spread["_s"])
+        return df.join(spread, on, "left_semi").drop(*PLACE)
+
+    own = bins(rows.where(F.col(start) < F.col(end)), F.col(start), F.col(end) - 1, theirs)
+    one = met(own.where(F.size("_at") == 1).select(*rows.columns, F.inline("_at")))
+    many = own.where(F.size("_at") > 1).withColumn("_row", F.monotonically_increasing_id())
+    many = met(many.select(*rows.columns, "_row", F.inline("_at"))).dropDuplicates(["_row"]).drop("_row")
     return one.unionByName(many)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .intervals import in_bins, join_points
+from .intervals import PLACE, in_bins, join_points
 
 SUMS = {"total_coverage": "cov", "total_methylated": "mc"}
 
@@ -15,8 +15,8 @@ def percent(mc: Column, cov: Column) -> Column:
 
 
 def last_call(allc: DataFrame, *keys: str) -> DataFrame:
-    """One row for each site (chrom, pos and `keys`): the last in file order. Sites that come with their `_bin` keep it."""
-    by = [*keys, "chrom", *(["_bin"] if "_bin" in allc.columns else []), "pos"]
+    """One row for each site (chrom, pos and `keys`): the last in file order. Sites that come with their bins keep them."""
+    by = [*keys, "chrom", *(PLACE if "_bin" in allc.columns else []), "pos"]
     return allc.groupBy(*by).agg(F.max_by(F.struct("mc", "cov"), "ord").alias("c")).select(*by, "c.mc", "c.cov")
 
 
@@ -24,13 +24,17 @@ def totals(allc: DataFrame) -> DataFrame:
     return allc.agg(F.sum("cov").alias("total_cov"), F.count("*").alias("total_count"), F.sum("mc").alias("total_methylated"))
 
 
-def region_sums(sites: DataFrame, regions: DataFrame, coord: str, bin_size: int = 500, keys: tuple[str, ...] = (), spine: DataFrame | None = None) -> DataFrame:
+def region_sums(
+    sites: DataFrame, regions: DataFrame, coord: str, bin_size: int = 500, keys: tuple[str, ...] = (), spine: DataFrame | None = None, crowded: int | None = None
+) -> DataFrame:
     """Coverage, methylated reads and sites of every region row (rid), empty regions included.
 
+    `crowded`: see `join_points`.
+
     Hits are aggregated by rid first, on the partitioning that the join with the regions needs as well.
     """
-    binned = ["_bin"] if "_bin" in sites.columns else []
-    hits = join_points(sites.select(*keys, "chrom", *binned, "pos", "mc", "cov"), regions.select("rid", "chrom", "start_pos", "end_pos"), coord, bin_size)
+    binned = PLACE if "_bin" in sites.columns else []
+    hits = join_points(sites.select(*keys, "chrom", *binned, "pos", "mc", "cov"), regions.select("rid", "chrom", "start_pos", "end_pos"), coord, bin_size, crowded=crowded)
     hits = hits.groupBy(*keys, "rid").agg(F.sum("cov").alias("c"), F.sum("mc").alias("m"), F.count("*").alias("n"))
     every = (spine if spine is not None else regions).join(hits, [*keys, "rid"], "left")
     info = [c for c in regions.columns if c != "rid"]
@@ -43,16 +47,17 @@ def cell_region_bins(sites: DataFrame, regions: DataFrame, cells: tuple[str, ...
     needs of the region rows, without a row for each region and cell."""
     by = ["strand_side", *keys, "bin"]
     known = regions.where("bin IS NOT NULL")
-    binned = ["_bin"] if "_bin" in sites.columns else []
+    binned = PLACE if "_bin" in sites.columns else []
     hits = join_points(sites.select("sample", "chrom", *binned, "pos", "mc", "cov"), known.select(*by, "chrom", "start_pos", "end_pos"), coord, bin_size)
     hits = hits.groupBy("sample", *by).agg(F.sum("cov").alias("c"), F.sum("mc").alias("m"))
     zeros = known.select(*by).distinct().select(F.explode(F.array(*map(F.lit, cells))).alias("sample"), *by, F.lit(0).cast("long").alias("c"), F.lit(0).cast("long").alias("m"))
     return hits.unionByName(zeros).groupBy("sample", *by).agg(F.sum("c").alias("total_coverage"), F.sum("m").alias("total_methylated"))
 
 
-def region_methylation(allc: DataFrame, regions: DataFrame, coord: str, bin_size: int = 500) -> DataFrame:
+def region_methylation(allc: DataFrame, regions: DataFrame, coord: str, bin_size: int = 500, crowded: int | None = None) -> DataFrame:
+    """The last call of each site over regions of any lengths. `crowded`: see `join_points`."""
     near = in_bins(allc, regions, coord, bin_size)  # only these sites are ordered, and they are shuffled once
-    out = region_sums(last_call(near), regions.select("rid", "chrom", "start_pos", "end_pos"), coord, bin_size)
+    out = region_sums(last_call(near), regions.select("rid", "chrom", "start_pos", "end_pos"), coord, bin_size, crowded=crowded)
     return out.withColumn("methylation_percentage", percent(F.col("total_methylated"), F.col("total_coverage")))
 
 

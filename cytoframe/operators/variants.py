@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import names
-from .intervals import overlapping
+from .intervals import join_overlapping, overlapping
 
 
 def bisulfite_prone(variants: DataFrame) -> DataFrame:
@@ -74,13 +74,9 @@ def lift_over(bed: DataFrame, blocks: DataFrame, min_match: float = 0.95, bin_si
     """
     every = list(bed.columns)
     rows = bed.groupBy(*every).agg(F.count("*").alias("_n"))
-    reach = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / bin_size), F.floor((F.col(b) - 1) / bin_size))).alias("_bin")
-    spread = blocks.withColumnRenamed("chrom", "_c").select("*", reach("block_start", "block_end"))
-    at = rows.where("start_pos < end_pos").select("*", reach("start_pos", "end_pos"))
+    met = join_overlapping(rows, blocks, bin_size, b=("block_start", "block_end"))
     low, high = F.greatest("start_pos", "block_start"), F.least("end_pos", "block_end")
-    met = at.join(spread, (at["chrom"] == spread["_c"]) & (at["_bin"] == spread["_bin"]) & (F.col("start_pos") < F.col("block_end")) & (F.col("end_pos") > F.col("block_start"))).drop(spread["_bin"])
-    # a pair that shares several bins counts in that of its first common base
-    met = met.where(F.col("_bin") == F.floor(low / bin_size)).select(*every, "chain", "score", "target_chrom", "target_strand", "target_size", low.alias("lo"), high.alias("hi"), (F.col("target_start") - F.col("block_start")).alias("shift"))
+    met = met.select(*every, "chain", "score", "target_chrom", "target_strand", "target_size", low.alias("lo"), high.alias("hi"), (F.col("target_start") - F.col("block_start")).alias("shift"))
     g = met.groupBy(*every, "chain", "score", "target_chrom", "target_strand", "target_size").agg(
         F.sum(F.col("hi") - F.col("lo")).alias("bases"), F.min(F.col("lo") + F.col("shift")).alias("a"), F.max(F.col("hi") + F.col("shift")).alias("b")
     )

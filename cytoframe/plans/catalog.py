@@ -50,10 +50,10 @@ def allc_dedupe_last(spark, sf):
     return me.last_call(frame(spark, sf, "allc"))
 
 
-def _region_sql(low: str, head: str) -> str:
-    return f"""{cte('allc', 'regions')}, {LAST}, h AS (SELECT r.rid, sum(s.cov) AS c, sum(s.mc) AS m, count(s.pos) AS n FROM regions r JOIN s ON s.chrom = r.chrom AND s.pos >= {low} AND s.pos <= r.end_pos GROUP BY r.rid)
+def _region_sql(low: str, head: str, regions: str = "regions") -> str:
+    return f"""{cte('allc', regions)}, {LAST}, h AS (SELECT r.rid, sum(s.cov) AS c, sum(s.mc) AS m, count(s.pos) AS n FROM {regions} r JOIN s ON s.chrom = r.chrom AND s.pos >= {low} AND s.pos <= r.end_pos GROUP BY r.rid)
 SELECT {head}, r.chrom, r.start_pos AS start, r.end_pos AS "end", CAST(coalesce(c, 0) AS BIGINT) AS total_coverage, CAST(coalesce(m, 0) AS BIGINT) AS total_methylated,
- CAST(m AS DOUBLE) / nullif(CAST(c AS DOUBLE), 0) * 100 AS methylation_percentage, CAST(coalesce(n, 0) AS BIGINT) AS sites_with_data FROM regions r LEFT JOIN h USING (rid)"""
+ CAST(m AS DOUBLE) / nullif(CAST(c AS DOUBLE), 0) * 100 AS methylation_percentage, CAST(coalesce(n, 0) AS BIGINT) AS sites_with_data FROM {regions} r LEFT JOIN h USING (rid)"""
 
 
 def _named(df: DataFrame, *first: Column | str) -> DataFrame:
@@ -66,6 +66,13 @@ def region_methylation_closed(spark, sf):
     return _named(out, "rid", (F.col("end_pos") - F.col("start_pos") + 1).alias("region_length"))
 
 
+@query(_region_sql("r.start_pos", "r.rid, r.end_pos - r.start_pos + 1 AS region_length", "mixed"))
+def region_methylation_mixed(spark, sf):
+    """Sites, short and long regions and whole chromosomes in one table."""
+    out = me.region_methylation(frame(spark, sf, "allc"), frame(spark, sf, "mixed"), "closed", crowded=20_000)
+    return _named(out, "rid", (F.col("end_pos") - F.col("start_pos") + 1).alias("region_length"))
+
+
 _RID = "concat_ws('_', r.chrom, CAST(r.start_pos AS VARCHAR), CAST(r.end_pos AS VARCHAR)) AS region_id"
 
 

@@ -26,11 +26,15 @@ _ALIGNMENTS = """SELECT qname, flag, ref_id, start_pos, end_pos, k, cigar, {qual
  FROM (SELECT {ord}, concat('q', CAST(l_orderkey AS STRING)) AS qname, CASE l_partkey % 6 WHEN 0 THEN 99 WHEN 1 THEN 147 WHEN 2 THEN 83 WHEN 3 THEN 163 WHEN 4 THEN 77 ELSE 0 END AS flag,
  CAST(l_suppkey % 2 AS INT) AS ref_id, l_orderkey * 10 + l_suppkey % 60 AS start_pos, l_orderkey * 10 + l_suppkey % 60 + 30 + CAST(l_quantity AS BIGINT) AS end_pos, 30 + CAST(l_quantity AS BIGINT) AS n, l_linenumber % 3 AS k FROM lineitem) x) y"""
 _FASTA = """SELECT concat('ctg', CAST(doc_id AS STRING)) AS chrom,
- regexp_replace(translate(text, 'eioursEIOURS', 'ACGTacACGTAC'), '[^ACGTacgt]', 'N'{g}) AS seq FROM documents WHERE lang = 'en'"""
+ regexp_replace(translate(text, 'eioursEIOURS', 'ACGTacACGTAC'), '[^ACGTacgt]', 'N'{g}) AS seq FROM documents"""
 _PLAIN = {
     "regions": """SELECT o_orderkey AS rid, concat('chr', CAST(o_custkey % 22 + 1 AS STRING)) AS chrom, o_orderkey * 7 AS start_pos,
  o_orderkey * 7 + o_custkey % 500 AS end_pos, CASE WHEN o_orderstatus = 'F' THEN '-' ELSE '+' END AS strand,
  o_custkey % 20 AS bin, concat('g', CAST(o_orderkey % 300 AS STRING)) AS gene_name FROM orders""",
+    # sites, short and long intervals, and every chromosome whole
+    "mixed": """SELECT o_orderkey AS rid, concat('chr', CAST(o_custkey % 22 + 1 AS STRING)) AS chrom, o_orderkey * 7 AS start_pos,
+ o_orderkey * 7 + CASE o_custkey % 4 WHEN 0 THEN 0 WHEN 1 THEN o_custkey % 500 WHEN 2 THEN 20000 ELSE 300 + o_custkey % 40 END AS end_pos FROM orders
+ UNION ALL SELECT DISTINCT -1 - o_custkey % 22 AS rid, concat('chr', CAST(o_custkey % 22 + 1 AS STRING)) AS chrom, CAST(1 AS BIGINT) AS start_pos, CAST(250000000 AS BIGINT) AS end_pos FROM orders""",
     "cpg_bed": """SELECT DISTINCT concat('chr', CAST(o_custkey % 22 + 1 AS STRING)) AS chrom, o_orderkey * 7 + 1 AS start_pos, o_orderkey * 7 + 3 AS end_pos FROM orders""",
     "cells": """SELECT DISTINCT concat('cell', CAST(p_partkey % 20 AS STRING)) AS barcode, concat('grp', CAST(p_partkey % 20 % 3 AS STRING)) AS grp FROM part""",
     "transcription": """SELECT g.gene_name, c.barcode, CASE WHEN (g.k + c.j) % 3 = 0 THEN 'silent' ELSE 'transcribed' END AS status
@@ -66,7 +70,7 @@ _PLAIN = {
     "files": """SELECT DISTINCT concat('d', CAST(user_id % 2 AS STRING)) AS dir, concat('Smp', CAST(user_id % 37 AS STRING), '-x_S', CAST(user_id % 37 + 1 AS STRING), '_L00', CAST(event_id % 3 + 1 AS STRING), '_',
  CASE event_id % 5 WHEN 0 THEN 'R1' WHEN 1 THEN 'R2' WHEN 2 THEN 'I1' WHEN 3 THEN 'I2' ELSE 'R1' END, '_001.fastq.gz') AS name FROM events""",
 }
-_TABLES = {"allc": "lineitem", "reads": "lineitem", "beta": "lineitem", "packed": "lineitem", "regions": "orders", "cpg_bed": "orders", "cells": "part", "variants": "part", "fastq": "events", "files": "events", "fasta": "documents", "alignments": "lineitem", "listing": "events", "chains": "orders", "spans": "part", "genotypes": "part"}
+_TABLES = {"allc": "lineitem", "reads": "lineitem", "beta": "lineitem", "packed": "lineitem", "regions": "orders", "mixed": "orders", "cpg_bed": "orders", "cells": "part", "variants": "part", "fastq": "events", "files": "events", "fasta": "documents", "alignments": "lineitem", "listing": "events", "chains": "orders", "spans": "part", "genotypes": "part"}
 
 
 def _number() -> str:
