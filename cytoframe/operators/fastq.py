@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import names
+from .ranks import placed
 
 
 def barcode_counts(fastq: DataFrame) -> DataFrame:
@@ -60,15 +61,15 @@ def four_way(records: DataFrame) -> DataFrame:
 
 def four_way_records(records: DataFrame) -> DataFrame:
     """(file_type, place, header, seq, plus, qual): the records of each file in their new order, from 1: those in all four
-    files in I1's order, then the others by name. Of a name that repeats in a file the last record stays."""
+    files in I1's order, then the others by name. Of a name that repeats in a file the last record stays. Places are
+    counted by ranges of the order (see `ranks.placed`), so a file may be of any size."""
     last = records.withColumn("read_name", names.first_token(F.col("header"))).groupBy("file_type", "read_name").agg(
         F.max_by(F.struct("header", "seq", "plus", "qual"), "rec_no").alias("r"), F.max("rec_no").alias("rec_no")
     )
     order = four_way(records).select("file_type", "read_name", "matched", "ord")
     rows = last.join(order, ["file_type", "read_name"])
-    # a file's own places; the files are few, the rows are dealt by file as they will be written
-    by = Window.partitionBy("file_type").orderBy(F.desc("matched"), "ord", "read_name")
-    return rows.select("file_type", F.row_number().over(by).cast("long").alias("place"), "r.*")
+    out = placed(rows.select("file_type", "matched", "ord", "read_name", "r"), ["file_type"], [F.desc("matched"), "ord", "read_name"])
+    return out.select("file_type", "place", "r.*")
 
 
 def concatenated_records(records: DataFrame, files: DataFrame) -> DataFrame:

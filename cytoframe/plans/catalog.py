@@ -308,19 +308,23 @@ hits AS (SELECT chrom, CAST(sum(length(s)) OVER (PARTITION BY chrom ORDER BY k)
 w AS (SELECT h.chrom, h.start, (a IS NULL OR h.start - a > 35) AND (b IS NULL OR b - h.start > 35) AS solo FROM hits h JOIN gap g ON g.chrom = h.chrom AND g.p = h.start WHERE k < n)"""
 
 
+def _chunks(spark, sf) -> DataFrame:
+    return sequences.chunked(frame(spark, sf, "fasta"), 16_384)
+
+
 @query(f"""{_MOTIF} SELECT chrom, start, start + 2 AS "end" FROM w""")
 def motif_positions(spark, sf):
-    return motif.cpgs(frame(spark, sf, "fasta")).drop("solo")
+    return motif.cpgs(_chunks(spark, sf)).drop("solo")
 
 
 @query(f"""{_MOTIF} SELECT chrom, start, start + 2 AS "end" FROM w WHERE solo""")
 def motif_solo(spark, sf):
-    return motif.cpgs(frame(spark, sf, "fasta")).where("solo").drop("solo")
+    return motif.cpgs(_chunks(spark, sf)).where("solo").drop("solo")
 
 
 @query(f"{_MOTIF} SELECT coalesce(chrom, 'total') AS chrom, count(*) AS wcgw, count(*) FILTER (WHERE solo) AS solo, CAST(count(*) FILTER (WHERE solo) AS DOUBLE) / count(*) * 100 AS pct FROM w GROUP BY ROLLUP (chrom)")
 def motif_stats(spark, sf):
-    return motif.statistics(frame(spark, sf, "fasta"))
+    return motif.statistics(_chunks(spark, sf))
 
 
 @query(f"""{cte('reads')}, m AS (SELECT *, (row_number() OVER (PARTITION BY qname ORDER BY rec_no) - 1) % 2 + 1 AS read FROM reads WHERE flag & 4 = 0)
@@ -405,10 +409,25 @@ def fastq_barcode_counts(spark, sf):
 _ID = "regexp_replace(regexp_split_to_array(substr(header, 2), '\\s+')[1], '/[12]$', '')"
 
 
-@query(f"{cte('fastq')} SELECT max(rec_no) OVER (PARTITION BY {_ID}) AS rank, {_ID} AS read_id, seq FROM fastq")
-def fastq_sync_rank(spark, sf):
+# the mates' file: records in another order, some of them missing, some there twice
+_MATES = """mates AS (SELECT (rec_no * 7919) % 1000003 AS rec_no, replace(header, ' 1:', ' 2:') AS header FROM fastq WHERE rec_no % 11 <> 3 UNION ALL SELECT 2000000 + rec_no, header FROM fastq WHERE rec_no % 13 = 5)"""
+
+
+def _mates(spark, sf) -> DataFrame:
     f = frame(spark, sf, "fastq")
-    return fastq.reorder(f, f).select("rank", "read_id", "seq")
+    first = f.where("rec_no % 11 <> 3").select(((F.col("rec_no") * 7919) % 1000003).alias("rec_no"), F.replace("header", F.lit(" 1:"), F.lit(" 2:")).alias("header"))
+    return first.unionByName(f.where("rec_no % 13 = 5").select((F.col("rec_no") + 2000000).alias("rec_no"), "header"))
+
+
+@query(f"{cte('fastq')}, {_MATES}, k AS (SELECT {_ID} AS read_id, max(rec_no) AS rank FROM mates GROUP BY 1), f AS (SELECT {_ID} AS read_id, seq FROM fastq) SELECT rank, read_id, seq FROM f LEFT JOIN k USING (read_id)")
+def fastq_sync_rank(spark, sf):
+    return fastq.reorder(frame(spark, sf, "fastq"), _mates(spark, sf)).select("rank", "read_id", "seq")
+
+
+@query(f"""{cte('fastq')}, {_MATES}, k AS (SELECT id, count(*) FILTER (WHERE side = 0) AS x, count(*) FILTER (WHERE side = 1) AS y FROM (SELECT {_ID} AS id, 0 AS side FROM fastq UNION ALL SELECT {_ID}, 1 FROM mates) z GROUP BY id)
+SELECT count(*) FILTER (WHERE y = 0) AS only_first, count(*) FILTER (WHERE x = 0) AS only_second, count(*) FILTER (WHERE x > 1 OR y > 1) AS repeated FROM k""")
+def fastq_same_reads(spark, sf):
+    return fastq.same_reads(frame(spark, sf, "fastq"), _mates(spark, sf))
 
 
 _R2 = "r2 AS (SELECT rec_no, CASE WHEN rec_no % 17 = 0 THEN replace(header, 'INST', 'OTHER') ELSE header END AS header FROM fastq WHERE rec_no % 101 <> 5)"
@@ -793,7 +812,7 @@ def fastq_until_blank(spark, sf):
 def fasta_files(spark, sf):
     at = _folder(spark, "fasta")
     sequences.write_fasta(frame(spark, sf, "fasta"), at)
-    return sequences.read_fasta(spark, at)
+    return sequences.whole_sequences(sequences.read_fasta(spark, at, 10_000))
 
 
 @query(f"{cte('alignments')} SELECT qname, flag, concat('chr', CAST(ref_id AS VARCHAR)) AS ref_name, start_pos, end_pos, cigar, array_to_string(quals, ',') AS quals, concat('chr', CAST(ref_id AS VARCHAR)) AS output FROM alignments")
@@ -805,13 +824,19 @@ def sam_files(spark, sf):
     return got.select("qname", "flag", "ref_name", "start_pos", "end_pos", "cigar", _text("quals").alias("quals"), F.regexp_extract("file", "output=([^/]*)/", 1).alias("output"))
 
 
-@query(f"{cte('genotypes')} SELECT CASE sample WHEN 'smp1' THEN 'donor' ELSE sample END AS sample, chrom, pos, ref, array_to_string(list_filter([alt1, alt2], lambda x: x IS NOT NULL), ',') AS alts, genotype FROM genotypes WHERE sample = 'smp1'")
+@query(f"{cte('genotypes')} SELECT CASE sample WHEN 'smp1' THEN 'donor' ELSE sample END AS sample, chrom, pos, ref, array_to_string(list_filter([alt1, alt2], lambda x: x IS NOT NULL), ',') AS alts, genotype FROM genotypes")
 def vcf_files(spark, sf):
+    """A file for each of the three samples; one of them gets a new name as it is read."""
     at = _folder(spark, "vcf")
-    g = frame(spark, sf, "genotypes").where("sample = 'smp1'").select("chrom", "pos", F.lit(None).cast("string").alias("id"), "ref", F.filter(F.array("alt1", "alt2"), lambda x: x.isNotNull()).alias("alt"), F.lit("GT").alias("format"), F.col("genotype").alias("smp1"))
-    sequences.write_vcf(g, at, ["##fileformat=VCFv4.2"], {"smp1": "smp1"})
-    known = sequences.vcf_samples(spark, at).first()["samples"]
-    return sequences.genotypes(sequences.read_vcf(spark, at), known, {"smp1": "donor"}).withColumn("alts", _text("alts"))
+    g = frame(spark, sf, "genotypes").select("sample", "chrom", "pos", F.lit(None).cast("string").alias("id"), "ref", F.filter(F.array("alt1", "alt2"), lambda x: x.isNotNull()).alias("alt"), F.lit("GT").alias("format"), "genotype")
+    for name in ("smp1", "smp2", "smp3"):
+        own = g.where(F.col("sample") == name).withColumnRenamed("genotype", name)
+        sequences.write_vcf(own, f"{at}/{name}", ["##fileformat=VCFv4.2"], {name: name})
+    paths = [f"{at}/smp{i}" for i in (1, 2, 3)]
+    calls, known = sequences.read_vcf(spark, paths), sequences.vcf_samples(spark, paths)
+    folder = F.regexp_replace("file", "/[^/]*$", "")
+    known = known.select(folder.alias("file"), "samples").distinct()  # the header is in one part file of each
+    return sequences.genotypes(calls.withColumn("file", folder), known, {"smp1": "donor"}).withColumn("alts", _text("alts"))
 
 
 @query(f"{cte('transcription')} SELECT gene_name, barcode FROM transcription WHERE status = 'transcribed'")

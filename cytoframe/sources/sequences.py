@@ -1,8 +1,8 @@
 """FASTQ, FASTA, alignment and variant files.
 
 Text formats are read as lines by Spark itself: plain files are cut into splits, gzip files are one split that is
-inflated as a stream. Lines are numbered by file and split, so records are put together by a shuffle, whatever
-the size of a file.
+inflated as a stream. Lines are numbered by file and split without a sort, and records are put together by a
+shuffle, whatever the size of a file.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from ..functions.names import natural_key
 
 READ = "file string, rec_no long, qname string, flag int, ref_id int, ref_name string, start_pos long, end_pos long, cigar string, seq string, quals array<int>, tags map<string,string>, mapq int, mate_ref_name string, mate_pos long, template_length long"
 BGZF_END = bytes.fromhex("1f8b08040000000000ff0600424302001b0003000000000000000000")
+RUN = 4096  # lines whose offsets are added up together
 OPS, BASES = "MIDNSHP=X", "=ACMGRSVTWYHKDBN"
 
 
@@ -44,18 +45,20 @@ def inflated(raw: bytes, step: int = 1 << 20) -> Iterator[bytes]:
 
 
 def numbered_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(file, block, line_no from 0, n, value) of the lines of text files; n counts within the block from 1.
+    """(file, line_no from 0, value) of the lines of text files; nothing is sorted or shuffled but one row for each block.
 
-    A block is a split of a file; the lines before it are those of the file's earlier blocks, which a window over one
-    row for each block adds up.
+    A block is a split of a file, or a whole gzip file. Its lines are read in order by one task and their running
+    ids follow each other, so a line's number is its id less the block's smallest, plus the lines of the file's earlier
+    blocks. That table is broadcast: some 40 bytes for each split (128 MB by Spark's default) of the input.
     """
     lines = spark.read.text(paths).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("_id"), "value"
     )
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = lines.groupBy("file", "block").agg(F.count("*").alias("m")).select("file", "block", F.coalesce(F.sum("m").over(before), F.lit(0)).alias("_before"))
-    n = F.row_number().over(Window.partitionBy("file", "block").orderBy("_id"))
-    return lines.withColumn("n", n).join(blocks, ["file", "block"]).select("file", "block", (F.col("_before") + F.col("n") - 1).alias("line_no"), "n", "value")
+    blocks = lines.groupBy("file", "block").agg(F.count("*").alias("m"), F.min("_id").alias("first"))
+    shifts = blocks.select(F.xxhash64("file", "block").alias("_key"), (F.coalesce(F.sum("m").over(before), F.lit(0)) - F.col("first")).alias("_shift"))
+    rows = lines.withColumn("_key", F.xxhash64("file", "block")).join(F.broadcast(shifts), "_key")
+    return rows.select("file", (F.col("_id") + F.col("_shift")).alias("line_no"), "value")
 
 
 def read_fastq(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -72,19 +75,65 @@ def write_fastq(fastq: DataFrame, path: str, compress: bool = True, partition_by
     (writer.partitionBy(*partition_by) if partition_by else writer).text(path)
 
 
-def read_fasta(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(chrom, seq); the name is the first token after '>'. Lines before the first header are passed over."""
-    lines = numbered_lines(spark, paths).withColumn("head", F.startswith("value", F.lit(">")).cast("long"))
-    own = F.sum("head").over(Window.partitionBy("file", "block").orderBy("n"))
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = lines.groupBy("file", "block").agg(F.sum("head").alias("m")).select("file", "block", F.coalesce(F.sum("m").over(before), F.lit(0)).alias("_before"))
-    rows = lines.withColumn("own", own).join(blocks, ["file", "block"]).withColumn("no", F.col("_before") + F.col("own")).where("no > 0")
-    g = rows.groupBy("file", "no").agg(
-        F.max(F.when(F.col("head") == 1, F.col("value"))).alias("title"),
-        F.array_sort(F.collect_list(F.when(F.col("head") == 0, F.struct("line_no", F.regexp_replace("value", r"\s+", "").alias("s"))))).alias("parts"),
+def read_fasta(spark: SparkSession, paths: str | list[str], chunk: int = 1 << 20, flank: int = 64) -> DataFrame:
+    """Sequences in chunks: (file, no, chrom, start, length, lead, seq); the name is the first token after '>'.
+
+    A chunk owns `length` letters from `start` (0-based) on, `chunk` of them but in the last; `seq` holds them with up to
+    `flank` letters (`lead` of them on the left) of its neighbours, so that motifs over its ends are seen whole. `no` counts
+    the file's sequences. A sequence without letters is one chunk without any; lines before the first header are passed over.
+
+    Lines get their offset in two steps: within runs of RUN lines, then over one row for each run. They go to the
+    chunks that they touch, so that no row is longer than a chunk with its flanks, or a line of the file.
+    """
+    lines = numbered_lines(spark, paths).withColumn("run", F.floor(F.col("line_no") / RUN))
+    head = F.startswith("value", F.lit(">"))
+    name = F.coalesce(F.get(F.split(F.trim(F.substr("value", F.lit(2))), r"\s+"), F.lit(0)), F.lit(""))
+    lines = lines.select("file", "run", "line_no", F.when(head, name).alias("title"), F.when(head, "").otherwise(F.regexp_replace("value", r"\s+", "")).alias("s"))
+    upto = Window.partitionBy("file", "run").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
+    lines = lines.withColumn("heads", F.count("title").over(upto)).withColumn("title", F.last("title", True).over(upto))
+    within = Window.partitionBy("file", "run", "heads").orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
+    lines = lines.withColumn("at", F.coalesce(F.sum(F.length("s")).over(within), F.lit(0)))
+    # one row for each run: what the runs before it carry into its lines before its first header
+    last = F.max_by(F.struct("heads", "title", (F.col("at") + F.length("s")).alias("tail")), "line_no").alias("l")
+    runs = lines.groupBy("file", "run").agg(last).select("file", "run", "l.*")
+    in_file = Window.partitionBy("file").orderBy("run")
+    runs = runs.withColumn("no", F.sum("heads").over(in_file)).withColumn("tail", F.sum("tail").over(Window.partitionBy("file", "no").orderBy("run")))
+    runs = runs.select("file", "run", *[F.lag(c).over(in_file).alias(f"_{c}") for c in ("no", "tail")], F.last("title", True).over(in_file.rowsBetween(Window.unboundedPreceding, -1)).alias("_title"))
+    rows = lines.join(runs, ["file", "run"]).select(
+        "file", (F.coalesce("_no", F.lit(0)) + F.col("heads")).alias("no"), F.coalesce("title", "_title").alias("chrom"),
+        (F.col("at") + F.when(F.col("heads") == 0, F.coalesce("_tail", F.lit(0))).otherwise(0)).alias("at"), "s",
+    ).where("no > 0")
+    return _chunked(rows, ["file", "no", "chrom"], chunk, flank)
+
+
+def _chunked(pieces: DataFrame, by: list[str], chunk: int, flank: int) -> DataFrame:
+    """Pieces of sequences (by, at, s) put together by chunk. A piece goes to every chunk whose letters or flanks it has."""
+    end = F.col("at") + F.length("s")
+    low = F.greatest(F.floor((F.col("at") - flank) / chunk), F.lit(0))
+    owner = F.explode(F.sequence(low, F.greatest(F.floor((end - 1 + flank) / chunk), low))).alias("k")
+    own = pieces.select(*by, "at", "s", owner).withColumn("start", F.col("k") * chunk)
+    first = F.greatest(F.col("start") - flank - F.col("at"), F.lit(0))
+    past = F.least(F.col("start") + chunk + flank - F.col("at"), F.length("s").cast("long"))
+    own = own.withColumn("from", F.col("at") + first).withColumn("part", F.substr("s", (first + 1).cast("int"), F.greatest(past - first, F.lit(0)).cast("int")))
+    owned = F.least(F.col("from") + F.length("part"), F.col("start") + chunk) - F.greatest("from", "start")
+    g = own.groupBy(*by, "k", "start").agg(
+        F.array_sort(F.collect_list(F.when(F.length("part") > 0, F.struct("from", "part")))).alias("parts"), F.sum(F.greatest(owned, F.lit(0))).alias("length"),
     )
-    name = F.coalesce(F.get(F.split(F.trim(F.substr("title", F.lit(2))), r"\s+"), F.lit(0)), F.lit(""))
-    return g.select(name.alias("chrom"), F.array_join(F.transform("parts", lambda p: p["s"]), "").alias("seq"))
+    lead = F.coalesce(F.col("start") - F.get("parts", F.lit(0))["from"], F.lit(0))
+    g = g.where("length > 0 OR k = 0").select(*by, "start", "length", F.greatest(lead, F.lit(0)).alias("lead"), F.array_join(F.transform("parts", lambda p: p["part"]), "").alias("seq"))
+    return g
+
+
+def chunked(sequences: DataFrame, chunk: int = 1 << 20, flank: int = 64) -> DataFrame:
+    """Chunks, as `read_fasta` gives them but for the file, of sequences that are rows (chrom, seq); null sequences have none."""
+    return _chunked(sequences.where("seq IS NOT NULL").select(F.monotonically_increasing_id().alias("no"), "chrom", F.lit(0).cast("long").alias("at"), F.col("seq").alias("s")), ["no", "chrom"], chunk, flank)
+
+
+def whole_sequences(chunks: DataFrame, by: tuple[str, ...] = ("file", "no", "chrom")) -> DataFrame:
+    """(chrom, seq): chunks put together again, a sequence a row; for sequences that fit one."""
+    own = F.struct("start", F.substr("seq", (F.col("lead") + 1).cast("int"), F.col("length").cast("int")).alias("s"))
+    g = chunks.groupBy(*by).agg(F.array_sort(F.collect_list(own)).alias("parts"))
+    return g.select("chrom", F.array_join(F.transform("parts", lambda p: p["s"]), "").alias("seq"))
 
 
 def write_fasta(fasta: DataFrame, path: str, width: int = 60) -> None:

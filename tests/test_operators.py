@@ -1,4 +1,6 @@
 import gzip
+import random
+import re
 import struct
 import zlib
 
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 
 from cytoframe.functions import names
 from cytoframe.functions.smoothing import lowess, smooth
-from cytoframe.operators import fastq, intervals, methylation, motif, reads, sites, variants
+from cytoframe.operators import fastq, intervals, methylation, motif, ranks, reads, sites, variants
 from cytoframe.plans import region_pipeline
 from cytoframe.plans.config import PipelineConfig
 from cytoframe.sources import chain, sequences, tables
@@ -64,8 +66,71 @@ def test_bed_round_trip_and_packed_names(spark):
 
 def test_motifs_sharing_a_base_and_isolation(spark):
     f = spark.createDataFrame([("a", "acgtcga"), ("b", "ACGA" + "C" * 40 + "TCGT"), ("n", None), ("e", "")], "chrom string, seq string")
-    assert rows(motif.cpgs(f, 3)) == [("a", 1, 3, False), ("b", 1, 3, True), ("b", 45, 47, True)]
-    assert [r["solo"] for r in motif.cpgs(f, 44).where("chrom = 'b'").collect()] == [False, False]
+    for length in (5, 11, 1000):
+        chunks = sequences.chunked(f, length, 50)
+        assert rows(motif.cpgs(chunks, 3)) == [("a", 1, 3, False), ("b", 1, 3, True), ("b", 45, 47, True)]
+        assert [r["solo"] for r in motif.cpgs(chunks, 44).where("chrom = 'b'").collect()] == [False, False]
+
+
+def test_motifs_are_the_same_from_chunks_of_any_length(spark, tmp_path):
+    r = random.Random(4)
+    texts = {f"s{i}": "".join(r.choice(["ACG", "ACGT", "TCGACGACG", "ACGACGACGACGACGACG", "N", "cgta", "GGA" * 20]) for _ in range(60)) for i in range(6)} | {"chain": "ACG" * 200 + "A", "none": "", "short": "A"}
+    lines = ["junk"]
+    for name, seq in texts.items():
+        lines += [f">{name} more"] + [seq[i : i + 37] for i in range(0, len(seq), 37)]
+    (tmp_path / "x.fa").write_text("\n".join(lines))
+    want = []
+    for name, seq in texts.items():
+        up = seq.upper()
+        every = [m.start() for m in re.finditer("CG", up)]
+        for m in re.finditer("[AT]CG[AT]", up):
+            p = m.start() + 1
+            want.append((name, p, p + 2, not any(q != p and abs(q - p) <= 10 for q in every)))
+    assert len(want) > 300
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        for length in (6, 25, 64, 5000):
+            chunks = sequences.read_fasta(spark, str(tmp_path / "x.fa"), length, 12).cache()
+            assert rows(motif.cpgs(chunks, 10)) == sorted(want)
+            assert max(len(x["seq"]) for x in chunks.collect()) <= length + 24
+            assert {x["chrom"]: x["seq"] for x in sequences.whole_sequences(chunks).collect()} == texts
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_lines_are_numbered_without_a_sort(spark, tmp_path):
+    """Splits of one file, gzip files and several files; the plan has no window over lines."""
+    want = {}
+    for k, n in enumerate((1, 333, 90)):
+        text = "".join(f"line {i} of {k}\n" for i in range(n))
+        (tmp_path / f"a{k}.txt").write_text(text)
+        with gzip.open(tmp_path / f"b{k}.txt.gz", "wt") as f:
+            f.write(text)
+        want |= {f"a{k}.txt": n, f"b{k}.txt.gz": n}
+    for size in ("100", "128m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        try:
+            got = sequences.numbered_lines(spark, str(tmp_path))
+            assert all(f"line {x['line_no']} of " in x["value"] for x in got.collect())
+            assert {x["file"].rsplit("/", 1)[1]: x["n"] for x in got.groupBy("file").agg(F.count_distinct("line_no").alias("n")).collect()} == want
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+    plan = sequences.read_fastq(spark, str(tmp_path / "a1.txt"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window") == 1 and "value" not in plan[plan.index("Window") :].splitlines()[0]
+
+
+@pytest.mark.parametrize("groups", [1, 3])
+def test_places_of_one_group_in_many_ranges(spark, groups):
+    r = spark.range(2000).select((F.col("id") % groups).alias("g"), F.xxhash64("id").alias("x"), (F.col("id") % 50).alias("y"))
+    out = ranks.placed(r, ["g"], [F.desc("y"), "x"], parts=7)
+    for g in range(groups):
+        own = sorted(((x["place"], x["y"], x["x"]) for x in out.where(F.col("g") == g).collect()))
+        assert [p for p, _, _ in own] == list(range(1, len(own) + 1))
+        assert own == [(i, y, x) for i, (y, x) in enumerate(sorted(((y, x) for _, y, x in own), key=lambda t: (-t[0], t[1])), 1)]
+    assert "Window" in out._jdf.queryExecution().optimizedPlan().toString()  # over counts of ranges alone
+    assert ranks.placed(r.where("false"), ["g"], ["x"]).count() == 0
 
 
 def _reads(spark, data):
@@ -193,10 +258,10 @@ def test_files_in_several_splits(spark, tmp_path):
     spark.conf.set("spark.sql.files.openCostInBytes", "1")
     try:
         lines = sequences.numbered_lines(spark, str(tmp_path / "a.fastq"))
-        assert lines.select("block").distinct().count() > 10
+        assert lines.rdd.getNumPartitions() > 10
         got = sequences.read_fastq(spark, str(tmp_path / "a.fastq")).orderBy("rec_no").collect()
         assert [(r["header"], r["seq"], r["plus"], r["qual"]) for r in got] == [*records, ("@tail", "AC", None, None)]
-        assert rows(sequences.read_fasta(spark, str(tmp_path / "a.fa"))) == sorted((f"c{i}", "ACGT" * (i % 7)) for i in range(80))
+        assert rows(sequences.whole_sequences(sequences.read_fasta(spark, str(tmp_path / "a.fa")))) == sorted((f"c{i}", "ACGT" * (i % 7)) for i in range(80))
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
@@ -251,7 +316,7 @@ def test_text_sources(spark, tmp_path):
     sequences.write_fastq(r.where("rec_no = 0"), str(tmp_path / "out"), compress=False)
     assert sequences.read_fastq(spark, str(tmp_path / "out/part-*")).where("rec_no = 0").first()["header"] == "@a 1:N:0:AC"
     (tmp_path / "x.fa").write_text(">c1 d\nAC\nGT\n>c2\nA\n")
-    assert rows(sequences.read_fasta(spark, str(tmp_path / "x.fa"))) == [("c1", "ACGT"), ("c2", "A")]
+    assert rows(sequences.whole_sequences(sequences.read_fasta(spark, str(tmp_path / "x.fa")))) == [("c1", "ACGT"), ("c2", "A")]
     (tmp_path / "v.vcf").write_text("##x\n#CHROM\nc\t5\trs\tC\tT,G\t9.5\t.\tDP=3;X=1\n")
     v = sequences.read_vcf(spark, str(tmp_path / "v.vcf")).first()
     assert (v["pos"], v["alt"], v["info"]["DP"], v["filter"]) == (5, ["T", "G"], "3", None)
