@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -16,18 +17,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Scratch tables made inside `temporary`, by thread.
+_MADE: ContextVar[list | None] = ContextVar("scratch", default=None)
+
+
 class Scratch:
     """Tables written to the shared folder, so that a lost executor costs no recomputed lineage.
 
     Results read them lazily, so an operator can free only what no later plan of its own reads; see `temporary`.
     """
 
-    made: list[list[Scratch]] = []
-
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root = spark, f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-        if self.made:
-            self.made[-1].append(self)
+        if (made := _MADE.get()) is not None:
+            made.append(self)
 
     def write(self, df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
         path = f"{self.root}/{name}"
@@ -49,15 +52,31 @@ class Scratch:
 
 @contextmanager
 def temporary() -> Iterator[None]:
-    """Scratch tables that operators make inside are removed at the end, so what they return must be written by then."""
-    Scratch.made.append([])
+    """Scratch tables that operators of this thread make inside are removed at the end, so what they return must be written by then."""
+    made: list[Scratch] = []
+    before = _MADE.set(made)
     try:
         yield
     finally:
-        for scratch in Scratch.made.pop():
+        _MADE.reset(before)
+        for scratch in made:
             scratch.clear()
 
 
+def column(df: DataFrame, name: str) -> Column:
+    """A column by its name alone, whatever characters it has."""
+    return df["`" + name.replace("`", "``") + "`"]
+
+
+def whole_row(df: DataFrame, names: tuple[str, ...] | None = None) -> Column:
+    """The columns of a row as one struct, so that their names cannot meet an operator's own."""
+    return F.struct(*[column(df, c).alias(c) for c in names or df.columns])
+
+
+def unpacked_row(df: DataFrame, name: str) -> list[Column]:
+    return [F.col(name).getField(f.name).alias(f.name) for f in df.schema[name].dataType.fields]
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows that no model may learn from: crc32 of the id as text leaves 1 modulo 3."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))

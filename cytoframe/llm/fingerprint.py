@@ -7,24 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SPACE = r"[\x20\x09-\x0D]+"
-LEAST = 8  # hashes that a sketch keeps at least
 BUCKETS = 1024
+SCALE = 4  # a sketch keeps every hash in this part of the hash space
 
 
-def with_sketch(df: DataFrame, text: str, name: str, width: int = 5, scale: int = 16) -> DataFrame:
+def with_sketch(df: DataFrame, text: str, name: str, width: int = 5, scale: int = SCALE) -> DataFrame:
     """`df` with a sketch of the column `text`: every distinct shingle hash in the lowest 1/scale of the hash space, sorted.
 
-    A shingle is a run of `width` words; a text with fewer words is one shingle, one without words has none. A
-    text with fewer than LEAST hashes that low keeps its LEAST smallest (all, if it has no more), so that short texts
-    can be compared as well and only empty texts have empty sketches. A text of 1,000 words keeps some 60 hashes.
+    A shingle is a run of `width` words; a text with fewer words is one shingle, one without words has none. The same
+    fraction holds for texts of every length, so sketches merge by union; a text of 1,000 words keeps some 250 hashes at
+    a scale of 4, and one of few words may keep none.
     Each step is a column of its own: an array that a lambda function reads is then made once a row.
     """
     runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size("_words") - (width - 1), F.lit(1))), lambda i: F.xxhash64(F.slice(F.col("_words"), i, F.lit(width))))
     out = df.withColumn("_words", F.filter(F.split(F.lower(text), SPACE), lambda w: w != ""))
     out = out.withColumn("_hashes", F.when(F.size("_words") > 0, runs).otherwise(F.array().cast("array<bigint>")))
-    out = out.withColumn("_low", F.sort_array(F.array_distinct(F.filter("_hashes", lambda h: h < F.lit(top(scale))))))
-    few = F.slice(F.sort_array(F.array_distinct("_hashes")), 1, LEAST)
-    return out.withColumn(name, F.when(F.size("_low") >= LEAST, F.col("_low")).otherwise(few)).drop("_words", "_hashes", "_low")
+    return out.withColumn(name, F.sort_array(F.array_distinct(F.filter("_hashes", lambda h: h < F.lit(top(scale)))))).drop("_words", "_hashes")
 
 
 def top(scale: int) -> int:
@@ -32,36 +30,21 @@ def top(scale: int) -> int:
     return -(1 << 63) + (1 << 64) // scale
 
 
-def merge(a: Column, b: Column, scale: int = 16) -> Column:
-    """The sketch of two texts' shingles together: what is low in either, or else the smallest hashes of both."""
-    both = F.sort_array(F.array_union(a, b))
-    low = F.filter(both, lambda h: h < F.lit(top(scale)))
-    return F.when(F.size(low) >= LEAST, low).otherwise(F.slice(both, 1, LEAST))
+def merge(a: Column, b: Column) -> Column:
+    """The sketch of two texts' shingles together."""
+    return F.sort_array(F.array_union(a, b))
 
 
-def reach(a: Column, scale: int = 16) -> Column:
-    """The largest hash up to which a sketch is complete: all, where the text has fewer than LEAST shingles."""
-    return F.when(F.size(a) < LEAST, F.lit((1 << 63) - 1)).otherwise(F.greatest(F.element_at(a, -1), F.lit(top(scale) - 1)))
+def likeness(a: Column, b: Column) -> Column:
+    """Estimated Jaccard resemblance, 0 to 1; equal sketches are alike, two empty ones too. Its standard error is near
+    sqrt(J (1 - J) scale / n) for texts that have n shingles together."""
+    both = F.size(F.array_intersect(a, b))
+    return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).otherwise(both / (F.size(a) + F.size(b) - both))
 
 
-def _counts(a: Column, b: Column, scale: int) -> tuple[Column, Column, Column]:
-    """Hashes of either sketch and of both, as far as both are complete."""
-    end = F.least(reach(a, scale), reach(b, scale))
-    within = lambda x: F.size(F.filter(x, lambda h: h <= end))
-    return within(a), within(b), within(F.array_intersect(a, b))
-
-
-def likeness(a: Column, b: Column, scale: int = 16) -> Column:
-    """Estimated Jaccard resemblance, 0 to 1; two empty sketches are alike. Its standard error is near
-    sqrt(J (1 - J) scale / n) for texts that have n shingles together, and 0 where both have fewer than LEAST."""
-    x, y, both = _counts(a, b, scale)
-    return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).otherwise(F.coalesce(F.try_divide(both, x + y - both), F.lit(0.0)))
-
-
-def containment(a: Column, b: Column, scale: int = 16) -> Column:
-    """Estimated part of the first text's shingles that the second holds; 1 for an empty first text."""
-    x, _, both = _counts(a, b, scale)
-    return F.when(F.size(a) == 0, F.lit(1.0)).otherwise(F.coalesce(F.try_divide(both, x), F.lit(0.0)))
+def containment(a: Column, b: Column) -> Column:
+    """Estimated part of the first text's shingles that the second holds; 1 for an empty first sketch."""
+    return F.when(F.size(a) == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / F.size(a))
 
 
 def hex_sketch(sketch: Column) -> Column:
@@ -112,7 +95,7 @@ def with_next(docs: DataFrame, key: str, values: list[str], parts: int, text: st
     return out.where("_sentinel = 0").drop("_slot", "_sentinel", "_hash")
 
 
-def fingerprint_documents(docs: DataFrame, width: int = 5, scale: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fingerprint_documents(docs: DataFrame, width: int = 5, scale: int = SCALE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, contained_in_next.
 
     The edited text has its last floor(n_chars / 2) code points replaced by the first as many (or all) of the
@@ -133,6 +116,6 @@ def fingerprint_documents(docs: DataFrame, width: int = 5, scale: int = 16, id_c
     return d.select(
         F.col("id").alias(id_col), "n_chars", "edited_sha256",
         hex_sketch(F.col("sketch")).alias("fingerprint"), hex_sketch(F.col("edited_sketch")).alias("edited_fingerprint"),
-        likeness(F.col("sketch"), F.col("edited_sketch"), scale).alias("near_edited"), likeness(F.col("sketch"), F.col("next_sketch"), scale).alias("near_next"),
-        containment(F.col("sketch"), F.col("next_sketch"), scale).alias("contained_in_next"),
+        likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"), likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+        containment(F.col("sketch"), F.col("next_sketch")).alias("contained_in_next"),
     )

@@ -44,20 +44,15 @@ def buckets() -> Buckets:
     return Buckets()
 
 
-def passages(text: str, most: int | None = None) -> Iterator[Bag]:
+def passages(text: str) -> Iterator[Bag]:
     """The passages (48 words) of a whole text, up to SLICE at a time: shares of the printable bytes, word statistics
-    and hashed words. With `most`, longer texts give that many passages, evenly spread over the text. A text
-    without words is one passage of zeros."""
+    and hashed words. A text without words is one passage of zeros."""
     words = text.encode("utf-8", "replace").split()
     n = len(words)
     if not n:
         yield np.zeros((1, N_PLAIN), np.float32), np.zeros((1, N_HASH), np.uint8)
         return
-    count = -(-n // PASSAGE)
-    if most and count > most:
-        at = np.linspace(0, count - 1, most).astype(int)
-        words = [w for i in at for w in words[i * PASSAGE : (i + 1) * PASSAGE]]
-    for lo in range(0, len(words), SLICE * PASSAGE):
+    for lo in range(0, n, SLICE * PASSAGE):
         yield encode(words[lo : lo + SLICE * PASSAGE], n)
 
 
@@ -203,17 +198,17 @@ class AttentionMIL:
         return f["score"], np.array([int(np.argmax(f["att"][s : s + n])) for s, n in zip(start, size)]), size
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = 1500, max_passages: int = 48) -> AttentionMIL | None:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = 1500) -> AttentionMIL | None:
     """Train on at most `per_class` labelled training rows of each class, chosen by a hash of the id alone.
 
-    No row is left out for its length: one of more than `max_passages` passages is learnt from that many, evenly
-    spread over its text, so that the driver gets at most 2 * `per_class` * `max_passages` rows of 932 bytes. An id
-    is one row of the sample; null texts are empty; other columns are not read. None if a class has no row.
+    Every text of the sample is learnt from whole, all its passages in one bag: the driver gets 932 bytes for every 48
+    words of these 2 * `per_class` texts. An id is one row of the sample; null texts are empty; other columns are not
+    read. None if a class has no row.
     """
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            bags = [[np.concatenate(x) for x in zip(*passages(t, max_passages))] for t in batch["text"]]
+            bags = [[np.concatenate(x) for x in zip(*passages(t))] for t in batch["text"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "y": batch["y"], "plain": [b[0].astype("<f4").tobytes() for b in bags], "hashed": [b[1].tobytes() for b in bags]})
 
     kind = docs.schema["doc_id"].dataType.simpleString()

@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import Scratch, held_out, labelled_sample
+from .common import Scratch, held_out, labelled_sample, unpacked_row, whole_row
 from .words import WordTable
 
 BATCH = 256  # texts that are cut and searched at once
@@ -330,7 +330,8 @@ def unpacked(terms: bytes) -> np.ndarray:
 
 
 def vectorise(docs: DataFrame, codes, carry: tuple[str, ...]) -> DataFrame:
-    """The columns `carry`, and the known terms of every whole text (steps between them) with their occurrences."""
+    """(row, terms, n): the columns `carry` as one struct, and the known terms of every whole text (steps between them)
+    with their occurrences."""
 
     @F.arrow_udf("struct<t:binary,n:binary>")
     def cut(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -343,11 +344,11 @@ def vectorise(docs: DataFrame, codes, carry: tuple[str, ...]) -> DataFrame:
                     n.append(packed(c))
             yield pa.StructArray.from_arrays([pa.array(terms, pa.binary()), pa.array(n, pa.binary())], ["t", "n"])
 
-    return docs.select(*carry, cut("text").alias("_v")).select(*carry, F.col("_v.t").alias("_terms"), F.col("_v.n").alias("_n"))
+    return docs.select(whole_row(docs, carry).alias("row"), cut("text").alias("v")).select("row", F.col("v.t").alias("terms"), F.col("v.n").alias("n"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = 4000, k: int = 15, carry: tuple[str, ...] = ("doc_id",)) -> tuple[ToxicityModel, DataFrame]:
-    """A model, and the columns `carry` of all rows with their sparse vectors, a written table that it scores.
+    """A model, and all rows (their columns `carry` as the struct `row`) with their sparse vectors, a written table that it scores.
 
     Learns from a sample of at most `per_class` labelled training rows of each class (chosen by a hash of the id).
     Every term of the sample is indexed. Document frequencies are counted over all documents. A term's weight is
@@ -384,13 +385,13 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
         df, n = np.zeros(n_terms, np.int64), 0
         for batch in batches:
             n += len(batch)
-            for terms in batch["_terms"]:
+            for terms in batch["terms"]:
                 df[unpacked(terms.as_buffer())] += 1
         held = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, held].astype(np.int32)), pa.array(np.r_[n, df[held]])], ["t", "n"])
 
     n_terms = len(codes)
-    counts = vectors.select("_terms").mapInArrow(frequency, "t int, n long").groupBy("t").agg(F.sum("n").alias("n")).toArrow()
+    counts = vectors.select("terms").mapInArrow(frequency, "t int, n long").groupBy("t").agg(F.sum("n").alias("n")).toArrow()
     df = np.zeros(len(codes) + 1)  # the last: all documents
     df[counts["t"].to_numpy()] = counts["n"].to_numpy()
     del counts
@@ -422,14 +423,14 @@ def score_toxicity(vectors: DataFrame, model: ToxicityModel, threshold: float =
     are scored each; an empty table gives none; other columns are not read. The model has a bounded size and is broadcast.
     """
     shared = vectors.sparkSession.sparkContext.broadcast(model)
-    kind = vectors.schema["doc_id"].dataType.simpleString()
-    batch_type = to_arrow_type(vectors.schema["doc_id"].dataType)
+    id_type = vectors.schema["row"].dataType["doc_id"].dataType
+    kind, batch_type = id_type.simpleString(), to_arrow_type(id_type)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         keys = pa.array(model.keys, batch_type)
         for batch in batches:
-            score, cosine, place = model.score_packed([x.as_buffer() for x in batch["_terms"]], [x.as_buffer() for x in batch["_n"]])
+            score, cosine, place = model.score_packed([x.as_buffer() for x in batch["terms"]], [x.as_buffer() for x in batch["n"]])
             cosine, place = cosine[:, :3], place[:, :3]
             found = place >= 0
             p = place[found]
@@ -439,7 +440,7 @@ def score_toxicity(vectors: DataFrame, model: ToxicityModel, threshold: float =
             evidence = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(near, ["doc_id", "cosine", "label"]))
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(score), evidence], ["doc_id", "score", "evidence"])
 
-    out = vectors.select("doc_id", "_terms", "_n").mapInArrow(run, f"doc_id {kind}, score double, evidence array<struct<doc_id:{kind},cosine:double,label:int>>")
+    out = vectors.select("row.doc_id", "terms", "n").mapInArrow(run, f"doc_id {kind}, score double, evidence array<struct<doc_id:{kind},cosine:double,label:int>>")
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "evidence")
 
 
@@ -454,4 +455,4 @@ def keep_clean(vectors: DataFrame, model: ToxicityModel, threshold: float = 0.7)
     def score(terms: pa.Array, n: pa.Array) -> pa.Array:
         return pa.array(shared.value.score_packed([x.as_buffer() for x in terms], [x.as_buffer() for x in n])[0])
 
-    return vectors.where(score("_terms", "_n") < threshold).drop("_terms", "_n")
+    return vectors.where(score("terms", "n") < threshold).select(*unpacked_row(vectors, "row"))

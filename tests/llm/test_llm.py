@@ -99,13 +99,40 @@ def test_quality_of_long_texts(spark, monkeypatch):
     r = random.Random(2)
     texts = [" ".join(r.choice(["good", "fine"] if i % 2 else ["junk", "spam"]) + str(r.randint(0, 9)) for _ in range(3000 if i % 2 else 20)) for i in range(60)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    model = quality.fit(docs, spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int"), max_passages=5)
+    model = quality.fit(docs, spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int"))
     whole = model.score_texts(texts)
     monkeypatch.setattr(quality, "SLICE", 7)
     assert all(np.allclose(a, b) for a, b in zip(whole, model.score_texts(texts)))
     assert list(whole[0] > 0.5) == [i % 2 == 1 for i in range(60)] and whole[2][1] == 63
     parts = [quality.features(b) for b in quality.passages(texts[1])]
-    assert sum(map(len, parts)) == 63 and sum(len(b[0]) for b in quality.passages(texts[1], 5)) == 5
+    assert sum(map(len, parts)) == 63
+
+
+def test_quality_features_equal_plain_loops():
+    """Every feature of a passage, from the words alone."""
+    r = random.Random(8)
+    text = " ".join(r.choice(["Das", "HAUS,", "a", "(word)", "naïve", "x1", "...", "one", "one"]) for _ in range(130))
+    words = text.encode().split()
+    plain, hashed = (np.concatenate(x) for x in zip(*quality.passages(text)))
+    assert len(plain) == 3
+    for k in range(3):
+        own = words[48 * k : 48 * k + 48]
+        share = np.zeros(97)
+        for w in own:
+            for b in w + b" ":
+                share[96 if b > 126 else max(b, 31) - 31] += 1
+        share[0] = 0
+        assert np.allclose(plain[k, :97], np.sqrt(share / share.sum()), atol=1e-6)
+        size = [len(w) for w in own]
+        follows = sum(words[i] == words[i + 1] for i in range(48 * k, min(48 * k + 48, len(words) - 1)))
+        want = [sum(w.isupper() for w in own) / len(own), follows / len(own), np.mean(size) / 10, np.std(size) / 10, len(set(own)) / len(own), size.count(1) / len(own), np.log1p(len(own)) / 4, min(np.log1p(130) / 8, 2)]
+        assert np.allclose(plain[k, 97:], want, atol=1e-4)
+        count = np.zeros(512, int)
+        for w in own:
+            w = w.strip(quality.EDGE).lower()
+            count[xxhash.xxh32_intdigest(w, 1) % 512] += 1
+            count[xxhash.xxh32_intdigest(w[:4], 2) % 512] += 1
+        assert (hashed[k] == count).all()
 
 
 def test_toxicity_held_out(docs, labels):
@@ -295,15 +322,15 @@ def test_fingerprints(spark, docs, awkward):
             a, b = _shingles(text, 5), _shingles(edited, 5)
             if len(a) > 100:
                 errors.append(r["near_edited"] - len(a & b) / len(a | b))
-        assert not errors or abs(np.mean(errors)) < 0.05
+        assert not errors or abs(np.mean(errors)) < 0.03
     same = {r["fingerprint"] for r in fingerprint.fingerprint_documents(awkward).where("doc_id IN (5, 6)").collect()}
-    assert len(same) == 1 and same != {""}
+    assert len(same) == 1
     assert fingerprint.fingerprint_documents(awkward.limit(0)).count() == 0
     assert fingerprint.fingerprint_documents(awkward.where("doc_id = 3")).first()["near_next"] == 1
 
 
-def _sketch(text, width=5, scale=16):
-    """All hashes below the threshold, or the eight smallest; and how far they are complete."""
+def _sketch(text, width=5, scale=fingerprint.SCALE):
+    """All hashes below the threshold."""
     words = [w for w in re.split(r"[\x20\x09-\x0D]+", text.lower()) if w]
     every = set()
     for i in range(max(1, len(words) - width + 1) if words else 0):
@@ -311,22 +338,19 @@ def _sketch(text, width=5, scale=16):
         for w in words[i : i + width]:
             h = xxhash.xxh64_intdigest(w.encode(), h)
         every.add(h - (1 << 64) if h >> 63 else h)
-    low = sorted(h for h in every if h < fingerprint.top(scale))
-    kept = low if len(low) >= 8 else sorted(every)[:8]
-    return kept, (1 << 63) - 1 if len(kept) < 8 else max(kept[-1], fingerprint.top(scale) - 1)
+    return sorted(h for h in every if h < fingerprint.top(scale))
 
 
 def _alike(a, b):
-    end = min(a[1], b[1])
-    x, y = ({h for h in s[0] if h <= end} for s in (a, b))
-    return 1.0 if not a[0] and not b[0] else len(x & y) / len(x | y) if x | y else 0.0
+    x, y = set(a), set(b)
+    return len(x & y) / len(x | y) if x | y else 1.0
 
 
 def test_fingerprints_equal_brute_force(spark, docs, awkward):
     rows = docs.select("doc_id", "text").limit(200).union(awkward.where("doc_id is not null and doc_id <> 6").select(F.col("doc_id") + 10**7, "text"))
     data = sorted(((r[0], r[1] or "") for r in rows.collect()), reverse=True)
     got = sorted(fingerprint.fingerprint_documents(rows).collect(), key=lambda r: -r["doc_id"])
-    hexed = lambda s: "".join(f"{h % (1 << 64):016x}" for h in s[0])
+    hexed = lambda s: "".join(f"{h % (1 << 64):016x}" for h in s)
     for k, (r, (key, text)) in enumerate(zip(got, data)):
         nxt, half = data[(k + 1) % len(data)][1], len(text) // 2
         own, edited, other = _sketch(text), _sketch(text[: len(text) - half] + nxt[:half]), _sketch(nxt)
@@ -575,6 +599,36 @@ def test_pipeline_stages_of_awkward_rows(spark, docs, awkward):
         assert stage(spark, docs.limit(0), SF).count() == 0
 
 
+def test_pipeline_stages_of_clashing_names(spark, docs):
+    """Columns that are called like an operator's own, one with a dot in its name, and a map column pass every stage."""
+    odd = docs.limit(120)
+    for c in ("_n", "_terms", "_v", "_key", "_rows", "row", "terms", "n", "v", "key", "rows", "rep", "cid", "id", "y", "score", "g", "a.b"):
+        odd = odd.withColumn(c, F.lit(7))
+    odd = odd.withColumn("m", F.create_map(F.lit("k"), F.col("doc_id"))).unionByName(docs.limit(3).drop("n"), allowMissingColumns=True)
+    odd = odd.unionByName(odd.where("doc_id < 20"))  # repeated rows with maps
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, odd, SF).collect()
+        assert out and (name == "packing" or list(out[0].asDict()) == odd.columns)
+
+
+def test_scratch_tables_of_other_threads_stay(spark):
+    """`temporary` removes what its own thread has made."""
+    import threading
+
+    from cytoframe.llm.common import Scratch, temporary
+
+    made = []
+    with temporary():
+        t = threading.Thread(target=lambda: made.append(Scratch(spark, "other").write(spark.range(3), "t")))
+        t.start()
+        t.join()
+        own = Scratch(spark, "own").write(spark.range(4), "t")
+        assert own.count() == 4
+    assert made[0].count() == 3
+    with pytest.raises(Exception):
+        spark.read.parquet(own.inputFiles()[0]).count()
+
+
 def test_pipeline_stages(spark, docs, labels):
     """Each stage on its predecessor's rows, against the operators' own scores and brute force."""
     good = corpus_pipeline.quality_classifier(spark, docs, SF)
