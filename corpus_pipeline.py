@@ -6,7 +6,7 @@ import public_tokenizers as public
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cytoframe.llm import minhash_dedup, packing, quality, toxicity
-from cytoframe.llm.common import Scratch, table, temporary
+from cytoframe.llm.common import Scratch, table, temporary, unpacked_row, whole_row
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -28,19 +28,20 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row, of the smallest id, of each group of near copies (five-word shingles, 0.8 or more).
 
-    Rows of one id are one document, of which the smallest row stays; rows without an id are known by their text, and
-    stay where no document with an id is like them. Texts without words are like nothing but rows of their id.
+    Rows of one id are one document, of which the row of the smallest text stays (of equal texts that with the smallest
+    JSON); rows without an id are known by their text, and stay where no document with an id is like them. Texts
+    without words are like nothing but rows of their id. Columns may have any names and types.
     """
     by_text = F.xxhash64("text").bitwiseAND((1 << 62) - 1).bitwiseOR(1 << 62)
-    keyed = docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("long"), by_text))
-    found = minhash_dedup.near_duplicates(keyed.select("_key", "text"), width=5, percent=80, id_col="_key")
-    kept = Scratch(spark, "kept").write(found.where("kept").groupBy("_key").agg(F.count("*").alias("_rows")), "keys")
-    alone = keyed.join(kept.where("_rows = 1"), "_key", "left_semi").select(*docs.columns)
-    again = kept.where("_rows > 1")
-    if not again.limit(1).count():
-        return alone
-    first = keyed.join(again, "_key", "left_semi").groupBy("_key").agg(F.min(F.struct(*docs.columns)).alias("r"))
-    return alone.unionByName(first.select("r.*"))
+    keyed = docs.select(whole_row(docs).alias("row"), F.coalesce(docs["doc_id"].cast("long"), by_text).alias("key"), docs["text"].alias("text"))
+    found = minhash_dedup.near_duplicates(keyed.select("key", "text"), width=5, percent=80, id_col="key")
+    kept = Scratch(spark, "kept").write(found.where("kept").groupBy("key").agg(F.count("*").alias("rows")), "keys")
+    alone = keyed.join(kept.where("rows = 1"), "key", "left_semi").select("row")
+    again = kept.where("rows > 1")
+    if again.limit(1).count():
+        first = keyed.join(again, "key", "left_semi").groupBy("key").agg(F.min_by("row", F.struct("text", F.to_json("row"))).alias("row"))
+        alone = alone.unionByName(first.select("row"))
+    return alone.select(*unpacked_row(alone, "row"))
 
 
 def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
