@@ -53,11 +53,11 @@ def passages(text: str) -> Iterator[Bag]:
         yield np.zeros((1, N_PLAIN), np.float32), np.zeros((1, N_HASH), np.uint8)
         return
     for lo in range(0, n, SLICE * PASSAGE):
-        yield encode(words[lo : lo + SLICE * PASSAGE], n)
+        yield encode(words[lo : lo + SLICE * PASSAGE], n, words[lo + SLICE * PASSAGE] if lo + SLICE * PASSAGE < n else None)
 
 
-def encode(words: list[bytes], n_words: int) -> Bag:
-    """Features of successive passages of words that stand in a text of `n_words`."""
+def encode(words: list[bytes], n_words: int, following: bytes | None = None) -> Bag:
+    """Features of successive passages of words that stand in a text of `n_words`, before the word `following`."""
     n = len(words)
     count = -(-n // PASSAGE)
     owner = np.arange(n) // PASSAGE
@@ -75,7 +75,7 @@ def encode(words: list[bytes], n_words: int) -> Bag:
     add = lambda x: np.add.reduceat(x.astype(np.float32), lo) / size
     more = out[:, N_BYTES:]
     more[:, 0] = add(upper)
-    more[:, 1] = add(np.r_[same, 0])
+    more[:, 1] = add(np.r_[same, words[-1] == following])
     more[:, 2] = add(length) / 10
     more[:, 3] = np.sqrt(np.maximum(add(length**2) - add(length) ** 2, 0)) / 10
     more[:, 4] = [len(set(words[i : i + PASSAGE])) / min(PASSAGE, n - i) for i in lo]
