@@ -12,17 +12,27 @@ def lowess(x: np.ndarray, y: np.ndarray, frac: float, robust: int = 3) -> np.nda
     n = len(x)
     k = min(max(int(frac * n + 1e-10), 2), n)
     fit, weight = y.astype(float).copy(), np.ones(n)
+    # the k nearest points are a run of x; points that are no nearer than its end have no weight
+    first = np.zeros(n, int)
+    for i in range(n):
+        lo = first[i - 1] if i else 0
+        while lo + k < n and x[i] - x[lo] > x[lo + k] - x[i]:
+            lo += 1
+        first[i] = lo
+    reach = np.maximum(x - x[first], x[first + k - 1] - x)
+    low, high = np.searchsorted(x, x - reach, "left"), np.searchsorted(x, x + reach, "right")
     for step in range(robust + 1):
         for i in range(n):
-            d = np.abs(x - x[i])
-            h = np.partition(d, k - 1)[k - 1]
-            w = weight * (np.clip(1 - (d / h) ** 3, 0, None) ** 3 if h > 0 else (d == 0))
+            own = slice(low[i], high[i])
+            xs, ys, h = x[own], y[own], reach[i]
+            d = np.abs(xs - x[i])
+            w = weight[own] * (np.clip(1 - (d / h) ** 3, 0, None) ** 3 if h > 0 else (d == 0))
             s = w.sum()
             if s <= 0:
                 continue
-            mx, my = (w * x).sum() / s, (w * y).sum() / s
-            var = (w * (x - mx) ** 2).sum()
-            fit[i] = my + ((w * (x - mx) * (y - my)).sum() / var * (x[i] - mx) if var > 1e-12 else 0)
+            mx, my = (w * xs).sum() / s, (w * ys).sum() / s
+            var = (w * (xs - mx) ** 2).sum()
+            fit[i] = my + ((w * (xs - mx) * (ys - my)).sum() / var * (x[i] - mx) if var > 1e-12 else 0)
         if step == robust:
             break
         r = np.abs(y - fit)

@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..functions import names
 from .ranks import placed
 
+DEPTHS = (50_000, 100_000, 500_000, 1_000_000, 1_500_000, 2_000_000, 3_000_000, 4_000_000)
+
 
 def barcode_counts(fastq: DataFrame) -> DataFrame:
     return fastq.groupBy(names.barcode(F.col("header")).alias("barcode")).agg(F.count("*").alias("reads"))
@@ -152,9 +154,25 @@ def demultiplex(fastq: DataFrame, sheet: DataFrame, mismatches: int = 1) -> Data
     return rows.join(best, "_b", "left").drop("_b")
 
 
-def sample_reads(fastq: DataFrame, n: int, seed: int = 100) -> DataFrame:
-    """n records chosen by a seeded hash of their id, so that mates of one id are chosen together."""
-    return fastq.withColumn("_id", names.read_id(F.col("header"))).orderBy(F.xxhash64("_id", F.lit(seed)), "_id").limit(n).drop("_id")
+def sample_depths(fastq: DataFrame, depths: tuple[int, ...] = DEPTHS, seed: int = 100) -> DataFrame:
+    """The records of nested samples, each with `depth`, the smallest of `depths` whose sample holds it.
+
+    The sample of a depth holds the records with that many smallest md5 of seed:id (equal ones in the order of rec_no), so
+    mates of one id in two files are chosen together, and a smaller sample is part of a larger one. Sizes are
+    exact: records are counted by the first 16 bits of the hash, which leaves the few prefixes in which a depth lies to
+    be ordered, each by itself. All depths come from one count and one pass; with fewer records than a depth it holds all.
+    """
+    hashed = fastq.withColumn("_h", F.md5(F.concat(F.lit(f"{seed}:"), names.read_id(F.col("header"))).cast("binary")))
+    hashed = hashed.withColumn("_p", F.conv(F.substr("_h", F.lit(1), F.lit(4)), 16, 10).cast("int"))
+    depth = lambda rank: F.least(*[F.when(rank <= d, F.lit(d)) for d in sorted(depths)], F.lit(None))
+    upto = F.sum("_n").over(Window.orderBy("_p"))  # over 65,536 rows at most
+    counts = hashed.groupBy("_p").agg(F.count("*").alias("_n")).withColumn("_upto", upto).withColumn("_before", F.col("_upto") - F.col("_n"))
+    counts = counts.where(F.col("_before") < max(depths))
+    low, high = depth(F.col("_before") + 1), depth(F.col("_upto"))
+    rows = hashed.join(F.broadcast(counts.select("_p", "_before", low.alias("depth"), low.eqNullSafe(high).alias("_whole"))), "_p")
+    rank = F.col("_before") + F.row_number().over(Window.partitionBy("_p").orderBy("_h", "rec_no"))
+    cut = rows.where("NOT _whole").withColumn("depth", depth(rank)).where("depth IS NOT NULL")
+    return rows.where("_whole").unionByName(cut).select(*fastq.columns, "depth")
 
 
 def same_names(files: DataFrame, first: str, second: str) -> DataFrame:

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import names, smoothing
-from ..operators import fastq, intervals, methylation as me, motif, reads, sites, variants
+from ..operators import fastq, intervals, methylation as me, motif, read_quality, reads, sites, variants
 from ..sources import sequences, tables
 from ..sources.folders import shared_folder
 from . import region_pipeline as flagship
@@ -891,16 +891,59 @@ def downsample_labels(spark, sf):
     return fastq.barcode_counts(frame(spark, sf, "fastq")).select("barcode", names.million_label(F.col("reads")).alias("label"))
 
 
-@query()
+_DEPTHS = tuple(d // 1000 for d in fastq.DEPTHS)
+_DEPTH = " ".join(f"WHEN n <= {d} THEN {d}" for d in _DEPTHS)
+
+
+@query(f"{cte('fastq')}, r AS (SELECT *, row_number() OVER (ORDER BY md5('100:' || {_ID}), rec_no) AS n FROM fastq) SELECT rec_no, header, seq, qual, CAST(CASE {_DEPTH} END AS INTEGER) AS depth FROM r WHERE n <= {max(_DEPTHS)}")
 def sampled_reads(spark, sf):
-    """A thousand reads by a seeded hash, which SQL does not have; compared with a recount in the tests."""
-    return fastq.sample_reads(frame(spark, sf, "fastq"), 1000).select("rec_no", "header", "seq", "qual")
+    """Eight nested samples; the depth of a read is the smallest that holds it."""
+    return fastq.sample_depths(frame(spark, sf, "fastq"), _DEPTHS).select("rec_no", "header", "seq", "qual", "depth")
+
+
+FRACTION = 0.4
+
 
+def _lowess_sql() -> str:
+    """The local fit and its three robust steps, a chain of tables for each."""
+    sql = f"""WITH p AS ({ORACLE_SQL['cell_bin_profile']}),
+v AS (SELECT "group" AS g, bin AS x, methylation_percentage AS y FROM p WHERE methylation_percentage IS NOT NULL),
+k AS (SELECT g, least(greatest(CAST(floor({FRACTION} * count(*) + 1e-10) AS BIGINT), 2), count(*)) AS k FROM v GROUP BY g),
+d AS (SELECT a.g, a.x AS xi, a.y AS yi, b.x AS xj, b.y AS yj, CAST(abs(a.x - b.x) AS DOUBLE) AS d FROM v a JOIN v b USING (g)),
+h AS (SELECT g, xi, d AS h FROM (SELECT d.*, k, row_number() OVER (PARTITION BY g, xi ORDER BY d) AS n FROM d JOIN k USING (g)) WHERE n = k),
+t AS (SELECT d.*, CASE WHEN h > 0 THEN pow(greatest(1 - pow(d / h, 3), 0), 3) WHEN d = 0 THEN 1 ELSE 0 END AS tri FROM d JOIN h USING (g, xi)),
+r0 AS (SELECT g, x, CAST(1 AS DOUBLE) AS w FROM v)"""
+    for s in range(4):
+        sql += f""",
+w{s} AS (SELECT t.*, tri * r.w AS u FROM t JOIN r{s} r ON r.g = t.g AND r.x = t.xj),
+m{s} AS (SELECT g, xi, sum(u * xj) / sum(u) AS mx, sum(u * yj) / sum(u) AS my FROM w{s} GROUP BY ALL),
+f{s} AS (SELECT g, xi, yi, my + CASE WHEN sum(u * pow(xj - mx, 2)) > 1e-12 THEN sum(u * (xj - mx) * (yj - my)) / sum(u * pow(xj - mx, 2)) * (xi - mx) ELSE 0 END AS fit FROM w{s} JOIN m{s} USING (g, xi) GROUP BY g, xi, yi, mx, my),
+q{s} AS (SELECT g, median(abs(yi - fit)) AS m FROM f{s} GROUP BY g),
+r{s + 1} AS (SELECT g, xi AS x, CASE WHEN m > 0 THEN pow(greatest(1 - pow((yi - fit) / (6 * m), 2), 0), 2) ELSE 1 END AS w FROM f{s} JOIN q{s} USING (g))"""
+    return sql + ' SELECT g AS "group", xi AS bin, yi AS methylation_percentage, round(fit, 6) AS smoothed FROM f3'
 
-@query()
+
+@query(_lowess_sql())
 def smoothed_profile(spark, sf):
-    """Locally weighted regression, which SQL does not have; compared with plain loops in the tests."""
-    return smoothing.smooth(cell_bin_profile(spark, sf), "group", "bin", "methylation_percentage", 0.4)
+    """Locally weighted regression with robust steps; smoothed values rounded to six places."""
+    return smoothing.smooth(cell_bin_profile(spark, sf), "group", "bin", "methylation_percentage", FRACTION).withColumn("smoothed", F.round("smoothed", 6))
+
+
+@query(f"""{cte('scored_reads')}, e AS (SELECT file, unnest(range(1, length(seq) + 1)) AS position, seq, qual FROM scored_reads),
+b AS (SELECT file, position, substr(seq, position, 1) AS base, ascii(substr(qual, position, 1)) - 33 AS q FROM e)
+SELECT file, position, count(*) AS reads, avg(q) AS mean, CAST(quantile_disc(q, 0.25) AS BIGINT) AS q1, CAST(quantile_disc(q, 0.5) AS BIGINT) AS median, CAST(quantile_disc(q, 0.75) AS BIGINT) AS q3,
+ {', '.join(f"CAST(count(*) FILTER (WHERE base = '{x}') AS DOUBLE) / count(*) AS {x.lower()}" for x in 'ACGTN')} FROM b GROUP BY file, position""")
+def read_position_quality(spark, sf):
+    return read_quality.position_quality(frame(spark, sf, "scored_reads"))
+
+
+@query(f"""{cte('alignments')}, a AS (SELECT ref_id, start_pos, k, unnest(range(len(quals))) AS i, unnest(quals) AS q FROM alignments WHERE flag & 4 = 0),
+b AS (SELECT ref_id, start_pos + CASE k WHEN 0 THEN i WHEN 1 THEN i - 4 ELSE CASE WHEN i < 10 THEN i WHEN i < 17 THEN i - 2 ELSE i + 1 END END AS pos FROM a WHERE q >= 30 AND CASE k WHEN 1 THEN i >= 4 WHEN 2 THEN i NOT IN (10, 11) ELSE true END),
+d AS (SELECT ref_id, pos, count(*) AS depth FROM b GROUP BY ALL HAVING count(*) >= 2),
+s AS (SELECT *, pos - row_number() OVER (PARTITION BY ref_id, depth ORDER BY pos) AS run FROM d)
+SELECT ref_id, min(pos) AS start, max(pos) + 1 AS "end", depth FROM s GROUP BY ref_id, depth, run""")
+def base_depth(spark, sf):
+    return read_quality.base_depth(frame(spark, sf, "alignments"))
 
 
 @query(f"{cte('regions')} SELECT chrom, start_pos, end_pos, bin, CASE WHEN rid % 4 <> 0 THEN gene_name END AS gene_name FROM regions")

@@ -43,6 +43,9 @@ _PLAIN = {
     "fastq": """SELECT event_id AS rec_no, concat('@INST:1:FC:1:', CAST(user_id AS STRING), ':', CAST(event_id AS STRING), ' 1:N:0:',
  translate(substr(event_type, 1, 4), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC'), '+', 'GTAG') AS header,
  translate(event_type, 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC') AS seq, '+' AS plus, repeat('I', length(event_type)) AS qual FROM events""",
+    # reads of three files whose qualities differ from read to read
+    "scored_reads": """SELECT concat('f', CAST(event_id % 3 AS STRING)) AS file, event_id AS rec_no, translate(event_type, 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGNACGTACGTACGTAC') AS seq,
+ substr(translate(md5(CAST(event_id AS STRING)), '0123456789abcdef', '!&+05:?BDFGHIJKL'), 1, length(event_type)) AS qual FROM events""",
     "variants": """SELECT concat('chr', CAST(p_size % 22 + 1 AS STRING)) AS chrom, p_partkey * 7 + 1 AS pos, concat('rs', CAST(p_partkey AS STRING)) AS id,
  CASE p_partkey % 4 WHEN 0 THEN 'C' WHEN 1 THEN 'G' WHEN 2 THEN 'C' ELSE 'ATG' END AS ref,
  CASE p_size % 3 WHEN 0 THEN 'T' WHEN 1 THEN 'A' ELSE 'G' END AS alt FROM part""",
@@ -70,7 +73,7 @@ _PLAIN = {
     "files": """SELECT DISTINCT concat('d', CAST(user_id % 2 AS STRING)) AS dir, concat('Smp', CAST(user_id % 37 AS STRING), '-x_S', CAST(user_id % 37 + 1 AS STRING), '_L00', CAST(event_id % 3 + 1 AS STRING), '_',
  CASE event_id % 5 WHEN 0 THEN 'R1' WHEN 1 THEN 'R2' WHEN 2 THEN 'I1' WHEN 3 THEN 'I2' ELSE 'R1' END, '_001.fastq.gz') AS name FROM events""",
 }
-_TABLES = {"allc": "lineitem", "reads": "lineitem", "beta": "lineitem", "packed": "lineitem", "regions": "orders", "mixed": "orders", "cpg_bed": "orders", "cells": "part", "variants": "part", "fastq": "events", "files": "events", "fasta": "documents", "alignments": "lineitem", "listing": "events", "chains": "orders", "spans": "part", "genotypes": "part"}
+_TABLES = {"allc": "lineitem", "reads": "lineitem", "beta": "lineitem", "packed": "lineitem", "regions": "orders", "mixed": "orders", "cpg_bed": "orders", "cells": "part", "variants": "part", "fastq": "events", "scored_reads": "events", "files": "events", "fasta": "documents", "alignments": "lineitem", "listing": "events", "chains": "orders", "spans": "part", "genotypes": "part"}
 
 
 def _number() -> str:

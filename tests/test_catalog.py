@@ -7,14 +7,14 @@ from cytoframe.plans import catalog
 
 SF = "/root/testdata/sf0.01"
 TABLES = "region nation customer supplier part orders lineitem events documents".split()
-#: Queries that SQL cannot express; test_operators compares them with plain recounts.
-NO_SQL = {"sampled_reads", "smoothed_profile"}
+#: Queries that SQL cannot express.
+NO_SQL: set[str] = set()
 #: Result columns of one value: by the format (flag, plus, strand and context of converted files), by the sheet's
 #: defaults, for want of data, or as these tables have it.
 CONSTANT = {
     "allc_files": {"flag"}, "bed_to_allc_lenient": {"flag"}, "bed_to_allc_strict": {"flag"}, "beta_to_allc": {"context", "flag", "strand"}, "overlap_semi_filter": {"flag"},
     "fastq_concatenated_records": {"plus"}, "fastq_files_by_barcode": {"plus"}, "fastq_four_way_records": {"plus"}, "tss_jobs": {"bed_path", "range_end", "strand_col"},
-    "tss_profile_empty": {"methylation_percentage", "sites_with_data", "total_coverage", "total_methylated"}, "vcf_files": {"sample"}, "pipeline_region_tables": {"context"},
+    "tss_profile_empty": {"methylation_percentage", "sites_with_data", "total_coverage", "total_methylated"}, "pipeline_region_tables": {"context"},
     "vcf_in_cpg": {"ref"}, "downsample_labels": {"label"}, "fastq_match_counts": {"matched_reads"},
 }
 

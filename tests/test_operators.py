@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from cytoframe.functions import names
 from cytoframe.functions.smoothing import lowess, smooth
-from cytoframe.operators import fastq, intervals, methylation, motif, ranks, reads, sites, variants
+from cytoframe.operators import fastq, intervals, methylation, motif, ranks, read_quality, reads, sites, variants
 from cytoframe.plans import region_pipeline
 from cytoframe.plans.config import PipelineConfig
 from cytoframe.sources import chain, sequences, tables
@@ -216,9 +216,47 @@ def test_synchronised_files_hold_the_same_reads(spark):
 
 
 def test_sampled_reads_keep_mates_together(spark):
-    f = spark.createDataFrame([(f"@r{i}/{m}",) for i in range(50) for m in (1, 2)], "header string")
-    one, two = (sorted(r[0][:-2] for r in fastq.sample_reads(f.where(f"header LIKE '%/{m}'"), 10).collect()) for m in (1, 2))
-    assert one == two and len(one) == 10
+    """Nested samples of exact sizes, the same for both mates, in however many prefixes the depths lie."""
+    f = spark.createDataFrame([(i, f"@r{i}/{m}") for i in range(500) for m in (1, 2)], "rec_no long, header string")
+    one, two = ({r["header"][:-2]: r["depth"] for r in fastq.sample_depths(f.where(f"header LIKE '%/{m}'"), (10, 30, 499)).collect()} for m in (1, 2))
+    assert one == two and [sum(d <= n for d in one.values()) for n in (10, 30, 499)] == [10, 30, 499]
+    same = f.withColumn("header", F.lit("@one"))  # all records of one id
+    assert sorted(r["rec_no"] for r in fastq.sample_depths(same.where("rec_no < 100").dropDuplicates(), (5, 8)).where("depth = 5").collect()) == [0, 1, 2, 3, 4]
+    assert fastq.sample_depths(f, (5000,)).count() == 1000 and fastq.sample_depths(f.where("false"), (5,)).count() == 0
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 60), st.text("MIDSN=X", min_size=0, max_size=5), st.integers(0, 40)), max_size=8), st.sampled_from([1, 2]))
+def test_depth_equals_a_count_of_bases(spark, data, least):
+    """Any cigar, any bin width; a read's last qualities may be missing."""
+    r, made, depth = random.Random(1), [], {}
+    for start, ops, lost in data:
+        parts = [(r.randint(1, 9), op) for op in ops]
+        stored = sum(n for n, op in parts if op in "MIS=X")
+        quals = [r.randint(20, 40) for _ in range(max(0, stored - lost))]
+        made.append((1, 0, start, "".join(f"{n}{op}" for n, op in parts), quals))
+        at, q = start, 0
+        for n, op in parts:
+            if op in "M=X":
+                for i in range(n):
+                    if q + i < len(quals) and quals[q + i] >= 30:
+                        depth[at + i] = depth.get(at + i, 0) + 1
+            at += n if op in "MDN=X" else 0
+            q += n if op in "MIS=X" else 0
+    made += [(1, 4, 5, "9M", [40] * 9), (1, 0, None, "9M", [40] * 9), (1, 0, 5, None, None), (1, 0, 5, "9M", None)]
+    df = spark.createDataFrame(made, "ref_id int, flag int, start_pos long, cigar string, quals array<int>")
+    for width in (4, 16384):
+        got = read_quality.base_depth(df, 30, least, width).collect()
+        assert {p: x["depth"] for x in got for p in range(x["start"], x["end"])} == {p: n for p, n in depth.items() if n >= least}
+
+
+def test_position_quality_of_odd_reads(spark):
+    df = spark.createDataFrame([("a", "ACgt", "I!5"), ("a", None, None), ("a", "", ""), ("b", None, "IJ"), (None, "A", "I"), ("a", "N-", "II")], "file string, seq string, qual string")
+    got = {(x["file"], x["position"]): x for x in read_quality.position_quality(df).collect()}
+    assert set(got) == {("a", 1), ("a", 2), ("a", 3), ("a", 4), ("b", 1), ("b", 2)}
+    assert got["a", 1]["mean"] == 40 and got["a", 1]["a"] == 0.5 and got["a", 1]["n"] == 0.5 and got["a", 2]["q1"] == 0 and got["a", 2]["q3"] == 40
+    assert got["a", 4]["mean"] is None and got["a", 4]["t"] == 1 and got["b", 2]["reads"] == 1 and got["b", 2]["a"] is None
+    assert read_quality.position_quality(df.where("false")).count() == 0
 
 
 def test_smoothing(spark):
