@@ -88,6 +88,18 @@ def join_points(
     return placed.join(spread, on).where((F.col(pos) >= lo) & (F.col(pos) <= hi)).drop(*PLACE, "_salt")
 
 
+def join_binned(sites: DataFrame, intervals: DataFrame, coord: str, bin_size: int, pos: str = "pos", start: str = "start_pos", end: str = "end_pos") -> DataFrame:
+    """`join_points` for a table of sites that is bucketed by its lowest bins (see `tables.write_bucketed`), of this width.
+
+    Intervals of the lowest level meet its sites where they lie: only the intervals are shuffled, into the table's buckets.
+    Longer ones, which would need many bins, take the common way; with none of them that part has no rows.
+    """
+    lo, hi = bounds(F.col(start), F.col(end), coord)
+    level = level_of(lo, hi, bin_size)
+    short = sites.join(_spread(intervals.where(level == 0), coord, bin_size, start, end), ["chrom", *PLACE]).where((F.col(pos) >= lo) & (F.col(pos) <= hi)).drop(*PLACE)
+    return short.unionByName(join_points(sites.drop(*PLACE), intervals.where(level > 0), coord, bin_size, pos, start, end))
+
+
 def _salted(placed: DataFrame, spread: DataFrame, on: list[str], pos: str, crowded: int) -> tuple[DataFrame, DataFrame]:
     counts = placed.groupBy(*on).agg(F.count("*").alias("_n"))
     least = counts.agg(F.greatest(F.lit(crowded), F.coalesce(F.ceil(F.sum("_n") / SHARES), F.lit(0)))).scalar()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .intervals import PLACE, in_bins, join_points
+from .intervals import PLACE, in_bins, join_binned, join_points
 
 SUMS = {"total_coverage": "cov", "total_methylated": "mc"}
 
@@ -36,12 +36,23 @@ def region_sums(
     binned = PLACE if "_bin" in sites.columns else []
     hits = join_points(sites.select(*keys, "chrom", *binned, "pos", "mc", "cov"), regions.select("rid", "chrom", "start_pos", "end_pos"), coord, bin_size, crowded=crowded)
     hits = hits.groupBy(*keys, "rid").agg(F.sum("cov").alias("c"), F.sum("mc").alias("m"), F.count("*").alias("n"))
-    every = (spine if spine is not None else regions).join(hits, [*keys, "rid"], "left")
+    return _with_empty(hits, spine if spine is not None else regions, keys, regions)
+
+
+def _with_empty(hits: DataFrame, every: DataFrame, keys: tuple[str, ...], regions: DataFrame | None = None) -> DataFrame:
+    regions = every if regions is None else regions
+    every = every.join(hits, [*keys, "rid"], "left")
     info = [c for c in regions.columns if c != "rid"]
     zero = lambda c: F.coalesce(c, F.lit(0))
     return every.select(*keys, "rid", *info, zero("c").alias("total_coverage"), zero("m").alias("total_methylated"), zero("n").alias("sites_with_data"))
 
 
+def bucketed_region_sums(sites: DataFrame, regions: DataFrame, coord: str, bin_size: int = 500) -> DataFrame:
+    """`region_sums` over a bucketed table of sites (see `tables.write_bucketed`), which stays where it is."""
+    hits = join_binned(sites.select("chrom", *PLACE, "pos", "mc", "cov"), regions.select("rid", "chrom", "start_pos", "end_pos"), coord, bin_size)
+    return _with_empty(hits.groupBy("rid").agg(F.sum("cov").alias("c"), F.sum("mc").alias("m"), F.count("*").alias("n")), regions, ())
+
+
 def cell_region_bins(sites: DataFrame, regions: DataFrame, cells: tuple[str, ...], coord: str, keys: tuple[str, ...] = (), bin_size: int = 500) -> DataFrame:
     """Sums over all regions of a (sample, strand side, keys, bin), with zeros where no site lies: what `cell_bins`
     needs of the region rows, without a row for each region and cell."""

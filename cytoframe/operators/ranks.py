@@ -19,7 +19,7 @@ def placed(rows: DataFrame, by: list[str], order: list[str | Column], name: str
     ranged = rows.repartitionByRange(n, *by, *order).sortWithinPartitions(*by, *order)
     kept = written(ranged.withColumn("_id", F.monotonically_increasing_id()).withColumn("_range", F.spark_partition_id()), "placed")
     counts = kept.groupBy("_range", *by).agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
-    before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = (Window.partitionBy(*by) if by else Window).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     own = [f"_by{i}" for i in range(len(by))]
     offsets = counts.select("_range", *[F.col(c).alias(k) for c, k in zip(by, own)], (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"))
     on = kept["_range"] == offsets["_range"]

@@ -39,8 +39,12 @@ def pairs(reads: DataFrame) -> DataFrame:
 
 def ordered_pairs(reads: DataFrame) -> DataFrame:
     """Pairs as read1 and read2: the second-seen record where it is flagged read 1, else the first-seen, is read1."""
+    return by_read(pairs(properly_mapped(reads)))
+
+
+def by_read(p: DataFrame) -> DataFrame:
+    """Pairs (qname, pair_no, first, second) as read1 and read2."""
     swap = has(F.col("second.flag"), READ1)
-    p = pairs(properly_mapped(reads))
     return p.select("qname", "pair_no", F.when(swap, F.col("second")).otherwise(F.col("first")).alias("r1"), F.when(swap, F.col("first")).otherwise(F.col("second")).alias("r2"))
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, Window, functions as F
 
 from .intervals import overlapping
 
@@ -50,27 +51,42 @@ def exact_inner(rows: DataFrame, cpgs: DataFrame) -> DataFrame:
     return rows.join(cpgs.select("chrom", F.col("start_pos").alias("start"), F.col("end_pos").alias("end")), ["chrom", "start", "end"])
 
 
-def filter_metrics(raw: DataFrame, cpgs: DataFrame) -> DataFrame:
-    """Row counts of dropping nulls and keeping exact CpGs; filtered_out is negative where repeated CpGs multiply rows."""
+def _observed(counts: Observation) -> dict[str, int]:
+    """What was counted; nothing, where the optimizer saw that no row can come and left the counting out."""
+    try:
+        return counts.get
+    except Py4JJavaError:
+        return {}
+
+
+def write_filtered(raw: DataFrame, cpgs: DataFrame, path: str) -> dict[str, int | float | None]:
+    """Writes the rows without a null whose interval is a CpG's (see `exact_inner`) as Parquet, and returns what was counted
+    while they passed: input, nan_removed, before, after, filtered_out (negative where repeated CpGs multiply rows) and
+    retention_pct. The counts are observed, so the rows are read and joined once."""
     columns = ["chrom", "start", "end", "mc", "cov"]
     whole = F.lit(True)
     for c in columns:
         whole = whole & F.col(c).isNotNull()
-    weights = cpgs.groupBy("chrom", F.col("start_pos").alias("start"), F.col("end_pos").alias("end")).agg(F.count("*").alias("w"))
-    rows = raw.select(*columns, whole.alias("ok")).join(weights, ["chrom", "start", "end"], "left")
-    n = rows.agg(F.count("*").alias("input"), F.count_if("ok").alias("before"), F.coalesce(F.sum(F.when(F.col("ok"), F.coalesce("w", F.lit(0)))), F.lit(0)).alias("after"))
-    return n.select(
-        "input", (F.col("input") - F.col("before")).alias("nan_removed"), "before", "after", (F.col("before") - F.col("after")).alias("filtered_out"),
-        (F.try_divide("after", "before") * 100).alias("retention_pct"),
-    )
+    first, last = Observation(), Observation()
+    rows = raw.select(*columns).observe(first, F.count("*").alias("input"), F.count_if(whole).alias("before")).where(whole)
+    exact_inner(rows, cpgs).observe(last, F.count("*").alias("after")).write.parquet(path)
+    n = {"input": 0, "before": 0, "after": 0, **_observed(first), **_observed(last)}
+    return {
+        "input": n["input"], "nan_removed": n["input"] - n["before"], "before": n["before"], "after": n["after"],
+        "filtered_out": n["before"] - n["after"], "retention_pct": n["after"] / n["before"] * 100 if n["before"] else None,
+    }
 
 
 def select_columns(df: DataFrame, *wanted: str) -> DataFrame:
-    """One or two columns by header name; a missing name is an error."""
+    """One or two columns by header name; a missing name is an error, of a repeated one the last column counts."""
     missing = [c for c in wanted if c not in df.columns]
     if missing:
         raise ValueError(f"no column {', '.join(missing)}")
-    return df.select(*wanted)
+    if len(set(df.columns)) == len(df.columns):
+        return df.select(*wanted)
+    apart = df.toDF(*[f"{c}#{i}" for i, c in enumerate(df.columns)])
+    last = {c: i for i, c in enumerate(df.columns)}
+    return apart.select(*[apart[f"`{c}#{last[c]}`"].alias(c) for c in wanted])
 
 
 def unpivot_matrix(matrix: DataFrame, key: str, value: str, name: str = "barcode") -> DataFrame:

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions import names, smoothing
-from ..operators import fastq, intervals, methylation as me, motif, read_quality, reads, sites, variants
+from ..operators import fastq, intervals, methylation as me, motif, ranks, read_quality, reads, sites, variants
 from ..sources import sequences, tables
 from ..sources.folders import shared_folder
+from ..streaming import reads as stream
 from . import region_pipeline as flagship
 from .config import PipelineConfig, Region
 from .views import cte, frame
@@ -73,6 +74,16 @@ def region_methylation_mixed(spark, sf):
     return _named(out, "rid", (F.col("end_pos") - F.col("start_pos") + 1).alias("region_length"))
 
 
+@query(ORACLE_SQL["region_methylation_closed"])
+def region_methylation_bucketed(spark, sf):
+    """The regions over a table of sites that is bucketed by bins, and read without a shuffle."""
+    at = _folder(spark, "sites")
+    known = tables.write_bucketed(me.last_call(frame(spark, sf, "allc")), at.rsplit("/", 1)[-1].replace("-", "_"), at, 8)
+    out = me.bucketed_region_sums(known, frame(spark, sf, "regions").select("rid", "chrom", "start_pos", "end_pos"), "closed")
+    out = out.withColumn("methylation_percentage", me.percent(F.col("total_methylated"), F.col("total_coverage")))
+    return _named(out, "rid", (F.col("end_pos") - F.col("start_pos") + 1).alias("region_length"))
+
+
 _RID = "concat_ws('_', r.chrom, CAST(r.start_pos AS VARCHAR), CAST(r.end_pos AS VARCHAR)) AS region_id"
 
 
@@ -223,7 +234,8 @@ n AS (SELECT (SELECT count(*) FROM r) AS input, (SELECT count(*) FROM k) AS befo
 SELECT input, input - before AS nan_removed, before, after, before - after AS filtered_out, CAST(after AS DOUBLE) / before * 100 AS retention_pct FROM n""")
 def filter_metrics(spark, sf):
     rows, listed = _bed5(spark, sf)
-    return sites.filter_metrics(rows.withColumn("mc", F.when(F.col("mc") % 5 != 0, F.col("mc"))), listed)
+    n = sites.write_filtered(rows.withColumn("mc", F.when(F.col("mc") % 5 != 0, F.col("mc"))), listed, _folder(spark, "filtered"))
+    return spark.createDataFrame([tuple(n.values())], "input long, nan_removed long, before long, after long, filtered_out long, retention_pct double")
 
 
 @query(f"{cte('allc', 'cells')} SELECT grp, chrom, pos, strand, context, CAST(sum(mc) AS BIGINT) AS mc, CAST(sum(cov) AS BIGINT) AS cov FROM allc JOIN cells ON barcode = sample GROUP BY ALL")
@@ -346,6 +358,30 @@ def read_pairs(spark, sf):
     return p.select("qname", "pair_no", *[F.col(f"r{k}.{c}").alias(f"{a}{k}") for k in (1, 2) for c, a in (("flag", "flag"), ("start_pos", "start"), ("end_pos", "end"))])
 
 
+@query(ORACLE_SQL["read_pairs"])
+def read_pairs_streamed(spark, sf):
+    """The same pairs from a stream of files in any order, paired by event time."""
+    at, big = _folder(spark, "reads"), 1 << 40
+    r = ranks.placed(reads.properly_mapped(frame(spark, sf, "reads")), [], ["ord"], "rec_no")
+    end = spark.range(1).select(F.lit("end").alias("qname"), F.lit(big).alias("rec_no"), F.timestamp_seconds(F.lit(1 << 32)).alias("time"), F.lit(99).alias("flag"), F.lit(0).alias("ref_id"), F.lit(0).cast("long").alias("start_pos"), F.lit(0).cast("long").alias("end_pos"))
+    timed = r.select("qname", "rec_no", F.timestamp_seconds(F.col("ord.l_orderkey") + 1).alias("time"), "flag", "ref_id", "start_pos", "end_pos")
+    timed.repartition(3).write.parquet(f"{at}/in")
+    end.write.mode("append").parquet(f"{at}/in")  # moves the watermark past all reads
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", stream.ROCKSDB)
+    try:
+        source = spark.readStream.schema(timed.schema).parquet(f"{at}/in")
+        pairs = stream.match_pairs(source, "400 days", "1 hour")
+        pairs.writeStream.format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+    got = spark.read.schema(pairs.schema).parquet(f"{at}/out")
+    n = F.row_number().over(Window.partitionBy("qname").orderBy("rec1")) - 1
+    both = [F.struct(*[F.col(f"{c}{k}").alias(c) for c in ("flag", "ref_id", "start_pos", "end_pos")]).alias(name) for k, name in ((1, "first"), (2, "second"))]
+    p = reads.by_read(got.select("qname", n.cast("long").alias("pair_no"), *both))
+    return p.select("qname", "pair_no", *[F.col(f"r{k}.{c}").alias(f"{a}{k}") for k in (1, 2) for c, a in (("flag", "flag"), ("start_pos", "start"), ("end_pos", "end"))])
+
+
 _DOVE = "c1 = c2 AND CASE WHEN f1 & 16 = 0 AND f2 & 16 <> 0 THEN e2 < e1 OR s2 < s1 WHEN f1 & 16 <> 0 AND f2 & 16 = 0 THEN e1 < e2 OR s1 < s2 ELSE FALSE END"
 
 
@@ -640,8 +676,10 @@ def dovetail_mask_plan(spark, sf):
 
 @query(f"{cte('reads')} SELECT qname, flag, start_pos, end_pos FROM reads WHERE ref_id = 1 AND start_pos < 90000 AND end_pos > 49999")
 def reads_in_span(spark, sf):
-    r = frame(spark, sf, "reads")
-    return reads.in_span(r, F.concat(F.lit("chr"), F.col("ref_id").cast("string")), "chr1:50000-90000").select("qname", "flag", "start_pos", "end_pos")
+    at = _folder(spark, "reads")
+    r = frame(spark, sf, "reads").withColumn("chrom", F.concat(F.lit("chr"), F.col("ref_id").cast("string")))
+    tables.write_clustered(r.select("chrom", "qname", "flag", "start_pos", "end_pos"), at, "chrom", "start_pos")
+    return reads.in_span(spark.read.parquet(at), F.col("chrom"), "chr1:50000-90000").select("qname", "flag", "start_pos", "end_pos")
 
 
 @query(f"{cte('variants')} SELECT chrom, pos, id, ref, alt FROM variants WHERE pos % 2 = 0 UNION ALL SELECT chrom, pos, id, ref, alt FROM variants WHERE pos % 2 <> 0 OR pos % 3 = 0")

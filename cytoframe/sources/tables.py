@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..operators.intervals import PLACE
 from ..operators.sites import in_order
 
 ALLC = ("chrom string", "pos long", "strand string", "context string", "mc long", "cov long", "flag int")
@@ -142,6 +143,20 @@ def write_sites(sites: DataFrame, path: str, gzip: bool = True) -> None:
     write_tsv(in_order(sites), path, header=False, gzip=gzip)
 
 
+def write_clustered(rows: DataFrame, path: str, *by: str, group_bytes: int = 8 << 20) -> None:
+    """Parquet whose files hold ranges of `by` one after the other, sorted, in small row groups: readers that filter by
+    these columns, or by others that rise with them, pass over files' row groups by their statistics."""
+    rows.repartitionByRange(*by).sortWithinPartitions(*by).write.option("parquet.block.size", group_bytes).parquet(path)
+
+
+def write_bucketed(sites: DataFrame, name: str, path: str, buckets: int, bin_size: int = 500) -> DataFrame:
+    """The table `name` of sites with their lowest bins, bucketed and sorted by them, for `intervals.join_binned`."""
+    rows = sites.withColumn("_level", F.lit(0)).withColumn("_bin", F.floor(F.col("pos") / bin_size))
+    by = ["chrom", *PLACE]
+    rows.repartition(buckets, *by).write.bucketBy(buckets, *by).sortBy(*by, "pos").option("path", path).saveAsTable(name)
+    return sites.sparkSession.table(name)
+
+
 def write_bedgraph(bins: DataFrame, path: str, width: int = 100, value: str = "fraction") -> None:
     """Bins (chrom, bin_start, value) as chrom, start, end, value, sorted; bins without a value are left out."""
     rows = bins.where(F.col(value).isNotNull()).orderBy("chrom", "bin_start")

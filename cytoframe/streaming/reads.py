@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 from ..functions import names
 
@@ -22,36 +22,62 @@ def windowed_counts(records: DataFrame, time: str, window: str = "10 minutes", l
     return records.withWatermark(time, late).groupBy(F.window(time, window), names.barcode(F.col("header")).alias("barcode")).agg(F.count("*").alias("reads"))
 
 
-def match_pairs(reads: DataFrame, wait: str | None = "1 hour") -> DataFrame:
-    """Pairs of a stream of reads (qname, rec_no, flag, start_pos, end_pos) by arrival: the first read of a name
-    waits in state, the second closes the pair, the third waits anew. Reads of one batch come in the order of rec_no.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+FIELDS = "rec_no long, time long, flag int, ref_id int, start_pos long, end_pos long"
+PAIR = "qname string, rec1 long, rec2 long, " + ", ".join(f"{f}{k} {kind}" for k in (1, 2) for f, kind in (("flag", "int"), ("ref_id", "int"), ("start_pos", "long"), ("end_pos", "long")))
 
-    A read that has waited for `wait` without a mate is forgotten, so the state stays as large as what arrives in that
-    time; with None it waits for ever.
+
+class PairProcessor(StatefulProcessor):
+    """The reads of a name wait in a list until the watermark has passed them; then they are paired in the order of rec_no,
+    whatever order they came in. One whose mate is more than `wait` later, or does not come, is forgotten."""
+
+    def __init__(self, wait_ms: int):
+        self.wait = wait_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.reads = handle.getListState("reads", FIELDS)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        new = pd.concat(list(rows))
+        times = (new["time"].astype("int64") // (1 if new["time"].dtype.kind == "i" else 10 ** {"s": 0, "ms": 3, "us": 6, "ns": 9}[np.datetime_data(new["time"].dt.tz_localize(None).dtype)[0]])) * 1000
+        self.reads.appendList([tuple(int(x) for x in r) for r in zip(new["rec_no"], times, *(new[c] for c in ("flag", "ref_id", "start_pos", "end_pos")))])
+        self.handle.registerTimer(int(times.max()))
+        return iter([])
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = timerValues.getCurrentWatermarkInMs()
+        held = [tuple(r) for r in self.reads.get()]
+        ready = sorted(r for r in held if r[1] <= now)
+        later = [r for r in held if r[1] > now]
+        done, first = [], None
+        for read in ready:
+            if first is None or read[1] - first[1] > self.wait:
+                first = read  # the one before it has waited in vain
+            else:
+                done.append((key[0], first[0], read[0], *first[2:], *read[2:]))
+                first = None
+        if first is not None and first[1] + self.wait > now:
+            later.append(first)
+            self.handle.registerTimer(first[1] + self.wait)
+        if later:
+            self.reads.put(later)
+        else:
+            self.reads.clear()
+        if done:
+            yield pd.DataFrame(done, columns=[f.split()[0] for f in PAIR.split(", ")])
+
+    def close(self) -> None:
+        pass
+
+
+def match_pairs(reads: DataFrame, late: str = "1 hour", wait: str = "1 hour") -> DataFrame:
+    """Pairs (see PAIR) of a stream of reads (qname, rec_no, time, flag, ref_id, start_pos, end_pos), by event time.
+
+    Rows may come in any order, up to `late` after later ones; those that come later still are dropped. The first read of
+    a name, by rec_no, waits, the second closes the pair, the third waits anew; who has no mate after `wait` is forgotten.
+    A pair is given once the watermark has passed its reads, so the state holds what arrives within `late` and `wait`. The
+    session needs the RocksDB state store.
     """
-    fields = "flag int, start_pos long, end_pos long"
-    out = "qname string, flag1 int, start1 long, end1 long, flag2 int, start2 long, end2 long"
-    names_ = [f.split()[0] for f in out.split(", ")]
-    ms = int(pd.Timedelta(wait).total_seconds() * 1000) if wait else None
-
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        rows = pd.concat(list(batches)).sort_values("rec_no")[["flag", "start_pos", "end_pos"]]
-        if state.exists:
-            rows = pd.concat([pd.DataFrame([state.get], columns=rows.columns), rows])
-        n = len(rows) // 2
-        if len(rows) % 2:
-            state.update(tuple(int(x) for x in rows.iloc[-1]))
-            if ms:
-                state.setTimeoutDuration(ms)
-        elif state.exists:
-            state.remove()
-        first, second = rows.iloc[0 : 2 * n : 2].to_numpy(), rows.iloc[1 : 2 * n : 2].to_numpy()
-        done = pd.DataFrame(np.concatenate([first, second], axis=1).astype(np.int64), columns=names_[1:])
-        done.insert(0, "qname", key[0])
-        yield done.astype({"flag1": "int32", "flag2": "int32"})
-
-    timeout = GroupStateTimeout.ProcessingTimeTimeout if ms else GroupStateTimeout.NoTimeout
-    return reads.groupBy("qname").applyInPandasWithState(step, out, fields, "append", timeout)
+    processor = PairProcessor(int(pd.Timedelta(wait).total_seconds() * 1000))
+    return reads.withWatermark("time", late).groupBy("qname").transformWithStateInPandas(processor, PAIR, "append", "EventTime")

@@ -389,12 +389,84 @@ def test_config():
     assert c.context_of("cell1.NCGN-Both.allc.tsv.gz") == "NCGN" and c.context_of("z") is None and c.regions["body"].n_bins == 20
 
 
-def test_pairs_match_across_batches(spark, tmp_path):
-    src = tmp_path / "in"
-    schema = "rec_no long, qname string, flag int, start_pos long, end_pos long"
-    spark.createDataFrame([(1, "q", 99, 1, 5), (2, "x", 99, 1, 5)], schema).coalesce(1).write.parquet(str(src / "b1"))
-    spark.createDataFrame([(3, "q", 147, 8, 9), (4, "q", 99, 3, 4)], schema).coalesce(1).write.parquet(str(src / "b2"))
-    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(str(src))
-    q = stream.match_pairs(s).writeStream.format("memory").queryName("pairs").option("checkpointLocation", str(tmp_path / "cp")).outputMode("append").trigger(availableNow=True).start()
-    q.awaitTermination(120)
-    assert [r["qname"] for r in spark.table("pairs").collect()] == ["q"]
+@pytest.fixture
+def rocksdb(spark):
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", stream.ROCKSDB)
+    yield
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+
+
+def test_streamed_pairs_over_a_restart(spark, tmp_path, rocksdb):
+    """Reads out of order within and over runs from one checkpoint, a third read, a mate that comes too late, a late row."""
+    schema = "qname string, rec_no long, time timestamp, flag int, ref_id int, start_pos long, end_pos long"
+
+    def run(reads):
+        made = spark.createDataFrame([(q, n, t, 99, 0, n, n + 5) for q, n, t in reads], "qname string, rec_no long, t long, flag int, ref_id int, start_pos long, end_pos long")
+        made.withColumn("t", F.timestamp_seconds("t")).withColumnRenamed("t", "time").select(*[f.split()[0] for f in schema.split(", ")]).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        source = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        out = stream.match_pairs(source, "100 seconds", "50 seconds")
+        out.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination(120)
+        return sorted((r["qname"], r["rec1"], r["rec2"]) for r in spark.read.schema(stream.PAIR).parquet(str(tmp_path / "out")).collect())
+
+    assert run([("b", 4, 40), ("b", 2, 20), ("a", 1, 10), ("three", 5, 50), ("three", 7, 70), ("three", 6, 60)]) == []  # none is passed yet
+    assert run([("a", 3, 15), ("late", 8, 80), ("on", 9, 200)]) == [("a", 1, 3), ("b", 2, 4), ("three", 5, 6)]
+    # `late` has waited its 50 seconds in vain; a row from before the watermark is dropped; `on` pairs with its mate
+    got = run([("on", 11, 390), ("a", 2, 12), ("on", 10, 240), ("late", 12, 340), ("end", 99, 900)])
+    assert got == [("a", 1, 3), ("b", 2, 4), ("on", 9, 10), ("three", 5, 6)]
+
+
+def test_metrics_are_counted_while_writing(spark, tmp_path):
+    """One execution writes the rows and gives the six numbers."""
+    raw = spark.createDataFrame([("c", 1, 3, 1, 2), ("c", 1, 3, None, 2), ("c", 5, 7, 1, 1), ("c", 9, 11, 0, 4)], "chrom string, start long, end long, mc long, cov long")
+    cpgs = spark.createDataFrame([("c", 1, 3), ("c", 9, 11), ("c", 9, 11), ("c", 9, 11)], "chrom string, start_pos long, end_pos long")
+    store = spark._jsparkSession.sharedState().statusStore()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+    before = store.executionsCount()
+    got = sites.write_filtered(raw, cpgs, str(tmp_path / "kept"))
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+    assert store.executionsCount() == before + 1
+    assert got == {"input": 4, "nan_removed": 1, "before": 3, "after": 4, "filtered_out": -1, "retention_pct": 4 / 3 * 100}
+    assert spark.read.parquet(str(tmp_path / "kept")).count() == 4
+    none = sites.write_filtered(raw.where("false"), cpgs, str(tmp_path / "none"))
+    assert none["input"] == none["after"] == 0 and none["retention_pct"] is None
+
+
+def test_spans_of_clustered_reads_pass_over_row_groups(spark, tmp_path):
+    r = spark.range(200_000).select(F.concat(F.lit("chr"), (F.col("id") % 3).cast("string")).alias("chrom"), (F.hash("id") % 1_000_000).cast("long").alias("start_pos")).withColumn("end_pos", F.col("start_pos") + 60)
+    tables.write_clustered(r, str(tmp_path / "t"), "chrom", "start_pos", group_bytes=100_000)
+    found = reads.in_span(spark.read.parquet(str(tmp_path / "t")), F.col("chrom"), "chr1:5,000-9,000")
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, reads.in_span(r, F.col("chrom"), "chr1:5,000-9,000").collect())) != []
+    plan = found._jdf.queryExecution().executedPlan()
+    found._jdf.queryExecution().toRdd().count()
+    scanned = plan.collectLeaves().apply(0).metrics().apply("numOutputRows").value()
+    assert 0 < scanned < 60_000
+
+
+def test_region_join_over_a_bucketed_table(spark, tmp_path):
+    """No exchange of sites, and the same sums, long regions included."""
+    allc = spark.range(3000).select(F.concat(F.lit("c"), (F.col("id") % 2).cast("string")).alias("chrom"), (F.col("id") * 7).alias("pos"), (F.col("id") % 5).alias("mc"), F.lit(6).cast("long").alias("cov"))
+    table = tables.write_bucketed(allc, "bucketed_sites", str(tmp_path / "b"), 4, 100)
+    regions = spark.createDataFrame([(i, f"c{i % 2}", i * 40, i * 40 + (9000 if i % 50 == 0 else 30)) for i in range(400)], "rid long, chrom string, start_pos long, end_pos long")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        short = intervals.join_binned(table, regions.where("end_pos - start_pos < 100"), "closed", 100)
+        lines = short._jdf.queryExecution().executedPlan().toString().split("Union")[1].split("FileScan")[1:2]
+        top = short._jdf.queryExecution().executedPlan().toString()
+        join = top[top.index("SortMergeJoin") :]
+        sites_side = join[: join.index("FileScan")]
+        assert lines and "Exchange" not in sites_side and "Bucketed: true" in join
+        got = {r["rid"]: (r["total_coverage"], r["sites_with_data"]) for r in methylation.bucketed_region_sums(table, regions, "closed", 100).collect()}
+        want = {r["rid"]: (r["total_coverage"], r["sites_with_data"]) for r in methylation.region_sums(allc, regions, "closed", 100).collect()}
+        assert got == want and len(want) == 400 and want[0][1] > 100
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.sql("DROP TABLE bucketed_sites")
+
+
+def test_columns_by_a_repeated_name(spark):
+    df = spark.createDataFrame([(1, 2, 3)], "a int, b int, c int").toDF("x", "y", "x")
+    assert sites.select_columns(df, "x").first()[0] == 3 and tuple(sites.select_columns(df, "y", "x").first()) == (2, 3)
+    with pytest.raises(ValueError):
+        sites.select_columns(df, "z")
