@@ -116,26 +116,29 @@ def mask_ends(quals: Column, flag: Column, head: tuple[int, int], tail: tuple[in
     return F.when(off, quals).otherwise(F.concat(zeros(h), F.slice(quals, h + 1, n - h - t), zeros(t)))
 
 
+def _marked(reads: DataFrame) -> DataFrame:
+    """`reads` with masked_from, masked_to and branch (see `mask_dovetails`), each record with its mate by one window."""
+    ok = has("flag", PAIRED) & ~has("flag", UNMAPPED) & ~has("flag", MATE_UNMAPPED)
+    by = Window.partitionBy("qname", "_ok").orderBy("ord")
+    own, even = F.struct("flag", "ref_id", "start_pos", "end_pos"), (F.row_number().over(by) - 1) % 2 == 0
+    rows = reads.withColumn("_ok", ok).where("_ok IS NOT NULL").withColumn("_own", own)
+    rows = rows.withColumn("_even", even).withColumn("_mate", F.when(F.col("_even"), F.lead("_own").over(by)).otherwise(F.lag("_own").over(by)))
+    second = F.when(F.col("_even"), F.col("_mate.flag")).otherwise(F.col("flag"))
+    mine = has(second, READ1) == ~F.col("_even")  # this record is read 1: the second one if that is flagged so, else the first
+    rows = rows.withColumn("r1", F.when(mine, F.col("_own")).otherwise(F.col("_mate"))).withColumn("r2", F.when(mine, F.col("_mate")).otherwise(F.col("_own")))
+    branch = F.when(~F.col("_ok"), 0).when(F.col("_mate").isNull(), 2).when(F.col("r1.ref_id") == F.col("r2.ref_id"), 1)
+    rows = rows.withColumn("branch", branch).where("branch IS NOT NULL")
+    cut = (F.col("branch") == 1) & dovetail()
+    return rows.select(*reads.columns, F.when(cut, F.greatest("r1.start_pos", "r2.start_pos")).alias("masked_from"), F.when(cut, F.least("r1.end_pos", "r2.end_pos")).alias("masked_to"), "branch")
+
+
 def mask_dovetails(reads: DataFrame) -> DataFrame:
     """(qname, ord, flag, masked_from, masked_to, branch): where each record's qualities stay, in output order of `branch`.
 
     Unpaired and unmapped records pass (0), pairs come next with the overlap as bounds where they dovetail (1),
     records without a partner last (2); pairs over two references are dropped. Null bounds mask nothing.
     """
-    ok = has("flag", PAIRED) & ~has("flag", UNMAPPED) & ~has("flag", MATE_UNMAPPED)
-    none = F.lit(None).cast("long")
-    passed = reads.where(~ok).select("qname", "ord", "flag", none.alias("masked_from"), none.alias("masked_to"), F.lit(0).alias("branch"))
-    n = F.row_number().over(Window.partitionBy("qname").orderBy("ord")) - 1
-    rows = reads.where(ok).withColumn("pair_no", F.floor(n / 2)).select("qname", "pair_no", F.struct("ord", "flag", "ref_id", "start_pos", "end_pos").alias("r"))
-    g = rows.groupBy("qname", "pair_no").agg(F.array_sort(F.collect_list("r")).alias("m"))
-    lone = g.where(F.size("m") == 1).select("qname", F.col("m")[0]["ord"].alias("ord"), F.col("m")[0]["flag"].alias("flag"), none.alias("masked_from"), none.alias("masked_to"), F.lit(2).alias("branch"))
-    p = g.where(F.size("m") == 2).withColumn("swap", has(F.col("m")[1]["flag"], READ1))
-    p = p.select("qname", F.when(F.col("swap"), F.col("m")[1]).otherwise(F.col("m")[0]).alias("r1"), F.when(F.col("swap"), F.col("m")[0]).otherwise(F.col("m")[1]).alias("r2"))
-    p = p.where("r1.ref_id = r2.ref_id").withColumn("d", dovetail())
-    low, high = F.when(F.col("d"), F.greatest("r1.start_pos", "r2.start_pos")), F.when(F.col("d"), F.least("r1.end_pos", "r2.end_pos"))
-    both = p.select("qname", low.alias("masked_from"), high.alias("masked_to"), F.explode(F.array("r1", "r2")).alias("r"))
-    paired = both.select("qname", F.col("r.ord").alias("ord"), F.col("r.flag").alias("flag"), "masked_from", "masked_to", F.lit(1).alias("branch"))
-    return passed.unionByName(paired).unionByName(lone)
+    return _marked(reads).select("qname", "ord", "flag", "masked_from", "masked_to", "branch")
 
 
 def reference_positions(cigar: Column, start: Column) -> Column:
@@ -159,8 +162,7 @@ def masked_records(reads: DataFrame) -> DataFrame:
     reads: qname, ord, flag, ref_id, start_pos, end_pos, cigar, quals. Bases without a reference position are masked
     as well where a record has bounds.
     """
-    plan = mask_dovetails(reads).select("qname", "ord", "masked_from", "masked_to", "branch")
-    rows = reads.join(plan, ["qname", "ord"])
+    rows = _marked(reads)
     at = reference_positions(F.col("cigar"), F.col("start_pos"))
     quals = F.when(F.col("masked_from").isNotNull(), mask_outside(F.col("quals"), at, F.col("masked_from"), F.col("masked_to"))).otherwise(F.col("quals"))
     return rows.withColumn("quals", quals).drop("masked_from", "masked_to")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions import names, smoothing
 from ..operators import fastq, intervals, methylation as me, motif, ranks, read_quality, reads, sites, variants
-from ..sources import sequences, tables
+from ..sources import chain, sequences, tables
 from ..sources.folders import shared_folder
 from ..streaming import reads as stream
 from . import region_pipeline as flagship
@@ -827,6 +827,66 @@ def region_methylation_files(spark, sf):
     return tables.read_results(spark, at, "region_id string, chrom string, start long, end long, total_coverage long, methylation_percentage string")
 
 
+@query(f"{cte('fastq')} SELECT header, seq, plus, qual FROM fastq")
+def fastq_file_copies(spark, sf):
+    """Records written compressed and read again."""
+    at = _folder(spark, "fastq")
+    sequences.write_fastq(frame(spark, sf, "fastq"), at)
+    return sequences.read_fastq(spark, at).select("header", "seq", "plus", "qual")
+
+
+@query(f"{cte('listing')} SELECT dir, name FROM listing")
+def discovered_files(spark, sf):
+    """Files laid out in folders, found by a pattern; their folders carry the names."""
+    at = _folder(spark, "run")
+    l = frame(spark, sf, "listing")
+    l.repartition("dir", "name").select("dir", "name", F.lit("x").alias("value")).write.partitionBy("dir", "name").text(at)
+    found = tables.discover(spark, at, "*.txt").where("size = 2")
+    return found.select(F.regexp_extract("dir", "/dir=([^/]*)/", 1).alias("dir"), F.regexp_extract("dir", "/name=([^/]*)$", 1).alias("name"))
+
+
+@query(f"{cte('cells')} SELECT barcode AS name FROM cells")
+def listed_names(spark, sf):
+    """A list with blank lines and blanks around the names."""
+    at = _folder(spark, "list")
+    frame(spark, sf, "cells").select(F.concat(F.lit("  "), "barcode", F.lit(" \n\n ")).alias("value")).write.text(at)
+    return tables.read_names(spark, at)
+
+
+@query(f"{cte('cells')} SELECT barcode AS Sample_ID, grp AS Sample_Name, CASE WHEN grp <> 'grp1' THEN upper(barcode) END AS index FROM cells")
+def demux_sheet_rows(spark, sf):
+    """The rows under [Data] of a sheet with other sections, blank lines and short rows."""
+    at = _folder(spark, "sheet")
+    line = F.concat_ws(",", "barcode", F.concat(F.lit(" "), "grp"), F.when(F.col("grp") != "grp1", F.upper("barcode")))
+    body = frame(spark, sf, "cells").agg(F.array_join(F.array_sort(F.collect_list(line)), "\n\n").alias("rows"))
+    body.select(F.concat(F.lit("[Header]\nx,1\n\n[DATA],,\nSample_ID,Sample_Name,index\n"), "rows").alias("value")).write.text(at)
+    return tables.read_demux_sheet(spark, at)
+
+
+@query(f"{cte('chains')} SELECT chain, CAST(score AS BIGINT) AS score, chrom, block_start, block_end, target_chrom, target_start, target_strand, target_size FROM chains")
+def chain_files(spark, sf):
+    """Blocks written as chains with their gaps, and read again."""
+    at = _folder(spark, "chain")
+    b = frame(spark, sf, "chains").groupBy("chain", "score", "chrom", "target_chrom", "target_strand", "target_size").agg(F.array_sort(F.collect_list(F.struct("block_start", "block_end", "target_start"))).alias("b"))
+    text = lambda c: c.cast("string")
+
+    def line(x: Column, i: Column) -> Column:
+        size, after = x["block_end"] - x["block_start"], F.get("b", i + 1)
+        return F.concat_ws(" ", text(size), text(after["block_start"] - x["block_end"]), text(after["target_start"] - x["target_start"] - size))
+
+    first, last = F.col("b")[0], F.element_at("b", -1)
+    head = F.concat_ws(" ", F.lit("chain"), text(F.col("score")), "chrom", F.lit("0 +"), text(first["block_start"]), text(last["block_end"]), "target_chrom", text(F.col("target_size")), "target_strand", text(first["target_start"]), text(last["target_start"] + last["block_end"] - last["block_start"]), text(F.col("chain")))
+    b.select(F.concat_ws("\n", head, F.array_join(F.transform("b", line), "\n"), F.lit("")).alias("value")).write.text(at)
+    return chain.read_chain(spark, at)
+
+
+@query(ORACLE_SQL["bin100_methylation"].replace("bin_start, CAST(sum(mc)", "bin_start, (pos - 1) // 100 * 100 + 100 AS bin_end, CAST(sum(mc)").replace("SELECT chrom,", "SELECT chrom, bin_start, bin_end, fraction FROM (SELECT chrom,", 1).replace("GROUP BY chrom, bin_start", "GROUP BY chrom, bin_start, bin_end) WHERE fraction IS NOT NULL"))
+def bedgraph_file(spark, sf):
+    at = _folder(spark, "bedgraph")
+    tables.write_bedgraph(bin100_methylation(spark, sf), at)
+    return spark.read.schema("chrom string, bin_start long, bin_end long, fraction double").option("sep", "\t").csv(at)
+
+
 @query(f"{cte('fastq')} SELECT split_part(header, ':', -1) AS barcode, header, seq, plus, qual FROM fastq")
 def fastq_files_by_barcode(spark, sf):
     at = _folder(spark, "fastq")
@@ -1019,3 +1079,19 @@ def pipeline_region_tables(spark, sf):
 def pipeline_profiles(spark, sf):
     """The flagship from text files to the profiles of groups."""
     return _pipeline(spark, sf).profiles
+
+
+@query(ORACLE_SQL["pipeline_region_tables"])
+def pipeline_region_files(spark, sf):
+    """The flagship's region tables as it writes them, by region, context, strand side and cell."""
+    at = _folder(spark, "out")
+    flagship.write(_pipeline(spark, sf), at)
+    return tables.read_results(spark, f"{at}/regions", "region_id string, bin long, total_coverage long, total_methylated long, sites_with_data long, region string, context string, strand_side string, sample string")
+
+
+@query(f"""SELECT "group", segment, bin, total_coverage, total_methylated, CASE WHEN methylation_percentage IS NOT NULL THEN printf('%.3f', methylation_percentage) END AS methylation_percentage FROM ({ORACLE_SQL['combined_regions_profile']})""")
+def pipeline_profile_files(spark, sf):
+    """The flagship's profiles as it writes them, by group."""
+    at = _folder(spark, "out")
+    flagship.write_profiles(_pipeline(spark, sf), at)
+    return tables.read_results(spark, f"{at}/profiles", "segment string, bin long, total_coverage long, total_methylated long, methylation_percentage string, group string")

@@ -69,8 +69,8 @@ def run(spark: SparkSession, allc_paths: list[str], config: PipelineConfig, matr
     last = me.last_call(me.in_bins(sites_, spans, "closed"), "sample", "context")
     hits = me.join_points(last, spans, "closed").groupBy("sample", "context", *span, "w").agg(F.sum("cov").alias("c"), F.sum("mc").alias("m"), F.count("*").alias("n"))
     # intervals without a site get their zeros here, a row for each file, as the tables are written
-    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("sample"), F.lit(x).alias("context")) for c, x in files])).alias("f")
-    every = known.select(*span, cells).select("f.sample", "f.context", *span)
+    listing = spark.createDataFrame(files, "sample string, context string")
+    every = _for_each(known.select(*span), listing)
     zero = lambda c: F.coalesce(c, F.lit(0))
     region_id = F.concat("chrom", F.lit(":"), F.col("start_pos").cast("string"), F.lit("-"), F.col("end_pos").cast("string"))
     rows = every.join(hits, ["sample", "context", *span], "left").select("sample", "context", "region", "strand_side", region_id.alias("region_id"), "bin", zero("c").alias("total_coverage"), zero("m").alias("total_methylated"), zero("n").alias("sites_with_data"))
@@ -78,9 +78,9 @@ def run(spark: SparkSession, allc_paths: list[str], config: PipelineConfig, matr
     matrix = tables.read_matrix(spark, matrix_path)
     expressed = sites.unpivot_matrix(matrix, "gene_name", "transcribed")
     own = hits.where(F.col("context") == context).select("sample", "strand_side", "region", "bin", (F.col("c") * F.col("w")).alias("total_coverage"), (F.col("m") * F.col("w")).alias("total_methylated"))
-    each = F.explode(F.array(*[F.lit(c) for c, x in files if x == context])).alias("sample")
     nothing = F.lit(0).cast("long")
-    zeros = spans.select("region", "strand_side", "bin").distinct().select(each, "strand_side", "region", "bin", nothing.alias("total_coverage"), nothing.alias("total_methylated"))
+    zeros = _for_each(spans.select("strand_side", "region", "bin").distinct(), listing.where(F.col("context") == context).select("sample"))
+    zeros = zeros.select("sample", "strand_side", "region", "bin", nothing.alias("total_coverage"), nothing.alias("total_methylated"))
     binned = me.cell_bins(own.unionByName(zeros), known, expressed, ("region",))
     groups = None
     if metadata_path:
@@ -90,9 +90,19 @@ def run(spark: SparkSession, allc_paths: list[str], config: PipelineConfig, matr
     return Profiles(rows, me.combine_segments(profile, [(name, r.n_bins) for name, r in config.regions.items()]))
 
 
+def _for_each(rows: DataFrame, files: DataFrame) -> DataFrame:
+    """Every row for every file; the files come as one array from a subquery, so the plan does not grow with them."""
+    listed = files.agg(F.collect_list(F.struct(*files.columns))).scalar()
+    return rows.withColumn("_files", listed).select(*[c for c in rows.columns], F.inline("_files"))
+
+
 def write(result: Profiles, out: str) -> None:
     """Region tables by region, context, strand side and cell; profiles by group."""
     tables.write_tsv(result.region_rows, f"{out}/regions", 3, partition_by=("region", "context", "strand_side", "sample"))
+    write_profiles(result, out)
+
+
+def write_profiles(result: Profiles, out: str) -> None:
     tables.write_tsv(result.profiles, f"{out}/profiles", 3, partition_by=("group",))
 
 
