@@ -77,12 +77,46 @@ TEXT_RULES = (
     ("zlib-text", "Zlib", ("zlib-warranty", "zlib-grant")),
     ("zlib-line", "Zlib", ("zlib-grant",)),
 )
+#: Further licences: identifier, its sentences in their order, and how many of the first ones tell it by themselves.
+FURTHER = (
+    ("MIT", "mit-liability", ("in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software",), 1),
+    ("MIT-0", "mit-0", ("permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so",), 1),
+    ("0BSD", "0bsd", ("permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted",), 1),
+    ("ISC", "isc-liability", ("in no event shall the author be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software",), 1),
+    ("Zlib", "zlib-origin", ("the origin of this software must not be misrepresented you must not claim that you wrote the original software", "altered source versions must be plainly marked as such and must not be misrepresented as being the original software", "this notice may not be removed or altered from any source distribution"), 3),
+    ("BSL-1.0", "bsl-grant", ("permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license the software to use reproduce display distribute execute and transmit the software and to prepare derivative works of the software and to permit third parties to whom the software is furnished to do so all subject to the following",), 1),
+    ("NCSA", "ncsa", ("permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal with the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions",), 1),
+    ("PostgreSQL", "postgresql", ("permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted provided that the above copyright notice and this paragraph and the following two paragraphs appear in all copies",), 1),
+    ("HPND", "hpnd", ("permission to use copy modify and distribute this software and its documentation for any purpose and without fee is hereby granted provided that the above copyright notice appear in all copies and that both that copyright notice and this permission notice appear in supporting documentation",), 1),
+    ("MPL-1.1", "mpl-1.1", ("the contents of this file are subject to the mozilla public license version 1 1 the license you may not use this file except in compliance with the license", "you may obtain a copy of the license at http www mozilla org mpl", "software distributed under the license is distributed on an as is basis without warranty of any kind either express or implied"), 2),
+    ("CDDL-1.0", "cddl", ("the contents of this file are subject to the terms of the common development and distribution license version 1 0 only the license", "you may not use this file except in compliance with the license"), 1),
+    ("EPL-1.0", "epl-1", ("this program and the accompanying materials are made available under the terms of the eclipse public license v1 0 which accompanies this distribution and is available at http www eclipse org legal epl v10 html",), 1),
+    ("EPL-2.0", "epl-2", ("this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at https www eclipse org legal epl 2 0",), 1),
+    ("EPL-2.0", "epl-2-with", ("this program and the accompanying materials are made available under the terms of the eclipse public license v2 0 which accompanies this distribution and is available at https www eclipse org legal epl v20 html",), 1),
+    ("EUPL-1.2", "eupl", ("licensed under the eupl version 1 2 or as soon they will be approved by the european commission subsequent versions of the eupl the licence", "you may not use this work except in compliance with the licence", "you may obtain a copy of the licence at"), 1),
+    ("OFL-1.1", "ofl", ("this font software is licensed under the sil open font license version 1 1", "this license is copied below and is also available with a faq at https scripts sil org ofl"), 1),
+    ("CC0-1.0", "cc0", ("to the extent possible under law the author s have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide", "this software is distributed without any warranty", "you should have received a copy of the cc0 public domain dedication along with this software"), 1),
+    ("WTFPL", "wtfpl", ("you can redistribute it and or modify it under the terms of the do what the fuck you want to public license version 2 as published by sam hocevar",), 1),
+    ("Artistic-2.0", "artistic", ("this program is free software you can redistribute it and or modify it under the terms of the artistic license 2 0",), 1),
+    ("Beerware", "beerware", ("as long as you retain this notice you can do whatever you want with this stuff", "if we meet some day and you think this stuff is worth it you can buy me a beer in return"), 2),
+    ("CECILL-2.1", "cecill", ("this software is governed by the cecill license under french law and abiding by the rules of distribution of free software",), 1),
+    ("Unicode-3.0", "unicode", ("permission is hereby granted free of charge to any person obtaining a copy of data files and any associated documentation the data files or software and any associated documentation the software to deal in the data files or software without restriction including without limitation the rights to use copy modify merge publish distribute and or sell copies of the data files or software and to permit persons to whom the data files or software are furnished to do so provided that either a this copyright and permission notice appear with all copies of the data files or software or b this copyright and permission notice appear in associated documentation",), 1),
+    ("MulanPSL-2.0", "mulan", ("you can use this software according to the terms and conditions of the mulan psl v2", "you may obtain a copy of mulan psl v2 at", "this software is provided on an as is basis without warranties of any kind either express or implied including but not limited to non infringement merchantability or fit for a particular purpose", "see the mulan psl v2 for more details"), 1),
+)
+#: The disclaimer that all BSD licences end with, and the clause that the oldest has besides; no licence by themselves.
+BSD_MORE = {
+    "bsd-warranty": "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed",
+    "bsd-liability": "in no event shall the copyright holder or contributors be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage",
+    "bsd-advertising": "all advertising materials mentioning features or use of this software must display the following acknowledgement",
+    "apache-see": "see the license for the specific language governing permissions and limitations under the license",
+}
 #: The GNU headers: identifier, name, versions. Each names a program or a library, and its version alone or later ones.
 GNU = (("gpl", "gnu general public license", ("2", "3")), ("lgpl", "gnu lesser general public license", ("2.1", "3")), ("agpl", "gnu affero general public license", ("3",)))
 #: Parts of the Creative Commons names, by the parts of their identifiers.
 CC_PARTS = {"by": "attribution", "nc": "noncommercial", "nd": "noderivatives", "sa": "sharealike"}
 CC_KINDS = ("by", "by-sa", "by-nd", "by-nc", "by-nc-sa", "by-nc-nd")
-CC_VERSIONS = {"3.0": "unported", "4.0": "international"}
+CC_VERSIONS = {"2.0": "generic", "2.5": "generic", "3.0": "unported", "4.0": "international"}
+GFDL = ("1.1", "1.2", "1.3")
 
 
 def _families() -> tuple[dict[str, str], list[tuple]]:
@@ -110,11 +144,37 @@ def _families() -> tuple[dict[str, str], list[tuple]]:
     return texts, rules
 
 
-_MORE_TEXTS, _MORE_RULES = _families()
-TEXTS |= _MORE_TEXTS
-TEXT_RULES = (*TEXT_RULES, *_MORE_RULES)
+def _runs(name: str, licence: str, ids: tuple[str, ...], telling: int) -> Iterator[tuple]:
+    """Rules for every run of a licence's sentences that holds one of its first `telling`."""
+    for i in range(min(telling, len(ids))):
+        for j in range(i + 1, len(ids) + 1):
+            yield f"{name}-{i + 1}-{j}", licence, ids[i:j]
+
+
+def _further() -> tuple[dict[str, str], list[tuple]]:
+    """Sentences and rules of FURTHER, of the GNU documentation licence, and of BSD texts with their disclaimer."""
+    texts, rules = dict(BSD_MORE), []
+    for licence, key, sentences, telling in FURTHER:
+        ids = tuple(f"{key}-{k}" for k in range(1, len(sentences) + 1))
+        texts |= dict(zip(ids, sentences))
+        rules += _runs(key, licence, ids, telling)
+    for v in GFDL:
+        key = f"gfdl-{v}"
+        texts[key] = f"permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license version {v.replace('.', ' ')} or any later version published by the free software foundation"
+        rules.append((f"{key}-line", f"GFDL-{v}", (key,)))
+    rules += [
+        ("bsd-4-full", "BSD-4-Clause", ("bsd-head", "bsd-source", "bsd-binary", "bsd-advertising", "bsd-name")), ("bsd-4-conditions", "BSD-4-Clause", ("bsd-source", "bsd-binary", "bsd-advertising", "bsd-name")),
+        ("bsd-4-line", "BSD-4-Clause", ("bsd-advertising",)),
+        ("bsd-3-whole", "BSD-3-Clause", ("bsd-head", "bsd-source", "bsd-binary", "bsd-name", "bsd-warranty", "bsd-liability")), ("bsd-2-whole", "BSD-2-Clause", ("bsd-head", "bsd-source", "bsd-binary", "bsd-warranty", "bsd-liability")),
+    ]
+    return texts, rules
+
+
+for _texts, _rules in (_families(), _further()):
+    TEXTS |= _texts
+    TEXT_RULES = (*TEXT_RULES, *_rules)
 #: Every text that holds an entry of TEXTS or ENDS, or a tag, matches this.
-HINT = re.compile(r"licen[sc]e|software|copyright|redistribution", re.I)
+HINT = re.compile(r"licen[sc]e|software|copyright|redistribution|notice|stuff|mulan|eupl|psl|mpl|acknowledgement", re.I)
 LINE = re.compile(r"[^\r\n]+")
 LEADER = re.compile(r"[ \t]*(?:(?://+|/\*+|\*+/?|#+|;+|--+|%+|<!--|\(\*|rem\b|dnl\b|['\"]{3})[ \t]*)*", re.I)
 ITEM = re.compile(r"\(?(?:\d+|[a-z])[.)][ \t]")
@@ -182,13 +242,15 @@ def recognise(ids: list[str], rules) -> Iterator[tuple[int, int, str, str]]:
             i += 1
 
 
-def scan_licenses(docs: DataFrame, sentences: dict[str, str] = SENTENCES, rules=RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan_licenses(
+    docs: DataFrame, sentences: dict[str, str] = SENTENCES, rules=RULES, texts: dict[str, str] = TEXTS, ends: dict[str, str] = ENDS, text_rules=TEXT_RULES, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
     """One row for each document: id, n_sentences known, licenses (distinct, sorted, joined by commas), matches.
 
     Statements: texts are cut at line ends and at .!?;: before white space; a sentence is normalised to its lower-case
     ASCII letters and digits. Known sentences become identifiers; rules match runs of successive identifiers,
-    other sentences between them are passed over. Full licence texts and headers (TEXTS, ENDS, TEXT_RULES) are found
-    besides in the unwrapped sentences, which take the place of statements inside them, and SPDX tags by their
+    other sentences between them are passed over. Full licence texts and headers (`texts`, `ends`: normalised sentences and
+    ends of sentences by identifier; `text_rules`) are found besides in the unwrapped sentences, which take the place of statements inside them, and SPDX tags by their
     identifiers, each of which counts as a sentence. matches: rule, licence, start and end in code points.
     The tables of sentences and rules travel with the tasks, so they are meant to hold thousands of entries,
     not millions. Nothing is shuffled. Null and empty texts have no match; repeated rows are scanned each, texts of any
@@ -196,9 +258,10 @@ def scan_licenses(docs: DataFrame, sentences: dict[str, str] = SENTENCES, rules=
     """
     known = {text: key for key, text in sentences.items()}
     shortest = min(map(len, known), default=1)  # a sentence is no shorter than its normal form
-    whole = {text: key for key, text in TEXTS.items()}
-    ends = tuple((end, key) for key, end in ENDS.items())
-    rules = (*rules, *TEXT_RULES)
+    whole = {text: key for key, text in texts.items()}
+    tails = tuple((end, key) for key, end in ends.items())
+    rules = (*rules, *text_rules)
+    hint = HINT if texts is TEXTS and ends is ENDS else re.compile("")  # other tables: every text is looked at
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -212,10 +275,10 @@ def scan_licenses(docs: DataFrame, sentences: dict[str, str] = SENTENCES, rules=
                         spans.append((at, cut[0]))
                     at = cut[1]
                 tags: list[tuple[int, int, str]] = []
-                if text and HINT.search(text):
+                if text and hint.search(text):
                     full = []
                     for lo, hi, sentence in unwrapped(text):
-                        found = whole.get(sentence) or next((k for end, k in ends if sentence.endswith(end)), None)
+                        found = whole.get(sentence) or next((k for end, k in tails if sentence.endswith(end)), None)
                         if found and (found != "apache-at" or full):
                             full.append((lo, hi, found))
                     if full:

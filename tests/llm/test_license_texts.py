@@ -101,3 +101,33 @@ def test_every_rule_is_found_in_its_own_sentences():
             found = list(license_scan.recognise(list(seq), rules))
             assert [(m[2], m[3]) for m in found] == [(name, licence)]
             assert all(license_scan.normalise(tables[k]) == tables[k] for k in seq)
+
+
+def test_every_sentence_is_hinted_at():
+    """Texts without a hint are passed over, so each known sentence has one."""
+    for text in (license_scan.TEXTS | license_scan.ENDS).values():
+        assert license_scan.HINT.search(text)
+
+
+def test_tables_are_arguments(spark):
+    texts = {"a-1": "anyone may use this thing", "a-2": "it comes as it is"}
+    df = spark.createDataFrame([(1, "Anyone may\nuse this thing. It comes as it is."), (2, MIT), (3, "It comes as it is, and Anyone may use this thing")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in license_scan.scan_licenses(df, {}, (), texts, {"a-3": "use this thing"}, (("a", "House-1.0", ("a-1", "a-2")), ("b", "House-2.0", ("a-3",)))).collect()}
+    assert [got[i]["licenses"] for i in (1, 2, 3)] == ["House-1.0", "", "House-2.0"]
+
+
+def test_further_licences(spark):
+    """Sentences of each further licence, wrapped and in a comment, give that licence alone."""
+    made = []
+    for licence, key, sentences, telling in license_scan.FURTHER:
+        text = ". ".join(x[0].upper() + x[1:] for x in sentences) + "."
+        words, line, lines = text.split(" "), "", []
+        for w in words:
+            if len(line) + len(w) > 70:
+                lines.append(line)
+                line = ""
+            line = f"{line} {w}".strip()
+        made.append((len(made), "\n".join(f"# {x}" for x in [*lines, line]), licence))
+    df = spark.createDataFrame(made, "doc_id long, text string, licence string")
+    got = license_scan.scan_licenses(df).collect()
+    assert {r["doc_id"]: r["licenses"] for r in got} == {i: lic for i, _, lic in made}
