@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from .common import Scratch
+
 SPACE = r"[\x20\x09-\x0D]+"
 BUCKETS = 1024
+COPIES = 64  # parts of a row's copies
 SCALE = 4  # a sketch keeps every hash in this part of the hash space
 
 
@@ -65,9 +68,10 @@ def with_next(docs: DataFrame, key: str, values: list[str], parts: int, text: st
     columns to the rows and to the few sentinels alike, after these were picked.
 
     A window over the whole table would be one task. Keys are cut at sampled quantiles into `parts` slices, and a key
-    that fills several of them (or the null keys) into BUCKETS ranges of the text's hash. Each slice is a window
-    of its own, and gets as sentinel the first row of the slice that follows, found by a join with one row for each
-    slice. Copies of one row stay together.
+    that fills several of them (or the null keys) into BUCKETS ranges of the text's hash. Copies of one row that are still
+    too many for one slice are dealt to COPIES parts by their input partition: they are equal, so any order is theirs. Each
+    part is a window of its own, and gets as sentinel the first row of the part that follows, found by a join with one
+    row for each part: `parts`, and BUCKETS + COPIES for each of the fewer than `parts` such keys and copies, at most.
     """
     bounds, often = _slices(docs.select(F.col(key).alias("k")).where("k is not null"), parts)
     step = max(1, int(len(bounds) ** 0.5))
@@ -81,8 +85,18 @@ def with_next(docs: DataFrame, key: str, values: list[str], parts: int, text: st
     shared = F.col(key).isNull() | (F.col(key).isin(often) if often else F.lit(False))
     # numbers ascend as keys descend; the keys above a shared one in its slice come before it
     slot = F.when(shared, bucket).otherwise(0) - F.when(F.col(key).isNull(), F.lit(-1)).otherwise(slot) * (BUCKETS + 1)
-    rows = docs.withColumn("_hash", F.xxhash64(text)).withColumn("_slot", slot).withColumn("_sentinel", F.lit(0))
-    # a row for each slice: at most `parts` + BUCKETS for each shared key, of which there are fewer than `parts`
+    rows = docs.withColumn("_hash", F.xxhash64(text))
+    # hashes that too many rows of a shared key have, in order: what lies between two of them is a part, and each is COPIES
+    counts = rows.where(shared).groupBy(F.col(key).alias("_key"), F.col("_hash").alias("_h")).agg(F.count("*").alias("_n"))
+    most = docs.agg(F.ceil(F.count("*") / parts)).scalar()
+    hot = counts.withColumn("_most", most).where("_n > _most").groupBy("_key").agg(F.array_sort(F.collect_list("_h")).alias("_hot"))
+    rows = rows.join(F.broadcast(hot), rows[key].eqNullSafe(hot["_key"]), "left").withColumn("_hot", F.coalesce("_hot", F.array().cast("array<bigint>")))
+    copy = F.array_contains("_hot", F.col("_hash"))
+    part = 2 * F.size(F.filter("_hot", lambda h: h < F.col("_hash"))) + copy.cast("int")
+    rows = rows.withColumn("_slot", F.struct(slot.alias("s"), part.alias("p"), F.when(copy, F.spark_partition_id() % COPIES).otherwise(0).alias("c")))
+    rows = rows.select(*docs.columns, "_hash", "_slot", F.lit(0).alias("_sentinel"))
+    if hot.limit(1).count():  # parts by input partition hold for one reading only
+        rows = Scratch(docs.sparkSession, "copies").write(rows, "rows")
     first = F.max(F.struct(F.col(key).isNotNull().alias("has"), F.col(key).alias("top"), F.bitwise_not("_hash").alias("h")))
     tops = rows.groupBy(F.col("_slot").alias("of")).agg(first.alias("t"))
     order = Window.orderBy(F.desc("of"))
@@ -90,6 +104,8 @@ def with_next(docs: DataFrame, key: str, values: list[str], parts: int, text: st
     heads = rows.join(F.broadcast(tops), rows[key].eqNullSafe(tops["top"]) & (rows["_hash"] == tops["h"]) & (rows["_slot"] == tops["of"])).select(
         *[rows[c] for c in docs.columns], rows["_hash"], F.col("to").alias("_slot"), F.lit(1).alias("_sentinel")
     )
+    # a part of copies has one row for each as its first: one is enough
+    heads = heads.dropDuplicates(["_slot"])
     w = Window.partitionBy("_slot").orderBy("_sentinel", F.desc_nulls_last(key), "_hash", text)
     out = derive(rows.unionByName(heads)).select("*", *[F.lead(v).over(w).alias(f"next_{v}") for v in values])
     return out.where("_sentinel = 0").drop("_slot", "_sentinel", "_hash")

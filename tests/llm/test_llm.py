@@ -368,6 +368,22 @@ def test_next_of_an_id_that_fills_many_slices(spark):
     assert got == dict(zip(order, [*order[1:], order[0]]))
 
 
+def test_next_of_many_copies_of_one_row(spark):
+    """Copies under one id, and under none: each but one is its own next, the last one has the row after them."""
+    rows = [(7, "same text")] * 400 + [(7, f"text {i}") for i in range(40)] + [(None, "none")] * 300 + [(None, f"none {i}") for i in range(9)] + [(i, f"other {i}") for i in range(20, 60)]
+    df = spark.createDataFrame(rows, "id long, text string").repartition(7)
+    out = fingerprint.with_next(df, "id", ["text"], 16, "text")
+    got = {}
+    for r in out.collect():
+        got.setdefault((r["id"], r["text"]), []).append(r["next_text"])
+    key = {r["text"]: r["h"] for r in df.select("text", F.xxhash64("text").alias("h")).distinct().collect()}
+    order = [t for _, t in sorted(set(rows), key=lambda x: (x[0] is None, -(x[0] or 0), key[x[1]]))]
+    after = dict(zip(order, [*order[1:], order[0]]))
+    assert sum(map(len, got.values())) == len(rows)
+    for (_, text), nexts in got.items():
+        assert sorted(nexts) == sorted([after[text]] + [text] * (len(nexts) - 1))
+
+
 def test_merged_sketch_is_the_sketch_of_both(spark):
     df = spark.createDataFrame([("a b c d e f g h i j k l", "m n o p q r s t u v w x y z")], "a string, b string")
     for c in ("a", "b"):
