@@ -2,40 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
-
-BLOCKS = "chain long, chrom string, block_start long, block_end long, target_chrom string, target_start long, target_strand string, target_size long, score long"
-
-
-def blocks(text: str) -> Iterator[tuple]:
-    """A header names the chain's ends; its lines give a block's size and the gaps to the next on either side."""
-    at, n = None, 1  # chains without a number are counted
-    for line in text.splitlines():
-        f = line.split()
-        if not f or f[0].startswith("#"):
-            continue
-        if f[0] == "chain":
-            at = [f[2], int(f[5]), f[7], int(f[10]), f[9], int(f[8]), int(f[1]), int(f[12]) if len(f) > 12 else n]
-            n += 1
-        elif at:
-            size = int(f[0])
-            yield at[7], at[0], at[1], at[1] + size, at[2], at[3], at[4], at[5], at[6]
-            if len(f) == 3:
-                at[1] += size + int(f[1])
-                at[3] += size + int(f[2])
-            else:
-                at = None
+from .sequences import in_sections, numbered_lines
 
 
 def read_chain(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Blocks for `operators.variants.lift_over`; a file is one task."""
-
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for text in batch["value"]:
-                yield pd.DataFrame(list(blocks(text)), columns=[c.split()[0] for c in BLOCKS.split(", ")])
-
-    return spark.read.text(paths, wholetext=True).mapInPandas(parse, BLOCKS)
+    """Blocks (chain, chrom, block_start, block_end, target_chrom, target_start, target_strand, target_size, score) for
+    `operators.variants.lift_over`.
+
+    A header names the chain's ends; its lines give a block's size and the gaps to the next on either side. A block's
+    place is the sum of the sizes and gaps before it in its chain (see `sequences.in_sections`), so a file is read in
+    splits. Chains without a number are counted in their file. Comments and blank lines are passed over.
+    """
+    f = F.split(F.trim("value"), r"\s+")
+    lines = numbered_lines(spark, paths).where("trim(value) != '' AND NOT startswith(value, '#')").select("file", "line_no", f.alias("f"))
+    at = lambda i: F.get("f", F.lit(i))
+    number = lambda i: at(i).try_cast("long")
+    head = F.struct(number(1).alias("score"), at(2).alias("chrom"), number(5).alias("start"), at(7).alias("target"), number(8).alias("size"), at(9).alias("strand"), number(10).alias("target_start"), number(12).alias("id"))
+    lines = lines.withColumn("head", F.when(at(0) == "chain", head))
+    size = F.when(F.col("head").isNull(), number(0))
+    rows = in_sections(lines.withColumn("size", size), "head", {"before": F.col("size") + F.coalesce(number(1), F.lit(0)), "target_before": F.col("size") + F.coalesce(number(2), F.lit(0))})
+    start, other = F.col("head.start") + F.col("before"), F.col("head.target_start") + F.col("target_before")
+    return rows.where("size IS NOT NULL").select(
+        F.coalesce("head.id", "no").alias("chain"), "head.chrom", start.alias("block_start"), (start + F.col("size")).alias("block_end"), F.col("head.target").alias("target_chrom"), other.alias("target_start"),
+        F.col("head.strand").alias("target_strand"), F.col("head.size").alias("target_size"), "head.score",
+    )

@@ -12,7 +12,7 @@ import zlib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.names import natural_key
 
@@ -82,28 +82,38 @@ def read_fasta(spark: SparkSession, paths: str | list[str], chunk: int = 1 << 20
     `flank` letters (`lead` of them on the left) of its neighbours, so that motifs over its ends are seen whole. `no` counts
     the file's sequences. A sequence without letters is one chunk without any; lines before the first header are passed over.
 
-    Lines get their offset in two steps: within runs of RUN lines, then over one row for each run. They go to the
-    chunks that they touch, so that no row is longer than a chunk with its flanks, or a line of the file.
+    Lines get their offset by `in_sections`. They go to the chunks that they touch, so that no row is longer than a chunk with
+    its flanks, or a line of the file.
     """
-    lines = numbered_lines(spark, paths).withColumn("run", F.floor(F.col("line_no") / RUN))
     head = F.startswith("value", F.lit(">"))
     name = F.coalesce(F.get(F.split(F.trim(F.substr("value", F.lit(2))), r"\s+"), F.lit(0)), F.lit(""))
-    lines = lines.select("file", "run", "line_no", F.when(head, name).alias("title"), F.when(head, "").otherwise(F.regexp_replace("value", r"\s+", "")).alias("s"))
+    lines = numbered_lines(spark, paths).select("file", "line_no", F.when(head, name).alias("chrom"), F.when(head, "").otherwise(F.regexp_replace("value", r"\s+", "")).alias("s"))
+    return _chunked(in_sections(lines, "chrom", {"at": F.length("s")}), ["file", "no", "chrom"], chunk, flank)
+
+
+def in_sections(lines: DataFrame, head: str, sums: dict[str, Column]) -> DataFrame:
+    """The lines (file, line_no, ...) of sections, each of which begins at a line whose column `head` is not null: with the
+    file's number of the section (no, from 1), its head, and for each of `sums` the sum over the section's lines before.
+
+    This takes two steps: within runs of RUN lines, and over one row for each run, which tells what the runs before it
+    carry into its lines before its first head. Lines before a file's first head are left out.
+    """
+    rows = lines.withColumn("run", F.floor(F.col("line_no") / RUN))
     upto = Window.partitionBy("file", "run").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-    lines = lines.withColumn("heads", F.count("title").over(upto)).withColumn("title", F.last("title", True).over(upto))
+    rows = rows.withColumn("heads", F.count(head).over(upto)).withColumn(head, F.last(head, True).over(upto))
     within = Window.partitionBy("file", "run", "heads").orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
-    lines = lines.withColumn("at", F.coalesce(F.sum(F.length("s")).over(within), F.lit(0)))
-    # one row for each run: what the runs before it carry into its lines before its first header
-    last = F.max_by(F.struct("heads", "title", (F.col("at") + F.length("s")).alias("tail")), "line_no").alias("l")
-    runs = lines.groupBy("file", "run").agg(last).select("file", "run", "l.*")
+    rows = rows.select("*", *[c.alias(f"_of_{k}") for k, c in sums.items()], *[F.coalesce(F.sum(c).over(within), F.lit(0)).alias(k) for k, c in sums.items()])
+    ends = [(F.col(k) + F.coalesce(F.col(f"_of_{k}"), F.lit(0))).alias(k) for k in sums]
+    runs = rows.groupBy("file", "run").agg(F.max_by(F.struct("heads", head, *ends), "line_no").alias("l")).select("file", "run", "l.*")
     in_file = Window.partitionBy("file").orderBy("run")
-    runs = runs.withColumn("no", F.sum("heads").over(in_file)).withColumn("tail", F.sum("tail").over(Window.partitionBy("file", "no").orderBy("run")))
-    runs = runs.select("file", "run", *[F.lag(c).over(in_file).alias(f"_{c}") for c in ("no", "tail")], F.last("title", True).over(in_file.rowsBetween(Window.unboundedPreceding, -1)).alias("_title"))
-    rows = lines.join(runs, ["file", "run"]).select(
-        "file", (F.coalesce("_no", F.lit(0)) + F.col("heads")).alias("no"), F.coalesce("title", "_title").alias("chrom"),
-        (F.col("at") + F.when(F.col("heads") == 0, F.coalesce("_tail", F.lit(0))).otherwise(0)).alias("at"), "s",
-    ).where("no > 0")
-    return _chunked(rows, ["file", "no", "chrom"], chunk, flank)
+    runs = runs.withColumn("no", F.sum("heads").over(in_file))
+    runs = runs.select("file", "run", "no", head, *[F.sum(k).over(Window.partitionBy("file", "no").orderBy("run")).alias(k) for k in sums])
+    carried = [F.lag(c).over(in_file).alias(f"_{c}") for c in ("no", *sums)]
+    runs = runs.select("file", "run", *carried, F.last(head, True).over(in_file.rowsBetween(Window.unboundedPreceding, -1)).alias("_head"))
+    sofar = lambda k: F.col(k) + F.when(F.col("heads") == 0, F.coalesce(f"_{k}", F.lit(0))).otherwise(0)
+    rest = [c for c in lines.columns if c not in ("file", head)]
+    out = rows.join(runs, ["file", "run"]).select("file", (F.coalesce("_no", F.lit(0)) + F.col("heads")).alias("no"), F.coalesce(head, "_head").alias(head), *rest, *[sofar(k).alias(k) for k in sums])
+    return out.where("no > 0")
 
 
 def _chunked(pieces: DataFrame, by: list[str], chunk: int, flank: int) -> DataFrame:
