@@ -19,8 +19,15 @@ def shared_folder(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
+def until_exit(spark: SparkSession, place: str) -> None:
+    """The driver's file system removes the folder, which is there already, when its JVM ends; results may read it till then."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(place)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows as a table of the shared folder, where later plans read them again and find the same ones."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    until_exit(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
