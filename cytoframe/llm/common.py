@@ -10,7 +10,7 @@ from contextvars import ContextVar
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..sources.folders import shared_folder
+from ..sources.folders import shared_folder, until_exit
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,7 +24,8 @@ _MADE: ContextVar[list | None] = ContextVar("scratch", default=None)
 class Scratch:
     """Tables written to the shared folder, so that a lost executor costs no recomputed lineage.
 
-    Results read them lazily, so an operator can free only what no later plan of its own reads; see `temporary`.
+    Results read them lazily, so an operator can free only what no later plan of its own reads. What is left goes with
+    `temporary`, or else when the driver's JVM ends.
     """
 
     def __init__(self, spark: SparkSession, name: str):
@@ -35,6 +36,7 @@ class Scratch:
     def write(self, df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
         path = f"{self.root}/{name}"
         df.write.option("compression", compression).parquet(path)
+        until_exit(self.spark, path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
