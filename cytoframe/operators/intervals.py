@@ -43,16 +43,15 @@ def levels_of(intervals: DataFrame, first: Column, last: Column, bin_size: int)
 
 def _spread(intervals: DataFrame, coord: str, bin_size: int, start: str, end: str) -> DataFrame:
     lo, hi = bounds(F.col(start), F.col(end), coord)
-    rows = intervals.where(lo <= hi).withColumn("_l", level_of(lo, hi, bin_size))
-    return rows.select(*intervals.columns, F.inline(_touched(lo, hi, F.col("_l"), bin_size)))
+    rows = intervals.where(lo <= hi).withColumn("_level", level_of(lo, hi, bin_size)).withColumn("_w", _width(F.col("_level"), bin_size))
+    return rows.select(*intervals.columns, "_level", F.explode(F.sequence(F.floor(lo / F.col("_w")), F.floor(hi / F.col("_w")))).alias("_bin"))
 
 
 def _placed(points: DataFrame, intervals: DataFrame, coord: str, bin_size: int, pos: str, start: str, end: str) -> DataFrame:
     """The points with one bin of each level that an interval has."""
     lo, hi = bounds(F.col(start), F.col(end), coord)
-    found = levels_of(intervals, lo, hi, bin_size)
-    at = F.transform(F.col("_levels"), lambda k: F.struct(k.alias("_level"), F.floor(F.col(pos) / _width(k, bin_size)).alias("_bin")))
-    return points.withColumn("_levels", found).select(*points.columns, F.inline(at))
+    rows = points.withColumn("_levels", levels_of(intervals, lo, hi, bin_size)).select(*points.columns, F.explode("_levels").alias("_level"))
+    return rows.withColumn("_bin", F.floor(F.col(pos) / _width(F.col("_level"), bin_size)))
 
 
 def in_bins(points: DataFrame, intervals: DataFrame, coord: str, bin_size: int = 1000, pos: str = "pos", start: str = "start_pos", end: str = "end_pos") -> DataFrame:

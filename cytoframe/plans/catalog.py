@@ -960,9 +960,9 @@ def tss_jobs(spark, sf):
     return flagship.tss_jobs(tables.read_sheet(spark, at, ("allc_path", "bed_path", "out_dir")))
 
 
-@query(f"SELECT CAST(unnest(range({FIRST}, {LAST_OFFSET} + 1)) AS BIGINT) AS position_relative_to_tss, CAST(0 AS BIGINT) AS total_coverage, CAST(0 AS BIGINT) AS total_methylated, CAST(NULL AS DOUBLE) AS methylation_percentage, CAST(0 AS BIGINT) AS sites_with_data")
+@query(_tss_sql("allc").replace("AS strand_side FROM regions)", "AS strand_side FROM regions WHERE start_pos < 0)"))
 def tss_profile_empty(spark, sf):
-    return me.anchor_profile(frame(spark, sf, "allc"), frame(spark, sf, "regions").where("false"), FIRST, LAST_OFFSET, "all")
+    return me.anchor_profile(frame(spark, sf, "allc"), frame(spark, sf, "regions").where("start_pos < 0"), FIRST, LAST_OFFSET, "all")
 
 
 @query(f"""{cte('listing')} SELECT name, regexp_replace(name, '_S\\d+.*$', '') AS sample, regexp_replace(name, '_L\\d+.*$', '') AS with_number,
