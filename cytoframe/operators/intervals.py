@@ -30,10 +30,10 @@ def _width(level: Column, bin_size: int) -> Column:
     return F.lit(bin_size).cast("long") * F.call_function("shiftleft", F.lit(1).cast("long"), level * (STEP.bit_length() - 1))
 
 
-def _touched(first: Column, last: Column, level: Column, bin_size: int) -> Column:
-    """(_level, _bin) of the bins of one level that [first, last] touches."""
-    w = _width(level, bin_size)
-    return F.transform(F.sequence(F.floor(first / w), F.floor(last / w)), lambda b: F.struct(level.alias("_level"), b.alias("_bin")))
+def _all_bins(df: DataFrame, lo: Column, hi: Column, keep: list[str]) -> DataFrame:
+    """`keep` and a row for each bin that [lo, hi] touches of its own level (`_own`) and of the higher ones in `_levels`."""
+    rows = df.select("*", F.explode(F.array_union(F.array("_own"), "_levels")).alias("_level")).where("_level >= _own").withColumn("_w", _width(F.col("_level"), 1))
+    return rows.select(*keep, "_level", F.explode(F.sequence(F.floor(lo / F.col("_w")), F.floor(hi / F.col("_w")))).alias("_bin"))
 
 
 def levels_of(intervals: DataFrame, first: Column, last: Column, bin_size: int) -> Column:
@@ -119,9 +119,8 @@ def join_overlapping(rows: DataFrame, others: DataFrame, bin_size: int = 1000, a
 
     def reach(df: DataFrame, first: str, last: str, found: Column, own: str) -> DataFrame:
         lo, hi = F.col(first), F.col(last) - 1
-        df2 = df.where(lo <= hi).withColumn(own, level_of(lo, hi, bin_size)).withColumn("_levels", found)
-        every = F.flatten(F.transform(F.array_union(F.array(own), F.filter("_levels", lambda k: k > F.col(own))), lambda k: _touched(lo, hi, k, bin_size)))
-        return df2.select(*df.columns, own, F.inline(every))
+        placed = df.where(lo <= hi).withColumn("_own", level_of(lo, hi, bin_size)).withColumn("_levels", found)
+        return _all_bins(placed, lo / bin_size, hi / bin_size, [*df.columns, F.col("_own").alias(own)])
 
     x = reach(rows, s, e, levels_of(others, F.col(t), F.col(u) - 1, bin_size), "_la")
     y = reach(others, t, u, levels_of(rows, F.col(s), F.col(e) - 1, bin_size), "_lb")
@@ -142,19 +141,21 @@ def overlapping(rows: DataFrame, others: DataFrame, bin_size: int = 1000, start:
     ours = levels_of(rows, F.col(start), F.col(end) - 1, bin_size)
 
     def bins(df: DataFrame, lo: Column, hi: Column, found: Column) -> DataFrame:
-        df = df.withColumn("_l", level_of(lo, hi, bin_size)).withColumn("_levels", found)
-        every = F.array_union(F.array("_l"), F.filter("_levels", lambda k: k > F.col("_l")))
-        return df.withColumn("_at", F.flatten(F.transform(every, lambda k: _touched(lo, hi, k, bin_size)))).drop("_l", "_levels")
+        return df.withColumn("_own", level_of(lo, hi, bin_size)).withColumn("_levels", found)
 
-    spread = bins(bare, F.col("_s"), F.col("_e") - 1, ours)
-    spread = spread.select("_c", "_s", "_e", F.inline("_at")).withColumnsRenamed({"_level": "_k", "_bin": "_b"})
+    theirs_lo, theirs_hi = F.col("_s"), F.col("_e") - 1
+    spread = _all_bins(bins(bare, theirs_lo, theirs_hi, ours), theirs_lo / bin_size, theirs_hi / bin_size, ["_c", "_s", "_e"])
+    spread = spread.withColumnsRenamed({"_level": "_k", "_bin": "_b"})
 
     def met(df: DataFrame) -> DataFrame:
         on = (df["chrom"] == spread["_c"]) & (df["_level"] == spread["_k"]) & (df["_bin"] == spread["_b"]) & (df[start] < spread["_e"]) & (df[end] > spread["_s"])
         return df.join(spread, on, "left_semi").drop(*PLACE)
 
-    own = bins(rows.where(F.col(start) < F.col(end)), F.col(start), F.col(end) - 1, theirs)
-    one = met(own.where(F.size("_at") == 1).select(*rows.columns, F.inline("_at")))
-    many = own.where(F.size("_at") > 1).withColumn("_row", F.monotonically_increasing_id())
-    many = met(many.select(*rows.columns, "_row", F.inline("_at"))).dropDuplicates(["_row"]).drop("_row")
+    lo, hi = F.col(start), F.col(end) - 1
+    own = bins(rows.where(lo <= hi), lo, hi, theirs).withColumn("_w", _width(F.col("_own"), bin_size))
+    first = F.floor(lo / F.col("_w"))
+    single = (F.coalesce(F.array_max("_levels"), F.lit(-1)) <= F.col("_own")) & (first == F.floor(hi / F.col("_w")))
+    one = met(own.where(single).select(*rows.columns, F.col("_own").alias("_level"), first.alias("_bin")))
+    many = own.where(~single).withColumn("_row", F.monotonically_increasing_id())
+    many = met(_all_bins(many, lo / bin_size, hi / bin_size, [*rows.columns, "_row"])).dropDuplicates(["_row"]).drop("_row")
     return one.unionByName(many)
