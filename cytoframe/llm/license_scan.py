@@ -89,7 +89,7 @@ FURTHER = (
     ("PostgreSQL", "postgresql", ("permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted provided that the above copyright notice and this paragraph and the following two paragraphs appear in all copies",), 1),
     ("HPND", "hpnd", ("permission to use copy modify and distribute this software and its documentation for any purpose and without fee is hereby granted provided that the above copyright notice appear in all copies and that both that copyright notice and this permission notice appear in supporting documentation",), 1),
     ("MPL-1.1", "mpl-1.1", ("the contents of this file are subject to the mozilla public license version 1 1 the license you may not use this file except in compliance with the license", "you may obtain a copy of the license at http www mozilla org mpl", "software distributed under the license is distributed on an as is basis without warranty of any kind either express or implied"), 2),
-    ("CDDL-1.0", "cddl", ("the contents of this file are subject to the terms of the common development and distribution license version 1 0 only the license", "you may not use this file except in compliance with the license"), 1),
+    ("CDDL-1.0", "cddl", ("the contents of this file are subject to the terms of the common development and distribution license version 1 0 only the license",), 1),
     ("EPL-1.0", "epl-1", ("this program and the accompanying materials are made available under the terms of the eclipse public license v1 0 which accompanies this distribution and is available at http www eclipse org legal epl v10 html",), 1),
     ("EPL-2.0", "epl-2", ("this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at https www eclipse org legal epl 2 0",), 1),
     ("EPL-2.0", "epl-2-with", ("this program and the accompanying materials are made available under the terms of the eclipse public license v2 0 which accompanies this distribution and is available at https www eclipse org legal epl v20 html",), 1),
