@@ -15,6 +15,7 @@ CONSTANT = {
     "allc_files": {"flag"}, "bed_to_allc_lenient": {"flag"}, "bed_to_allc_strict": {"flag"}, "beta_to_allc": {"context", "flag", "strand"}, "overlap_semi_filter": {"flag"},
     "fastq_concatenated_records": {"plus"}, "fastq_files_by_barcode": {"plus"}, "fastq_four_way_records": {"plus"}, "tss_jobs": {"bed_path", "range_end", "strand_col"},
     "tss_profile_empty": {"methylation_percentage", "sites_with_data", "total_coverage", "total_methylated"}, "pipeline_region_tables": {"context"},
+    "pipeline_region_files": {"context"}, "chain_files": {"target_size"}, "fastq_file_copies": {"plus"},
     "vcf_in_cpg": {"ref"}, "downsample_labels": {"label"}, "fastq_match_counts": {"matched_reads"},
 }
 
