@@ -26,6 +26,12 @@ def level_of(first: Column, last: Column, bin_size: int) -> Column:
     return out.otherwise(F.lit(LEVELS - 1))
 
 
+def sorted_join(df: DataFrame) -> DataFrame:
+    """A side of a join of exploded rows, which is sorted and merged: Spark sizes such rows by the files that they come
+    from, and would send many times its broadcast limit through the driver."""
+    return df.hint("merge")
+
+
 def _width(level: Column, bin_size: int) -> Column:
     return F.lit(bin_size).cast("long") * F.call_function("shiftleft", F.lit(1).cast("long"), level * (STEP.bit_length() - 1))
 
@@ -63,7 +69,7 @@ def in_bins(points: DataFrame, intervals: DataFrame, coord: str, bin_size: int =
     """
     bare = intervals.select("chrom", start, end)
     touched = _spread(bare, coord, bin_size, start, end).select("chrom", *PLACE).distinct()
-    return _placed(points, bare, coord, bin_size, pos, start, end).join(touched, ["chrom", *PLACE], "left_semi")
+    return _placed(points, bare, coord, bin_size, pos, start, end).join(sorted_join(touched), ["chrom", *PLACE], "left_semi")
 
 
 def join_points(
@@ -86,7 +92,7 @@ def join_points(
     if crowded:
         placed, spread = _salted(placed, spread, on, pos, crowded)
         on = [*on, "_salt"]
-    return placed.join(spread, on).where((F.col(pos) >= lo) & (F.col(pos) <= hi)).drop(*PLACE, "_salt")
+    return placed.join(sorted_join(spread), on).where((F.col(pos) >= lo) & (F.col(pos) <= hi)).drop(*PLACE, "_salt")
 
 
 def join_binned(sites: DataFrame, intervals: DataFrame, coord: str, bin_size: int, pos: str = "pos", start: str = "start_pos", end: str = "end_pos") -> DataFrame:
@@ -97,7 +103,7 @@ def join_binned(sites: DataFrame, intervals: DataFrame, coord: str, bin_size: in
     """
     lo, hi = bounds(F.col(start), F.col(end), coord)
     level = level_of(lo, hi, bin_size)
-    short = sites.join(_spread(intervals.where(level == 0), coord, bin_size, start, end), ["chrom", *PLACE]).where((F.col(pos) >= lo) & (F.col(pos) <= hi)).drop(*PLACE)
+    short = sites.join(sorted_join(_spread(intervals.where(level == 0), coord, bin_size, start, end)), ["chrom", *PLACE]).where((F.col(pos) >= lo) & (F.col(pos) <= hi)).drop(*PLACE)
     return short.unionByName(join_points(sites.drop(*PLACE), intervals.where(level > 0), coord, bin_size, pos, start, end))
 
 
@@ -127,7 +133,7 @@ def join_overlapping(rows: DataFrame, others: DataFrame, bin_size: int = 1000, a
     x = reach(rows, s, e, levels_of(others, F.col(t), F.col(u) - 1, bin_size), "_la")
     y = reach(others, t, u, levels_of(rows, F.col(s), F.col(e) - 1, bin_size), "_lb")
     first = F.floor(F.greatest(s, t) / _width(F.col("_level"), bin_size))
-    met = x.join(y, ["chrom", *PLACE]).where((F.col(s) < F.col(u)) & (F.col(e) > F.col(t)) & (F.col("_level") == F.greatest("_la", "_lb")) & (F.col("_bin") == first))
+    met = x.join(sorted_join(y), ["chrom", *PLACE]).where((F.col(s) < F.col(u)) & (F.col(e) > F.col(t)) & (F.col("_level") == F.greatest("_la", "_lb")) & (F.col("_bin") == first))
     return met.drop(*PLACE, "_la", "_lb")
 
 
@@ -151,7 +157,7 @@ def overlapping(rows: DataFrame, others: DataFrame, bin_size: int = 1000, start:
 
     def met(df: DataFrame) -> DataFrame:
         on = (df["chrom"] == spread["_c"]) & (df["_level"] == spread["_k"]) & (df["_bin"] == spread["_b"]) & (df[start] < spread["_e"]) & (df[end] > spread["_s"])
-        return df.join(spread, on, "left_semi").drop(*PLACE)
+        return df.join(sorted_join(spread), on, "left_semi").drop(*PLACE)
 
     lo, hi = F.col(start), F.col(end) - 1
     own = bins(rows.where(lo <= hi), lo, hi, theirs).withColumn("_w", _width(F.col("_own"), bin_size))
