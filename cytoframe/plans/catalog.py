@@ -365,7 +365,7 @@ def read_pairs_streamed(spark, sf):
     r = ranks.placed(reads.properly_mapped(frame(spark, sf, "reads")), [], ["ord"], "rec_no")
     end = spark.range(1).select(F.lit("end").alias("qname"), F.lit(big).alias("rec_no"), F.timestamp_seconds(F.lit(1 << 32)).alias("time"), F.lit(99).alias("flag"), F.lit(0).alias("ref_id"), F.lit(0).cast("long").alias("start_pos"), F.lit(0).cast("long").alias("end_pos"))
     timed = r.select("qname", "rec_no", F.timestamp_seconds(F.col("ord.l_orderkey") + 1).alias("time"), "flag", "ref_id", "start_pos", "end_pos")
-    timed.repartition(3).write.parquet(f"{at}/in")
+    timed.repartition(max(3, int(spark.conf.get("spark.sql.shuffle.partitions")))).write.parquet(f"{at}/in")
     end.write.mode("append").parquet(f"{at}/in")  # moves the watermark past all reads
     before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", stream.ROCKSDB)

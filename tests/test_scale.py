@@ -1,8 +1,12 @@
 """Plans whose largest step grows no faster than the input."""
 
+import random
+
+import pandas as pd
 from pyspark.sql import functions as F
 
 from cytoframe.operators import intervals
+from cytoframe.streaming import reads as stream
 
 
 def plan(df) -> str:
@@ -18,3 +22,25 @@ def test_exploded_intervals_are_not_broadcast(spark):
     for df in (intervals.overlapping(a, a.where("start_pos % 180 = 0"), 7), near, intervals.join_points(p, a, "closed", 7), intervals.join_overlapping(a, other, 7)):
         assert "SortMergeJoin" in plan(df) and "BroadcastHashJoin" not in plan(df)
     assert intervals.overlapping(a, a.where("start_pos % 180 = 0"), 7).count() == 1000 and near.count() == 2000
+
+
+def test_pairs_of_a_bucket_of_names():
+    """Many names at once: the pairs of a walk over each name's reads, and what waits on."""
+    rng = random.Random(3)
+    for n in (0, 1, 2, 400):
+        rows = [(f"q{rng.randrange(60)}", i, rng.randrange(0, 100), 99, 0, i, i + 5) for i in range(n)]
+        want, waits = [], []
+        for name in {r[0] for r in rows}:
+            first = None
+            for r in sorted(r for r in rows if r[0] == name and r[2] <= 70):
+                if first is None or r[2] - first[2] > 20:
+                    first = r
+                else:
+                    want.append((name, first[1], r[1]))
+                    first = None
+            waits += [first] if first is not None and first[2] + 20 > 70 else []
+        waits += [r for r in rows if r[2] > 70]
+        done, kept, wake = stream.paired(pd.DataFrame(rows, columns=stream.NAMES), 70, 20)
+        assert sorted(zip(done["qname"], done["rec1"], done["rec2"])) == sorted(want)
+        assert sorted(kept.itertuples(index=False, name=None)) == sorted(waits)
+        assert wake == min((r[2] if r[2] > 70 else r[2] + 20 for r in waits), default=0)
