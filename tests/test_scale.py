@@ -1,11 +1,13 @@
 """Plans whose largest step grows no faster than the input."""
 
 import random
+import re
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from cytoframe.operators import intervals
+from cytoframe.operators import intervals, read_quality
 from cytoframe.streaming import reads as stream
 
 
@@ -44,3 +46,32 @@ def test_pairs_of_a_bucket_of_names():
         assert sorted(zip(done["qname"], done["rec1"], done["rec2"])) == sorted(want)
         assert sorted(kept.itertuples(index=False, name=None)) == sorted(waits)
         assert wake == min((r[2] if r[2] > 70 else r[2] + 20 for r in waits), default=0)
+
+
+def test_runs_of_all_reads_at_once():
+    """The bases that a walk over each read finds: several operations, short, absent and null qualities, odd texts."""
+    rng = random.Random(5)
+    reads = [(rng.randrange(1000), "".join(f"{rng.randrange(12)}{rng.choice('MIDNSHP=X')}" for _ in range(rng.randrange(6))), [rng.choice([10, 30, 40, None]) for _ in range(rng.randrange(40))]) for _ in range(300)]
+    reads += [(5, "*", [40]), (5, "3M", None), (7, "2x3M", [40] * 9), (9, "12", [40]), (9, "3M", [40] * 9)]
+    want = []
+    for i, (at, cigar, quals) in enumerate(reads):
+        q = 0
+        for n, op in re.findall(r"(\d+)([MIDNSHP=X])", cigar):
+            n = int(n)
+            if op in "M=X":
+                want += [(i, at + k) for k in range(n) if q + k < len(quals or []) and (quals[q + k] or 0) >= 30]
+            at += n if op in "MDN=X" else 0
+            q += n if op in "MIS=X" else 0
+    for skip in (0, 7):
+        part = pa.RecordBatch.from_arrays([pa.array([r[k] for r in reads], t) for k, t in enumerate((pa.int64(), pa.string(), pa.list_(pa.int32())))], names=list("acq")).slice(skip)
+        row, low, high = read_quality.covered_runs(part.column(0).to_numpy(), part.column(1), part.column(2), 30)
+        got = sorted((i + skip, x) for i, a, b in zip(row.tolist(), low.tolist(), high.tolist()) for x in range(a, b))
+        assert got == sorted(w for w in want if w[0] >= skip)
+
+
+def test_base_depth_decodes_reads_once(spark):
+    """The Python step stands in no plan of the result: what it gave is written."""
+    df = spark.createDataFrame([(0, 0, 20_000 * i, "9M", [40] * 9) for i in range(4)] * 2, "ref_id int, flag int, start_pos long, cigar string, quals array<int>")
+    got = read_quality.base_depth(df)
+    assert "MapInArrow" not in plan(got)
+    assert sorted(map(tuple, got.collect())) == [(0, 20_000 * i, 20_000 * i + 9, 2) for i in range(4)]
