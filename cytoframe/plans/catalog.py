@@ -105,9 +105,8 @@ def _cell_regions(spark, sf) -> DataFrame:
     """Sums of every region row in every cell, with the region's strand side and bin."""
     r = frame(spark, sf, "regions").withColumn("strand_side", F.when(F.col("strand") == "+", "top").otherwise("bottom"))
     r = r.select("rid", "chrom", "start_pos", "end_pos", "strand_side", "bin")
-    spine = r.withColumn("sample", F.explode(F.array(*map(F.lit, CELLS))))
     near = intervals.in_bins(frame(spark, sf, "allc"), r, "closed", 500)
-    return me.region_sums(me.last_call(near, "sample"), r, "closed", keys=("sample",), spine=spine)
+    return me.region_sums(me.last_call(near, "sample"), r, "closed", names=samples(spark))
 
 
 _CELL = f"""s AS (SELECT sample, chrom, pos, arg_max(mc, rec_no) AS mc, arg_max(cov, rec_no) AS cov FROM allc GROUP BY sample, chrom, pos),

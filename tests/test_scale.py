@@ -7,7 +7,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from cytoframe.operators import intervals, read_quality
+from cytoframe.operators import intervals, methylation, read_quality
 from cytoframe.streaming import reads as stream
 
 
@@ -75,3 +75,17 @@ def test_base_depth_decodes_reads_once(spark):
     got = read_quality.base_depth(df)
     assert "MapInArrow" not in plan(got)
     assert sorted(map(tuple, got.collect())) == [(0, 20_000 * i, 20_000 * i + 9, 2) for i in range(4)]
+
+
+def test_zeros_of_all_names_are_not_shuffled(spark):
+    """Rows are multiplied by names above the last exchange; every row has every name once, with its hits or zeros."""
+    rows = spark.range(50).select(F.col("id").alias("rid"), (F.col("id") % 3).alias("x")).unionByName(spark.range(1).select(F.lit(None).cast("long").alias("rid"), F.lit(9).cast("long").alias("x")))
+    names = spark.createDataFrame([("a", "u"), ("b", "u"), ("b", "v")], "sample string, context string")
+    hits = spark.createDataFrame([("b", "u", 3, 5, 2, 1), ("a", "u", 3, 7, 1, 2), ("b", "v", 49, 1, 0, 1), ("z", "u", 4, 1, 1, 1), ("a", "u", None, 1, 1, 1)], "sample string, context string, rid long, c long, m long, n long")
+    out = methylation.for_each(rows, hits, ["rid"], names)
+    text = plan(out)
+    assert text.index("Generate inline") < text.index("Exchange")
+    got = {(r["rid"], r["sample"], r["context"]): (r["c"], r["m"], r["n"]) for r in out.collect()}
+    assert len(got) == out.count() == 51 * 3
+    assert {k: v for k, v in got.items() if v != (0, 0, 0)} == {(3, "b", "u"): (5, 2, 1), (3, "a", "u"): (7, 1, 2), (49, "b", "v"): (1, 0, 1)}
+    assert methylation.for_each(rows, hits.where("false"), ["rid"], names).where("c + m + n = 0").count() == 153
