@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from cytoframe.operators import intervals, methylation, read_quality
+from cytoframe.sources import tables
 from cytoframe.streaming import reads as stream
 
 
@@ -89,3 +90,14 @@ def test_zeros_of_all_names_are_not_shuffled(spark):
     assert len(got) == out.count() == 51 * 3
     assert {k: v for k, v in got.items() if v != (0, 0, 0)} == {(3, "b", "u"): (5, 2, 1), (3, "a", "u"): (7, 1, 2), (49, "b", "v"): (1, 0, 1)}
     assert methylation.for_each(rows, hits.where("false"), ["rid"], names).where("c + m + n = 0").count() == 153
+
+
+def test_order_over_part_files(spark, tmp_path):
+    """`ord` goes on from part file to part file, whatever their sizes."""
+    long, short = [("c1", 5 + i, "+", "CG", 1, 2, 1) for i in range(300)], [("c1", 5, "+", "CG", 0, 9, 1)]
+    for n, part in enumerate((short, long, short)):
+        with open(tmp_path / f"part-0000{n}-x.txt", "w") as f:
+            f.writelines("\t".join(map(str, r)) + "\n" for r in part)
+    got = tables.read_allc(spark, str(tmp_path))
+    assert methylation.last_call(got).where("pos = 5").collect()[0]["cov"] == 9
+    assert methylation.last_call(tables.read_allc(spark, [str(tmp_path / f"part-0000{n}-x.txt") for n in (0, 1)])).where("pos = 5").collect()[0]["cov"] == 2
