@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from ..sources.folders import written
 
 CLOSED, ZERO_BASED = "closed", "zero_based_half_open"
 STEP = 16  # bins of the next level are so many times as wide; an interval touches one more bin of its level at most
 LEVELS = 9
+BLOCK = 4096  # bins whose running sums are added up together
 PLACE = ["_level", "_bin"]
 SHARES = 10_000  # a bin is never crowded with less than this part of all points, so crowded bins are that many at most
 
@@ -95,6 +98,35 @@ def join_points(
     return placed.join(sorted_join(spread), on).where((F.col(pos) >= lo) & (F.col(pos) <= hi)).drop(*PLACE, "_salt")
 
 
+def up_to(points: DataFrame, marks: DataFrame, sums: list[str], bin_size: int, pos: str = "pos") -> DataFrame:
+    """(chrom, pos, *sums): for each mark (chrom, pos; distinct) the sums over all points of its chromosome up to it, itself
+    included. Points are distinct by chrom and pos, their summed columns whole numbers.
+
+    A point meets no mark: within bins sums run on in the order of positions, and one row of each bin carries its sum on, in
+    blocks of bins. A bin holds at most two rows for each of its positions. Points that come partitioned by chrom and `_bin`
+    (see `bin_of`) stay where they are.
+    """
+    here, zero = F.col(pos), F.lit(0).cast("long")
+    own = F.col("_bin") if "_bin" in points.columns else bin_of(here, bin_size)
+    known = points.where(F.col("chrom").isNotNull() & here.isNotNull()).select("chrom", own, here.cast("long").alias("pos"), F.lit(False).alias("_mark"), *[F.coalesce(F.col(c).cast("long"), zero).alias(c) for c in sums])
+    asked = marks.select("chrom", bin_of(here, bin_size), here.cast("long").alias("pos"), F.lit(True).alias("_mark"), *[zero.alias(c) for c in sums])
+    order = Window.partitionBy("chrom", "_bin").orderBy("pos", "_mark")
+    running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = known.unionByName(asked).select("chrom", "_bin", "pos", "_mark", *[F.sum(c).over(running).alias(c) for c in sums], F.lead("pos").over(order).isNull().alias("_last"))
+    rows = written(rows.where("_mark OR _last"), "running")
+    ends = rows.where("_last").select("chrom", "_bin", F.floor(F.col("_bin") / BLOCK).alias("_block"), *sums)
+    earlier = lambda by, at: Window.partitionBy(*by).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = ends.groupBy("chrom", "_block").agg(*[F.sum(c).alias(c) for c in sums])
+    blocks = blocks.select("chrom", "_block", *[F.coalesce(F.sum(c).over(earlier(["chrom"], "_block")), zero).alias(f"_b_{c}") for c in sums])
+    before = ends.select("chrom", "_bin", "_block", *[F.coalesce(F.sum(c).over(earlier(["chrom", "_block"], "_bin")), zero).alias(f"_e_{c}") for c in sums])
+    before = before.join(blocks, ["chrom", "_block"]).select("chrom", "_bin", *[(F.col(f"_e_{c}") + F.col(f"_b_{c}")).alias(f"_e_{c}") for c in sums])
+    return rows.where("_mark").join(before, ["chrom", "_bin"]).select("chrom", "pos", *[(F.col(c) + F.col(f"_e_{c}")).alias(c) for c in sums])
+
+
+def bin_of(pos: Column, bin_size: int) -> Column:
+    return F.floor(pos / bin_size).alias("_bin")
+
+
 def join_binned(sites: DataFrame, intervals: DataFrame, coord: str, bin_size: int, pos: str = "pos", start: str = "start_pos", end: str = "end_pos") -> DataFrame:
     """`join_points` for a table of sites that is bucketed by its lowest bins (see `tables.write_bucketed`), of this width.
 

@@ -70,7 +70,7 @@ def region_methylation_closed(spark, sf):
 @query(_region_sql("r.start_pos", "r.rid, r.end_pos - r.start_pos + 1 AS region_length", "mixed"))
 def region_methylation_mixed(spark, sf):
     """Sites, short and long regions and whole chromosomes in one table."""
-    out = me.region_methylation(frame(spark, sf, "allc"), frame(spark, sf, "mixed"), "closed", crowded=20_000)
+    out = me.region_methylation(frame(spark, sf, "allc"), frame(spark, sf, "mixed"), "closed", long=True)
     return _named(out, "rid", (F.col("end_pos") - F.col("start_pos") + 1).alias("region_length"))
 
 

@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from cytoframe.operators import intervals, methylation, read_quality
+from cytoframe.plans import catalog
 from cytoframe.sources import tables
 from cytoframe.streaming import reads as stream
 
@@ -27,6 +28,28 @@ def test_exploded_intervals_are_not_broadcast(spark):
     assert intervals.overlapping(a, a.where("start_pos % 180 = 0"), 7).count() == 1000 and near.count() == 2000
 
 
+def test_long_regions_are_summed_from_their_ends(spark, tmp_path):
+    """No site meets a region; the sums are those of a walk over all sites, with nulls, repeated and empty regions."""
+    rng = random.Random(7)
+    sites = [(rng.choice(["c", "d", None]), rng.choice([None, *range(-20, 3_000_000, 9001), *range(60)]), rng.choice([None, 0, 1, 4]), rng.choice([None, 0, 5]), i) for i in range(3000)]
+    regions = [(i // 2, rng.choice(["c", "d", "e", None]), rng.choice([None, 0, 7, 9, 3_000_000]), rng.choice([None, 0, 8, 9, 50, 2_000_000, 10**10])) for i in range(300)]
+    allc = spark.createDataFrame(sites, "chrom string, pos long, mc long, cov long, ord long").repartition(3)
+    given = spark.createDataFrame(regions, "rid long, chrom string, start_pos long, end_pos long")
+    last = {(c, p): (m, n) for c, p, m, n, _ in sites}
+    for coord, more in (("closed", 0), ("zero_based_half_open", 1)):
+        sums = {}
+        for rid, c, lo, hi in regions:
+            if None not in (c, lo, hi):
+                own = [v for (d, p), v in last.items() if d == c and p is not None and lo + more <= p <= hi]
+                sums[rid] = [a + b for a, b in zip(sums.get(rid, (0, 0, 0)), (sum(n or 0 for _, n in own), sum(m or 0 for m, _ in own), len(own)))]
+        out = methylation.region_methylation(allc, given, coord, bin_size=10, long=True)
+        got = sorted((r["rid"], r["total_coverage"], r["total_methylated"], r["sites_with_data"]) for r in out.collect())
+        assert got == sorted((rid, *sums.get(rid, (0, 0, 0))) for rid, *_ in regions) and any(g[3] > 100 for g in got)
+    for t in ("lineitem", "orders"):
+        (tmp_path / f"{t}.parquet").symlink_to(f"/root/testdata/sf0.001/{t}.parquet")
+    assert "lineitem.parquet" not in plan(catalog.QUERIES["region_methylation_mixed"](spark, str(tmp_path)))
+
+
 def test_pairs_of_a_bucket_of_names():
     """Many names at once: the pairs of a walk over each name's reads, and what waits on."""
     rng = random.Random(3)
