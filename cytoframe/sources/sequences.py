@@ -11,7 +11,10 @@ import struct
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.names import natural_key
@@ -236,8 +239,34 @@ def read_bam(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return _files(spark, paths).mapInPandas(parse, READ)
 
 
+def quality_text(quals: pa.Array) -> pa.Array:
+    """Phred values as text, a character of the value plus 33 (its low byte) each; null and lower values give none."""
+    n = pc.fill_null(pc.list_value_length(quals), 0).to_numpy(zero_copy_only=False)
+    flat = quals.flatten()
+    code = pc.fill_null(flat, -34).to_numpy(zero_copy_only=False).astype(np.int64) + 33
+    kept, low = code >= 0, code.astype(np.uint8)
+    ends = np.concatenate(([0], np.cumsum(np.where(kept, 1 + (low > 127), 0))))[np.concatenate(([0], np.cumsum(n)))]
+    text = low[kept].tobytes().decode("latin-1").encode()
+    out = pa.LargeStringArray.from_buffers(len(quals), pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(text))
+    return pc.if_else(quals.is_valid(), out, None).cast(pa.string())
+
+
+def quality_values(text: pa.Array) -> pa.Array:
+    """The code points of texts less 33; a null text is null."""
+    raw = pc.fill_null(text, "").cast(pa.large_binary())
+    at = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset : raw.offset + len(raw) + 1]
+    code = np.frombuffer(raw.buffers()[2] or b"", np.uint8)[at[0] : at[-1]]
+    ends = at - at[0]
+    if (code > 127).any():
+        texts = [t.decode("utf-8", "replace") for t in raw.to_pylist()]
+        code = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+        ends = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(code.astype(np.int32) - 33), mask=pc.is_null(text))
+
+
 def read_sam(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """The columns of READ from SAM text, by DataFrame functions; rec_no counts the file's alignment lines."""
+    """The columns of READ from SAM text, by DataFrame functions, qualities by array arithmetic; rec_no counts the file's
+    alignment lines."""
     lines = numbered_lines(spark, paths).where("value != '' AND NOT startswith(value, '@')")
     rows = lines.select("file", "line_no", F.split("value", "\t").alias("c")).where(F.size("c") >= 11)
     c = lambda i: F.nullif(F.col("c")[i], F.lit("*"))
@@ -245,7 +274,7 @@ def read_sam(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     rows = rows.select(
         "file", "line_no", F.col("c")[0].alias("qname"), F.col("c")[1].cast("int").alias("flag"), c(2).alias("ref_name"), (F.col("c")[3].cast("long") - 1).alias("start_pos"), F.col("c")[4].cast("int").alias("mapq"),
         c(5).alias("cigar"), F.when(F.col("c")[6] == "=", c(2)).otherwise(c(6)).alias("mate_ref_name"), (F.col("c")[7].cast("long") - 1).alias("mate_pos"), F.col("c")[8].cast("long").alias("template_length"),
-        c(9).alias("seq"), F.when(c(10).isNotNull(), F.transform(F.filter(F.split(F.col("c")[10], ""), lambda x: x != ""), lambda x: F.ascii(x) - 33)).alias("quals"),
+        c(9).alias("seq"), F.arrow_udf(quality_values, "array<int>")(c(10)).alias("quals"),
         F.map_from_entries(F.transform(F.filter(F.slice("c", 12, 10_000), lambda t: ~F.contains(t, F.lit(":B:"))), lambda t: F.struct(F.substr(t, F.lit(1), F.lit(2)), F.substr(t, F.lit(6))))).alias("tags"),
     )
     ends = F.when(F.col("ref_name").isNotNull() & F.col("cigar").isNotNull(), F.col("start_pos") + length)
@@ -343,7 +372,7 @@ def write_sam(reads: DataFrame, path: str, header: tuple[str, ...] = (), partiti
     have = set(reads.columns)
     col = lambda c, other: F.coalesce(F.col(c).cast("string"), F.lit(other)) if c in have else F.lit(other)
     plus = lambda c: (F.coalesce(F.col(c), F.lit(-1)) + 1).cast("string") if c in have else F.lit("0")
-    quals = F.array_join(F.transform("quals", lambda q: F.char(q + 33)), "")
+    quals = F.arrow_udf(quality_text, "string")("quals")
     tags = F.array_join(F.transform(F.array_sort(F.map_entries("tags")), lambda t: F.concat(t["key"], F.lit(":Z:"), t["value"])), "\t") if "tags" in have else F.lit(None).cast("string")
     line = F.concat_ws(
         "\t", "qname", F.col("flag").cast("string"), col("ref_name", "*"), plus("start_pos"), col("mapq", "255"), col("cigar", "*"), col("mate_ref_name", "*"), plus("mate_pos"),

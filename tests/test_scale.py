@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cytoframe.operators import intervals, methylation, read_quality
 from cytoframe.plans import catalog
-from cytoframe.sources import tables
+from cytoframe.sources import sequences, tables
 from cytoframe.streaming import reads as stream
 
 
@@ -50,6 +50,26 @@ def test_long_regions_are_summed_from_their_ends(spark, tmp_path):
     assert "lineitem.parquet" not in plan(catalog.QUERIES["region_methylation_mixed"](spark, str(tmp_path)))
 
 
+def test_qualities_of_a_batch_at_once(spark, tmp_path):
+    """No function is called for each base; the values and texts are those of the functions that were, odd ones too."""
+    rng = random.Random(9)
+    values = [None, [], [None], [40, None, -34, -33, 94, 95, 222, 223, 300]] + [[rng.randrange(94) for _ in range(rng.randrange(60))] for _ in range(200)]
+    given = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v array<int>").repartition(3)
+    text = F.array_join(F.transform("v", lambda q: F.char(q + 33)), "")
+    got = given.select("i", text.alias("want"), F.arrow_udf(sequences.quality_text, "string")("v").alias("got"))
+    assert got.where("NOT (want <=> got)").count() == 0 and got.where("got IS NOT NULL").count() == 203
+    texts = spark.createDataFrame([(i, t) for i, t in enumerate([None, "", "*", "I\u00e9\u20acJ", "\U0001f600I", *("".join(chr(33 + q) for q in v) for v in values[4:])])], "i int, t string").repartition(3)
+    found = {r["i"]: (r["t"], r["v"]) for r in texts.select("i", "t", F.arrow_udf(sequences.quality_values, "array<int>")("t").alias("v")).collect()}
+    assert len(found) == 205 and all(v == (None if t is None else [ord(x) - 33 for x in t]) for t, v in found.values())
+    part = pa.array(values, pa.list_(pa.int32())).slice(5, 50)
+    assert sequences.quality_values(sequences.quality_text(part)).to_pylist() == part.to_pylist()
+    assert sequences.quality_values(pa.array(["ab", None, "c\u00e9"]).slice(1)).to_pylist() == [None, [66, 200]]
+    reads = spark.createDataFrame([("q", 0, 0, "c", 5, "2M", [40, 2]), ("r", 0, 0, "c", 5, None, None)], "qname string, flag int, ref_id int, ref_name string, start_pos long, cigar string, quals array<int>")
+    sequences.write_sam(reads, str(tmp_path / "sam"))
+    again = sequences.read_sam(spark, str(tmp_path / "sam")).select("qname", "quals")
+    assert "lambda" not in plan(again) and sorted(map(tuple, again.collect())) == [("q", [40, 2]), ("r", None)]
+
+
 def test_pairs_of_a_bucket_of_names():
     """Many names at once: the pairs of a walk over each name's reads, and what waits on."""
     rng = random.Random(3)
