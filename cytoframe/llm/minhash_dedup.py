@@ -237,7 +237,8 @@ def near_duplicates(
     texts = base.where("doc_id is not null and text is not null")
     if held.count() <= most_broadcast:  # else all texts are shuffled to the classes
         texts = texts.join(F.broadcast(held.select("doc_id", "h")), ["doc_id", "h"], "left_semi")
-    texts = texts.join(held, ["doc_id", "h"]).select("cid", "k1", "k2", "tiles", "text").distinct()
+    # repeated rows meet where the join has put them: its keys are among those of `distinct`, so texts are shuffled once
+    texts = texts.join(held, ["doc_id", "h"]).select("doc_id", "h", "cid", "k1", "k2", "tiles", "text").distinct()
     whole = scratch.write(texts.mapInPandas(sets, "cid long, tiles array<struct<tile:bigint,side:int,comp:bigint>>, set binary"), "sets", compression="uncompressed")
 
     def confirm(placed: DataFrame) -> DataFrame:

@@ -12,7 +12,8 @@ import pytest
 from hypothesis import given, strategies as st
 from pyspark.sql import functions as F
 
-from cytoframe.llm import fill_in_middle as fim, lexical_search as search, line_dedup as lines
+from cytoframe.llm import fill_in_middle as fim, lexical_search as search, line_dedup as lines, minhash_dedup
+from cytoframe.llm.common import Scratch
 
 SF = "/root/testdata/sf0.01"
 AWKWARD = [(1, None), (2, ""), (3, "one"), (4, "word " * 30_000), (5, "same"), (6, "same"), (6, "same"), (None, "no id ok"), (7, " \t\n"), (8, "Ünï [INST] </s> \U0001f600 \x85 nb\u00a0sp"), (9, "a <P> marker"), (10, "\n\n"), (11, "x" * 1_000_000)]
@@ -184,3 +185,25 @@ def test_lines_equal_brute_force(spark, awkward, parts):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_compared_texts_are_shuffled_once(spark, monkeypatch):
+    """Texts go to their classes' keys; repeated rows are dropped there, without an exchange by texts. Copies stay linked."""
+    rows = [(i % 40, " ".join(f"w{i % 40 // 2}x{j}" for j in range(30 + i % 2))) for i in range(120)]
+    seen, write = [], Scratch.write
+
+    def note(self, df, name, **more):
+        if name == "sets":
+            seen.append((df._jdf.queryExecution().executedPlan().toString(), df.count(), df.select("cid").distinct().count()))
+        return write(self, df, name, **more)
+
+    monkeypatch.setattr(Scratch, "write", note)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = minhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted((r["doc_id"], r["component_id"]) for r in got) == sorted((k, k - k % 2) for k, _ in rows)
+    text, n, classes = seen[0]
+    assert n == classes == 40 and not re.search(r"Exchange hashpartitioning\([^)]*text", text)
