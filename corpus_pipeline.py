@@ -35,11 +35,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     by_text = F.xxhash64("text").bitwiseAND((1 << 62) - 1).bitwiseOR(1 << 62)
     keyed = docs.select(whole_row(docs).alias("row"), F.coalesce(docs["doc_id"].cast("long"), by_text).alias("key"), docs["text"].alias("text"))
     found = minhash_dedup.near_duplicates(keyed.select("key", "text"), width=5, percent=80, id_col="key")
-    kept = Scratch(spark, "kept").write(found.where("kept").groupBy("key").agg(F.count("*").alias("rows")), "keys")
+    kept, repeated = Scratch(spark, "kept").observed(found.where("kept").groupBy("key").agg(F.count("*").alias("rows")), "keys", F.count_if(F.col("rows") > 1))
     alone = keyed.join(kept.where("rows = 1"), "key", "left_semi").select("row")
-    again = kept.where("rows > 1")
-    if again.limit(1).count():
-        first = keyed.join(again, "key", "left_semi").groupBy("key").agg(F.min_by("row", F.struct("text", F.to_json("row"))).alias("row"))
+    if repeated:
+        first = keyed.join(kept.where("rows > 1"), "key", "left_semi").groupBy("key").agg(F.min_by("row", F.struct("text", F.to_json("row"))).alias("row"))
         alone = alone.unionByName(first.select("row"))
     return alone.select(*unpacked_row(alone, "row"))
 

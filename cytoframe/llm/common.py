@@ -8,7 +8,8 @@ from contextlib import contextmanager
 from contextvars import ContextVar
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from ..sources.folders import shared_folder, until_exit
 
@@ -39,6 +40,19 @@ class Scratch:
         until_exit(self.spark, path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def observed(self, df: DataFrame, name: str, measure: Column) -> tuple[DataFrame, int]:
+        """`write`, and an aggregate of the rows (0 for null) that is observed while they pass, so that no job reads them for it.
+
+        A stage that runs again may be counted twice: it is meant for what is asked of none and of the largest.
+        """
+        seen, measure = Observation(), measure.alias("n")
+        out = self.write(df.observe(seen, measure), name)
+        try:
+            n = seen.get["n"]
+        except Py4JJavaError:  # the optimizer saw that no row can come and left the counting out
+            n = out.agg(measure).first()["n"]
+        return out, n or 0
+
     def drop(self, *names: str) -> None:
         """Free tables that no later plan reads."""
         for name in names:

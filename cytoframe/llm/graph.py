@@ -1,4 +1,4 @@
-"""Connected components of an edge table, by contraction; nothing is collected on the driver but row counts."""
+"""Connected components of an edge table, by contraction; nothing comes to the driver but counts."""
 
 from __future__ import annotations
 
@@ -13,44 +13,48 @@ def components(edges: DataFrame, scratch: Scratch, tag: str) -> DataFrame:
     Each round hooks every node to its smallest neighbour, follows these links to their end by pointer
     jumping, and replaces the nodes of every edge by their roots. At least half of the nodes of a component
     vanish in a round, so the rounds grow with the logarithm of the nodes. Hubs meet in partial
-    aggregations and in joins that adaptive execution can split.
+    aggregations and in joins that adaptive execution can split. What ends a loop is observed while its table is
+    written: every execution costs the driver memory.
     """
     made: list[str] = []
 
-    def write(df: DataFrame, name: str) -> DataFrame:
+    def named(name: str) -> str:
         made.append(f"{tag}-{name}")
-        return scratch.write(df, made[-1])
+        return made[-1]
 
-    live = write(edges.where("u != v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "e0")
+    rows = F.count("*")
+    live, n = scratch.observed(edges.where("u != v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), named("e0"), rows)
     found: DataFrame | None = None
     k = 0
-    while live.limit(1).count():
+    while n:
         both = live.unionByName(live.select(F.col("v").alias("u"), F.col("u").alias("v")))
         up = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), F.least("u", "m").alias("root"))
-        up = write(up, f"p{k}")
+        up = scratch.write(up, named(f"p{k}"))
         step = 0
         while True:  # pointer jumping: the paths halve each time
             nxt = up.select(F.col("node").alias("root"), F.col("root").alias("far"))
-            jumped = write(
+            jumped, moved = scratch.observed(
                 up.join(nxt, "root", "left").select("node", F.coalesce("far", "root").alias("root"), (F.coalesce("far", "root") != F.col("root")).alias("moved")),
-                f"p{k}-{step}",
+                named(f"p{k}-{step}"),
+                F.count_if("moved"),
             )
             step += 1
             up = jumped.select("node", "root")
-            if not jumped.where("moved").limit(1).count():
+            if not moved:
                 break
         if found is None:
             found = up
         else:
-            found = write(
+            found = scratch.write(
                 found.join(up.select(F.col("node").alias("root"), F.col("root").alias("far")), "root", "left")
                 .select("node", F.coalesce("far", "root").alias("root")),
-                f"f{k}",
+                named(f"f{k}"),
             )
         a, b = up.select(F.col("node").alias("u"), F.col("root").alias("ru")), up.select(F.col("node").alias("v"), F.col("root").alias("rv"))
-        live = write(
+        live, n = scratch.observed(
             live.join(a, "u").join(b, "v").where("ru != rv").select(F.least("ru", "rv").alias("u"), F.greatest("ru", "rv").alias("v")).distinct(),
-            f"e{k + 1}",
+            named(f"e{k + 1}"),
+            rows,
         )
         k += 1
     if found is None:

@@ -119,7 +119,8 @@ def compare_nodes(least_equal: int) -> Callable:
 
 
 def confirm_tiles(percent: int) -> Callable:
-    """Edges that span the linked pairs of a tile: 100 * intersection >= percent * union, on full sets.
+    """Edges that span what the linked pairs of a tile connect: 100 * intersection >= percent * union, on full sets. They
+    lead to a set's first class, so that paths are short.
 
     Pairs of one `comp` are known to be connected and not compared again, nor are pairs that became connected in the
     tile; where a tile has two sides, only pairs across them are.
@@ -138,6 +139,7 @@ def confirm_tiles(percent: int) -> Callable:
                 start = np.cumsum(size) - size
                 known = np.unique(tile["comp"].to_numpy(), return_index=True, return_inverse=True)
                 parent = known[1][known[2].ravel()]
+                first = parent.copy()
                 mark = np.zeros(int(token.max()) + 1, bool)
                 two = bool((side != side[0]).any())
                 for i in range(len(ids) - 1):
@@ -157,9 +159,11 @@ def confirm_tiles(percent: int) -> Callable:
                     mark[own] = False
                     j = j[100 * both >= percent * (size[i] + size[j] - both)]
                     if len(j):
-                        us.append(np.full(len(j), ids[i]))
-                        vs.append(ids[j])
                         parent = link(parent, np.full(len(j), i), j)
+                joined = np.flatnonzero((first == np.arange(len(ids))) & (parent != first))
+                if len(joined):
+                    us.append(ids[parent[joined]])
+                    vs.append(ids[joined])
             if us:
                 yield pd.DataFrame({"u": np.concatenate(us), "v": np.concatenate(vs)})
 
@@ -213,7 +217,7 @@ def near_duplicates(
     sizes = groups.groupBy("root").agg(F.count("*").alias("m"))
     groups = scratch.write(groups.withColumnRenamed("node", "cid").join(sizes, "root"), "groups")
     wide = groups.where(F.col("m") > tile).select("cid")
-    big = scratch.write(crowded.join(wide, "cid", "left_semi"), "big")
+    big, n_big = scratch.observed(crowded.join(wide, "cid", "left_semi"), "big", F.count("*"))
     chunks = big.groupBy("node").agg(F.ceil(F.count("*") / tile).cast("int").alias("nc"))
     dealt = big.join(chunks, "node").withColumn("c", F.pmod(F.xxhash64("cid"), "nc").cast("int"))
     pivots = dealt.where("cid = sub").select("node", "sub", "cid", F.explode(F.sequence(F.lit(0), F.col("nc") - 1)).alias("c"))
@@ -232,10 +236,10 @@ def near_duplicates(
             yield part[["cid", "tiles"]].assign(set=[s.tobytes() for s in found])[own]
 
     # one text of each class that has to be compared, found by its id and hash; all their sets are written once
-    held = scratch.write(member.groupBy("cid").agg(F.array_sort(F.collect_list("t")).alias("tiles")), "held")
+    held, n_held = scratch.observed(member.groupBy("cid").agg(F.array_sort(F.collect_list("t")).alias("tiles")), "held", F.count("*"))
     held = held.join(classes.select("cid", "k1", "k2", F.col("rep").alias("doc_id"), "h"), "cid")
     texts = base.where("doc_id is not null and text is not null")
-    if held.count() <= most_broadcast:  # else all texts are shuffled to the classes
+    if n_held <= most_broadcast:  # else all texts are shuffled to the classes
         texts = texts.join(F.broadcast(held.select("doc_id", "h")), ["doc_id", "h"], "left_semi")
     # repeated rows meet where the join has put them: its keys are among those of `distinct`, so texts are shuffled once
     texts = texts.join(held, ["doc_id", "h"]).select("doc_id", "h", "cid", "k1", "k2", "tiles", "text").distinct()
@@ -248,7 +252,7 @@ def near_duplicates(
 
     linked = scratch.write(confirm(whole).unionByName(same_ids(full.withColumnRenamed("doc_id", "id"), classes)), "links")
     found = components(linked, scratch, "linked")
-    apart = across(big, found, scratch, tile) if big.limit(1).count() else None
+    apart = across(big, found, scratch, tile) if n_big else None
     if apart is not None:
         again = whole.select("cid", "set").join(apart.groupBy("cid").agg(F.collect_list("t").alias("tiles")), "cid")
         found = components(linked.unionByName(confirm(again)), scratch, "relinked")
@@ -272,12 +276,12 @@ def candidates(classes: DataFrame, scratch: Scratch, percent: int, trees: int, l
     leaves, crowded, level = [], None, 1
     while True:
         cand = scratch.write(cand, f"cand{level}")
-        counts = scratch.write(cand.groupBy("node").agg(F.count("*").alias("m")).where("m > 1"), f"counts{level}")
+        counts, most = scratch.observed(cand.groupBy("node").agg(F.count("*").alias("m")).where("m > 1"), f"counts{level}", F.max("m"))
         shared = scratch.write(cand.join(counts, "node"), f"shared{level}")
         scratch.drop(f"cand{level}", f"counts{level}")
         leaves.append(shared.where(F.col("m") <= leaf).select("node", "cid"))
         crowded = shared.where(F.col("m") > leaf).select("node", "cid")
-        if level == depth or not crowded.limit(1).count():
+        if level == depth or most <= leaf:
             break
         at = f"{trees} + pmod(xxhash64(node, b, {level}), {TOKENS - trees})"
         cand = (

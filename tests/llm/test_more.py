@@ -207,3 +207,49 @@ def test_compared_texts_are_shuffled_once(spark, monkeypatch):
     assert sorted((r["doc_id"], r["component_id"]) for r in got) == sorted((k, k - k % 2) for k, _ in rows)
     text, n, classes = seen[0]
     assert n == classes == 40 and not re.search(r"Exchange hashpartitioning\([^)]*text", text)
+
+
+def test_few_executions_of_near_duplicates(spark, monkeypatch):
+    """What is only counted is observed while it is written, and chains within a tile are one round: the driver pays for every execution."""
+    from cytoframe.llm import graph
+
+    bus, store, seen, components = spark.sparkContext._jsc.sc().listenerBus(), spark._jsparkSession.sharedState().statusStore(), [], graph.components
+
+    def last() -> int:
+        bus.waitUntilEmpty(10_000)
+        spark.range(1).write.format("noop").mode("overwrite").save()
+        bus.waitUntilEmpty(10_000)
+        return max(store.executionsList().apply(k).executionId() for k in range(store.executionsList().size()))
+
+    def note(edges, scratch, tag):
+        before = last()
+        out = components(edges, scratch, tag)
+        seen.append((tag, last() - before - 1))
+        return out
+
+    monkeypatch.setattr(minhash_dedup, "components", note)
+    words = [f"w{i}" for i in range(200)]
+    rows = []
+    for g in range(3):  # of a chain, only neighbours are linked
+        text = [f"g{g}{w}" for w in words]
+        for step in range(30):
+            rows.append((len(rows) * 7 % 90, " ".join(text)))
+            text[step * 6] = f"s{step}"
+    before = last()
+    got = minhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert last() - before - 1 - 4 <= 27  # less those of note()
+    assert dict(seen)["linked"] == 5
+    assert {(r["doc_id"], r["component_id"]) for r in got.collect()} == {(k, min(j for j, _ in rows[i // 30 * 30 : i // 30 * 30 + 30])) for i, (k, _) in enumerate(rows)}
+
+
+@pytest.mark.parametrize("edges", [[], [(3, 3)], [(k, k + 1) for k in range(40)], [(k * 7 % 41, (k + 1) * 7 % 41) for k in range(40)] + [(50, 51), (51, 50), (60, 61), (62, 61)]])
+def test_components_of_chains(spark, edges, tmp_path):
+    from cytoframe.llm import graph
+
+    got = graph.components(spark.createDataFrame(edges, "u long, v long"), Scratch(spark, "test"), "t").collect()
+    label = {x: x for e in edges if e[0] != e[1] for x in e}
+    for _ in label:
+        for u, v in edges:
+            if u != v:
+                label[u] = label[v] = min(label[u], label[v])
+    assert {r["node"]: r["root"] for r in got} == label and len(got) == len(label)
