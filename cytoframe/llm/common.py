@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
 import numpy as np
+import pyarrow as pa
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
@@ -40,18 +43,18 @@ class Scratch:
         until_exit(self.spark, path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def observed(self, df: DataFrame, name: str, measure: Column) -> tuple[DataFrame, int]:
-        """`write`, and an aggregate of the rows (0 for null) that is observed while they pass, so that no job reads them for it.
+    def observed(self, df: DataFrame, name: str, *measures: Column) -> tuple:
+        """`write`, and aggregates of the rows (0 for null) that are observed while they pass, so that no job reads them for it.
 
         A stage that runs again may be counted twice: it is meant for what is asked of none and of the largest.
         """
-        seen, measure = Observation(), measure.alias("n")
-        out = self.write(df.observe(seen, measure), name)
+        seen, named = Observation(), [m.alias(f"n{k}") for k, m in enumerate(measures)]
+        out = self.write(df.observe(seen, *named), name)
         try:
-            n = seen.get["n"]
+            n = seen.get
         except Py4JJavaError:  # the optimizer saw that no row can come and left the counting out
-            n = out.agg(measure).first()["n"]
-        return out, n or 0
+            n = out.agg(*named).first()
+        return out, *(n[f"n{k}"] or 0 for k in range(len(measures)))
 
     def drop(self, *names: str) -> None:
         """Free tables that no later plan reads."""
@@ -79,6 +82,14 @@ def temporary() -> Iterator[None]:
             scratch.clear()
 
 
+def give_back() -> None:
+    """The system gets what the allocators of the driver's Python still hold of objects that are gone, as of a model's training."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc has it
+        trim(0)
+
+
 def column(df: DataFrame, name: str) -> Column:
     """A column by its name alone, whatever characters it has."""
     return df["`" + name.replace("`", "``") + "`"]

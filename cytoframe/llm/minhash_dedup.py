@@ -217,16 +217,18 @@ def near_duplicates(
     sizes = groups.groupBy("root").agg(F.count("*").alias("m"))
     groups = scratch.write(groups.withColumnRenamed("node", "cid").join(sizes, "root"), "groups")
     wide = groups.where(F.col("m") > tile).select("cid")
-    big, n_big = scratch.observed(crowded.join(wide, "cid", "left_semi"), "big", F.count("*"))
-    chunks = big.groupBy("node").agg(F.ceil(F.count("*") / tile).cast("int").alias("nc"))
-    dealt = big.join(chunks, "node").withColumn("c", F.pmod(F.xxhash64("cid"), "nc").cast("int"))
-    pivots = dealt.where("cid = sub").select("node", "sub", "cid", F.explode(F.sequence(F.lit(0), F.col("nc") - 1)).alias("c"))
-    member = (
-        groups.where(F.col("m") <= tile).select("cid", F.xxhash64(F.lit(0), "root").alias("tile"))
-        .unionByName(weak.where("not crowded").join(wide, "cid", "left_semi").select("cid", F.xxhash64(F.lit(1), "node", "sub").alias("tile")))
-        .unionByName(dealt.select("node", "sub", "cid", "c").unionByName(pivots).select("cid", F.xxhash64(F.lit(2), "node", "c").alias("tile")).distinct())
-        .select("cid", F.struct("tile", F.lit(0).alias("side"), F.lit(None).cast("long").alias("comp")).alias("t"))
+    member = groups.where(F.col("m") <= tile).select("cid", F.xxhash64(F.lit(0), "root").alias("tile")).unionByName(
+        weak.where("not crowded").join(wide, "cid", "left_semi").select("cid", F.xxhash64(F.lit(1), "node", "sub").alias("tile"))
     )
+    n_big = 0
+    if crowded is not None:
+        big, n_big = scratch.observed(crowded.join(wide, "cid", "left_semi"), "big", F.count("*"))
+    if n_big:
+        chunks = big.groupBy("node").agg(F.ceil(F.count("*") / tile).cast("int").alias("nc"))
+        dealt = big.join(chunks, "node").withColumn("c", F.pmod(F.xxhash64("cid"), "nc").cast("int"))
+        pivots = dealt.where("cid = sub").select("node", "sub", "cid", F.explode(F.sequence(F.lit(0), F.col("nc") - 1)).alias("c"))
+        member = member.unionByName(dealt.select("node", "sub", "cid", "c").unionByName(pivots).select("cid", F.xxhash64(F.lit(2), "node", "c").alias("tile")).distinct())
+    member = member.select("cid", F.struct("tile", F.lit(0).alias("side"), F.lit(None).cast("long").alias("comp")).alias("t"))
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache: dict = {}
@@ -263,9 +265,9 @@ def near_duplicates(
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def candidates(classes: DataFrame, scratch: Scratch, percent: int, trees: int, leaf: int, depth: int) -> tuple[DataFrame, DataFrame]:
+def candidates(classes: DataFrame, scratch: Scratch, percent: int, trees: int, leaf: int, depth: int) -> tuple[DataFrame, DataFrame | None]:
     """The trees. (node, sub, cid, crowded): sets of classes that may be linked, of small and of crowded nodes; and
-    those of the crowded nodes alone, of which every class counts."""
+    those of the crowded nodes alone, of which every class counts. None where no node is crowded in the end."""
     sigs = classes.select("cid", "sig")
 
     def token(at):
@@ -275,7 +277,8 @@ def candidates(classes: DataFrame, scratch: Scratch, percent: int, trees: int, l
     cand = sigs.select(F.explode(first).alias("node"), "cid")
     leaves, crowded, level = [], None, 1
     while True:
-        cand = scratch.write(cand, f"cand{level}")
+        if level > 1:  # the first are hashes of what `classes` has
+            cand = scratch.write(cand, f"cand{level}")
         counts, most = scratch.observed(cand.groupBy("node").agg(F.count("*").alias("m")).where("m > 1"), f"counts{level}", F.max("m"))
         shared = scratch.write(cand.join(counts, "node"), f"shared{level}")
         scratch.drop(f"cand{level}", f"counts{level}")
@@ -296,10 +299,15 @@ def candidates(classes: DataFrame, scratch: Scratch, percent: int, trees: int, l
     slack = percent / 100 - 4 * (percent / 100 * (1 - percent / 100) / TOKENS) ** 0.5
     nodes = small.join(sigs, "cid").repartition("node").sortWithinPartitions("node", "cid")
     weak = nodes.mapInPandas(compare_nodes(int(slack * TOKENS)), "node long, sub long, cid long").withColumn("crowded", F.lit(False))
+    levels = [f"shared{k}" for k in range(1, level + 1)]
+    if most <= leaf:
+        weak = scratch.write(weak, "weak")
+        scratch.drop(*levels)
+        return weak, None
     full = crowded.join(crowded.groupBy("node").agg(F.min("cid").alias("sub")), "node").select("node", "sub", "cid")
     full = scratch.write(full, "crowded")
     weak = scratch.write(weak.unionByName(full.withColumn("crowded", F.lit(True))), "weak")
-    scratch.drop(*[f"shared{k}" for k in range(1, level + 1)])
+    scratch.drop(*levels)
     return weak, full
 
 

@@ -253,3 +253,26 @@ def test_components_of_chains(spark, edges, tmp_path):
             if u != v:
                 label[u] = label[v] = min(label[u], label[v])
     assert {r["node"]: r["root"] for r in got} == label and len(got) == len(label)
+
+
+def test_pipeline_rows_stay_where_they_are(spark, monkeypatch):
+    """Only keys whose rows go or are repeated are joined, so whole rows aren't shuffled; where no node is crowded, no tables of such are written."""
+    import corpus_pipeline
+
+    words = [f"w{i}" for i in range(100)]
+    rows = [(k, " ".join([f"t{k // 2}{w}" for w in words] + ["more"] * (k % 2)), "en") for k in range(40)]
+    frame = spark.createDataFrame([*rows, rows[6], rows[9], (None, "alone", "de"), (70, None, "de")], "doc_id long, text string, lang string").repartition(5)
+    made, write = [], Scratch.write
+    monkeypatch.setattr(Scratch, "write", lambda self, df, name, **more: made.append(name) or write(self, df, name, **more))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        few = corpus_pipeline.near_duplicates(spark, frame.where("doc_id is null or doc_id not in (6, 9)"), "")
+        plan = few._jdf.queryExecution().executedPlan().toString()
+        got = [corpus_pipeline.near_duplicates(spark, frame, "", *args).collect() for args in ((), (0,))]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Join" in plan and "hashpartitioning" not in plan and not {"big", "crowded", "cand1"} & set(made)
+    assert few.count() == 20 + 2
+    for kept in got:
+        assert sorted((str(r["doc_id"]), r["text"] or "") for r in kept) == sorted((str(k), t or "") for k, t in [*[r[:2] for r in rows[::2]], (None, "alone"), (70, None)])
