@@ -1,14 +1,17 @@
 """Plans whose largest step grows no faster than the input."""
 
+import pathlib
 import random
 import re
+import time
 
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 from cytoframe.operators import intervals, methylation, read_quality
-from cytoframe.plans import catalog
+from cytoframe.plans import catalog, region_pipeline
+from cytoframe.plans.config import PipelineConfig
 from cytoframe.sources import sequences, tables
 from cytoframe.streaming import reads as stream
 
@@ -144,3 +147,34 @@ def test_order_over_part_files(spark, tmp_path):
     got = tables.read_allc(spark, str(tmp_path))
     assert methylation.last_call(got).where("pos = 5").collect()[0]["cov"] == 9
     assert methylation.last_call(tables.read_allc(spark, [str(tmp_path / f"part-0000{n}-x.txt") for n in (0, 1)])).where("pos = 5").collect()[0]["cov"] == 2
+
+
+def test_region_tables_are_written_in_little_space(spark, tmp_path, monkeypatch):
+    """What an execution shuffled is gone when its table is written; region rows come from one written table, without a shuffle
+    or a sort of a row for each interval and file, and are gzipped. Repeated intervals and such without a bin have their sums."""
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    kept = lambda: {f.name for d in disk for f in pathlib.Path(d).rglob("shuffle_*")}
+    for c in ("c1", "c2"):
+        (tmp_path / f"{c}.NCGN-Both.allc.tsv").write_text("".join(f"chr1\t{p}\t+\tACGT\t1\t{2 if c == 'c1' else 3}\t1\n" for p in range(1, 4000, 10)))
+    spans = [("chr1", s, s + 1500, b, "x", strand, "g1") for s, b, strand in ((1, "0", "+"), (1, "0", "+"), (500, "", "+"), (2500, "1", "-"), (9000, "1", "-"))]
+    (tmp_path / "body.bed").write_text("".join("\t".join(map(str, s)) + "\n" for s in spans))
+    (tmp_path / "m.csv").write_text("gene,c1,c2\ng1,transcribed,silent\n")
+    config = PipelineConfig.parse(f"contexts: [NCGN-Both]\nregions: {{body: {{bed_file: {tmp_path}/body.bed, strand_column: 6, n_bins: 2}}}}")
+    before = kept()
+    out = region_pipeline.run(spark, [str(tmp_path / f"{c}.NCGN-Both.allc.tsv") for c in ("c1", "c2")], config, str(tmp_path / "m.csv"), None, "NCGN")
+    until = time.time() + 20  # files are removed in the background
+    while kept() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not kept() - before
+    text = plan(out.region_rows)
+    assert "Generate inline" in text and "hashpartitioning" not in text and "allc.tsv" not in text
+    want = sorted((c, f"chr1:{s}-{e}", n * v, n, n) for c, v in (("c1", 2), ("c2", 3)) for _, s, e, *_ in spans for n in [sum(s <= p <= e for p in range(1, 4000, 10))])
+    fields = "region_id string, bin long, total_coverage long, total_methylated long, sites_with_data long, region string, context string, strand_side string, sample string"
+    for writers in ("256", "1"):
+        monkeypatch.setitem(region_pipeline.WRITING, "spark.sql.maxConcurrentOutputFileWriters", writers)
+        region_pipeline.write(out, str(tmp_path / writers))
+        back = tables.read_results(spark, str(tmp_path / writers / "regions"), fields).select("sample", "region_id", "total_coverage", "total_methylated", "sites_with_data")
+        assert sorted(map(tuple, back.collect())) == want and any(w[4] == 150 for w in want)
+    files = [p.name for p in (tmp_path / "256/regions").rglob("part-*")]
+    assert files and all(f.endswith(".csv.gz") for f in files)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0" and spark.conf.get("spark.sql.files.maxPartitionBytes") != "16m"
